@@ -4,7 +4,7 @@ Records are ordered by (hash of the text, doc_id), so that equal texts stand tog
 proportion to size gives quantile boundaries for many more ranges than shards; ranges that turn out overfull are
 subdivided by a denser sample of their own until they are small or hold a single record. Whole ranges then go to
 shards, the largest first, each to the emptiest; a record's slot counts from its range's first slot in its shard.
-Equal texts share a shard unless together they overfill a range.
+Equal texts share a shard unless together they exceed half of one.
 
 Null texts have no bytes (size 16, crc32 0). Rows that repeat a doc_id are records of their own. An empty table gives an
 empty result. Extra columns play no part and are not returned.
@@ -70,12 +70,13 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
     keyed = written(records(docs), "shard-keys")
     total = keyed.agg(F.sum("size")).first()[0] or 0
     limit = max(1, total // (shards * RANGES))
+    alone = max(2 * limit, total // (2 * shards))  # equal texts stay together up to half a shard
     # a boundary in the middle of equal texts is moved to their end; only overfull ranges cut texts' groups by doc_id
     bounds = {(k, 2**63 - 1) for k, _ in _quantiles(_sampled(keyed, shards * RANGES * DRAWS, total, seed), shards * RANGES)}
     for again in range(1, ROUNDS + 1):
         dealt = _assign(keyed, sorted(bounds))
         held = {r.range: r for r in dealt.groupBy("range").agg(F.sum("size").alias("size"), F.max("size").alias("largest"), F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last")).collect()}
-        full = [r for r in held.values() if r.n > 1 and r["size"] > 2 * limit and r["size"] > 1.5 * r.largest]
+        full = [r for r in held.values() if r.n > 1 and r["size"] > (alone if r.first == r.last else 2 * limit) and r["size"] > 1.5 * r.largest]
         if not full or again == ROUNDS:
             break
         of = F.col("range").isin([r.range for r in full])
