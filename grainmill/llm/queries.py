@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, sharding, url_filter
+from . import mixing, neardup, packing, sharding, suffixes, topk, toxicity, url_filter, warc
 
 URL_RULES = [
     url_filter.parse(text, verdict)
@@ -25,12 +25,42 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op8_sharding)}
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = ~toxicity.learnable(F.col("doc_id"))
+    return toxicity.score(docs, model, at=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_near_duplicates, op4_suffix_dedup, op5_packing, op6_exact_topk, op8_sharding, op9_warc, op10_toxicity)}
 
 _OP1_SQL = r"""
 WITH u AS (
