@@ -37,6 +37,8 @@ BANDS = REGISTERS // ROWS
 DOUBT = 12.5
 #: Members of a bucket that one task compares; partners that a member proposes in the middle round.
 MEMBERS, PARTNERS = 4096, 8
+#: Pairs that are compared at once.
+PAIRS = 60_000
 SLAB = 2 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -128,6 +130,12 @@ def registers(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.clip(np.floor(1 - np.log(RATE * least) / np.log(BASE)), 0, 255).astype(np.uint8)
 
 
+def least_equal(share: float) -> int:
+    """Equal registers that a pair of this similarity has but for seven deviations."""
+    p = 1 + 2 * np.log1p(-(1 - share) / 2 * (BASE - 1) / BASE) / np.log(BASE)
+    return int(REGISTERS * p - 7 * np.sqrt(REGISTERS * p * (1 - p)))
+
+
 def may_reach(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """(whether a similarity of `share` is possible, the likeliest similarity) of rows of registers with known set sizes."""
     na, nb = na.astype(np.float64), nb.astype(np.float64)
@@ -253,8 +261,9 @@ def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
 
 
 def _proposals(members: DataFrame, comps: DataFrame, classes: DataFrame, share: float, most: int | None) -> DataFrame:
-    """Pairs (a, b) of different components within a bucket that may reach the share; at most `most` for each member and
-    bucket, the likeliest first, or all of them. A pair is proposed by the first band that it shares."""
+    """(key, a, b): pairs of different components within a bucket that may reach the share; at most `most` for each member
+    and bucket, the likeliest first, or all of them. A pair is proposed by the first band that it shares. Where pairs were
+    left out, a row without a and b names the bucket."""
     placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     state = per.groupBy("key").agg(F.sum("c").alias("total"), F.max("c").alias("biggest"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("total > biggest")
@@ -268,31 +277,53 @@ def _proposals(members: DataFrame, comps: DataFrame, classes: DataFrame, share:
     both = held.select(*cols).unionByName(probes.select(*cols))
 
     def propose(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[np.ndarray] = []
-        for (key, _, _), part in pdf.groupby(["key", "i", "j"], sort=False):
-            band, asks, has = int(key) >> 32, part[part.probe], part[~part.probe]
-            if asks.empty or has.empty:
-                continue
-            regs = np.frombuffer(b"".join(has.regs), np.uint8).reshape(-1, REGISTERS)
-            wide, node, comp, n = regs.view("<u4"), has.node.to_numpy(), has.comp.to_numpy(), has.n.to_numpy()
-            outside = comp != has.main.to_numpy()
-            for q in asks.itertuples():
-                # of two that both ask, the one with the smaller node does
-                pick = np.flatnonzero((comp != q.comp) & ~(outside & (node < q.node)) & (100 * np.minimum(n, q.n) >= 100 * share * np.maximum(n, q.n) - 1e-6))
-                mine = np.frombuffer(q.regs, np.uint8)
-                if not len(pick):
-                    continue
-                pick = pick[(wide[pick, :band] != mine.view("<u4")[:band]).all(axis=1)] if band else pick
-                good, like = may_reach(regs[pick], mine[None], n[pick], np.full(len(pick), q.n), share)
-                pick, like = pick[good], like[good]
-                if most is not None and len(pick) > most:
-                    pick = pick[np.argsort(-like, kind="stable")[:most]]
-                if len(pick):
-                    out.append(np.stack([np.minimum(node[pick], q.node), np.maximum(node[pick], q.node)]))
-        return pd.DataFrame(np.hstack(out).T if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+        pdf = pdf.sort_values(["key", "i", "j", "probe"], ignore_index=True)
+        place = pdf[["key", "i", "j"]].to_numpy()
+        start = np.append(np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(axis=1)])), len(pdf))
+        probe = pdf.probe.to_numpy()
+        asks = np.flatnonzero(probe)
+        group = np.searchsorted(start, asks, side="right") - 1
+        first = start[group]
+        count = np.add.reduceat((~probe).astype(np.int64), start[:-1])[group]  # members stand before the probes
+        regs = np.frombuffer(b"".join(pdf.regs), np.uint8).reshape(-1, REGISTERS)
+        arrays = [pdf[c].to_numpy() for c in ("key", "node", "comp", "main", "n")]
+        upto, at, out = np.cumsum(count), 0, []
+        while at < len(asks):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
+            out.append(_compared(asks[at:to], first[at:to], count[at:to], regs, arrays, share, most))
+            at = to
+        return pd.concat(out) if out else pd.DataFrame({c: pd.array([], "Int64") for c in ("key", "a", "b")})
 
     spread = both.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-    return spread.groupBy("task").applyInPandas(propose, "a long, b long").distinct()
+    return spread.groupBy("task").applyInPandas(propose, "key long, a long, b long").distinct()
+
+
+def _compared(asks: np.ndarray, first: np.ndarray, count: np.ndarray, regs: np.ndarray, arrays: list[np.ndarray], share: float, most: int | None) -> pd.DataFrame:
+    """Each row of asks with its bucket's members, rows first .. first + count."""
+    key, node, comp, main, n = arrays
+    q = np.repeat(asks, count)
+    m = np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(q))
+    # of two that both ask, the one with the smaller node does
+    keep = (comp[q] != comp[m]) & ((comp[m] == main[m]) | (node[m] > node[q])) & (np.minimum(n[q], n[m]) >= share * np.maximum(n[q], n[m]) - 1e-6)
+    q, m = q[keep], m[keep]
+    keep = (regs[q] == regs[m]).sum(axis=1) >= least_equal(share)
+    q, m = q[keep], m[keep]
+    band = regs.view("<u4")
+    before = np.arange(BANDS) < (key[q] >> 32)[:, None]
+    keep = ~((band[q] == band[m]) & before).any(axis=1)
+    q, m = q[keep], m[keep]
+    good, like = may_reach(regs[q], regs[m], n[q], n[m], share)
+    q, m, like = q[good], m[good], like[good]
+    cut = np.zeros(0, np.int64)
+    if most is not None and len(q):
+        order = np.lexsort((node[m], -like, q))
+        q, m = q[order], m[order]
+        begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+        nth = np.arange(len(q)) - np.repeat(begin, np.diff(np.append(begin, len(q))))
+        cut = np.unique(key[q[nth >= most]])
+        q, m = q[nth < most], m[nth < most]
+    got = pd.DataFrame({"key": np.zeros(len(q), np.int64), "a": np.minimum(node[q], node[m]), "b": np.maximum(node[q], node[m])}).astype("Int64")
+    return pd.concat([got, pd.DataFrame({"key": cut, "a": pd.array([pd.NA] * len(cut), "Int64"), "b": pd.array([pd.NA] * len(cut), "Int64")}).astype("Int64")]) if len(cut) else got
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -314,14 +345,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     comps = components(edges)
     more = members.where("size > 2")
     for most in (PARTNERS, None):
-        found = _proposals(more, comps, classes, share, most).join(tested, ["a", "b"], "left_anti")
-        found = written(found, "pairs")
-        if found.isEmpty():
-            continue
-        tested = tested.unionByName(found)
-        edges = edges.unionByName(_confirmed(found, sets, percent))
-        edges = written(edges, "links")
-        comps = components(edges)
+        found = written(_proposals(more, comps, classes, share, most), "proposals")
+        # the last round is for those buckets in which some were left out
+        more = members.join(found.where("a is null").select("key").distinct(), "key", "left_semi")
+        pairs = written(found.where("a is not null").select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            tested = tested.unionByName(pairs)
+            edges = written(edges.unionByName(_confirmed(pairs, sets, percent)), "links")
+            comps = components(edges)
+        if more.isEmpty():
+            break
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.join(ids, "comp").select("node", "node2", "component_id")
