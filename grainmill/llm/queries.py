@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, neardup, packing, sharding, suffixes, topk, toxicity, url_filter, warc
+from . import fingerprints, mixing, neardup, packing, sharding, suffixes, topk, toxicity, url_filter, warc
 
 URL_RULES = [
     url_filter.parse(text, verdict)
@@ -44,6 +44,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -60,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, at=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_near_duplicates, op4_suffix_dedup, op5_packing, op6_exact_topk, op8_sharding, op9_warc, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_near_duplicates, op4_suffix_dedup, op5_packing, op6_exact_topk, op7_fingerprints, op8_sharding, op9_warc, op10_toxicity)}
 
 _OP1_SQL = r"""
 WITH u AS (

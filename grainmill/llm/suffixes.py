@@ -25,6 +25,7 @@ without a doc_id count as last. An empty table gives an empty result. Extra colu
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -469,3 +470,13 @@ def _sorted_marks(pick, doc, pos, count, size, at, body, of, length: int) -> np.
     w = rank[docs > least]
     begin = pos[of_slice[w]] + inside[w]
     return np.stack([of[of_slice[w]], doc[of_slice[w]], begin, begin + length])
+
+
+def readable(kept: str):
+    """The bytes as text, without those that a cut through a character left."""
+
+    @F.pandas_udf("string")
+    def decode(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda b: b.decode("utf-8", "ignore"))
+
+    return decode(kept)
