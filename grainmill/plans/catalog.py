@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import dedup, text  # noqa: F401  the modules register their queries
+from .registry import ORACLE_SQL, QUERIES
+
+FLAGSHIP = "kept_corpus"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
