@@ -12,7 +12,7 @@ Buckets are never expanded into all pairs. First each bucket's members meet its
 still hold several components, those outside the largest one meet the other members: at first their likeliest partners,
 and in a last round every pair of different components that isn't yet decided. Work is dealt in blocks of a bounded
 number of members, so one bucket may hold any share of the rows. Components are found by alternating large and small
-stars. What is left to chance: a pair at the very threshold meets in no band with odds of 1e-8, and is wrongly ruled out
+stars. What is left to chance: a pair at the very threshold meets in no band with odds of 5e-8, and is wrongly ruled out
 by its likelihood with odds below 1e-6.
 
 Null, empty and blank texts have no elements, link with nothing and are kept. Rows that repeat a doc_id are rows of
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import mix64, slabs, utf8, written
 
-REGISTERS, ROWS, BASE, RATE = 128, 4, 1.2, 20.0
+REGISTERS, ROWS, BASE, RATE = 128, 4, 1.001, 20.0
 BANDS = REGISTERS // ROWS
 #: A pair is ruled out if the wanted similarity is less likely than the best one by this factor's logarithm.
 DOUBT = 12.5
@@ -109,7 +109,7 @@ class Shingler:
 
 
 def registers(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """uint8 registers of each set. Every element runs a Poisson process whose points fall on registers at random, until
+    """uint16 registers of each set. Every element runs a Poisson process whose points fall on registers at random, until
     its next point lies beyond the set's largest register."""
     sets = len(starts) - 1
     least = np.full((sets, REGISTERS), np.inf)
@@ -127,7 +127,7 @@ def registers(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
         keep = x < worst[of]
         h, of, x = h[keep], of[keep], x[keep]
     with np.errstate(divide="ignore"):
-        return np.clip(np.floor(1 - np.log(RATE * least) / np.log(BASE)), 0, 255).astype(np.uint8)
+        return np.clip(np.floor(1 - np.log(RATE * least) / np.log(BASE)), 0, 65535).astype(np.uint16)
 
 
 def least_equal(share: float) -> int:
@@ -202,8 +202,9 @@ def _bands(classes: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, BANDS).astype(np.int64)
-                keys = regs | (np.arange(BANDS, dtype=np.int64) << 32)
+                regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u8").reshape(-1, BANDS).astype(np.uint64)
+                band = np.arange(BANDS, dtype=np.uint64)
+                keys = (mix64(regs + band * np.uint64(0x9E3779B97F4A7C15)) & ~np.uint64(BANDS - 1) | band).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS))], ["key", "node"])
 
     return classes.select("node", "regs").mapInArrow(scan, "key long, node long")
@@ -252,7 +253,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                regs = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (4, 5)]
+                regs = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (4, 5)]
                 good, _ = may_reach(*regs, batch.column(2).to_numpy(), batch.column(3).to_numpy(), share)
                 yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(good)) for k in (0, 1)], ["a", "b"])
 
@@ -285,7 +286,7 @@ def _proposals(members: DataFrame, comps: DataFrame, classes: DataFrame, share:
         group = np.searchsorted(start, asks, side="right") - 1
         first = start[group]
         count = np.add.reduceat((~probe).astype(np.int64), start[:-1])[group]  # members stand before the probes
-        regs = np.frombuffer(b"".join(pdf.regs), np.uint8).reshape(-1, REGISTERS)
+        regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
         arrays = [pdf[c].to_numpy() for c in ("key", "node", "comp", "main", "n")]
         upto, at, out = np.cumsum(count), 0, []
         while at < len(asks):
@@ -308,8 +309,8 @@ def _compared(asks: np.ndarray, first: np.ndarray, count: np.ndarray, regs: np.n
     q, m = q[keep], m[keep]
     keep = (regs[q] == regs[m]).sum(axis=1) >= least_equal(share)
     q, m = q[keep], m[keep]
-    band = regs.view("<u4")
-    before = np.arange(BANDS) < (key[q] >> 32)[:, None]
+    band = regs.view("<u8")
+    before = np.arange(BANDS) < (key[q] & (BANDS - 1))[:, None]
     keep = ~((band[q] == band[m]) & before).any(axis=1)
     q, m = q[keep], m[keep]
     good, like = may_reach(regs[q], regs[m], n[q], n[m], share)
@@ -340,7 +341,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # the full sets of those classes that share a bucket with another; text moves once, by doc_id
     wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
     text = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
-    sets = written(sets_of(text, words).dropDuplicates(["node"]), "sets")
+    sets = sets_of(text, words)
+    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        sets = sets.dropDuplicates(["node"])
+    sets = written(sets, "sets")
     edges = written(_confirmed(tested, sets, percent), "links")
     comps = components(edges)
     more = members.where("size > 2")
