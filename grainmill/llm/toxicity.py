@@ -3,15 +3,17 @@
 Examples are a bounded sample of the labelled rows that may be learnt from: at most TOXIC rows of label 1 and CLEAN rows
 of label 0, the first in the order of a hash of the text. Terms are words of letters in lower case and words' first four
 and five letters (marked `*`), so that endings don't hide a stem. The vocabulary is those terms, at most TERMS, that the
-toxic examples hold significantly more often than the clean ones. Vectors have (1 + ln count) * idf, of length 1.
+toxic examples hold significantly more often than the clean ones, and of whose labelled rows half at least are toxic. Vectors have (1 + ln count) * idf, of length 1.
 
 A text's K nearest examples are found exactly: blocks of examples are visited in falling order of their upper bound, the
 sum of the query's weights times each term's largest weight in the block, until no block can beat the K-th similarity
-(equal ones go to the smaller place). Their labels vote with their similarities. The share is calibrated by isotonic
+(equal ones go to the smaller place). Their labels vote with their similarities, against a doubt that votes the base
+rate. The share is calibrated by isotonic
 regression on the examples' own votes, each left out of its own, weighed up to the labelled rows. A text without any term
 of the vocabulary has no near example; it gets the rate of label 1 among such examples.
 
-Null and empty texts have no terms. Without any label 1, or none at all, all texts score the smoothed rate of label 1.
+Near copies, texts that share the least hash of their long words, are one example, that of the least doc_id, so that no
+group of copies makes its words a sign. Null and empty texts have no terms. Without any label 1, or none at all, all texts score the smoothed rate of label 1.
 Rows that repeat a doc_id are scored each; labels of a repeated doc_id count once each. Texts are read whole. Only the
 text enters a score. Extra columns are kept, those of the operator's own names replaced.
 """
@@ -34,6 +36,9 @@ TOXIC, CLEAN, TERMS, K = 2000, 4000, 2000, 15
 BLOCK, LEAST, Z = 64, 3, 2.6
 WORDS = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
+LONG = r"\p{L}{7,}"
+#: Similarity of a neighbour without a label that votes the base rate, so that far neighbours alone decide little.
+DOUBT = 0.75
 
 
 def words(text: str | None) -> list[str]:
@@ -67,8 +72,10 @@ class Index:
             bound[blocks] += w * most
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-12 < -best[-1][0]:
+            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-11 < -best[-1][0]:
                 break
+            if len(best) == k and bound[b] <= 1e-11 - best[-1][0] and b * BLOCK > best[-1][1]:
+                continue  # it can at most equal the last one, from a larger place
             scores = np.zeros(BLOCK)
             for w, (ids, ws, blocks, first, _) in held:
                 at = int(np.searchsorted(blocks, b))
@@ -93,7 +100,7 @@ class Model:
         # label 0 and 1 among the examples without terms, in labelled rows; one row of each is added
         bare = [sum(weights[label] for _, label, counts in examples if label == y and not self.vector(counts)) for y in (0, 1)]
         total = [max(1.0, sum(weights[label] for _, label, _ in examples if label == y)) for y in (0, 1)]
-        rate = total[1] / sum(total) if examples else 0.0
+        rate = self.rate = total[1] / sum(total) if examples else 0.0
         self.none = min((bare[1] + rate) / (sum(bare) + 1), 0.69)
         votes = sorted((self.share(self.index.nearest(v, K, but=i)), label) for i, (_, label, v) in enumerate(held))
         self.knots = _isotonic([(s, label, weights[label]) for s, label in votes], rate)
@@ -105,8 +112,7 @@ class Model:
         return {t: x / norm for t, x in raw.items()}
 
     def share(self, near: list[tuple[int, float]]) -> float:
-        total = sum(s for _, s in near)
-        return sum(s for i, s in near if self.labels[i]) / total if total else 0.0
+        return (sum(s for i, s in near if self.labels[i]) + DOUBT * self.rate) / (sum(s for _, s in near) + DOUBT)
 
     def counts(self, text: str | None) -> dict[str, int]:
         """Of the vocabulary's terms in the whole text."""
@@ -164,11 +170,14 @@ def learnable(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = docs.select("doc_id", "text").join(marked, "doc_id")
-    keyed = written(rows.select("doc_id", "toxic", F.xxhash64("text").alias("h")), "labelled")
+    h = F.xxhash64("text")
+    least = F.array_min(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(LONG), F.lit(0)), lambda w: F.xxhash64(w)))
+    keyed = written(rows.select("doc_id", "toxic", h.alias("h"), F.coalesce(least, h).alias("near")), "labelled")
     total = {r.toxic: r["count"] for r in keyed.groupBy("toxic").count().collect()}
+    keyed = keyed.groupBy("near").agg(F.min(F.struct("doc_id", "toxic", "h")).alias("x")).select("x.*", "near")
     picked = None
     for label, most in ((1, TOXIC), (0, CLEAN)):  # a top-k job each, of a bounded k
-        part = keyed.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(most)
+        part = keyed.where(F.col("toxic") == label).orderBy("near").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     picked = F.broadcast(written(picked.select("doc_id", "toxic", "h").distinct(), "examples"))
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(picked, ["doc_id", "h"])
@@ -192,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     df = counted.where("term is not null").groupBy("term").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")).where(F.col("a") >= LEAST)
     a, b, c, d = (F.col("a") + 0.5), (F.col("b") + 0.5), F.lit(n1 + 0.5) - F.col("a"), F.lit(n0 + 0.5) - F.col("b")
     z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    chosen = df.withColumn("z", z).where(F.col("z") >= Z).orderBy(F.desc("z"), "term").limit(TERMS)
+    odds = F.col("a") * total[1] / n1 >= F.col("b") * total.get(0, 0) / max(1, n0)  # toxic rows hold it more often, not only relatively
+    chosen = df.withColumn("z", z).where((F.col("z") >= Z) & odds).orderBy(F.desc("z"), "term").limit(TERMS)
     idf = {r.term: math.log((1 + n0 + n1) / (1 + r.a + r.b)) + 1 for r in chosen.collect()}
     kept = counted.where(F.col("term").isin(list(idf)) if idf else F.lit(False)).groupBy("doc_id", "toxic").agg(F.collect_list(F.struct("term", "n")).alias("c"))
     held = {(r.doc_id, r.toxic): {x.term: x.n for x in r.c} for r in kept.collect()}
