@@ -63,7 +63,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     rows = sizes(docs).select("doc_id", "source", "size", unit.alias("u"), like.alias("like"), F.xxhash64("text").alias("h"))
     rows = written(rows, "mix-rows")
     per = written(targets(rows, weights, cap).withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)), "mix-sources")
-    mean = rows.groupBy("source").agg((F.sum(F.col("like") * F.col("size")) / F.sum("size")).alias("mean_like"))
+    mean = rows.groupBy("source").agg(F.coalesce(F.try_divide(F.sum(F.col("like") * F.col("size")), F.sum("size")), F.lit(1.0)).alias("mean_like"))
     per = per.join(mean, per.source.eqNullSafe(mean.source)).drop(mean.source)
     per = per.withColumns({"whole": F.floor(F.col("ratio") + 1e-12), "bins": F.greatest(F.lit(1024), F.col("n") / BIN).cast("long")})
     per = per.withColumn("owed", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
