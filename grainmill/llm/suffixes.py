@@ -24,6 +24,8 @@ without a doc_id count as last. An empty table gives an empty result. Extra colu
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -230,10 +232,12 @@ NOTE = "block int, kind int, body binary"
 #: kinds of notes to a block: 0 rows that are copies, 1 shared anchors, 2 shared and hot anchors, 3 marked spans
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_bytes, spans (start, end of each maximal removed run of bytes), kept (the remaining bytes)."""
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, block_bytes: int = BLOCK_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_bytes, spans (start, end of each maximal removed run of bytes), kept (the remaining bytes), and the columns
+    to carry along, which spares a join by the document."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    carried = [F.col(c).alias(f"__{c}") for c in carry]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carried).withColumn("h", F.xxhash64("text"))
     keyed = written(rows.select("doc_id", "h", F.octet_length("text").alias("n"), F.md5(F.encode("text", "UTF-8")).alias("md5")), "texts")
     blocks = max(1, -(-(keyed.agg(F.sum("n")).first()[0] or 0) // block_bytes))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
@@ -246,7 +250,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         return _row({"block": ([key[0].as_py()], pa.int32()), "kind": ([0], pa.int32()), "body": ([body], pa.binary())})
 
     copied = written(copies.groupBy("block").applyInArrow(name_copies, NOTE), "copies")
-    dealt = rows.select(block, "doc_id", "h", "text")
+    dealt = rows.select(block, "doc_id", "h", "text", *[f"__{c}" for c in carry])
 
     def ask(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
         mine = Anchors(length, gram)
@@ -379,7 +383,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                     keep[x:y] = False
                 kept.append(text[keep].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.table({"doc_id": left["doc_id"], "h": left["h"], "n_bytes": pa.array(np.diff(offsets), pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.large_binary()).cast(pa.binary())})
+        return pa.table({**{f"__{c}": left[f"__{c}"] for c in carry}, "doc_id": left["doc_id"], "h": left["h"], "n_bytes": pa.array(np.diff(offsets), pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.large_binary()).cast(pa.binary())})
 
     grouped = lambda: dealt.groupBy("block")  # noqa: E731  the same exchange each time, which Spark reuses
     asked = grouped().cogroup(copied.groupBy("block")).applyInArrow(ask, "task int, block int, ones binary, twos binary")
@@ -388,7 +392,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     sent = grouped().cogroup(told.groupBy("block")).applyInArrow(send, "task int, block int, facts binary, bytes binary")
     marked = sent.groupBy("task").applyInArrow(sort, NOTE)
     back = copied.unionByName(marked)
-    return grouped().cogroup(back.groupBy("block")).applyInArrow(finish, "doc_id long, h long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    kinds = "".join(f"`__{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    out = grouped().cogroup(back.groupBy("block")).applyInArrow(finish, kinds + "doc_id long, h long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    return out.select("doc_id", "n_bytes", "spans", "kept", *[F.col(f"__{c}").alias(c) for c in carry])
 
 
 def _six(keys: np.ndarray) -> bytes:
