@@ -25,10 +25,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that an earlier document has go; bytes that no longer form a character go too."""
-    found = suffixes.repeats(docs).select(F.col("doc_id").alias("__id"), "h", F.size("spans").alias("__spans"), "kept")
-    cut = F.when(F.col("__spans") > 0, suffixes.readable("kept")).otherwise(F.col("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h"))
-    return docs.join(found.dropDuplicates(["__id", "h"]), same).withColumn("text", cut).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    found = suffixes.repeats(docs.withColumn("none", F.col("text").isNull()), carry=("lang", "source", "none"))
+    text = F.when(~F.col("none"), suffixes.readable("kept"))
+    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
