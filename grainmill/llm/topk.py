@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import written
 
-BLOCK, QUERIES, PAGE = 8192, 1024, 48
+BLOCK, QUERIES, PAGE = 8192, 1024, 256
 #: Up to this size of component, sums of products stay exact in 64 bits for any dimension that fits memory.
 EXACT = 1 << 20
 
@@ -34,7 +34,8 @@ class MTree:
         """vectors: whole numbers (int64, or object for huge ones)."""
         order = np.argsort(ids, kind="stable")
         self.ids, self.v = ids[order], vectors[order]
-        wide = self.v.astype(np.float64)
+        wide = self.wide = self.v.astype(np.float64)
+        self.most = float(np.abs(wide).max(initial=0.0))
         norms = np.einsum("ij,ij->i", wide, wide)
         self.m2 = float(norms.max(initial=0.0))
         self.points = np.hstack([wide, np.sqrt(np.maximum(0.0, self.m2 - norms))[:, None]])
@@ -71,11 +72,14 @@ class MTree:
         slack = 1e-7 * (whole + 1.0)  # rounding of distances must never rule out a winner
         bound = lambda least: (whole - np.maximum(0.0, least) ** 2) / 2 + slack  # noqa: E731  highest score beyond a distance
         best: list[tuple[int, int]] = []  # heap of (score, -id); the worst is first
-        exact = query.astype(np.int64) if self.v.dtype == np.int64 else query
+        # sums of products below 2^53 are exact in doubles, and a product of matrices is faster there
+        plain = self.most * float(np.abs(wide).max(initial=0.0)) * max(1, len(query)) < 2.0**53
+        rows_of, exact = (self.wide, wide[:-1]) if plain else (self.v, query.astype(self.v.dtype))
 
         def take(rows: np.ndarray) -> None:
             self.computed += len(rows)
-            scores = self.v[rows] @ exact
+            scores = rows_of[rows] @ exact
+            scores = scores.astype(np.int64) if plain else scores
             if len(best) == k:
                 keep = scores >= best[0][0]
                 rows, scores = rows[keep], scores[keep]
