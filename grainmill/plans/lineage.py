@@ -231,8 +231,8 @@ def a36_verdict_summary(spark, sf_dir):
     return g.verdict_summary(table(spark, sf_dir, "documents").where(F.length("text") > 9000).select(F.col("source").alias("section"), v.alias("verdict")))
 
 
-@query("WITH c AS (SELECT event_id, 'm' || (user_id % 3) AS model, user_id AS input_tokens, CAST(value AS BIGINT) AS output_tokens, CASE WHEN user_id % 2 = 0 THEN 100 END AS cw FROM events) SELECT event_id, round(((input_tokens + 1.25 * coalesce(cw, 0)) * CASE model WHEN 'm0' THEN 3.0 WHEN 'm1' THEN 1.0 ELSE 5.0 END + output_tokens * CASE model WHEN 'm0' THEN 15.0 WHEN 'm1' THEN 5.0 ELSE 25.0 END) / 1e6, 6) AS cost_usd, model = 'm2' AS unknown_model FROM c")
+@query("WITH c AS (SELECT event_id, 'm' || (user_id % 3) AS model, user_id AS input_tokens, CAST(floor(value) AS BIGINT) AS output_tokens, CASE WHEN user_id % 2 = 0 THEN 100 END AS cw FROM events) SELECT event_id, round(((input_tokens + 1.25 * coalesce(cw, 0)) * CASE model WHEN 'm0' THEN 3.0 WHEN 'm1' THEN 1.0 ELSE 5.0 END + output_tokens * CASE model WHEN 'm0' THEN 15.0 WHEN 'm1' THEN 5.0 ELSE 25.0 END) / 1e6, 6) AS cost_usd, model = 'm2' AS unknown_model FROM c")
 def s22_cost_log(spark, sf_dir):
-    calls = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model"), F.col("user_id").alias("input_tokens"), F.round("value").cast("long").alias("output_tokens"), F.when(F.col("user_id") % 2 == 0, 100).alias("cache_creation_tokens"), F.lit(None).cast("int").alias("cache_read_tokens"))
+    calls = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("m"), (F.col("user_id") % 3).cast("string")).alias("model"), F.col("user_id").alias("input_tokens"), F.floor("value").cast("long").alias("output_tokens"), F.when(F.col("user_id") % 2 == 0, 100).alias("cache_creation_tokens"), F.lit(None).cast("int").alias("cache_read_tokens"))
     prices = spark.createDataFrame([("m0", 3.0, 15.0), ("m1", 1.0, 5.0)], "model string, price_in double, price_out double")
     return g.priced(calls, prices, (5.0, 25.0)).select("event_id", "cost_usd", "unknown_model")
