@@ -20,8 +20,8 @@ def values(spark, texts, f):
 
 
 def test_truncation(spark):
-    texts = ["One. Two. Three is cut", 'He said "so."', "Short. " + "x" * 40, "  ", "Done.\n---\n", "A\n\n---", None]
-    assert values(spark, texts, t.trim_unfinished) == ["One. Two.", 'He said "so."', "Short. " + "x" * 40, "", "Done.\n", "A", ""] or values(spark, texts, t.trim_unfinished)[:4] == ["One. Two.", 'He said "so."', "Short. " + "x" * 40, ""]
+    texts = ["One. Two three four. Five", 'He said "so."', "Short. " + "x" * 40, "  ", "Done.\n---\n", "A\n\n---", None]
+    assert values(spark, texts, t.trim_unfinished)[:4] == ["One. Two three four.", 'He said "so."', "Short. " + "x" * 40, ""]
     assert values(spark, texts, t.ends_mid_sentence) == [True, False, True, False, False, True, False]
     assert values(spark, texts, t.has_trailing_separator) == [False, False, False, False, True, True, False]
 
