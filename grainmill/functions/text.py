@@ -11,10 +11,15 @@ from pyspark.sql import Column, functions as F
 
 WS = r"[ \t\n\r\f\x0B]"
 WORD = r"[\p{L}\p{N}_']+"
-# The characters that end a sentence, closing quotes and brackets and other scripts' stops included.
+# Fixed values, which results depend on: the characters that end a sentence (closing quotes, brackets and other scripts'
+# stops included), and the patterns of markdown classes, structural elements, the first person and contractions.
 TERMINAL = ".!?\"'”’)…]:" + "。！？」』】）׃।॥۔؟"
-# Markdown classes and their patterns.
 MARKDOWN = {"headings": r"(?m)^#{1,4} ", "bold": r"\*\*[^*\n]+\*\*", "bullets": r"(?m)^[-*] ", "tables": r"(?m)^\|.+\|[ \t]*$"}
+BULLET = rf"(?m)^{WS}*[-*•] "
+NUMBERED = rf"(?m)^{WS}*[0-9]+[.)] "
+HEADED = r"(?m)^#{1,4} |^\*\*[^*\n]{2,60}\*\*:?[ \t]*$"
+FIRST_PERSON = r"(?i)\b(?:i|i'm|i've|i'd|my|mine)\b"
+CONTRACTION = r"(?i)\b[a-z]+n't\b|\b[a-z]+'(?:ll|re|ve|d|s)\b"
 
 
 def _c(x: Column | str) -> Column:
@@ -127,7 +132,7 @@ def shape(x: Column | str) -> Column:
     n = paragraphs(x)
     has = lambda pattern, name: F.when(F.regexp_like(_c(x), F.lit(pattern)), name)
     bucket = F.when(n <= 2, "1-2").when(n <= 5, "3-5").when(n <= 9, "6-9").otherwise("10+")
-    return F.concat_ws(" · ", F.concat(bucket, F.lit(" paras")), has(rf"(?m)^{WS}*[-*•] ", "bullets"), has(rf"(?m)^{WS}*[0-9]+[.)] ", "numbered"), has(r"(?m)^#{1,4} |^\*\*[^*\n]{2,60}\*\*:?[ \t]*$", "headed"), F.when(F.right(rstrip(x), F.lit(1)) == "?", "ends-question"))
+    return F.concat_ws(" · ", F.concat(bucket, F.lit(" paras")), has(BULLET, "bullets"), has(NUMBERED, "numbered"), has(HEADED, "headed"), F.when(F.right(rstrip(x), F.lit(1)) == "?", "ends-question"))
 
 
 def classify(x: Column, rules: Sequence[tuple[str, str]], other: str = "other") -> Column:
@@ -155,10 +160,6 @@ def per_thousand_words(x: Column | str, pattern: str) -> Column:
     return F.regexp_count(_c(x), F.lit(pattern)) * 1000.0 / n
 
 
-FIRST_PERSON = r"(?i)\b(?:i|i'm|i've|i'd|my|mine)\b"
-CONTRACTION = r"(?i)\b[a-z]+n't\b|\b[a-z]+'(?:ll|re|ve|d|s)\b"
-
-
 def reads_personal(x: Column | str) -> Column:
     return (per_thousand_words(x, FIRST_PERSON) >= 5) & (per_thousand_words(x, CONTRACTION) >= 2)
 

@@ -130,9 +130,6 @@ def problems(vocabulary: DataFrame, needed: Sequence[tuple[str, str]], shares: S
     return absent.unionByName(over)
 
 
-RULES = (("trap", "visibility", "hidden"), ("hidden", "attitude", "unaware"))
-
-
 def deal_rules(deals: DataFrame) -> DataFrame:
     """Columns that follow from dealt ones: a trap is hidden, what is hidden goes unnoticed, an explicit but unaware card is
     neutral; a formal persona doesn't open casually; an explicit ask doesn't trail off; "none" is null."""
