@@ -1,14 +1,15 @@
 """Hashed shingle vectors, near-duplicate edges and the greedy keep-first filter.
 
 A text's vector counts its word shingles in DIM hashed buckets and has length 1; texts without words have none. Edges
-of cosine >= t come from a join on each vector's prefix: with buckets in order of rarity, two vectors can only reach t
-if they share a bucket in which the rest of either is no longer than t. So common buckets are never joined.
+of cosine >= t come from products of blocks, greedy decisions from the edges alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import words
@@ -49,20 +50,33 @@ def vectors(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text"
     return counted.select(key, "bucket", (F.col("c") / norm).alias("w"))
 
 
-def edges(vecs: DataFrame, t: float, key: str = "doc_id") -> DataFrame:
-    """i < j with sim >= t, 0 < t <= 1."""
-    df = vecs.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
-    ranked = vecs.join(df, "bucket")
-    rest = Window.partitionBy(key).orderBy("df", "bucket").rowsBetween(0, Window.unboundedFollowing)
-    tail = F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))
-    prefix = ranked.withColumn("tail", tail).where(F.col("tail") >= t - 1e-9).select(key, "bucket")
-    a, b = prefix.select(F.col(key).alias("i"), "bucket"), prefix.select(F.col(key).alias("j"), "bucket")
-    pairs = a.join(b, "bucket").where("i < j").select("i", "j").distinct()
-    x = vecs.select(F.col(key).alias("i"), "bucket", F.col("w").alias("x"))
-    y = vecs.select(F.col(key).alias("j"), "bucket", F.col("w").alias("y"))
-    # one vector rides with each pair, the other is met bucket by bucket
-    sims = pairs.join(x, "i").join(y, ["j", "bucket"]).groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("sim"))
-    return sims.where(F.col("sim") >= t)
+def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> DataFrame:
+    """i < j with sim >= t. With DIM buckets most pairs share some, so blocks of rows meet blocks as dense products, and
+    only pairs that reach t leave them."""
+    entry = F.array_sort(F.collect_list(F.struct("bucket", "w")))
+    one = written(vecs.groupBy(key).agg(entry.alias("v")).select(F.col(key).alias("k"), F.transform("v", lambda x: x["bucket"].cast("int")).alias("b"), F.transform("v", lambda x: x["w"]).alias("w")), "vectors")
+    blocks = max(1, -(-one.count() // rows))
+    packed = one.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")).groupBy("block").agg(F.collect_list(F.struct("k", "b", "w")).alias("rows"))
+    left = packed.select("block", F.explode(F.sequence("block", F.lit(blocks - 1))).alias("other"), F.col("rows").alias("left"))
+    pairs = left.join(packed.select(F.col("block").alias("other"), F.col("rows").alias("right")), "other")
+
+    def dense(part) -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros((len(part), DIM))
+        for i, r in enumerate(part):
+            out[i, r["b"]] = r["w"]
+        return np.array([r["k"] for r in part]), out
+
+    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block, other, a, b in zip(batch.block, batch.other, batch.left, batch.right):
+                (ka, x), (kb, y) = dense(a), dense(b)
+                s = x @ y.T
+                i, j = np.nonzero(s >= t)
+                low, high = np.minimum(ka[i], kb[j]), np.maximum(ka[i], kb[j])
+                keep = (ka[i] < kb[j]) if block == other else (ka[i] != kb[j])
+                yield pd.DataFrame({"i": low[keep], "j": high[keep], "sim": s[i, j][keep]})
+
+    return pairs.select("block", "other", "left", "right").mapInPandas(product, "i long, j long, sim double")
 
 
 def greedy(ids: DataFrame, links: DataFrame, key: str = "doc_id") -> DataFrame:
