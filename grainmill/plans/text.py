@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from ..functions import text as t
@@ -17,12 +19,12 @@ STOP_CARD = ("the", "a", "of", "and", "to", "in", "is")
 KEYWORDS = [("en", ["the ", "and "]), ("de", ["der", "und"]), ("fr", ["les "])]
 
 
-def _over(name: str, column: Column, sql: str, source: str = "documents", key: str = "doc_id") -> None:
+def _over(name: str, column: Callable[[], Column], sql: str, source: str = "documents", key: str = "doc_id") -> None:
     """One row for each text, its value in `value`."""
 
     def run(spark, sf_dir):
         rows = table(spark, sf_dir, source)
-        return rows.select(key, column.alias("value"))
+        return rows.select(key, column().alias("value"))
 
     query(f"SELECT {key}, {sql} AS value FROM {source}", name)(run)
 
@@ -41,39 +43,39 @@ COUNT = lambda p: f"len(regexp_extract_all(text, '{p}'))"
 PER_MILLE = lambda p: f"({COUNT(p)} * 1000.0 / greatest({COUNT('[\\p{L}\\p{N}_]+')}, 1))"
 SQL = lambda p: p.replace("'", "''")
 
-_over("t01_trim_unfinished", t.trim_unfinished("text"), f"""CASE WHEN {RSTRIP('text')} = '' OR contains('{END}', right({RSTRIP('text')}, 1)) THEN {RSTRIP('text')}
+_over("t01_trim_unfinished", lambda: t.trim_unfinished("text"), f"""CASE WHEN {RSTRIP('text')} = '' OR contains('{END}', right({RSTRIP('text')}, 1)) THEN {RSTRIP('text')}
   WHEN length(regexp_extract({RSTRIP('text')}, '(?s)^(.*[.!?\\n])', 1)) - 1 > length({RSTRIP('text')}) * 0.5 THEN {RSTRIP(f"regexp_extract({RSTRIP('text')}, '(?s)^(.*[.!?{chr(92)}n])', 1)")} ELSE {RSTRIP('text')} END""")
-_over("t02_strip_trailing_separators", t.strip_trailing_separators("text"), TRAIL)
-_over("t03_ends_mid_sentence", t.ends_mid_sentence("text"), f"{TRAIL} <> '' AND NOT contains('{END}', right({TRAIL}, 1))")
-_over("t04_has_trailing_separator", t.has_trailing_separator("text"), f"{RSTRIP('text')} <> '' AND {RSTRIP('text')} <> {TRAIL}")
-_over("t05_normalize_for_match", t.normalize("text"), f"lower(trim({COLLAPSE('text')}))")
-_over("t06_word_tokens", F.size(t.words("text")).cast("long"), f"len(regexp_extract_all(lower(text), '{WORD}'))")
-_over("t07_ascii_tokens", F.array_join(t.ascii_words("text"), " "), "array_to_string(regexp_extract_all(lower(text), '[a-z'']+'), ' ')")
-_over("t08_clean_tokens", F.array_join(t.clean_words("text"), " "), f"array_to_string({CLEAN('text')}, ' ')")
-_over("t09_soft_normalize", t.soft("text"), f"lower({COLLAPSE("translate(text, '’-', ''' ')")})")
-_over("t10_first_sentence", t.first_sentence("text"), FIRST)
-_over("t11_first_chat_sentence", t.first_chat_sentence("text"), CHAT_FIRST)
-_over("t12_last_sentence", t.last_sentence("text"), LAST)
-_over("t13_first_words", t.first_words("text"), f"array_to_string(list_slice({CLEAN('text')}, 1, 3), ' ')")
-_over("t14_opener_stem", t.stem(t.first_sentence("text")), f"array_to_string(list_slice(list_filter(string_split_regex(lower({FIRST}), '{WS}+'), lambda w: w <> ''), 1, 5), ' ')")
-_over("t15_markdown_classes", F.concat_ws(",", *[F.when(t.markdown("text", k), k) for k in t.MARKDOWN]), "concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(text, '{SQL(p)}') THEN '{k}' END" for k, p in t.MARKDOWN.items()) + ")")
+_over("t02_strip_trailing_separators", lambda: t.strip_trailing_separators("text"), TRAIL)
+_over("t03_ends_mid_sentence", lambda: t.ends_mid_sentence("text"), f"{TRAIL} <> '' AND NOT contains('{END}', right({TRAIL}, 1))")
+_over("t04_has_trailing_separator", lambda: t.has_trailing_separator("text"), f"{RSTRIP('text')} <> '' AND {RSTRIP('text')} <> {TRAIL}")
+_over("t05_normalize_for_match", lambda: t.normalize("text"), f"lower(trim({COLLAPSE('text')}))")
+_over("t06_word_tokens", lambda: F.size(t.words("text")).cast("long"), f"len(regexp_extract_all(lower(text), '{WORD}'))")
+_over("t07_ascii_tokens", lambda: F.array_join(t.ascii_words("text"), " "), "array_to_string(regexp_extract_all(lower(text), '[a-z'']+'), ' ')")
+_over("t08_clean_tokens", lambda: F.array_join(t.clean_words("text"), " "), f"array_to_string({CLEAN('text')}, ' ')")
+_over("t09_soft_normalize", lambda: t.soft("text"), f"lower({COLLAPSE("translate(text, '’-', ''' ')")})")
+_over("t10_first_sentence", lambda: t.first_sentence("text"), FIRST)
+_over("t11_first_chat_sentence", lambda: t.first_chat_sentence("text"), CHAT_FIRST)
+_over("t12_last_sentence", lambda: t.last_sentence("text"), LAST)
+_over("t13_first_words", lambda: t.first_words("text"), f"array_to_string(list_slice({CLEAN('text')}, 1, 3), ' ')")
+_over("t14_opener_stem", lambda: t.stem(t.first_sentence("text")), f"array_to_string(list_slice(list_filter(string_split_regex(lower({FIRST}), '{WS}+'), lambda w: w <> ''), 1, 5), ' ')")
+_over("t15_markdown_classes", lambda: F.concat_ws(",", *[F.when(t.markdown("text", k), k) for k in t.MARKDOWN]), "concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(text, '{SQL(p)}') THEN '{k}' END" for k, p in t.MARKDOWN.items()) + ")")
 _N = f"len(list_filter(string_split_regex(text, '\\n{WS}*\\n'), lambda p: regexp_matches(p, '[^ \\t\\n\\r\\f\\x0B]')))"
-_over("t16_structural_shape", t.shape("text"), f"""concat_ws(' · ', CASE WHEN {_N} <= 2 THEN '1-2' WHEN {_N} <= 5 THEN '3-5' WHEN {_N} <= 9 THEN '6-9' ELSE '10+' END || ' paras',
+_over("t16_structural_shape", lambda: t.shape("text"), f"""concat_ws(' · ', CASE WHEN {_N} <= 2 THEN '1-2' WHEN {_N} <= 5 THEN '3-5' WHEN {_N} <= 9 THEN '6-9' ELSE '10+' END || ' paras',
   CASE WHEN regexp_matches(text, '(?m)^{WS}*[-*•] ') THEN 'bullets' END, CASE WHEN regexp_matches(text, '(?m)^{WS}*[0-9]+[.)] ') THEN 'numbered' END,
   CASE WHEN regexp_matches(text, '(?m)^#{{1,4}} |^\\*\\*[^*\\n]{{2,60}}\\*\\*:?[ \\t]*$') THEN 'headed' END, CASE WHEN right({RSTRIP('text')}, 1) = '?' THEN 'ends-question' END)""")
-_over("t17_rule_classifier", t.classify(t.first_sentence("text"), OPENERS), "CASE " + " ".join(f"WHEN regexp_matches({FIRST}, '{SQL(p)}') THEN '{n}'" for n, p in OPENERS) + " ELSE 'other' END")
+_over("t17_rule_classifier", lambda: t.classify(t.first_sentence("text"), OPENERS), "CASE " + " ".join(f"WHEN regexp_matches({FIRST}, '{SQL(p)}') THEN '{n}'" for n, p in OPENERS) + " ELSE 'other' END")
 #: RE2 has no Unicode word boundary, so letters beyond ASCII become digits, which are no letters of names but of words.
 _NAME = r"\b([A-Z][a-z]{2,}(?:[ \t\n\r\f\x0B]+[A-Z][a-z]{2,}){1,2})\b"
 _NAMES = f"list_filter(list_transform(regexp_extract_all(regexp_replace(text, '[ªµºÀ-ÖØ-öø-ɏ]', '0', 'g'), '{_NAME}', 1), lambda n: trim(regexp_replace(n, '^The ', ''))), lambda n: n <> '' AND n NOT IN ('United States') AND NOT contains(n, 'Declaration'))"
-_over("t18_candidate_names", F.array_join(F.array_sort(t.candidate_names("text", ("United States",), ("Declaration",))), "|"), f"array_to_string(list_sort(list_distinct({_NAMES})), '|')")
-_over("t19_reads_personal", t.reads_personal("text"), f"{PER_MILLE(SQL(t.FIRST_PERSON))} >= 5 AND {PER_MILLE(SQL(t.CONTRACTION))} >= 2")
-_over("t20_transcript_echo", t.echoes_transcript("text"), f"regexp_matches(substring(text, 1, 40), '^{WS}*(?:USER|ASSISTANT|HUMAN){WS}*:')")
-_over("t21_snippet", t.snippet("text"), f"substring({COLLAPSE(STRIP('text'))}, 1, 80)")
-_over("t22_truncate", F.length(t.truncated("text")).cast("long"), "length(substring(text, 1, 7000))")
+_over("t18_candidate_names", lambda: F.array_join(F.array_sort(t.candidate_names("text", ("United States",), ("Declaration",))), "|"), f"array_to_string(list_sort(list_distinct({_NAMES})), '|')")
+_over("t19_reads_personal", lambda: t.reads_personal("text"), f"{PER_MILLE(SQL(t.FIRST_PERSON))} >= 5 AND {PER_MILLE(SQL(t.CONTRACTION))} >= 2")
+_over("t20_transcript_echo", lambda: t.echoes_transcript("text"), f"regexp_matches(substring(text, 1, 40), '^{WS}*(?:USER|ASSISTANT|HUMAN){WS}*:')")
+_over("t21_snippet", lambda: t.snippet("text"), f"substring({COLLAPSE(STRIP('text'))}, 1, 80)")
+_over("t22_truncate", lambda: F.length(t.truncated("text")).cast("long"), "length(substring(text, 1, 7000))")
 _TITLE = f"regexp_replace(regexp_extract({STRIP('text')}, '^([^\\n\\r]*)', 1), '^[#* ]+|[#* ]+$', '', 'g')"
-_over("t23_title", t.title("text"), f"CASE WHEN {_TITLE} = '' THEN '(untitled)' ELSE substring({_TITLE}, 1, 90) END")
-_over("t24_goal_label", F.coalesce(F.nullif(t.tag("text", "goal"), F.lit("")), t.title("text")), f"coalesce(nullif({STRIP("regexp_extract(text, '(?s)<goal>(.*?)</goal>', 1)")}, ''), CASE WHEN {_TITLE} = '' THEN '(untitled)' ELSE substring({_TITLE}, 1, 90) END)")
-_over("t31_whitespace_key", t.key("text"), f"trim({COLLAPSE('text')})")
+_over("t23_title", lambda: t.title("text"), f"CASE WHEN {_TITLE} = '' THEN '(untitled)' ELSE substring({_TITLE}, 1, 90) END")
+_over("t24_goal_label", lambda: F.coalesce(F.nullif(t.tag("text", "goal"), F.lit("")), t.title("text")), f"coalesce(nullif({STRIP("regexp_extract(text, '(?s)<goal>(.*?)</goal>', 1)")}, ''), CASE WHEN {_TITLE} = '' THEN '(untitled)' ELSE substring({_TITLE}, 1, 90) END)")
+_over("t31_whitespace_key", lambda: t.key("text"), f"trim({COLLAPSE('text')})")
 
 
 @query("""WITH w AS (SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b

@@ -47,3 +47,12 @@ def test_query(spark, db, name):
 
 def test_flagship_is_registered():
     assert FLAGSHIP in QUERIES and FLAGSHIP in ORACLE_SQL
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+
+    root = Path(__file__).resolve().parents[1]
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=root, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr[-500:]
