@@ -31,12 +31,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _clean() -> None:
     for spark, path in _made:
         try:
-            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(conf).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session may be over by now; its folder is then its owner's to clear
             return
 
@@ -45,7 +48,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet below the shared folder and read it back, so that nothing before it runs again."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made and that no plan needs any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.written_to)
 
 
 def parts(spark: SparkSession) -> int:

@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix64, slabs, utf8, written
+from .common import discard, mix64, slabs, utf8, written
 
 REGISTERS, ROWS, BASE, RATE = 128, 4, 1.001, 20.0
 BANDS = REGISTERS // ROWS
@@ -241,7 +241,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        now = written(small.where("a <> b").distinct(), "edges")
+        after = written(small.where("a <> b").distinct(), "edges")
+        discard(now)
+        now = after
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
@@ -359,6 +361,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             comps = components(edges)
         if more.isEmpty():
             break
+    discard(members, sets)  # the result needs the classes, the components and the rows' sketches
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.join(ids, "comp").select("node", "node2", "component_id")
