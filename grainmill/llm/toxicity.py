@@ -169,10 +169,10 @@ def learnable(doc_id) -> F.Column:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(marked, "doc_id")
     h = F.xxhash64("text")
     least = F.array_min(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(LONG), F.lit(0)), lambda w: F.xxhash64(w)))
-    keyed = written(rows.select("doc_id", "toxic", h.alias("h"), F.coalesce(least, h).alias("near")), "labelled")
+    # two hashes of each text meet the labels, not the texts
+    keyed = written(docs.select("doc_id", h.alias("h"), F.coalesce(least, h).alias("near")).join(marked, "doc_id").select("doc_id", "toxic", "h", "near"), "labelled")
     total = {r.toxic: r["count"] for r in keyed.groupBy("toxic").count().collect()}
     keyed = keyed.groupBy("near").agg(F.min(F.struct("doc_id", "toxic", "h")).alias("x")).select("x.*", "near")
     picked = None
