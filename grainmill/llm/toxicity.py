@@ -12,8 +12,10 @@ rate. The share is calibrated by isotonic
 regression on the examples' own votes, each left out of its own, weighed up to the labelled rows. A text without any term
 of the vocabulary has no near example; it gets the rate of label 1 among such examples.
 
-Near copies, texts that share the least hash of their long words, are one example, that of the least doc_id, so that no
-group of copies makes its words a sign. Null and empty texts have no terms. Without any label 1, or none at all, all texts score the smoothed rate of label 1.
+Near copies of one label are one example, so that no group of copies makes its words a sign: texts whose runs of three
+words have the same SKETCH least hashes, and texts of which those hashes, walked in the order of the sample, put the
+Jaccard similarity to a text taken before at ALIKE or more. A sketch is the whole set where there are no more runs. Texts
+without words are alike only if they are equal. The walk goes on until the sample is full or all rows are seen. Null and empty texts have no terms. Without any label 1, or none at all, all texts score the smoothed rate of label 1.
 Rows that repeat a doc_id are scored each; labels of a repeated doc_id count once each. Texts are read whole. Only the
 text enters a score. Extra columns are kept, those of the operator's own names replaced.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,8 @@ TOXIC, CLEAN, TERMS, K = 2000, 4000, 2000, 15
 BLOCK, LEAST, Z = 64, 3, 2.6
 WORDS = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
-LONG = r"\p{L}{7,}"
+#: Least hashes kept of a text's runs of three words, and the likeness that makes a near copy.
+SKETCH, ALIKE = 64, 0.5
 #: Similarity of a neighbour without a label that votes the base rate, so that far neighbours alone decide little.
 DOUBT = 0.75
 
@@ -167,19 +171,50 @@ def learnable(doc_id) -> F.Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 != 1
 
 
+def sketch() -> F.Column:
+    """The least hashes of the text's runs of three words, in order; the text's own hash if it has no words."""
+    found = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.xxhash64(w))
+    runs = lambda w: F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+    least = F.element_at(F.transform(F.array(found), lambda w: F.slice(F.sort_array(F.array_distinct(runs(w))), 1, SKETCH)), 1)
+    return F.when(F.size(least) > 0, least).otherwise(F.array(F.xxhash64("text")))
+
+
+def likeness(a: list[int], b: list[int]) -> float:
+    """The Jaccard similarity of two sets by their sketches."""
+    union = sorted({*a, *b})[:SKETCH]
+    both = {*a} & {*b}
+    return sum(x in both for x in union) / len(union)
+
+
+def sample(rows: DataFrame, most: int) -> list[tuple[int, int, int]]:
+    """doc_id, toxic, h of the first `most` rows in the order of h that are no near copies of ones before."""
+    out: list[tuple[int, int, int]] = []
+    near: list[list[int]] = []
+    held: dict[int, list[int]] = {}
+    # hashes are even, so a range of them holds about `size` rows; only those reach the driver
+    n, size, low, end = max(1, rows.count()), most, -(1 << 63), 1 << 63
+    while len(out) < most and low < end:
+        high = min(end, low + (size << 64) // n + 1)
+        for r in sorted(rows.where(F.col("h").between(low, high - 1)).collect(), key=lambda r: r.h):
+            shared = Counter(k for x in r.near for k in held.get(x, ()))
+            if len(out) < most and not any(m >= ALIKE * max(len(r.near), len(near[k])) and likeness(r.near, near[k]) >= ALIKE for k, m in shared.items()):
+                for x in r.near:
+                    held.setdefault(x, []).append(len(out))
+                out.append((r.doc_id, r.toxic, r.h))
+                near.append(r.near)
+        low, size = high, min(2 * size, 16 * most)
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    h = F.xxhash64("text")
-    least = F.array_min(F.transform(F.regexp_extract_all(F.lower("text"), F.lit(LONG), F.lit(0)), lambda w: F.xxhash64(w)))
-    # two hashes of each text meet the labels, not the texts
-    keyed = written(docs.select("doc_id", h.alias("h"), F.coalesce(least, h).alias("near")).join(marked, "doc_id").select("doc_id", "toxic", "h", "near"), "labelled")
+    # hashes of each text meet the labels, not the texts
+    keyed = written(docs.where(learnable(F.col("doc_id"))).select("doc_id", F.xxhash64("text").alias("h"), sketch().alias("near")).join(marked, "doc_id").select("doc_id", "toxic", "h", "near"), "labelled")
     total = {r.toxic: r["count"] for r in keyed.groupBy("toxic").count().collect()}
-    keyed = keyed.groupBy("near").agg(F.min(F.struct("doc_id", "toxic", "h")).alias("x")).select("x.*", "near")
-    picked = None
-    for label, most in ((1, TOXIC), (0, CLEAN)):  # a top-k job each, of a bounded k
-        part = keyed.where(F.col("toxic") == label).orderBy("near").limit(most)
-        picked = part if picked is None else picked.unionByName(part)
-    picked = F.broadcast(written(picked.select("doc_id", "toxic", "h").distinct(), "examples"))
+    several = keyed.groupBy("toxic", "near").agg(F.min(F.struct("h", "doc_id")).alias("x")).select("toxic", "near", "x.*")
+    several = written(several, "unlike")
+    picked = sample(several.where("toxic = 1"), TOXIC) + sample(several.where("toxic = 0"), CLEAN)
+    picked = F.broadcast(docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, h long"))
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(picked, ["doc_id", "h"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

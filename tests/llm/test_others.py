@@ -339,6 +339,29 @@ def test_toxicity(spark):
     assert all(zlib.crc32(str(i).encode()) % 3 != 1 for i in learnt)
 
 
+def test_only_near_copies_of_one_label_are_merged(spark):
+    docs, labels = marked(spark)
+    docs = docs.where("doc_id < 400").withColumn("text", F.concat("text", F.lit(" extraordinary")))  # the one long word
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    model = toxicity.fit(docs, labels)
+    assert {i for i, y in zip(model.ids, model.labels) if y} == {i for i in learnt if i % 5 == 0}
+    first = next(i for i in learnt if i % 5 == 0)
+    text = docs.where(F.col("doc_id") == first).first().text
+    copies = [(i, f"{text} again", "en", "a", 0) for i in range(2000, 2060) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for label, more in ((1, 0), (0, 1)):  # copies of the other label are one example of their own
+        model = toxicity.fit(docs.union(spark.createDataFrame(copies, cases.DOCS)), labels.union(spark.createDataFrame([(r[0], 1, label) for r in copies], labels.schema)))
+        mine = [(i, y) for i, y in zip(model.ids, model.labels) if i == first or i >= 2000]
+        assert len(mine) == 1 + more and {y for _, y in mine} == {1, label}
+
+
+def test_the_sample_is_filled_past_near_copies(spark):
+    base = [list(range(100 * i, 100 * i + 64)) for i in range(6)]
+    rows = [(k, 1, k, [*base[0][: 63 - k % 20], 10_000 + k]) for k in range(40)] + [(100 + i, 1, 100 + i, base[i]) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, toxic int, h long, near array<long>")
+    assert [x[0] for x in toxicity.sample(df, 4)] == [0, 101, 102, 103]
+    assert [x[0] for x in toxicity.sample(df, 100)] == [0, 101, 102, 103, 104, 105]
+
+
 def test_toxicity_without_examples(spark):
     docs, labels = marked(spark)
     for some in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1")):
