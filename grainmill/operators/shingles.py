@@ -50,9 +50,9 @@ def vectors(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text"
     return counted.select(key, "bucket", (F.col("c") / norm).alias("w"))
 
 
-def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> DataFrame:
-    """i < j with sim >= t. With DIM buckets most pairs share some, so blocks of rows meet blocks as dense products, and
-    only pairs that reach t leave them."""
+def _products(vecs: DataFrame, key: str, rows: int, found: Callable, schema: str) -> DataFrame:
+    """found(keys, keys, cosines, whether the block meets itself) of each pair of blocks of rows. With DIM buckets most
+    pairs share some, so blocks meet as dense products, and only what found returns leaves them."""
     entry = F.array_sort(F.collect_list(F.struct("bucket", "w")))
     one = written(vecs.groupBy(key).agg(entry.alias("v")).select(F.col(key).alias("k"), F.transform("v", lambda x: x["bucket"].cast("int")).alias("b"), F.transform("v", lambda x: x["w"]).alias("w")), "vectors")
     blocks = max(1, -(-one.count() // rows))
@@ -70,13 +70,21 @@ def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> Da
         for batch in batches:
             for block, other, a, b in zip(batch.block, batch.other, batch.left, batch.right):
                 (ka, x), (kb, y) = dense(a), dense(b)
-                s = x @ y.T
-                i, j = np.nonzero(s >= t)
-                low, high = np.minimum(ka[i], kb[j]), np.maximum(ka[i], kb[j])
-                keep = (ka[i] < kb[j]) if block == other else (ka[i] != kb[j])
-                yield pd.DataFrame({"i": low[keep], "j": high[keep], "sim": s[i, j][keep]})
+                yield found(ka, kb, x @ y.T, block == other)
+
+    return pairs.select("block", "other", "left", "right").mapInPandas(product, schema)
+
+
+def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> DataFrame:
+    """i < j with sim >= t."""
+
+    def reach(ka: np.ndarray, kb: np.ndarray, s: np.ndarray, own: bool) -> pd.DataFrame:
+        i, j = np.nonzero(s >= t)
+        low, high = np.minimum(ka[i], kb[j]), np.maximum(ka[i], kb[j])
+        keep = (ka[i] < kb[j]) if own else (ka[i] != kb[j])
+        return pd.DataFrame({"i": low[keep], "j": high[keep], "sim": s[i, j][keep]})
 
-    return pairs.select("block", "other", "left", "right").mapInPandas(product, "i long, j long, sim double")
+    return _products(vecs, key, rows, reach, "i long, j long, sim double")
 
 
 def greedy(ids: DataFrame, links: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -99,11 +107,17 @@ def greedy(ids: DataFrame, links: DataFrame, key: str = "doc_id") -> DataFrame:
     return ids.select(key).join(best, F.col(key) == F.col("j"), "left").select(key, (-F.col("b.m")).alias("kept_id"), F.col("b.sim").alias("sim"))
 
 
-def nearest(vecs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, nn: the highest cosine to another row; 0 where no bucket is shared. Quadratic in the rows: for capped samples."""
-    a, b = vecs.select(F.col(key).alias("i"), "bucket", F.col("w").alias("x")), vecs.select(F.col(key).alias("j"), "bucket", F.col("w").alias("y"))
-    half = a.join(b, "bucket").where("i < j").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("sim"))
-    best = half.select(F.explode(F.array(F.struct(F.col("i").alias("k"), "sim"), F.struct(F.col("j").alias("k"), "sim"))).alias("e")).groupBy("e.k").agg(F.max("e.sim").alias("nn"))
+def nearest(vecs: DataFrame, ids: DataFrame, key: str = "doc_id", rows: int = 256) -> DataFrame:
+    """key, nn: the highest cosine to another row; 0 where no bucket is shared. All pairs of blocks of rows are multiplied,
+    which is quadratic; a row for each row of a pair of blocks leaves it."""
+
+    def most(ka: np.ndarray, kb: np.ndarray, s: np.ndarray, own: bool) -> pd.DataFrame:
+        if own:
+            s[ka[:, None] == kb[None, :]] = 0.0
+            return pd.DataFrame({"k": ka, "nn": s.max(axis=1)})
+        return pd.DataFrame({"k": np.concatenate([ka, kb]), "nn": np.concatenate([s.max(axis=1), s.max(axis=0)])})
+
+    best = _products(vecs, key, rows, most, "k long, nn double").groupBy("k").agg(F.max("nn").alias("nn"))
     return ids.select(key).join(best, F.col(key) == F.col("k"), "left").select(key, F.coalesce("nn", F.lit(0.0)).alias("nn"))
 
 

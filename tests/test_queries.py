@@ -45,6 +45,17 @@ def test_query(spark, db, name):
         assert table(rows, df.columns) == table(want.fetchall(), columns)
 
 
+@pytest.mark.parametrize("name", ["d06_nearest_neighbour", "d07_redundancy"])
+def test_redundancy_is_of_all_documents(spark, tmp_path, name):
+    texts = [(i, f"a{i} b{i} c{i} d{i % 1500}" if i % 7 else "") for i in range(4100)]
+    texts[-1] = (4099, texts[4051][1])
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want, df = con.sql(ORACLE_SQL[name]), QUERIES[name](spark, str(tmp_path))
+    assert table([tuple(r) for r in df.collect()], df.columns) == table(want.fetchall(), list(want.columns))
+
+
 def test_flagship_is_registered():
     assert FLAGSHIP in QUERIES and FLAGSHIP in ORACLE_SQL
 
