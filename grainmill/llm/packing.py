@@ -16,7 +16,7 @@ from __future__ import annotations
 import json
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +38,7 @@ class WordIds(dict):
 
     The vocabulary's own rules (NFC, lower case, split into words, merges up to the word's end) are followed with the
     merges as ranks; byte 0xFF, which no UTF-8 text has, marks the word's end. Runs with characters for which the
-    libraries' case or classes might differ go to the tokenizer itself.
+    libraries' case or classes might differ, or that hold one of the tokenizer's added tokens, go to the tokenizer itself.
     """
 
     PLAIN = regex.compile(r"[\x21-\x7e¡-ſ]+")
@@ -52,6 +52,9 @@ class WordIds(dict):
         super().__init__()
         self.full = Tokenizer.from_file(path)
         model = json.load(open(path, encoding="utf-8"))["model"]
+        added = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.added = sorted({x for t in added for x in (t, unicodedata.normalize("NFC", t).lower())})
+        self.spaced = _any(t for t in added if regex.search(r"\s", t))
         shown = _byte_letters()
         raw = lambda token: b"".join(b"\xff" if x is None else bytes([shown[x]]) for x in _letters(token))
         vocab = model["vocab"]
@@ -77,17 +80,22 @@ class WordIds(dict):
         return out
 
     def _ids(self, run: str) -> bytes:
-        if run.isascii():
-            low = run.lower()
-        elif self.PLAIN.fullmatch(run):
-            low = unicodedata.normalize("NFC", run).lower()
-        else:
-            return np.asarray(self.full.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
+        low = run.lower() if run.isascii() else unicodedata.normalize("NFC", run).lower()
+        for token in self.added:
+            if token in low or token in run:
+                return self._full(run)
+        if not run.isascii() and not self.PLAIN.fullmatch(run):
+            return self._full(run)
         return b"".join(map(self.words.__getitem__, self.WORDS.findall(low)))
 
+    def _full(self, text: str) -> bytes:
+        return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def of(self, text: str) -> bytes:
         if any(c in text for c in self.ODD):  # str.split would part the text there, the tokenizer doesn't
-            return np.asarray(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._full(text)
+        if self.spaced and self.spaced.search(unicodedata.normalize("NFC", text)):  # and there too
+            return self._full(text)
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -105,6 +113,12 @@ class _Words(dict):
         return out
 
 
+def _any(tokens: Iterable[str]) -> regex.Pattern | None:
+    """Finds any of the tokens, in any case and with any white space for theirs; None without tokens."""
+    found = [r"\s+".join(regex.escape(x) for x in regex.split(r"\s+", unicodedata.normalize("NFC", t))) for t in tokens]
+    return regex.compile("|".join(found), regex.IGNORECASE) if found else None
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that byte-level vocabularies show for each byte: itself if printable, else the next from U+0100 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

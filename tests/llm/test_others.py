@@ -109,6 +109,22 @@ def test_tokens_are_the_tokenizers():
         assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_are_found(tmp_path):
+    from tokenizers import AddedToken, Tokenizer
+
+    whole = Tokenizer.from_file(packing.default_vocabulary())
+    words = packing.WordIds(packing.default_vocabulary())
+    texts = ["end of <|endoftext|> here", "a<|startoftext|>b<|endoftext|>", "é<|endoftext|>é", "<|ENDOFTEXT|> <|end oftext|>", "日本<|endoftext|>", "<|endoftext|>\n<|endoftext|> It's"]
+    for text in texts:
+        assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert 49407 in np.frombuffer(words.of(texts[0]), "<u4")
+    whole.add_tokens([AddedToken("two words", normalized=True), AddedToken("<X>", normalized=False, lstrip=True, rstrip=True)])
+    whole.save(path := str(tmp_path / "more.json"))
+    words = packing.WordIds(path)
+    for text in [*texts, "my Two \t words are", "a <X> b", "a<X>b<x>"]:
+        assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 @pytest.mark.parametrize("length", [4096, 64])
 def test_packing(spark, length):
     from tokenizers import Tokenizer
