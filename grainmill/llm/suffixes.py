@@ -12,7 +12,7 @@ documents, and strings are judged on the input. The work is dealt so that no glo
    triples, named, and sorted by recursion on the names until names cover `length` bytes; the remaining suffixes follow
    from their first byte and their neighbour's rank, and are merged in. Adjacent suffixes whose prefixes of `length`
    bytes agree are one string; all but those of its smallest doc_id are marked.
-4. Marks return to the blocks and are joined into spans.
+4. Marks return to the blocks by the row's name, a hash of id and text, and are joined into spans.
 
 An anchor that very many blocks share sends its windows one by one, each to the task of the window's own bytes, again
 once for each block. So a passage that stands in a third of all documents costs each block one row, never a task all.
@@ -302,22 +302,23 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     def send(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
         """Slices of shared anchors, for their tasks, and spans that are marked already."""
         mine = Anchors(length, gram)
-        ids, _, part, body, offsets = _texts(left, notes)
+        ids, name, part, body, offsets = _texts(left, notes)
+        name = name.view(np.int64)
         shared, heavy = np.sort(_told(notes, 1, np.uint64)), np.sort(_told(notes, 2, np.uint64))
         got = []
         for _, base, keys, text, begin, count, h, total in _slabs(mine, part, body, offsets):
             low = keys & np.uint64((1 << 48) - 1)
             a = _members(low, shared)
-            got.append((low[a], ids[text[a]], begin[a] + base - offsets[text[a]], begin[a] + base, count[a], h[a]))
+            got.append((low[a], ids[text[a]], name[text[a]], begin[a] + base - offsets[text[a]], begin[a] + base, count[a], h[a]))
             a = np.flatnonzero(_members(low, heavy))
             if len(a):  # each window on its own, by its own bytes
                 many = count[a]
                 start = np.repeat(begin[a], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 w, t = mine.windows(total, start), np.repeat(text[a], many)
-                got.append((w & np.uint64((1 << 48) - 1), ids[t], start + base - offsets[t], start + base, np.ones(len(t), np.int64), w))
-        keys, doc, pos, at, count, h = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64),) * 6
+                got.append((w & np.uint64((1 << 48) - 1), ids[t], name[t], start + base - offsets[t], start + base, np.ones(len(t), np.int64), w))
+        keys, doc, row, pos, at, count, h = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64),) * 7
         order = np.lexsort((doc, h, keys))
-        keys, doc, pos, at, count, h = (x[order] for x in (keys, doc, pos, at, count, h))
+        keys, doc, row, pos, at, count, h = (x[order] for x in (keys, doc, row, pos, at, count, h))
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (h[1:] != h[:-1])
         start = np.flatnonzero(new)
@@ -325,7 +326,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         out = {"task": ([], pa.int32()), "block": ([], pa.int32()), "facts": ([], pa.binary()), "bytes": ([], pa.binary())}
         # rows of the smallest doc_id travel (its first slice stands for its others too); those of larger ones are marked
         sure = doc > lead
-        marks = np.stack([doc[sure], pos[sure], pos[sure] + count[sure] - 1 + length]).astype(np.int64) if sure.any() else np.zeros((3, 0), np.int64)
+        marks = np.stack([row[sure], pos[sure], pos[sure] + count[sure] - 1 + length]).astype(np.int64) if sure.any() else np.zeros((3, 0), np.int64)
         if marks.size:
             for c, x in zip(out, (key[0].as_py(), key[0].as_py(), _merged(marks).tobytes(), None)):
                 out[c][0].append(x)
@@ -339,7 +340,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 size = count[pick] - 1 + length
                 ends = np.cumsum(size)
                 index = np.repeat(at[pick] - (ends - size), size) + np.arange(ends[-1])
-                facts = np.stack([keys[pick].astype(np.int64), doc[pick].astype(np.int64), pos[pick], count[pick], h[pick].astype(np.uint64).view(np.int64)]).astype(np.int64)
+                facts = np.stack([keys[pick].astype(np.int64), doc[pick].astype(np.int64), row[pick].astype(np.int64), pos[pick], count[pick], h[pick].astype(np.uint64).view(np.int64)]).astype(np.int64)
                 for c, x in zip(out, (t, key[0].as_py(), facts.tobytes(), body[index].tobytes())):
                     out[c][0].append(x)
         return _row(out)
@@ -352,28 +353,28 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 for c, x in zip(out, (b, 3, f)):
                     out[c][0].append(x)
             else:
-                facts.append(np.frombuffer(f, np.int64).reshape(5, -1))
+                facts.append(np.frombuffer(f, np.int64).reshape(6, -1))
                 texts.append(np.frombuffer(t, np.uint8))
                 of.append(np.full(facts[-1].shape[1], b))
         if facts:
-            (key, doc, pos, count, h), body, of = np.hstack(facts), np.concatenate(texts), np.concatenate(of)
-            for b, marks in _marked(key, doc, pos, count, h, body, of, length):
+            (key, doc, row, pos, count, h), body, of = np.hstack(facts), np.concatenate(texts), np.concatenate(of)
+            for b, marks in _marked(key, doc, row, pos, count, h, body, of, length):
                 for c, x in zip(out, (b, 3, _merged(marks).tobytes())):
                     out[c][0].append(x)
         return _row(out)
 
     def finish(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
-        ids, name, part, body, offsets = _texts(left, notes)
+        _, name, part, body, offsets = _texts(left, notes)
         marks = [np.frombuffer(b, np.int64).reshape(3, -1) for k, b in zip(notes["kind"].to_pylist(), notes["body"].to_pylist()) if k == 3]
-        doc, a, z = _merged(np.hstack(marks)) if marks else np.zeros((3, 0), np.int64)
+        row, a, z = _merged(np.hstack(marks)) if marks else np.zeros((3, 0), np.int64)
         spans, kept = [], []
-        for i, d in enumerate(ids.tolist()):
+        for i, d in enumerate(name.view(np.int64).tolist()):
             text = body[offsets[i] : offsets[i + 1]]
             if not part[i]:
                 spans.append([{"start": 0, "end": len(text)}])
                 kept.append(b"")
                 continue
-            lo, hi = np.searchsorted(doc, d, "left"), np.searchsorted(doc, d, "right")
+            lo, hi = np.searchsorted(row, d, "left"), np.searchsorted(row, d, "right")
             spans.append([{"start": int(x), "end": int(y)} for x, y in zip(a[lo:hi], z[lo:hi])])
             if lo == hi:
                 kept.append(text.tobytes())
@@ -409,22 +410,22 @@ def _wide(body: bytes) -> np.ndarray:
 
 
 def _merged(marks: np.ndarray) -> np.ndarray:
-    """(doc, start, end) with those that touch or overlap within a doc joined, in order."""
+    """(row, start, end) with those that touch or overlap within a row joined, in order."""
     if not marks.shape[1]:
         return marks
-    doc, a, z = marks[:, np.lexsort((marks[1], marks[0]))]
+    row, a, z = marks[:, np.lexsort((marks[1], marks[0]))]
     shift = int(z.max()) + 2
-    rank = np.concatenate([[0], np.cumsum(doc[1:] != doc[:-1])])
+    rank = np.concatenate([[0], np.cumsum(row[1:] != row[:-1])])
     far = np.maximum.accumulate(z + rank * shift)
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] + rank[1:] * shift > far[:-1])
     begin = np.flatnonzero(new)
     end = np.concatenate([begin[1:] - 1, [len(a) - 1]])
-    return np.stack([doc[begin], a[begin], far[end] - rank[begin] * shift]).astype(np.int64)
+    return np.stack([row[begin], a[begin], far[end] - rank[begin] * shift]).astype(np.int64)
 
 
-def _marked(key, doc, pos, count, h, body, of, length: int):
-    """Spans by block of those windows that a smaller doc_id also has."""
+def _marked(key, doc, row, pos, count, h, body, of, length: int):
+    """Spans by block, of rows by their names, of those windows that a smaller doc_id also has."""
     size = count - 1 + length
     at = np.cumsum(size) - size
     order = np.lexsort((doc, h, key))
@@ -433,7 +434,7 @@ def _marked(key, doc, pos, count, h, body, of, length: int):
     group = np.cumsum(new) - 1
     lead = order[new][group]  # of equal slices, one of the smallest doc_id stands for all
     whole = doc[order] > doc[lead]
-    marks = [np.stack([of[order][whole], doc[order][whole], pos[order][whole], (pos + size)[order][whole]])]
+    marks = [np.stack([of[order][whole], row[order][whole], pos[order][whole], (pos + size)[order][whole]])]
     # anchors with two slices or more that differ
     stay = order[~whole]
     keys = key[stay]
@@ -442,7 +443,7 @@ def _marked(key, doc, pos, count, h, body, of, length: int):
     several = np.repeat(np.maximum.reduceat(h[stay], runs) != np.minimum.reduceat(h[stay], runs), np.diff(np.append(runs, len(stay))))
     pick = stay[several]
     for part in _by_key(key[pick], size[pick]):
-        marks.append(_sorted_marks(pick[part], doc, pos, count, size, at, body, of, length))
+        marks.append(_sorted_marks(pick[part], doc, row, pos, count, size, at, body, of, length))
     every = np.hstack(marks).astype(np.int64)
     for b in np.unique(every[0]):
         yield int(b), every[1:, every[0] == b]
@@ -461,8 +462,8 @@ def _by_key(keys: np.ndarray, sizes: np.ndarray, most: int = 1 << 20):
         i = j
 
 
-def _sorted_marks(pick, doc, pos, count, size, at, body, of, length: int) -> np.ndarray:
-    """(block, doc, start, end) of the windows of these slices that a smaller doc_id has among them too."""
+def _sorted_marks(pick, doc, row, pos, count, size, at, body, of, length: int) -> np.ndarray:
+    """(block, row, start, end) of the windows of these slices that a smaller doc_id has among them too."""
     ends = np.cumsum(size[pick])
     text = body[np.repeat(at[pick] - (ends - size[pick]), size[pick]) + np.arange(ends[-1])]
     n = count[pick]
@@ -475,7 +476,7 @@ def _sorted_marks(pick, doc, pos, count, size, at, body, of, length: int) -> np.
     least = np.repeat(np.minimum.reduceat(docs, run), np.diff(np.append(run, len(docs))))
     w = rank[docs > least]
     begin = pos[of_slice[w]] + inside[w]
-    return np.stack([of[of_slice[w]], doc[of_slice[w]], begin, begin + length])
+    return np.stack([of[of_slice[w]], row[of_slice[w]], begin, begin + length])
 
 
 def readable(kept: str):

@@ -64,6 +64,15 @@ def test_empty_and_repeated(spark):
     assert result(df) == brute(rows)
 
 
+def test_rows_of_one_id_have_their_own_spans(spark):
+    """Of rows that share an id, or have none, only those that hold the passage lose it."""
+    base = cases.prose(1, 120)
+    long = [cases.prose(700 + i, 150) for i in range(6)]
+    rows = [(1, base, "en", "a", 0)] + [(i, text, "en", "a", 0) for i, text in ((7, long[0] + base[:300]), (7, long[1]), (7, base[100:400] + long[2]), (7, "short"), (None, base[:200] + long[3]), (None, long[4]), (None, long[5][:90] + base[60:]))]
+    for options in ({}, {"block_bytes": 500}, {"block_bytes": 500, "hot": 1}):
+        assert result(spark.createDataFrame(rows, cases.DOCS), **options) == brute(rows)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2), min_size=1, max_size=300), st.sampled_from([3, 9, 50]))
 def test_suffix_order(letters, depth):
