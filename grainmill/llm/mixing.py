@@ -68,9 +68,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     per = per.withColumns({"whole": F.floor(F.col("ratio") + 1e-12), "bins": F.greatest(F.lit(1024), F.col("n") / BIN).cast("long")})
     per = per.withColumn("owed", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
     per = small(per.withColumnRenamed("source", "s"), 100_000)
-    p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), (F.col("ratio") - F.col("whole")) * F.col("like") / F.col("mean_like")))
+    part = lambda like: F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), (F.col("ratio") - F.col("whole")) * like))
+    p, even = part(F.col("like") / F.col("mean_like")), part(F.lit(1.0))
     odds = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
-    keyed = rows.join(per, rows.source.eqNullSafe(per.s)).drop("s").withColumn("q", odds).withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * F.col("bins")))
+    keyed = rows.join(per, rows.source.eqNullSafe(per.s)).drop("s").withColumn("q", odds)
+    # rows of mean likelihood fall evenly into bins, however near to 0 or 1 the owed part is
+    spread = F.col("q") * even / (1 - even)
+    keyed = keyed.withColumn("bin", F.floor(spread / (1 + spread) * F.col("bins")))
     # words by bin, in order: the bin in which the owed words run out, and those behind it that may fill
     summed = keyed.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"), F.first("owed").alias("owed"))
     order = Window.partitionBy("source").orderBy("bin")
@@ -78,6 +82,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3.0,
     running = running.withColumn("role", F.when(F.col("upto") <= F.col("owed"), "in").when(F.col("ahead") <= F.col("owed"), "cut").otherwise("out"))
     behind = F.sum(F.when(F.col("role") != "in", F.col("rows")).otherwise(0)).over(order) - F.col("rows")
     running = running.withColumn("role", F.when((F.col("role") == "out") & (behind < TAIL), "cut").otherwise(F.col("role")))
+    # of half a word or less nothing is taken, as no document is nearer to it than none
+    running = running.withColumn("role", F.when(F.col("owed") <= 0.5, "out").otherwise(F.col("role")))
     cuts = written(running.select(F.col("source").alias("s"), F.col("bin").alias("b"), "role", "ahead").where("role <> 'out'"), "mix-bins")
     seen = keyed.join(cuts, keyed.source.eqNullSafe(cuts.s) & (keyed.bin == cuts.b), "left").drop("s", "b")
 

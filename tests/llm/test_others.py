@@ -80,6 +80,23 @@ def test_mixing_comes_near_its_targets(spark):
     assert copies.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_only_a_few_bins_are_read_row_by_row(spark, monkeypatch):
+    made = {}
+    monkeypatch.setattr(mixing, "written", lambda df, name, f=mixing.written: made.setdefault(name, f(df, name)))
+    monkeypatch.setattr(mixing, "TAIL", 10)
+    one = [(i, f"w{i}", "en", "a", 0) for i in range(3000)]
+    for rows, most in ((one, 0), ([*one, (5000, "only", "en", "b", 0)], 60)):  # nothing owed; all but two words of 3000 owed
+        made.clear()
+        out = mixing.mix(spark.createDataFrame(rows, cases.DOCS), weights=(1, 5)).collect()
+        assert abs(sum(r.taken for r in out) - len(rows)) <= 3
+        read = made["mix-bins"].where("role = 'cut'").count()
+        assert read <= most
+        taken = [r.taken for r in out if r.source == "a"]
+        assert sum(taken) == (3000 if len(rows) == 3000 else 2998)
+        per_bin = 3000 / 1024
+        assert len(taken) - sum(taken) <= read * 10 * per_bin
+
+
 def test_targets_are_levelled(spark):
     df = spark.createDataFrame([("a", 100), ("b", 1), ("c", 50), (None, 49)], "source string, size long")
     got = {r.source: r.target for r in mixing.targets(df).collect()}
