@@ -183,7 +183,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """node, set: the sorted hashes of each row's set as bytes; docs(node, text)."""
+    """node, set: the sorted hashes of each row's set as bytes; docs(node, text). A null node stands for the text's own."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
@@ -191,8 +191,9 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
             body, offsets = utf8(batch.column(1))
             for i, j in slabs(offsets, SLAB):
                 h, at = shingler.hashes(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                node = batch.column(0).to_numpy(zero_copy_only=False)[i:j]
-                same = np.flatnonzero(_named(h, at, _SALTS[0]) == node)  # not so for another text of a repeated doc_id
+                given, name = batch.column(0).slice(i, j - i), _named(h, at, _SALTS[0])
+                node = np.where(given.is_null().to_numpy(zero_copy_only=False), name, given.fill_null(0).to_numpy(zero_copy_only=False))
+                same = np.flatnonzero(name == node)  # not so for another text of a repeated doc_id
                 yield pa.RecordBatch.from_arrays([pa.array(node[same], pa.int64()), pa.array([h[at[k] : at[k + 1]].tobytes() for k in same], pa.binary())], ["node", "set"])
 
     return docs.select("node", "text").mapInArrow(scan, "node long, set binary")
@@ -344,6 +345,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
     text = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
     sets = sets_of(text, words)
+    nameless = wanted.where("doc_id is null").select("node")  # classes of rows without a doc_id: by the text's own name
+    bare = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("node"), "text")
+    if not nameless.isEmpty():
+        sets = sets.unionByName(sets_of(bare, words).join(nameless, "node", "left_semi"))
     if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     sets = written(sets, "sets")

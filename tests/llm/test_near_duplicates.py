@@ -88,3 +88,11 @@ def test_components(spark, n):
     got = {r.node: r.comp for r in neardup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = defaultdict(int, {i: 0 for i in range(n + 1)}) | {1000: 1000, 1001: 1000, 1002: 1000}
     assert got == dict(want)
+
+
+def test_near_copies_without_an_id_are_linked(spark):
+    base = cases.prose(1, 120).split()
+    near = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (30, 60, 90)]
+    rows = [(3, " ".join(base), "en", "a", 0), (None, near[0], "en", "a", 0), (None, near[1], "en", "a", 0), (4, near[2], "en", "a", 0), (None, cases.prose(77, 90), "en", "a", 0)]
+    got = [(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, cases.DOCS), 4, 80).collect()]
+    assert sorted(got, key=repr) == sorted([(3, 3, True), (None, 3, False), (None, 3, False), (4, 3, False), (None, None, True)], key=repr)
