@@ -12,24 +12,32 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset."""
+    """spark.checkpoint.dir. Where it is unset, a session in one process gets a folder of its own; a cluster must name one."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="grainmill-")
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _clean() -> None:
     for spark, path in _made:
         try:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session is over; its folder is its owner's to clear
             return
 
 
 def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder; it is deleted when this Python process ends."""
     if not _made:
         atexit.register(_clean)
     path = f"{shared_dir(spark).rstrip('/')}/grainmill/{name}-{uuid.uuid4().hex}"
@@ -41,4 +49,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table below the shared folder, read back, so that nothing before it runs again."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() made and that no plan needs any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.written_to)
+        _made[:] = [m for m in _made if m[1] != df.written_to]
