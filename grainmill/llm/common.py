@@ -2,61 +2,63 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+import ctypes
+import time
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_made: list[tuple[SparkSession, str]] = []
+from grainmill.sources.store import discard, new_path, shared_dir, written
 
+__all__ = ["discard", "lean", "mix64", "new_path", "parts", "pieces_of", "shared_dir", "slabs", "small", "spread", "utf8", "written"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="grainmill-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+_trimmed = [0.0]
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; it is deleted when this Python process ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/grainmill/{name}-{uuid.uuid4().hex}"
-    if not _made:
-        atexit.register(_clean)
-    _made.append((spark, path))
-    return path
+def _trim(now: bool = False) -> None:
+    """Give unused memory back: a worker lives on between tasks, and would keep the most that any of them took."""
+    if now or time.monotonic() - _trimmed[0] > 0.25:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+        _trimmed[0] = time.monotonic()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def lean(f: Callable) -> Callable:
+    """f for workers: it gives its memory back after each group, or at the end of each iterator."""
+    if f.__code__.co_flags & 0x20:  # a generator function
 
+        @wraps(f)
+        def scan(batches: Iterator) -> Iterator:
+            try:
+                yield from f(batches)
+            finally:
+                _trim(now=True)
 
-def _clean() -> None:
-    for spark, path in _made:
-        try:
-            _delete(spark, path)
-        except Exception:  # the session may be over by now; its folder is then its owner's to clear
-            return
+        return scan
+
+    if f.__code__.co_argcount == 3:
 
+        @wraps(f)
+        def both(key, left, right):
+            out = f(key, left, right)
+            _trim()
+            return out
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared folder and read it back, so that nothing before it runs again."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
+        return both
 
+    @wraps(f)
+    def group(rows):
+        out = f(rows)
+        _trim()
+        return out
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables that written() made and that no plan needs any more."""
-    for df in tables:
-        _delete(df.sparkSession, df.written_to)
+    return group
 
 
 def parts(spark: SparkSession) -> int:
@@ -90,6 +92,12 @@ def slabs(offsets: np.ndarray, most: int):
         i = min(j, n)
 
 
+def spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places at[i] .. at[i] + size[i] of all i in a row."""
+    ends = np.cumsum(size)
+    return np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64."""
     x = x ^ (x >> np.uint64(30))

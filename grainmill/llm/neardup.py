@@ -8,11 +8,10 @@ candidate classes in buckets. Of a pair of candidates, the joint likelihood of w
 equal is taken, given both set sizes; pairs for which the wanted similarity is out of the question go, and all others
 are confirmed on the full sets.
 
-Buckets are never expanded into all pairs. First each bucket's members meet its smallest member. Then, in buckets that
-still hold several components, those outside the largest one meet the other members: at first their likeliest partners,
-and in a last round every pair of different components that isn't yet decided. Work is dealt in blocks of a bounded
-number of members, so one bucket may hold any share of the rows. Components are found by alternating large and small
-stars. What is left to chance: a pair at the very threshold meets in no band with odds of 5e-8, and is wrongly ruled out
+Buckets are never expanded into rows of pairs. First each bucket's members meet its smallest member. Then, in buckets that
+still hold several components, those outside the largest one meet the other members: full sets travel to blocks of bounded
+bytes, pairs are decided there, and a block returns a forest of links. So one bucket may hold any share of the rows.
+Components are found by alternating large and small stars. What is left to chance: a pair at the very threshold meets in no band with odds of 5e-8, and is wrongly ruled out
 by its likelihood with odds below 1e-6.
 
 Null, empty and blank texts have no elements, link with nothing and are kept. Rows that repeat a doc_id are rows of
@@ -25,21 +24,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, mix64, slabs, utf8, written
+from .common import discard, lean, mix64, parts, slabs, utf8, written
 
-REGISTERS, ROWS, BASE, RATE = 128, 4, 1.001, 20.0
+#: Registers of a sketch and of a band, base of their scale, and the mark that counts as its beginning: none is later.
+REGISTERS, ROWS, BASE, LATEST = 128, 4, 1.001, 20.0
 BANDS = REGISTERS // ROWS
 #: A pair is ruled out if the wanted similarity is less likely than the best one by this factor's logarithm.
 DOUBT = 12.5
-#: Members of a bucket that one task compares; partners that a member proposes in the middle round.
-MEMBERS, PARTNERS = 4096, 8
-#: Pairs that are compared at once.
+#: Bytes of registers and sets on each side of a block, and in a task.
+BLOCK, TASK = 4 << 20, 8 << 20
+#: Pairs whose registers are compared at once.
 PAIRS = 60_000
-SLAB = 2 << 20
+SLAB = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(9, 14)]] = True
@@ -127,7 +126,7 @@ def registers(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
         keep = x < worst[of]
         h, of, x = h[keep], of[keep], x[keep]
     with np.errstate(divide="ignore"):
-        return np.clip(np.floor(1 - np.log(RATE * least) / np.log(BASE)), 0, 65535).astype(np.uint16)
+        return np.clip(np.floor(1 - np.log(least / LATEST) / np.log(BASE)), 0, 65535).astype(np.uint16)
 
 
 def least_equal(share: float) -> int:
@@ -169,6 +168,7 @@ _SALTS = 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25
 def sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n, node, node2 (hashes of the set), regs."""
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
@@ -185,6 +185,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
     """node, set: the sorted hashes of each row's set as bytes; docs(node, text). A null node stands for the text's own."""
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
@@ -200,6 +201,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -214,17 +216,11 @@ def _bands(classes: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose full sets reach percent of their union."""
 
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, x, y = (c.to_pylist() for c in batch.columns)
-            good = []
-            for i, (p, q) in enumerate(zip(x, y)):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = np.concatenate([p, q])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                if 100 * shared >= percent * (len(p) + len(q) - shared):
-                    good.append(i)
+            good = [i for i, (p, q) in enumerate(zip(x, y)) if _alike(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), percent)]
             yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())], ["a", "b"])
 
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
@@ -253,6 +249,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
+    @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -264,70 +261,102 @@ def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(scan, "a long, b long")
 
 
-def _proposals(members: DataFrame, comps: DataFrame, classes: DataFrame, share: float, most: int | None) -> DataFrame:
-    """(key, a, b): pairs of different components within a bucket that may reach the share; at most `most` for each member
-    and bucket, the likeliest first, or all of them. A pair is proposed by the first band that it shares. Where pairs were
-    left out, a row without a and b names the bucket."""
-    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    state = per.groupBy("key").agg(F.sum("c").alias("total"), F.max("c").alias("biggest"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("total > biggest")
-    rows = placed.join(state, "key").join(classes.select("node", "n", "regs"), "node")
-    blocks = lambda x: F.ceil(x / F.lit(MEMBERS)).cast("int")
-    cm, cv = blocks(F.col("total")), blocks(F.col("total") - F.col("biggest"))
+def _linked(members: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame, share: float, percent: int) -> DataFrame:
+    """(a, b): links between components within the buckets. In a bucket that holds several components, each class outside
+    the largest one meets all others. Classes travel with their full sets to blocks of about BLOCK bytes; there, pairs whose
+    likelihood allows the share are compared on their sets, the likeliest first, unless links found before join them already.
+    A block returns a forest: fewer links than it has members, however many pairs there are."""
+    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(classes.select("node", "n"), "node").withColumn("bytes", F.lit(2 * REGISTERS + 64) + 8 * F.col("n"))
+    per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("bytes").alias("bytes"))
+    state = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("bytes").alias("total"), F.max_by(F.struct("comp", "bytes"), F.struct("c", "comp")).alias("main")).where("comps > 1")
+    blocks = lambda x: F.greatest(F.lit(1), F.ceil(x / F.lit(BLOCK))).cast("int")
+    state = state.select("key", F.col("main.comp").alias("main"), "total", blocks(F.col("total")).alias("cm"), blocks(F.col("total") - F.col("main.bytes")).alias("cv"))
+    state = written(state, "buckets")
+    sums = state.agg(F.sum(F.col("total") * (F.col("cm") + F.col("cv")))).first()[0] or 0
+    tasks = max(2 * parts(members.sparkSession), -(-int(sums) // TASK))
     own = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), c).cast("int")
-    held = rows.withColumns({"probe": F.lit(False), "j": own(cm, 1)}).withColumn("i", F.explode(F.sequence(F.lit(0), cv - 1)))
-    probes = rows.where("comp <> main").withColumns({"probe": F.lit(True), "i": own(cv, 2)}).withColumn("j", F.explode(F.sequence(F.lit(0), cm - 1)))
-    cols = ["key", "i", "j", "probe", "node", "comp", "main", "n", "regs"]
+    rows = placed.join(state.drop("total"), "key")
+    held = rows.withColumns({"probe": F.lit(False), "j": own(F.col("cm"), 1)}).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cv") - 1)))
+    probes = rows.where("comp <> main").withColumns({"probe": F.lit(True), "i": own(F.col("cv"), 2)}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cm") - 1)))
+    cols = ["key", "i", "j", "probe", "node", "comp", "main"]
     both = held.select(*cols).unionByName(probes.select(*cols))
-
-    def propose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["key", "i", "j", "probe"], ignore_index=True)
-        place = pdf[["key", "i", "j"]].to_numpy()
-        start = np.append(np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]).any(axis=1)])), len(pdf))
-        probe = pdf.probe.to_numpy()
+    # one row for each class and task, with its places there: the set travels once to a task
+    dealt = both.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
+    dealt = dealt.groupBy("task", "node").agg(F.first("comp").alias("comp"), F.collect_list(F.struct("key", "i", "j", "probe", "main")).alias("places"))
+    full = dealt.join(classes.select("node", "n", "regs"), "node").join(sets, "node")
+
+    @lean
+    def compare(rows: pa.Table) -> pa.Table:
+        node, comp, n = (rows[c].to_numpy() for c in ("node", "comp", "n"))
+        regs = np.frombuffer(b"".join(rows["regs"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        body, at = utf8(rows["set"])
+        hashes, at = np.frombuffer(body.tobytes(), np.uint64), at // 8
+        places = rows["places"].combine_chunks()
+        of = np.repeat(np.arange(len(node)), np.diff(places.offsets.to_numpy()))
+        key, i, j, probe, main = (places.flatten().field(c).to_numpy(zero_copy_only=False) for c in range(5))
+        order = np.lexsort((probe, j, i, key))
+        of, key, i, j, probe, main = (x[order] for x in (of, key, i, j, probe, main))
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        start = np.flatnonzero(new)
         asks = np.flatnonzero(probe)
-        group = np.searchsorted(start, asks, side="right") - 1
-        first = start[group]
-        count = np.add.reduceat((~probe).astype(np.int64), start[:-1])[group]  # members stand before the probes
-        regs = np.frombuffer(b"".join(pdf.regs), np.uint16).reshape(-1, REGISTERS)
-        arrays = [pdf[c].to_numpy() for c in ("key", "node", "comp", "main", "n")]
-        upto, at, out = np.cumsum(count), 0, []
-        while at < len(asks):
-            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
-            out.append(_compared(asks[at:to], first[at:to], count[at:to], regs, arrays, share, most))
-            at = to
-        return pd.concat(out) if out else pd.DataFrame({c: pd.array([], "Int64") for c in ("key", "a", "b")})
-
-    spread = both.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
-    return spread.groupBy("task").applyInPandas(propose, "key long, a long, b long").distinct()
-
-
-def _compared(asks: np.ndarray, first: np.ndarray, count: np.ndarray, regs: np.ndarray, arrays: list[np.ndarray], share: float, most: int | None) -> pd.DataFrame:
-    """Each row of asks with its bucket's members, rows first .. first + count."""
-    key, node, comp, main, n = arrays
-    q = np.repeat(asks, count)
-    m = np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(q))
+        first = start[np.searchsorted(start, asks, side="right") - 1]
+        count = np.add.reduceat((~probe).astype(np.int64), start)[np.searchsorted(start, asks, side="right") - 1]  # members stand before the probes
+        forest, found = _Forest(), []
+        upto, a = np.cumsum(count), 0
+        while a < len(asks):
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, side="right")))
+            for q, m in zip(*_possible(asks[a:b], first[a:b], count[a:b], key, main, of, node, comp, n, regs, share)):
+                x, y = int(comp[q]), int(comp[m])
+                if forest.of(x) != forest.of(y) and _alike(hashes[at[q] : at[q + 1]], hashes[at[m] : at[m + 1]], percent):
+                    forest.join(x, y)
+                    found.append((x, y))
+            a = b
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return full.groupBy("task").applyInArrow(compare, "a long, b long")
+
+
+class _Forest:
+    """Which components are joined by now."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def of(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.of(x)] = self.of(y)
+
+
+def _alike(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([p, q])
+    both.sort(kind="stable")  # two sorted runs are merged
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(p) + len(q) - shared)
+
+
+def _possible(asks, first, count, key, main, of, node, comp, n, regs, share: float) -> tuple[list[int], list[int]]:
+    """Pairs of classes, of each place in asks with its block's members (places first .. first + count), that may reach the
+    share; the likeliest first."""
+    p = np.repeat(asks, count)
+    at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(p))
+    q, m = of[p], of[at]
     # of two that both ask, the one with the smaller node does
-    keep = (comp[q] != comp[m]) & ((comp[m] == main[m]) | (node[m] > node[q])) & (np.minimum(n[q], n[m]) >= share * np.maximum(n[q], n[m]) - 1e-6)
-    q, m = q[keep], m[keep]
+    keep = (comp[q] != comp[m]) & ((comp[m] == main[p]) | (node[m] > node[q])) & (np.minimum(n[q], n[m]) >= share * np.maximum(n[q], n[m]) - 1e-6)
+    p, q, m = p[keep], q[keep], m[keep]
     keep = (regs[q] == regs[m]).sum(axis=1) >= least_equal(share)
-    q, m = q[keep], m[keep]
+    p, q, m = p[keep], q[keep], m[keep]
     band = regs.view("<u8")
-    before = np.arange(BANDS) < (key[q] & (BANDS - 1))[:, None]
+    before = np.arange(BANDS) < (key[p] & (BANDS - 1))[:, None]  # a pair is compared in the first band that it shares
     keep = ~((band[q] == band[m]) & before).any(axis=1)
     q, m = q[keep], m[keep]
     good, like = may_reach(regs[q], regs[m], n[q], n[m], share)
-    q, m, like = q[good], m[good], like[good]
-    cut = np.zeros(0, np.int64)
-    if most is not None and len(q):
-        order = np.lexsort((node[m], -like, q))
-        q, m = q[order], m[order]
-        begin = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
-        nth = np.arange(len(q)) - np.repeat(begin, np.diff(np.append(begin, len(q))))
-        cut = np.unique(key[q[nth >= most]])
-        q, m = q[nth < most], m[nth < most]
-    got = pd.DataFrame({"key": np.zeros(len(q), np.int64), "a": np.minimum(node[q], node[m]), "b": np.maximum(node[q], node[m])}).astype("Int64")
-    return pd.concat([got, pd.DataFrame({"key": cut, "a": pd.array([pd.NA] * len(cut), "Int64"), "b": pd.array([pd.NA] * len(cut), "Int64")}).astype("Int64")]) if len(cut) else got
+    order = np.lexsort((m[good], q[good], -like[good]))
+    return q[good][order].tolist(), m[good][order].tolist()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -354,19 +383,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = written(sets, "sets")
     edges = written(_confirmed(tested, sets, percent), "links")
     comps = components(edges)
-    more = members.where("size > 2")
-    for most in (PARTNERS, None):
-        found = written(_proposals(more, comps, classes, share, most), "proposals")
-        # the last round is for those buckets in which some were left out
-        more = members.join(found.where("a is null").select("key").distinct(), "key", "left_semi")
-        pairs = written(found.where("a is not null").select("a", "b").join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            tested = tested.unionByName(pairs)
-            edges = written(edges.unionByName(_confirmed(pairs, sets, percent)), "links")
-            comps = components(edges)
-        if more.isEmpty():
-            break
-    discard(members, sets)  # the result needs the classes, the components and the rows' sketches
+    more = written(_linked(members.where("size > 2"), comps, classes, sets, share, percent), "links")
+    if not more.isEmpty():  # links of components, whose least nodes name them
+        top = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+        lone = top.join(comps, top.comp == comps.node, "left_anti").select(F.col("comp").alias("node"), F.col("top").alias("comp"))
+        comps = comps.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")).unionByName(lone)
+    discard(members, sets, tested, edges, more)  # the result needs the classes, the components and the rows' sketches
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.join(ids, "comp").select("node", "node2", "component_id")

@@ -54,9 +54,9 @@ def test_group_of_near_copies(spark):
 
 
 def test_blocks_and_rounds(spark, monkeypatch):
-    """The same with blocks of a few members and few partners, so that all rounds and replicas are used."""
-    monkeypatch.setattr(neardup, "MEMBERS", 16)
-    monkeypatch.setattr(neardup, "PARTNERS", 1)
+    """The same with blocks and tasks of a few members, so that replicas meet and links come from many tasks."""
+    monkeypatch.setattr(neardup, "BLOCK", 16 * 900)
+    monkeypatch.setattr(neardup, "TASK", 1 << 12)
     monkeypatch.setattr(neardup, "PAIRS", 40)
     test_group_of_near_copies(spark)
 
@@ -96,3 +96,21 @@ def test_near_copies_without_an_id_are_linked(spark):
     rows = [(3, " ".join(base), "en", "a", 0), (None, near[0], "en", "a", 0), (None, near[1], "en", "a", 0), (4, near[2], "en", "a", 0), (None, cases.prose(77, 90), "en", "a", 0)]
     got = [(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, cases.DOCS), 4, 80).collect()]
     assert sorted(got, key=repr) == sorted([(3, 3, True), (None, 3, False), (None, 3, False), (4, 3, False), (None, None, True)], key=repr)
+
+
+def test_blocks_return_forests(spark, monkeypatch):
+    """However many pairs there are, a block returns fewer links than it has members."""
+    made = {}
+    monkeypatch.setattr(neardup, "written", lambda df, name, f=neardup.written: made.setdefault(name, []).append(f(df, name)) or made[name][-1])
+    counts = []
+    monkeypatch.setattr(neardup, "_linked", lambda *a, f=neardup._linked: counts.append(f(*a).count()) or f(*a))
+    test_group_of_near_copies(spark)
+    assert counts and counts[0] < 150 * 8
+
+
+def test_short_texts_share_no_bands():
+    """One-word texts: registers of different elements differ."""
+    regs = neardup.registers(neardup.mix64(np.arange(1, 200, dtype=np.uint64)), np.arange(200))
+    bands = regs.view("<u8")
+    for k in range(neardup.BANDS):
+        assert len(np.unique(bands[:, k])) >= 198
