@@ -95,3 +95,40 @@ def verdict_summary(rows: DataFrame) -> DataFrame:
     rank = F.when(F.col("verdict") == "BAD", 2).when(F.col("verdict") == "OK", 1).when(F.col("verdict") == "GOOD", 0)
     worst = F.max(rank)
     return rows.groupBy("section").agg(F.when(worst == 2, "BAD").when(worst == 1, "OK").when(worst == 0, "GOOD").alias("worst"), F.count("verdict").alias("judged"), (F.count("verdict") == 0).alias("skipped"))
+
+
+def numbered(rows: DataFrame, column: str, prefix: str, order: str) -> DataFrame:
+    """rows whose missing ids are prefix-0000 .. above the greatest there is, in order: ranges of the order are counted first,
+    so no task sees all rows."""
+    from ..sources.store import written
+
+    number = F.regexp_extract(F.col(column), rf"^{prefix}-(\d+)$", 1).try_cast("long")
+    top = rows.agg(F.coalesce(F.max(number), F.lit(0))).first()[0]
+    fresh = written(rows.where(F.col(column).isNull()).orderBy(order).withColumn("__at", F.monotonically_increasing_id()), "unnumbered")
+    part = F.shiftright("__at", 33).alias("__part")
+    sizes = fresh.groupBy(part).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__low"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each range
+    starts = sizes.select("__part", "__low", F.coalesce(before, F.lit(0)).alias("__before"))
+    got = fresh.withColumn("__part", part).join(F.broadcast(starts), "__part").withColumn(column, formatted_id(prefix, F.col("__at") - F.col("__low") + F.col("__before") + F.lit(top + 1)))
+    return rows.where(F.col(column).isNotNull()).unionByName(got.select(*rows.columns))
+
+
+def backfilled(rows: DataFrame, run: str, gid: str, found: str) -> DataFrame:
+    """rows with missing ids taken from `found`, from the first run on that has any."""
+    first = rows.where(F.col(gid).isNotNull()).agg(F.min(run).alias("__first"))
+    return rows.crossJoin(F.broadcast(first)).withColumn(gid, F.when(F.col(run) >= F.col("__first"), F.coalesce(gid, found)).otherwise(F.col(gid))).drop("__first")  # one row
+
+
+def legacy_matched(a: DataFrame, b: DataFrame, fixed: str) -> DataFrame:
+    """label, kind, in_a, in_b of records(scenario, principle, injection) of two runs: scenarios of the fixed set by scenario
+    and injection, all others by principle and injection."""
+
+    def tiers(rows: DataFrame, n: str) -> tuple[DataFrame, DataFrame]:
+        own = F.startswith("scenario", F.lit(fixed))
+        return tuple(rows.where(c).groupBy(k, "injection").agg(F.count(F.lit(1)).alias(n)) for c, k in ((own, "scenario"), (~own, "principle")))
+
+    (exact_a, group_a), (exact_b, group_b) = tiers(a, "in_a"), tiers(b, "in_b")
+    tail = F.concat(F.lit(" ["), "injection", F.lit("]"))
+    exact = exact_a.join(exact_b, ["scenario", "injection"]).select(F.concat("scenario", tail).alias("label"), F.lit("exact").alias("kind"), "in_a", "in_b")
+    group = group_a.join(group_b, ["principle", "injection"]).select(F.concat(F.lit("principle "), "principle", tail).alias("label"), F.lit("group").alias("kind"), "in_a", "in_b")
+    return exact.unionByName(group)

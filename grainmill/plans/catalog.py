@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audits, dedup, lineage, matrix, stages, text, vectors  # noqa: F401  the modules register their queries
+from . import audits, dedup, generation, judged, lineage, matrix, reports, runs, stages, text, vectors  # noqa: F401  the modules register their queries
 from .registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "kept_corpus"
