@@ -79,6 +79,18 @@ def names(rows: DataFrame, stop: Sequence[str] = (), banned: Sequence[str] = (),
     return both.select("name", "df", v.alias("verdict"))
 
 
+def watched_names(rows: DataFrame, watch: Sequence[str], stop: Sequence[str] = (), banned: Sequence[str] = (), column: str = "text") -> DataFrame:
+    """name, docs: of the watched names that any row has, in how many rows a candidate name holds it."""
+    found = rows.select(t.candidate_names(column, stop, banned).alias("names"))
+    counts = found.agg(*[F.count_if(_holds(w)).alias(f"w{i}") for i, w in enumerate(watch)])
+    long = counts.select(F.explode(F.array(*[F.struct(F.lit(w).alias("name"), F.col(f"w{i}").alias("docs")) for i, w in enumerate(watch)])).alias("x"))
+    return long.select("x.name", "x.docs").where("docs > 0")
+
+
+def _holds(watched: str) -> Column:
+    return F.exists("names", lambda n: F.contains(n, F.lit(watched)))
+
+
 def phrase_hits(rows: DataFrame, phrases: Sequence[str], column: str = "text") -> DataFrame:
     """phrase, docs that hold it in lower case; one scan with a counter for each phrase."""
     low = F.lower(F.coalesce(column, F.lit("")))
@@ -177,12 +189,12 @@ def self_bleu(rows: DataFrame, key: str, column: str = "text", most: int = 4) ->
         part = split.select(key, F.lit(n).alias("k"), F.explode(g).alias("gram"))
         long = part if long is None else long.unionByName(part)
     c = long.groupBy(key, "k", "gram").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("k", "gram")
-    top = F.max("c").over(w)
-    tied = F.count_if(F.col("c") == F.col("top")).over(w)
-    second = F.max(F.when(F.col("c") < F.col("top"), F.col("c"))).over(w)
+    # each gram's largest count, how many rows have it, and the largest below it: three numbers, combined before the shuffle
+    sizes = c.groupBy("k", "gram", "c").agg(F.count(F.lit(1)).alias("rows"))
+    best = sizes.groupBy("k", "gram").agg(F.max(F.struct("c", "rows")).alias("b"), F.reverse(F.array_sort(F.collect_set("c"))).alias("cs"))
+    best = best.select("k", "gram", F.col("b.c").alias("top"), F.col("b.rows").alias("tied"), F.get("cs", F.lit(1)).alias("second"))
     other = F.when((F.col("c") == F.col("top")) & (F.col("tied") == 1), F.coalesce("second", F.lit(0))).otherwise(F.col("top"))
-    clipped = c.withColumn("top", top).withColumns({"tied": tied, "second": second}).withColumn("clip", F.least("c", other))
+    clipped = c.join(best, ["k", "gram"]).withColumn("clip", F.least("c", other))
     per = clipped.groupBy(key, "k").agg(F.sum("c").alias("total"), F.sum("clip").alias("hit"))
     log_p = F.log(F.when(F.col("hit") > 0, F.col("hit") / F.col("total")).otherwise(0.1 / F.col("total")))
     sums = per.groupBy(key).agg(F.sum(log_p).alias("lp"), F.count(F.lit(1)).alias("orders"))
@@ -220,14 +232,20 @@ def phrase_candidates(rows: DataFrame, arm: str, target: str, reference: str, ex
     return out.where(F.col("z") >= least_z)
 
 
-def without_nested(candidates: DataFrame, top: int = 25, pool: int = 2000) -> DataFrame:
-    """The best candidates of which none is part of a better one. The order of acceptance is sequential: the best
-    `pool` of the ranking, a bounded list, are walked on the driver; a top-k report, not a scan."""
-    best = candidates.orderBy(F.desc(F.round("z", 9)), F.desc("df"), "phrase").limit(pool).collect()
+def without_nested(candidates: DataFrame, top: int = 25, page: int = 2000) -> DataFrame:
+    """The best candidates of which none is part of a better one. Acceptance is sequential: pages of the ranking are walked on
+    the driver, each without what is nested with those accepted before, until there are `top` or no more candidates."""
     kept: list = []
-    for r in best:
-        if len(kept) < top and not any(r.phrase in k.phrase or k.phrase in r.phrase for k in kept):
-            kept.append(r)
+    while len(kept) < top:
+        rest = candidates
+        for k in kept:
+            rest = rest.where(~(F.contains("phrase", F.lit(k.phrase)) | F.contains(F.lit(k.phrase), F.col("phrase"))))
+        best = rest.orderBy(F.desc(F.round("z", 9)), F.desc("df"), "phrase").limit(page).collect()
+        for r in best:
+            if len(kept) < top and not any(r.phrase in k.phrase or k.phrase in r.phrase for k in kept):
+                kept.append(r)
+        if len(best) < page:
+            break
     return candidates.sparkSession.createDataFrame(kept, candidates.schema)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import key as squeezed
+from ..sources.store import written
 
 
 def last_by(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -42,6 +43,19 @@ def matched_in_two_tiers(a: DataFrame, b: DataFrame, name: str, position: str) -
     return exact.unionByName(left.join(right, position).select("name_a", "name_b"))
 
 
+def placed(rows: DataFrame, order: Sequence[str], group: str | None = None) -> DataFrame:
+    """rows with place, from 0 in the order (of each group). Rows are sorted by range and numbered within; what stands ahead of a
+    range is summed from a row for each, so no task sees all rows of a group."""
+    keys = [group] if group else []
+    at = written(rows.orderBy(*keys, *order).withColumn("__at", F.monotonically_increasing_id()), "ordered").withColumn("__part", F.shiftright("__at", 33))
+    sizes = at.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__low"))
+    before = F.coalesce(F.sum("__n").over((Window.partitionBy(group) if group else Window.partitionBy(F.lit(1))).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(*[F.col(k).alias("__g") for k in keys], F.col("__part").alias("__p"), (F.col("__low") - before).alias("__from"))
+    same = F.col("__part") == F.col("__p")
+    same = same & F.col(group).eqNullSafe(F.col("__g")) if group else same
+    return at.join(starts, same).withColumn("place", F.col("__at") - F.col("__from")).select(*rows.columns, "place")
+
+
 def fingerprint(text: Column) -> Column:
     """16 hex digits of the sha256 of the text as JSON, white space squeezed."""
     return F.substring(F.sha2(F.concat(F.lit('"'), squeezed(text), F.lit('"')), 256), 1, 16)
@@ -52,8 +66,7 @@ def assigned(registry: DataFrame, found: DataFrame) -> DataFrame:
     the kind and one more, in the order they were first seen."""
     fresh = found.join(registry, ["kind", "fingerprint"], "left_anti").groupBy("kind", "fingerprint").agg(F.min("pos").alias("pos"))
     top = registry.groupBy("kind").agg(F.max("num").alias("top"))
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("pos", "fingerprint"))
-    new = fresh.join(top, "kind", "left").select("kind", "fingerprint", (F.coalesce("top", F.lit(0)) + place).cast("long").alias("num"))
+    new = placed(fresh, ["pos", "fingerprint"], "kind").join(F.broadcast(top), "kind", "left").select("kind", "fingerprint", (F.coalesce("top", F.lit(0)) + F.col("place") + 1).cast("long").alias("num"))
     return registry.select("kind", "fingerprint", "num").unionByName(new)
 
 
@@ -98,18 +111,10 @@ def verdict_summary(rows: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame, column: str, prefix: str, order: str) -> DataFrame:
-    """rows whose missing ids are prefix-0000 .. above the greatest there is, in order: ranges of the order are counted first,
-    so no task sees all rows."""
-    from ..sources.store import written
-
+    """rows whose missing ids are prefix-0000 .. above the greatest there is, in order."""
     number = F.regexp_extract(F.col(column), rf"^{prefix}-(\d+)$", 1).try_cast("long")
     top = rows.agg(F.coalesce(F.max(number), F.lit(0))).first()[0]
-    fresh = written(rows.where(F.col(column).isNull()).orderBy(order).withColumn("__at", F.monotonically_increasing_id()), "unnumbered")
-    part = F.shiftright("__at", 33).alias("__part")
-    sizes = fresh.groupBy(part).agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__low"))
-    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each range
-    starts = sizes.select("__part", "__low", F.coalesce(before, F.lit(0)).alias("__before"))
-    got = fresh.withColumn("__part", part).join(F.broadcast(starts), "__part").withColumn(column, formatted_id(prefix, F.col("__at") - F.col("__low") + F.col("__before") + F.lit(top + 1)))
+    got = placed(rows.where(F.col(column).isNull()), [order]).withColumn(column, formatted_id(prefix, F.col("place") + F.lit(top + 1)))
     return rows.where(F.col(column).isNotNull()).unionByName(got.select(*rows.columns))
 
 
@@ -132,3 +137,61 @@ def legacy_matched(a: DataFrame, b: DataFrame, fixed: str) -> DataFrame:
     exact = exact_a.join(exact_b, ["scenario", "injection"]).select(F.concat("scenario", tail).alias("label"), F.lit("exact").alias("kind"), "in_a", "in_b")
     group = group_a.join(group_b, ["principle", "injection"]).select(F.concat(F.lit("principle "), "principle", tail).alias("label"), F.lit("group").alias("kind"), "in_a", "in_b")
     return exact.unionByName(group)
+
+
+# ---- costs and scores
+
+
+def cost_items(costs: DataFrame) -> DataFrame:
+    """costs with item and batch_size: a row for each of a call's comma-joined items; a call without any has none."""
+    ids = F.split("item_id", ",")
+    return costs.withColumn("batch_size", F.size(ids).cast("long")).withColumn("item", F.explode(ids))
+
+
+def call_stats(costs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """group, calls, models, cost_usd, duration_s, retries: times and retries only where every call recorded them."""
+    every = lambda c, x: F.when(F.bool_and(F.col(c).isNotNull()), x)
+    return costs.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("calls"), F.array_join(F.array_sort(F.collect_set("model")), ",").alias("models"), F.round(F.sum("cost_usd"), 4).alias("cost_usd"),
+        every("duration_s", F.round(F.sum("duration_s"), 1)).alias("duration_s"), every("attempts", F.sum(F.col("attempts") - 1)).alias("retries"),
+    )
+
+
+def item_stats(costs: DataFrame, stage: str, item: str) -> DataFrame:
+    """One row of call_stats with per_item and batch_size for one item of a stage. Where no call of the stage names items, the
+    stage's as a whole; where calls do, but none this one, no row."""
+    rows = costs.where(F.col("stage") == stage)
+    own = cost_items(rows).where(F.col("item") == item)
+    if not own.isEmpty():
+        batch = own.agg(F.max("batch_size").alias("batch_size"))
+        return call_stats(own, []).withColumn("per_item", F.lit(True)).crossJoin(batch)  # one row each
+    old = rows if rows.where("item_id is not null").isEmpty() else rows.limit(0)
+    return call_stats(old, []).where("calls > 0").withColumns({"per_item": F.lit(False), "batch_size": F.lit(None).cast("long")})
+
+
+def kept_rate(rows: DataFrame, kept: Column, group: Sequence[str]) -> DataFrame:
+    """group, pass_rate: the share kept of the rows that were judged; null where none was."""
+    return rows.groupBy(*group).agg(F.avg(kept.cast("int")).alias("pass_rate"))
+
+
+def total_cost(costs: DataFrame) -> DataFrame:
+    return costs.agg(F.coalesce(F.round(F.sum("cost_usd"), 4), F.lit(0.0)).alias("total"))
+
+
+def gated(scores: DataFrame, least: dict[str, float]) -> DataFrame:
+    """Rows whose scores reach their bounds; advisory scores have none."""
+    for name, bound in least.items():
+        scores = scores.where(F.col(name) >= bound)
+    return scores
+
+
+def score_summary(scores: DataFrame, group: Sequence[str], names: Sequence[str], least: dict[str, float] | None = None, mean: float | None = None, critical: float | None = None) -> DataFrame:
+    """group, the mean of each score, and passed: the share of rows that reach all bounds, or whose mean and least score reach
+    mean and critical."""
+    ok = F.lit(True)
+    for name, bound in (least or {}).items():
+        ok &= F.col(name) >= bound
+    if mean is not None:
+        total = sum((F.col(n) for n in names), F.lit(0))
+        ok &= (total / len(names) >= mean) & (F.least(*names) >= critical if len(names) > 1 else F.col(names[0]) >= critical)
+    return scores.groupBy(*group).agg(*[F.avg(n).alias(n) for n in names], F.avg(ok.cast("int")).alias("passed"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import words
 from ..sources.store import written
+from .lineage import placed
 
 DIM = 1 << 14
 
@@ -26,7 +27,7 @@ def let(x: Column, f: Callable[[Column], Column]) -> Column:
 def grams(tokens: Column, n: int) -> Column:
     """Runs of n tokens; the whole if there are fewer; none without tokens."""
     runs = lambda w: F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+        F.transform(F.slice(w, F.lit(1), F.size(w) - (n - 1)), lambda x, i: F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, n)]))
     )
     return let(tokens, runs)
 
@@ -126,7 +127,6 @@ def stride(rows: DataFrame, cap: int, key: str = "doc_id") -> DataFrame:
     n = rows.count()
     if n <= cap:
         return rows
-    place = F.row_number().over(Window.orderBy(key)) - 1
     picked = rows.sparkSession.range(cap).select(F.floor(F.col("id") * F.lit(n) / F.lit(cap)).alias("place"))
-    wanted = rows.select(key).withColumn("place", place).join(F.broadcast(picked), "place").select(key)
+    wanted = placed(rows.select(key), [key]).join(F.broadcast(picked), "place").select(key)
     return rows.join(wanted, key, "left_semi")

@@ -60,6 +60,11 @@ def a05_name_collapse(spark, sf_dir):
     return a.names(docs(spark, sf_dir), stop=("United States",))
 
 
+@query(f"""WITH n AS (SELECT doc_id, {_NAMES} AS names FROM documents), w(name) AS (VALUES ('On'), ('Th'), ('Zz'), ('Er')), c AS (SELECT w.name, count(*) FILTER (len(list_filter(names, lambda x: contains(x, w.name))) > 0) AS docs FROM w, n GROUP BY 1) SELECT name, docs FROM c WHERE docs > 0""")
+def a05_watched_names(spark, sf_dir):
+    return a.watched_names(docs(spark, sf_dir), ["On", "Th", "Zz", "Er"], stop=("United States",))
+
+
 @query("SELECT phrase, (SELECT count(*) FROM documents WHERE contains(lower(text), phrase)) AS docs FROM (VALUES " + ", ".join(f"('{p}')" for p in PHRASES) + ") p(phrase)")
 def a06_stock_phrases(spark, sf_dir):
     return a.phrase_hits(docs(spark, sf_dir), PHRASES)
@@ -227,7 +232,10 @@ def _df_sql(sizes, source, where="true"):
     return " UNION ALL ".join(f"SELECT {n} AS n_words, unnest(list_distinct(list_transform(range(1, len({w}) - {n} + 2), lambda i: array_to_string(list_slice({w}, i, i + {n - 1}), ' ')))) AS gram FROM {source} WHERE {where}" for n in sizes)
 
 
-@query(f"WITH g AS ({_df_sql([5], 'documents')}), d AS (SELECT gram, count(*) AS df FROM g GROUP BY gram ORDER BY df DESC, gram LIMIT 200) SELECT gram, df FROM d WHERE df >= greatest(3, 0.05 * (SELECT count(*) FROM documents)) ORDER BY df DESC, gram LIMIT 8")
+@query("""WITH w AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z'']+') AS w FROM documents)),
+g AS (SELECT DISTINCT doc_id, gram FROM (SELECT doc_id, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS gram FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE gram IS NOT NULL),
+d AS (SELECT gram, count(*) AS df FROM g GROUP BY gram ORDER BY df DESC, gram LIMIT 200)
+SELECT gram, df FROM d WHERE df >= greatest(3, 0.05 * (SELECT count(*) FROM documents)) ORDER BY df DESC, gram LIMIT 8""")
 def n01_recurring_5grams(spark, sf_dir):
     return a.recurring(docs(spark, sf_dir))
 

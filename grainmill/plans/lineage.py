@@ -145,8 +145,8 @@ def k13_library_lookup(spark, sf_dir):
 @query("WITH c AS (SELECT doc_id, string_split(source || ',' || lang, ',') AS ids FROM documents) SELECT i AS item, count(*) AS n, max(len(ids)) AS batch_size FROM c, unnest(ids) u(i) GROUP BY 1")
 def k16_cost_items(spark, sf_dir):
     """A log row counts for each of its comma-joined items."""
-    c = table(spark, sf_dir, "documents").select(F.split(F.concat_ws(",", "source", "lang"), ",").alias("ids"))
-    return c.select(F.explode("ids").alias("item"), F.size("ids").cast("long").alias("size")).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("batch_size"))
+    c = table(spark, sf_dir, "documents").select(F.concat_ws(",", "source", "lang").alias("item_id"))
+    return g.cost_items(c).groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.max("batch_size").alias("batch_size"))
 
 
 _FP = "substr(sha256('\"' || trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')) || '\"'), 1, 16)"
@@ -192,29 +192,56 @@ def a24_cost_by_stage(spark, sf_dir):
 
 @query("SELECT round(sum(value), 4) AS total FROM events")
 def a27_total_cost(spark, sf_dir):
-    return table(spark, sf_dir, "events").agg(F.round(F.sum("value"), 4).alias("total"))
+    return g.total_cost(table(spark, sf_dir, "events").withColumnRenamed("value", "cost_usd"))
 
 
-@query("SELECT user_id, count(*) AS calls, sum(value) IS NOT NULL AS timed, CASE WHEN bool_and(value IS NOT NULL) THEN round(avg(value), 9) END AS mean FROM events GROUP BY 1")
+_CALLS_SQL = "c AS (SELECT event_type AS stage, 'm' || (user_id % 3) AS model, value AS cost_usd, CASE WHEN user_id % 5 <> 0 THEN value END AS duration_s, 1 + event_id % 2 AS attempts, user_id, CASE WHEN event_type <> 'view' THEN 'u' || user_id || ',u' || (user_id + 1) END AS item_id FROM events)"
+
+
+def _calls(spark, sf_dir):
+    u = F.col("user_id")
+    name = lambda x: F.concat(F.lit("u"), x.cast("string"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), F.concat(F.lit("m"), (u % 3).cast("string")).alias("model"), F.col("value").alias("cost_usd"), F.when(u % 5 != 0, F.col("value")).alias("duration_s"), (1 + F.col("event_id") % 2).alias("attempts"), u, F.when(F.col("event_type") != "view", F.concat_ws(",", name(u), name(u + 1))).alias("item_id"))
+
+
+@query(f"WITH {_CALLS_SQL} SELECT user_id, count(*) AS calls, string_agg(DISTINCT model, ',' ORDER BY model) AS models, round(sum(cost_usd), 4) AS cost_usd, CASE WHEN bool_and(duration_s IS NOT NULL) THEN round(sum(duration_s), 1) END AS duration_s, sum(attempts - 1)::BIGINT AS retries FROM c GROUP BY 1")
 def a25_call_stats(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("calls"), F.sum("value").isNotNull().alias("timed"), F.when(F.bool_and(F.col("value").isNotNull()), F.round(F.avg("value"), 9)).alias("mean"))
+    return g.call_stats(_calls(spark, sf_dir), ["user_id"])
+
+
+@query(f"WITH {_CALLS_SQL}, o AS (SELECT * FROM c WHERE stage = 'click' AND list_contains(string_split(item_id, ','), 'u7')), v AS (SELECT * FROM c WHERE stage = 'view') SELECT 'item' AS kind, count(*) AS calls, round(sum(cost_usd), 4) AS cost_usd, true AS per_item, 2 AS batch_size FROM o HAVING count(*) > 0 UNION ALL SELECT 'stage', count(*), round(sum(cost_usd), 4), false, NULL FROM v HAVING count(*) > 0")
+def a25_item_stats(spark, sf_dir):
+    """An item's own calls; the whole stage where its calls name none; nothing for an item that made no call."""
+    c = _calls(spark, sf_dir)
+    cases = (("item", "click", "u7"), ("stage", "view", "u7"), ("none", "click", "u-1"))
+    parts = [g.item_stats(c, stage, item).select(F.lit(kind).alias("kind"), "calls", "cost_usd", "per_item", "batch_size") for kind, stage, item in cases]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("SELECT source, CASE WHEN count(quality) > 0 THEN avg(CASE WHEN quality IS NOT NULL THEN (quality = 1 AND toxic = 0)::INT END) END AS pass_rate FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
 def a26_pass_rate(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left")
-    return d.groupBy("source").agg(F.avg(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("pass_rate"))
+    return g.kept_rate(d, (F.col("quality") == 1) & (F.col("toxic") == 0), ["source"])
 
 
-@query("SELECT doc_id FROM labels WHERE quality >= 1 AND toxic <= 0")
+@query("SELECT doc_id FROM labels WHERE quality >= 1 AND 1 - toxic >= 1")
 def a28_score_gate(spark, sf_dir):
-    return table(spark, sf_dir, "labels").where("quality >= 1 and toxic <= 0").select("doc_id")
+    scores = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("alignment"), (1 - F.col("toxic")).alias("realism"))
+    return g.gated(scores, {"alignment": 1, "realism": 1}).select("doc_id")
 
 
-@query("SELECT lang, avg(quality) AS quality, avg(toxic) AS toxic, avg((quality = 1 AND toxic = 0)::INT) AS passed FROM documents JOIN labels USING (doc_id) GROUP BY 1")
+@query("SELECT lang, avg(quality) AS quality, avg(toxic) AS toxic, avg((quality >= 1 AND toxic >= 0)::INT) AS passed FROM documents JOIN labels USING (doc_id) GROUP BY 1")
 def a29_score_summary(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
-    return d.groupBy("lang").agg(F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"), F.avg(((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int")).alias("passed"))
+    return g.score_summary(d, ["lang"], ["quality", "toxic"], {"quality": 1, "toxic": 0})
+
+
+@query("WITH s AS (SELECT source, 1 + doc_id % 5 AS a, 2 + doc_id % 4 AS b, 1 + doc_id % 7 AS c FROM documents) SELECT source, avg(a) AS a, avg(b) AS b, avg(c) AS c, avg(((a + b + c) / 3 >= 3.5 AND least(a, b, c) >= 3)::INT) AS passed FROM s GROUP BY 1")
+def a29_rubric_summary(spark, sf_dir):
+    """The rubric's rule: a mean of 3.5, and no score below 3."""
+    d = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("source", (1 + d % 5).alias("a"), (2 + d % 4).alias("b"), (1 + d % 7).alias("c"))
+    return g.score_summary(rows, ["source"], ["a", "b", "c"], mean=3.5, critical=3)
 
 
 @query(f"WITH {_RATE} SELECT coalesce(arm, choice) AS outcome, rater, count(*) AS n FROM c GROUP BY 1, 2")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import parse, text as t
-from ..operators import stages
+from ..operators import generation, stages
 from ..sources import files, store
 from ..streaming import keepfirst
 from .registry import query, table
@@ -53,10 +53,8 @@ def s21_embedding_cache(spark, sf_dir):
 def s24_seed_import(spark, sf_dir):
     """Seeds from either column, blank ones skipped; a repeated id is an error."""
     e = table(spark, sf_dir, "events")
-    seeds = e.select(F.when(F.col("event_type") != "view", F.concat(F.lit("seed-"), F.col("event_id").cast("string"))).alias("id"), F.coalesce(F.nullif(F.col("event_type"), F.lit("")), F.lit(None)).alias("prompt")).where("prompt is not null")
-    if seeds.where("id is not null").groupBy("id").count().where("count > 1").limit(1).count():
-        raise ValueError("a seed id is there twice")
-    return seeds
+    rows = e.select(F.when(F.col("event_type") != "view", F.concat(F.lit("seed-"), F.col("event_id").cast("string"))).alias("id"), F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("prompt"), F.when(F.col("event_id") % 2 == 1, F.concat("event_type", F.lit("\n"))).alias("user_message"))
+    return files.seeds(rows)
 
 
 @query()
@@ -94,18 +92,19 @@ def j06_incoherent(spark, sf_dir):
 def j07_selected_ids(spark, sf_dir):
     """Known ids of a free list, each once, in the library's order."""
     raw = F.when(F.col("item_id") % 2 == 0, "c3, (c1); c3 c9").otherwise("c2.")
-    lib = ["c1", "c2", "c3"]
-    found = F.transform(F.split(F.regexp_replace(raw, ",", " "), "[ ]+"), lambda x: F.regexp_replace(x, "^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", ""))
-    kept = F.filter(F.array(*map(F.lit, lib)), lambda x: F.array_contains(found, x))
-    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(kept, ",").alias("ids"))
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(generation.chosen_ids(raw, ["c1", "c2", "c3"]), ",").alias("ids"))
 
 
-@query("SELECT event_id, event_id % 3 = 0 AS valid FROM events")
+@query("SELECT event_id, event_id % 9 = 0 AS valid FROM events")
 def j08_scope_validity(spark, sf_dir):
-    """Whether all axes hold text."""
-    axes = [F.when(F.col("event_id") % 3 == 0, F.lit("x")).otherwise(F.lit(" ")), F.col("event_type")]
-    ok = F.trim(F.coalesce(axes[0], F.lit(""))) != ""
-    return table(spark, sf_dir, "events").select("event_id", (ok & (F.trim(F.coalesce(axes[1], F.lit(""))) != "")).alias("valid"))
+    """Whether all seven axes hold text: one is missing, blank, a number or null in turn, or the scope is no object."""
+    e = F.col("event_id")
+    full = "{" + ", ".join(f'"{a}": "x"' for a in generation.SCOPE) + "}"
+    raw = F.lit(full)
+    for k, a in enumerate(generation.SCOPE, 1):
+        bad = (f'"{a}": " "', f'"{a}": 7', f'"{a}": null', f'"{a}x": "x"')[k % 4]
+        raw = F.when(e % 9 == k, full.replace(f'"{a}": "x"', bad)).otherwise(raw)
+    return table(spark, sf_dir, "events").select("event_id", generation.valid_scope(F.when(e % 9 == 8, "[1]").otherwise(raw)).alias("valid"))
 
 
 @query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 7 WHEN 1 THEN 0 ELSE 5 END AS alignment, CASE doc_id % 3 WHEN 0 THEN 8 WHEN 1 THEN 3 ELSE 5 END AS realism FROM documents")
@@ -137,7 +136,7 @@ def d05_incremental_filter(spark, sf_dir):
 @query("SELECT coalesce(event_type, 'untagged') AS stage, count(*) AS calls, round(sum(value), 6) AS cost FROM events GROUP BY 1", name="s22_cost_stream")
 def s22_cost_stream(spark, sf_dir):
     """The cost roll-up as a stream over the log, run to its end."""
-    name = f"costs_{abs(hash(store.new_path(spark, 'n')))}"
     log = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
-    keepfirst.cost_by_stage(log).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).withColumn("cost", F.round("cost", 6))
+    out = keepfirst.Snapshot(spark, store.new_path(spark, "costs"), "stage string, calls long, cost double")
+    keepfirst.cost_by_stage(log).writeStream.outputMode("complete").foreachBatch(out).option("checkpointLocation", store.new_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return out.read().withColumn("cost", F.round("cost", 6))

@@ -29,7 +29,7 @@ def save_jsonl(rows: DataFrame, path: str, append: bool = False) -> None:
 def sections(rows: DataFrame, text: str = "text", keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """keys, pos, title, body of each `## ` section; one without a line of body is dropped."""
     parts = F.split(F.concat(F.lit("\n"), F.col(text)), "\n## ")
-    cut = rows.select(*keys, F.posexplode(F.slice(parts, 2, 1_000_000)).alias("pos", "part"))
+    cut = rows.select(*keys, F.posexplode(F.slice(parts, F.lit(2), F.size(parts))).alias("pos", "part"))
     title, body = F.substring_index("part", "\n", 1), F.when(F.contains("part", F.lit("\n")), strip(F.regexp_replace("part", r"^[^\n]*\n", ""))).otherwise("")
     return cut.select(*keys, F.col("pos").cast("long").alias("pos"), title.alias("title"), body.alias("body")).where("body <> ''")
 
@@ -62,4 +62,14 @@ def cached(cache: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return asked.join(cache.select("key"), "key", "left_semi"), asked.join(cache.select("key"), "key", "left_anti")
 
 
+def seeds(rows: DataFrame) -> DataFrame:
+    """id, prompt of handwritten examples (id, prompt, user_message): the first text there is, blank ones skipped. An id that is
+    there twice is an error, as later stages know an example by it."""
+    out = rows.select("id", strip(F.coalesce(F.nullif(F.col("prompt"), F.lit("")), "user_message", F.lit(""))).alias("prompt")).where("prompt <> ''")
+    twice = out.where("id is not null").groupBy("id").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"the id {twice[0].id} is there twice")
+    return out
+
+
 MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
