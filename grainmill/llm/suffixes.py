@@ -16,10 +16,11 @@ documents, and strings are judged on the input. The work is dealt so that no glo
 
 An anchor that very many blocks share sends its windows one by one, each to the task of the window's own bytes, again
 once for each block. So a passage that stands in a third of all documents costs each block one row, never a task all.
-Whole texts that are copies of another row's take no part; all their bytes go, if they have a window at all.
+Whole texts that are copies of another row's, told by their SHA-256, take no part; all their bytes go, if they have a
+window at all. Slices of equal hash are compared byte by byte before one stands for the others.
 
 Null texts are empty. Texts shorter than `length` keep all. Rows of equal doc_id don't remove from each other, rows
-without a doc_id count as last. An empty table gives an empty result. Extra columns play no part and are not returned.
+without a doc_id count as last. Very long texts are one row of their block, read slab by slab. An empty table gives an empty result. Extra columns play no part and are not returned.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix64, slabs, utf8, written
+from .common import lean, mix64, slabs, spread, utf8, written
 from .neardup import _B, _B_INVERSE, _powers
 
 Key = tuple[pa.Scalar, ...]
 LENGTH, GRAM = 50, 20
-SLAB = 1 << 20
+#: Bytes whose anchors are found, or whose windows are sorted, at once.
+SLAB = 1 << 19
 #: Text bytes in a block, and the number of blocks that makes an anchor a hot one.
 BLOCK_BYTES, HOT = 6 << 20, 500
 LAST = (1 << 63) - 1
@@ -238,12 +240,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     spark = docs.sparkSession
     carried = [F.col(c).alias(f"__{c}") for c in carry]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *carried).withColumn("h", F.xxhash64("text"))
-    keyed = written(rows.select("doc_id", "h", F.octet_length("text").alias("n"), F.md5(F.encode("text", "UTF-8")).alias("md5")), "texts")
+    keyed = written(rows.select("doc_id", "h", F.octet_length("text").alias("n"), F.sha2(F.encode("text", "UTF-8"), 256).alias("sha")), "texts")
     blocks = max(1, -(-(keyed.agg(F.sum("n")).first()[0] or 0) // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
+    block = F.pmod(F.xxhash64("doc_id", "h"), F.lit(blocks)).cast("int").alias("block")
     last = F.coalesce("doc_id", F.lit(LAST))
-    first = keyed.groupBy("md5", "n").agg(F.min(last).alias("first"))
-    copies = keyed.where(F.col("n") >= length).join(first, ["md5", "n"]).where(last > F.col("first")).select("doc_id", "h", block)
+    first = keyed.groupBy("sha", "n").agg(F.min(last).alias("first"))
+    copies = keyed.where(F.col("n") >= length).join(first, ["sha", "n"]).where(last > F.col("first")).select("doc_id", "h", block)
 
     def name_copies(key: Key, pdf: pa.Table) -> pa.Table:
         body = _same(_ids(pdf["doc_id"]), pdf["h"].to_numpy()).tobytes()
@@ -252,6 +254,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     copied = written(copies.groupBy("block").applyInArrow(name_copies, NOTE), "copies")
     dealt = rows.select(block, "doc_id", "h", "text", *[f"__{c}" for c in carry])
 
+    @lean
     def ask(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
         mine = Anchors(length, gram)
         _, name, part, body, offsets = _texts(left, notes)
@@ -269,17 +272,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         many = np.minimum.reduceat(of, start) != np.maximum.reduceat(of, start) if len(start) else np.zeros(0, bool)
         keys = keys[start]
         task = (keys % np.uint64(blocks)).astype(np.int64)
-        by = np.argsort(task, kind="stable")
-        edges = np.searchsorted(task[by], np.arange(blocks + 1))
         out = {"task": ([], pa.int32()), "block": ([], pa.int32()), "ones": ([], pa.binary()), "twos": ([], pa.binary())}
-        for t in range(blocks):
-            pick = by[edges[t] : edges[t + 1]]
-            if len(pick):
-                ones, twos = keys[pick][~many[pick]], keys[pick][many[pick]]
-                for c, x in zip(out, (t, key[0].as_py(), _six(ones), _six(twos))):
-                    out[c][0].append(x)
+        for t, pick in _by_task(task):
+            ones, twos = keys[pick][~many[pick]], keys[pick][many[pick]]
+            for c, x in zip(out, (t, key[0].as_py(), _six(ones), _six(twos))):
+                out[c][0].append(x)
         return _row(out)
 
+    @lean
     def answer(pdf: pa.Table) -> pa.Table:
         of = pdf["block"].to_pylist()
         ones, twos = ([_wide(b) for b in pdf[c].to_pylist()] for c in ("ones", "twos"))
@@ -289,8 +289,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
         shared = value[(count > 1) | _members(value, two)]
         heavy = value[count > hot]
         out = {"block": ([], pa.int32()), "kind": ([], pa.int32()), "body": ([], pa.binary())}
-        for b in sorted(set(of)):
-            mine = np.concatenate([x for k, x, y in zip(of, ones, twos) if k == b] + [y for k, y in zip(of, twos) if k == b])
+        at: dict[int, list[int]] = {}
+        for i, b in enumerate(of):
+            at.setdefault(b, []).append(i)
+        for b, own in sorted(at.items()):
+            mine = np.concatenate([x[i] for i in own for x in (ones, twos)])
             mine = mine[_members(mine, shared)]
             of_heavy = _members(mine, heavy)
             for kind, keys in ((1, mine[~of_heavy]), (2, mine[of_heavy])):
@@ -299,6 +302,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                         out[c][0].append(x)
         return _row(out)
 
+    @lean
     def send(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
         """Slices of shared anchors, for their tasks, and spans that are marked already."""
         mine = Anchors(length, gram)
@@ -317,6 +321,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 w, t = mine.windows(total, start), np.repeat(text[a], many)
                 got.append((w & np.uint64((1 << 48) - 1), ids[t], name[t], start + base - offsets[t], start + base, np.ones(len(t), np.int64), w))
         keys, doc, row, pos, at, count, h = (np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.uint64),) * 7
+        h = _told_apart(keys, doc, h, at, count - 1 + length, body)
         order = np.lexsort((doc, h, keys))
         keys, doc, row, pos, at, count, h = (x[order] for x in (keys, doc, row, pos, at, count, h))
         new = np.ones(len(keys), bool)
@@ -332,19 +337,16 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 out[c][0].append(x)
         go = np.flatnonzero(~sure)
         task = (mix64(keys[go].astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
-        by = np.argsort(task, kind="stable")
-        edges = np.searchsorted(task[by], np.arange(blocks + 1))
-        for t in range(blocks):
-            pick = go[by[edges[t] : edges[t + 1]]]
-            if len(pick):
-                size = count[pick] - 1 + length
-                ends = np.cumsum(size)
-                index = np.repeat(at[pick] - (ends - size), size) + np.arange(ends[-1])
-                facts = np.stack([keys[pick].astype(np.int64), doc[pick].astype(np.int64), row[pick].astype(np.int64), pos[pick], count[pick], h[pick].astype(np.uint64).view(np.int64)]).astype(np.int64)
-                for c, x in zip(out, (t, key[0].as_py(), facts.tobytes(), body[index].tobytes())):
-                    out[c][0].append(x)
+        for t, own in _by_task(task):
+            pick = go[own]
+            size = count[pick] - 1 + length
+            index = spread(at[pick], size)
+            facts = np.stack([keys[pick].astype(np.int64), doc[pick].astype(np.int64), row[pick].astype(np.int64), pos[pick], count[pick], h[pick].astype(np.uint64).view(np.int64)]).astype(np.int64)
+            for c, x in zip(out, (t, key[0].as_py(), facts.tobytes(), body[index].tobytes())):
+                out[c][0].append(x)
         return _row(out)
 
+    @lean
     def sort(pdf: pa.Table) -> pa.Table:
         out = {"block": ([], pa.int32()), "kind": ([], pa.int32()), "body": ([], pa.binary())}
         facts, texts, of = [], [], []
@@ -363,6 +365,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                     out[c][0].append(x)
         return _row(out)
 
+    @lean
     def finish(key: Key, left: pa.Table, notes: pa.Table) -> pa.Table:
         _, name, part, body, offsets = _texts(left, notes)
         marks = [np.frombuffer(b, np.int64).reshape(3, -1) for k, b in zip(notes["kind"].to_pylist(), notes["body"].to_pylist()) if k == 3]
@@ -398,6 +401,39 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     return out.select("doc_id", "n_bytes", "spans", "kept", *[F.col(f"__{c}").alias(c) for c in carry])
 
 
+def _by_task(task: np.ndarray):
+    """(task, places) of those tasks that stand in the array."""
+    by = np.argsort(task, kind="stable")
+    ends = np.flatnonzero(np.append(task[by][1:] != task[by][:-1], True)) + 1 if len(by) else []
+    start = 0
+    for end in ends:
+        yield int(task[by[start]]), by[start:end]
+        start = end
+
+
+def _told_apart(key: np.ndarray, doc: np.ndarray, h: np.ndarray, at: np.ndarray, size: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """h, made another where a slice of equal key and h as one of a smaller document hasn't the same bytes."""
+    if not len(h):
+        return h
+    order = np.lexsort((doc, h, key))
+    new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (h[order][1:] != h[order][:-1])])
+    lead = order[new][np.cumsum(new) - 1]
+    left, right = order[~new], lead[~new]
+    same = size[left] == size[right]
+    left, right, odd = left[same], right[same], left[~same]
+    upto, i = np.cumsum(size[left]), 0
+    while i < len(left):
+        j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + SLAB, side="right")))
+        equal = body[spread(at[left[i:j]], size[left[i:j]])] == body[spread(at[right[i:j]], size[right[i:j]])]
+        odd = np.concatenate([odd, left[i:j][~np.logical_and.reduceat(equal, upto[i:j] - size[left[i:j]] - (upto[i - 1] if i else 0))]])
+        i = j
+    if len(odd):
+        h = h.copy()
+        h[odd] = (mix64(np.arange(1, len(odd) + 1, dtype=np.uint64)) ^ h[odd].astype(np.int64).view(np.uint64)).astype(h.dtype)
+        return _told_apart(key, doc, h, at, size, body)
+    return h
+
+
 def _six(keys: np.ndarray) -> bytes:
     """The lower 48 bits, six bytes each."""
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -428,6 +464,7 @@ def _marked(key, doc, row, pos, count, h, body, of, length: int):
     """Spans by block, of rows by their names, of those windows that a smaller doc_id also has."""
     size = count - 1 + length
     at = np.cumsum(size) - size
+    h = _told_apart(key, doc, h, at, size, body)
     order = np.lexsort((doc, h, key))
     new = np.ones(len(order), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (h[order][1:] != h[order][:-1])
@@ -449,7 +486,7 @@ def _marked(key, doc, row, pos, count, h, body, of, length: int):
         yield int(b), every[1:, every[0] == b]
 
 
-def _by_key(keys: np.ndarray, sizes: np.ndarray, most: int = 1 << 20):
+def _by_key(keys: np.ndarray, sizes: np.ndarray, most: int = SLAB):
     """Slices of the rows, whole keys each and about `most` bytes."""
     if not len(keys):
         return
@@ -465,7 +502,7 @@ def _by_key(keys: np.ndarray, sizes: np.ndarray, most: int = 1 << 20):
 def _sorted_marks(pick, doc, row, pos, count, size, at, body, of, length: int) -> np.ndarray:
     """(block, row, start, end) of the windows of these slices that a smaller doc_id has among them too."""
     ends = np.cumsum(size[pick])
-    text = body[np.repeat(at[pick] - (ends - size[pick]), size[pick]) + np.arange(ends[-1])]
+    text = body[spread(at[pick], size[pick])]
     n = count[pick]
     inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     starts = np.repeat(ends - size[pick], n) + inside
