@@ -4,9 +4,9 @@ A text's paragraphs are its lines, cut after every WORDS words; their 64-bit dig
 three cells of a table, one in each third: a cell counts, and xors digests and their checks. The fingerprint is the table
 of CELLS cells as a string, so equal texts have equal fingerprints. Subtracting two tables leaves the digests in which the
 texts differ: a cell with one of them is read and taken out of its other cells, until the table is empty. If it can't be
-emptied, larger tables are tried: digests are parted by hash into lots of a few, each with a table of its own, and
-lots that still fail get tables of 4 and 16 times the cells; should those fail, the lot is compared digest by digest.
-Likeness is the share of both texts' digests that the other has: 1 for the same set, 0 if all differ; 1 if both are empty.
+emptied, larger sketches of both versions are made, subtracted and peeled: RETRIES in turn, of a size that grows with the
+texts and with other places for the digests each time. The odds that all of them fail are below 1e-9; such a pair is
+compared digest by digest. Likeness is the share of both texts' digests that the other has: 1 for the same set, 0 if all differ; 1 if both are empty.
 
 The edited text has its last floor(n / 2) code points replaced by the first as many, or all, of the next document in
 descending order of doc_id; after the last comes the first. Documents of equal doc_id have one place in that order, and
@@ -25,7 +25,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import written
 
-WORDS, CELLS, LOT, ROUNDS = 16, 24, 10, 12
+WORDS = 16
+#: Cells of the published sketch; each third of a table is so wide.
+CELLS = 24
+#: What a retry's thirds are at least, the share of both texts' digests that they add, and the retries' salts.
+RETRIES = ((32, 0.5, 1), (128, 1.0, 2), (512, 4.0, 3))
+#: Rounds of peeling; each takes out all digests that stand alone in a cell.
+ROUNDS = 40
 PARAGRAPHS = rf"(?:\S++[^\S\n]*+){{1,{WORDS}}}+"
 
 
@@ -39,98 +45,89 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPHS), F.lit(0)), lambda p: F.xxhash64(F.rtrim(p))))
 
 
-def _element(k: Column, sign: Column, cells: int) -> Column:
-    width = cells // 3
-    place = lambda m, t: (F.shiftrightunsigned(m, 8 * t).bitwiseAND(F.lit(width - 1)) + F.lit(t * width)).cast("int")
-    m = F.xxhash64(k, F.lit(cells))
-    return F.struct(k.alias("k"), sign.cast("int").alias("s"), F.hash(k).alias("h"), place(m, 0).alias("p0"), place(m, 1).alias("p1"), place(m, 2).alias("p2"))
+# A table is an array of its cells that aren't zero, in order: p the place, c the count, k the xor of digests, h of checks.
 
 
-def _cell(c: Column, k: Column, h: Column) -> Column:
-    return F.struct(c.cast("int").alias("c"), k.cast("long").alias("k"), h.cast("int").alias("h"))
+def _cell(p: Column, c: Column, k: Column, h: Column) -> Column:
+    return F.struct(p.cast("int").alias("p"), c.cast("int").alias("c"), k.cast("long").alias("k"), h.cast("int").alias("h"))
 
 
-def _put(cell: Column, elements: Column, i: Column, sign: int) -> Column:
-    """The cell at place i with the elements that fall there added (sign 1) or taken out (-1)."""
-    here = lambda e: (e["p0"] == i) | (e["p1"] == i) | (e["p2"] == i)
-    add = lambda x, e: _cell(x["c"] + e["s"] * F.lit(sign), x["k"].bitwiseXOR(e["k"]), x["h"].bitwiseXOR(e["h"]))
-    return F.aggregate(elements, cell, lambda x, e: F.when(here(e), add(x, e)).otherwise(x))
+def _cells_of(k: Column, sign: Column, width: Column, salt: int) -> list[Column]:
+    """The three cells of one digest, one in each third of a table."""
+    m = F.xxhash64(k, F.lit(salt))
+    place = lambda t: F.pmod(F.shiftrightunsigned(m, 20 * t).bitwiseAND(F.lit((1 << 20) - 1)), width) + F.lit(t) * width
+    return [_cell(place(t), sign, k, F.hash(k)) for t in range(3)]
 
 
-def table(elements: Column, cells: int) -> Column:
-    zero = _cell(F.lit(0), F.lit(0), F.lit(0))
-    return F.transform(F.sequence(F.lit(0), F.lit(cells - 1)), lambda i: _put(zero, elements, i, 1))
+def _summed(cells: Column) -> Column:
+    """Cells of equal place as one: sorted, and runs added up."""
 
+    def run(u: Column, at: Column, n: Column) -> Column:
+        first = F.get(u, at)
+        add = lambda x, y: _cell(x["p"], x["c"] + y["c"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"]))
+        return F.when(n == 1, first).otherwise(F.aggregate(F.slice(u, at + 2, n - 1), first, add))
 
-def sketch(digests_: Column, cells: int = CELLS) -> Column:
-    return let(F.transform(digests_, lambda k: _element(k, F.lit(1), cells)), lambda e: table(e, cells))
+    def runs(u: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(0), F.size(u)), lambda i: (i == 0) | (i == F.size(u)) | (F.get(u, i)["p"] != F.get(u, i - 1)["p"]))
+        return let(ends, lambda e: F.transform(F.slice(e, F.lit(1), F.size(e) - 1), lambda at, j: run(u, at, F.get(e, j + 1) - at)))
 
+    return F.filter(let(F.sort_array(cells), runs), lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["h"] != 0))
 
-def text_of(cells: Column) -> Column:
+
+def sketch(digests_: Column, width: Column | None = None, salt: int = 0) -> Column:
+    width = F.lit(CELLS // 3) if width is None else width
+    return _summed(F.flatten(F.transform(digests_, lambda k: F.array(*_cells_of(k, F.lit(1), width, salt)))))
+
+
+def text_of(table: Column) -> Column:
     """The fingerprint as it is shown."""
-    return F.array_join(F.transform(cells, lambda x: F.concat_ws(":", x["c"].cast("string"), F.hex(x["k"]), F.hex(x["h"]))), ";")
+    return F.array_join(F.transform(table, lambda x: F.concat_ws(":", x["p"].cast("string"), x["c"].cast("string"), F.hex(x["k"]), F.hex(x["h"]))), ";")
 
 
 def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: _cell(x["c"] - y["c"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
+    return _summed(F.concat(a, F.transform(b, lambda x: _cell(x["p"], -x["c"], x["k"], x["h"]))))
 
 
-def peel(cells_: Column, cells: int) -> Column:
+def peel(table: Column, width: Column | None = None, salt: int = 0) -> Column:
     """The digests left in a table, array<struct<k, s>>, s 1 for the first text's and -1 for the second's; null if it
     can't be emptied."""
+    width = F.lit(CELLS // 3) if width is None else width
     lone = lambda x: (F.abs(x["c"]) == 1) & (x["h"] == F.hash(x["k"]))
-    pure = lambda table_: F.array_distinct(F.transform(F.filter(table_, lone), lambda x: _element(x["k"], x["c"], cells)))
-    some = F.transform(F.filter(F.array(F.struct(F.lit(0).cast("long").alias("k"), F.lit(0).cast("int").alias("s"))), lambda x: x["s"] != 0), lambda x: x)
-    state = lambda table_, found: F.struct(table_.alias("t"), found.alias("f"))
+    pure = lambda t: F.array_distinct(F.transform(F.filter(t, lone), lambda x: F.struct(x["k"].alias("k"), x["c"].alias("s"))))
+    none = F.filter(F.array(F.struct(F.lit(0).cast("long").alias("k"), F.lit(0).cast("int").alias("s"))), lambda x: x["s"] != 0)
+    state = lambda t, found, over: F.struct(t.alias("t"), found.alias("f"), over.alias("over"))
 
     def step(at: Column, _: Column) -> Column:
         def with_(p: Column) -> Column:
-            rest = F.transform(at["t"], lambda x, i: _put(x, p, i, -1))
-            found = F.concat(at["f"], F.transform(p, lambda e: F.struct(e["k"].alias("k"), e["s"].alias("s"))))
-            return F.when(F.size(p) == 0, at).otherwise(state(rest, found))
-
-        return let(pure(at["t"]), with_)
-
-    left = lambda table_: F.exists(table_, lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["h"] != 0))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state(cells_, some), step, lambda at: F.when(~left(at["t"]), at["f"]))
-
-
-def _lots(a: Column, b: Column) -> Column:
-    """The digests of both texts, parted by hash into lots of about LOT: array<array<struct<lot, k, s>>>."""
-    n = F.greatest(F.lit(1), ((F.size(a) + F.size(b)) / F.lit(LOT)).cast("int"))
-
-    def dealt(n_: Column) -> Column:
-        side = lambda x, sign: F.transform(x, lambda k: F.struct(F.pmod(F.shiftrightunsigned(F.xxhash64(k, F.lit("lot")), 8), n_).alias("lot"), k.alias("k"), F.lit(sign).alias("s")))
-        return F.array_sort(F.concat(side(a, 1), side(b, -1)))
+            out = F.flatten(F.transform(p, lambda e: F.array(*_cells_of(e["k"], -e["s"], width, salt))))
+            return F.when(F.size(p) == 0, state(at["t"], at["f"], F.lit(True))).otherwise(state(_summed(F.concat(at["t"], out)), F.concat(at["f"], p), F.lit(False)))
 
-    def parted(u: Column) -> Column:
-        edge = F.filter(F.sequence(F.lit(0), F.size(u)), lambda i: (i == 0) | (i == F.size(u)) | (F.get(u, i)["lot"] != F.get(u, i - 1)["lot"]))
-        return let(edge, lambda e: F.transform(F.slice(e, F.lit(1), F.size(e) - 1), lambda x, j: F.slice(u, x + 1, F.get(e, j + 1) - x)))
+        return F.when(at["over"], at).otherwise(let(pure(at["t"]), with_))
 
-    return let(let(n, dealt), parted)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state(table, none, F.lit(False)), step, lambda at: F.when(F.size(at["t"]) == 0, at["f"]))
 
 
-def _tried(lot: Column, cells: int) -> Column:
-    placed = F.transform(lot, lambda x: _element(x["k"], x["s"], cells))
-    return let(placed, lambda e: peel(table(e, cells), cells))
+def _larger(a: Column, b: Column, least: int, share: float, salt: int) -> Column:
+    """The difference by larger sketches of both versions."""
+    width = F.greatest(F.lit(least), (F.lit(share) * (F.size(a) + F.size(b))).cast("int") + F.lit(least))
+    return let(width, lambda w: peel(subtract(sketch(a, w, salt), sketch(b, w, salt)), w, salt))
 
 
-def _plain(lot: Column) -> Column:
-    """Digest by digest: those that stand once."""
-    alone = lambda u: F.filter(u, lambda x, i: ~((F.get(u, i - 1)["k"].eqNullSafe(x["k"])) | (F.get(u, i + 1)["k"].eqNullSafe(x["k"]))))
-    return F.transform(let(F.array_sort(lot), alone), lambda x: F.struct(x["k"].alias("k"), x["s"].alias("s")))
+def _plain(a: Column, b: Column) -> Column:
+    """Digest by digest, for the one pair in some billions whose sketches all fail."""
+    side = lambda x, y, s: F.transform(F.array_except(x, y), lambda k: F.struct(k.alias("k"), F.lit(s).cast("int").alias("s")))
+    return F.concat(side(a, b, 1), side(b, a, -1))
 
 
 def differing(a: Column, b: Column, ta: Column, tb: Column) -> Column:
     """array<struct<k, s>> of the digests in which two texts differ, from their sketches or from larger ones."""
-    larger = lambda: F.flatten(F.transform(_lots(a, b), lambda lot: F.coalesce(_tried(lot, CELLS), _tried(lot, 4 * CELLS), _tried(lot, 16 * CELLS), _plain(lot))))
-    none = F.size(a) + F.size(b) == 0
-    return F.coalesce(F.when(~none, peel(subtract(ta, tb), CELLS)), F.when(~none, larger()))
+    return F.coalesce(peel(subtract(ta, tb)), *(_larger(a, b, *retry) for retry in RETRIES), _plain(a, b))
 
 
 def likeness(a: Column, b: Column, ta: Column, tb: Column) -> Column:
     both = F.size(a) + F.size(b)
-    return F.when(both == 0, 1.0).otherwise((both - F.size(differing(a, b, ta, tb))) / both)
+    same = both - F.size(differing(a, b, ta, tb))
+    return F.when(both == 0, 1.0).otherwise(F.try_divide(same, both))
 
 
 def successors(ids: DataFrame) -> DataFrame:
