@@ -1,15 +1,19 @@
 """WARC records in ZIP packages, and a reader that never extracts them.
 
 Writing: every task packs its rows into archives of its own. An archive is a ZIP package (ZIP64 fields, members stored,
-not deflated) of `archive/data.warc.gz`, in which each record is a gzip member, and `indexes/index.jsonl`, a line for
+not deflated) of `archive/data.warc.gz`, in which each record is a gzip member, and `indexes/index.cdxj`, a line for
 each record with its place. Of records with equal payloads of at least `least` bytes that with the largest id is the
 response, the others are revisits that refer to it and carry no payload. An archive's name is fresh for each attempt and
 counts only through the row that names it, so lost or repeated tasks leave no trace in the result.
 
 Reading: the end record, the ZIP64 locator and record where they are, and the central directory are parsed from ranges
-of bytes; the stored members' places follow, the index is read, and records are read by range, neighbours together.
+of bytes; the stored members' places follow. Any member named *.warc.gz or *.warc is an archive, any named *.cdxj, *.cdx,
+*.jsonl or *.json (or those with .gz) an index, of lines that end in a JSON object with offset, length and, if there are
+several archives, filename. Indexed records are read by range, neighbours together; an archive that no index lists is read
+through, record after record.
 
-Null payloads are empty ones. Null ids are kept as null and count as smaller than any other. Rows that repeat an id and
+Null payloads are empty ones. Very long payloads are records like others; one record at a time is in memory. Of equal ids
+among equal payloads, ties, one row is the response and the others refer to the same id. Null ids are kept as null and count as smaller than any other. Rows that repeat an id and
 a payload are records each. An empty table gives no archive and an empty result. Extra columns are not written.
 """
 
@@ -31,9 +35,10 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import new_path, written
+from .common import lean, new_path, written
 
-DATA, INDEX = "archive/data.warc.gz", "indexes/index.jsonl"
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx", ".jsonl", ".json")
 #: An archive is closed when it holds so many bytes; a range of neighbouring records that is read at once.
 ARCHIVE_BYTES, READ_BYTES = 64 << 20, 2 << 20
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -89,7 +94,7 @@ class Package:
 
     def add(self, page_id: int | None, body: bytes) -> None:
         self.member.write(body)
-        self.lines.append(json.dumps({"id": page_id, "offset": self.at, "length": len(body)}))
+        self.lines.append(f"urn:page:{'none' if page_id is None else page_id} 19700101000000 " + json.dumps({"offset": self.at, "length": len(body), "filename": DATA.rpartition("/")[2]}))
         self.at += len(body)
 
     def close(self) -> tuple[str, int, int]:
@@ -126,6 +131,7 @@ def typed(pages: DataFrame, least: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     """Write all rows; the result has a row for each archive that counts: archive, records, bytes."""
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         package, done = None, []
         for batch in batches:
@@ -201,21 +207,60 @@ class Archive:
         n, m = struct.unpack_from("<HH", head, 26)
         return at + 30 + n + m, size
 
+    def indexed(self) -> dict[str, list[tuple[int, int]]]:
+        """Of each archive member, the places (offset, length) that the package's indexes list, in order."""
+        archives = [m for m in self.members if m.endswith(ARCHIVES)]
+        named = {m.rpartition("/")[2]: m for m in archives}
+        found: dict[str, set[tuple[int, int]]] = {m: set() for m in archives}
+        for name in self.members:
+            if name.removesuffix(".gz").endswith(INDEXES):
+                at, size = self.stored(name)
+                body = self.read(at, size)
+                for line in (gzip.decompress(body) if name.endswith(".gz") else body).splitlines():
+                    try:
+                        entry = json.loads(line[line.index(b"{") :])
+                        place = int(entry["offset"]), int(entry["length"])
+                    except (ValueError, KeyError, TypeError):
+                        continue  # a header, or a line of another kind of JSON member
+                    of = named.get(str(entry.get("filename", "")).rpartition("/")[2]) or (archives[0] if len(archives) == 1 else None)
+                    if of:
+                        found[of].add(place)
+        return {m: sorted(places) for m, places in found.items()}
+
     def records(self) -> Iterator[bytes]:
-        """The gzip members that the index lists, neighbours read together."""
-        at, size = self.stored(INDEX)
-        places = [(x["offset"], x["length"]) for x in map(json.loads, self.read(at, size).splitlines())]
-        start, total = self.stored(DATA)
-        i = 0
-        while i < len(places):
-            j, first = i, places[i][0]
-            while j < len(places) and places[j][0] + places[j][1] - first <= max(READ_BYTES, places[i][1]):
-                j += 1
-            if places[j - 1][0] + places[j - 1][1] > total:
-                raise ValueError("the index leaves its member")
-            body = self.read(start + first, places[j - 1][0] + places[j - 1][1] - first)
-            yield from (body[a - first : a - first + n] for a, n in places[i:j])
-            i = j
+        """The gzip members of all archives: by their index, neighbours read together, or else one after the other."""
+        for name, places in self.indexed().items():
+            start, total = self.stored(name)
+            if not places:
+                yield from self._through(start, total)
+            i = 0
+            while i < len(places):
+                j, first = i, places[i][0]
+                while j < len(places) and places[j][0] + places[j][1] - first <= max(READ_BYTES, places[i][1]):
+                    j += 1
+                if places[j - 1][0] + places[j - 1][1] > total:
+                    raise ValueError("the index leaves its member")
+                body = self.read(start + first, places[j - 1][0] + places[j - 1][1] - first)
+                yield from (body[a - first : a - first + n] for a, n in places[i:j])
+                i = j
+
+    def _through(self, start: int, total: int) -> Iterator[bytes]:
+        """Gzip members without an index: where one ends, the next begins."""
+        at, held = start, b""
+        unzip, member = zlib.decompressobj(wbits=31), []
+        while at < start + total or held:
+            if not held:
+                held = self.read(at, min(READ_BYTES, start + total - at))
+                at += len(held)
+            unzip.decompress(held)
+            used = len(held) - len(unzip.unused_data)
+            member.append(held[:used])
+            held = held[used:]
+            if unzip.eof:
+                yield b"".join(member)
+                unzip, member = zlib.decompressobj(wbits=31), []
+        if member:
+            raise ValueError("the last record is cut off")
 
 
 def facts(member: bytes) -> tuple[int | None, int, str, str, int | None]:
@@ -232,6 +277,7 @@ def read(archives: DataFrame, folder: str, payload: bool = False) -> DataFrame:
     payload as stored (none for revisits) if asked for."""
     names = [f.split()[0] for f in RECORDS.split(", ")] + ["payload"] * payload
 
+    @lean
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch.archive:
