@@ -5,8 +5,9 @@ path; `*` in a path stands for any run of characters. The longest fitting rule w
 then `block` before `allow`). Each rule is filed under one of its whole literal tokens, the one that fewest rules hold;
 a url's tokens fetch candidate rules, and only those run their regular expressions.
 
-Null urls and urls without `://` have an empty host and path, fit no rule and get the default verdict. Repeated urls and
-page ids are judged row by row. Extra columns are kept; the operator's own columns replace any of the same name.
+Null urls and urls without `://` have an empty host and path, fit no rule and get the default verdict. Urls are judged
+whole, however long. Repeated urls and page ids are judged row by row. An empty table gives an empty result, as no rules give
+all rows the default. Extra columns are kept; the operator's own columns replace any of the same name.
 """
 
 from __future__ import annotations
