@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import gc
+import threading
 import time
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -13,32 +15,43 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grainmill.sources.store import discard, new_path, shared_dir, written
 
-__all__ = ["discard", "lean", "mix64", "new_path", "parts", "pieces_of", "shared_dir", "slabs", "small", "spread", "utf8", "written"]
+__all__ = ["discard", "few", "lean", "mix64", "new_path", "parts", "pieces_of", "shared_dir", "slabs", "small", "spread", "trim", "utf8", "written"]
 
-_trimmed = [0.0]
+_tidy: list[threading.Thread] = []
 
 
-def _trim(now: bool = False) -> None:
-    """Give unused memory back: a worker lives on between tasks, and would keep the most that any of them took."""
-    if now or time.monotonic() - _trimmed[0] > 0.25:
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library
-            pass
-        _trimmed[0] = time.monotonic()
+def trim() -> None:
+    """Give memory back that this process doesn't use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # another C library has no such call
+        libc.malloc_trim(0)
+
+
+def _again() -> None:
+    """A worker lives on between tasks, and would keep the most that any took."""
+    libc = ctypes.CDLL(None)
+    while hasattr(libc, "malloc_trim"):
+        time.sleep(1.0)
+        libc.malloc_trim(0)
+
+
+def _start() -> None:
+    if not _tidy:
+        pa.set_memory_pool(pa.system_memory_pool())
+        _tidy.append(threading.Thread(target=_again, daemon=True))
+        _tidy[0].start()
 
 
 def lean(f: Callable) -> Callable:
-    """f for workers: it gives its memory back after each group, or at the end of each iterator."""
+    """f for workers, which then give memory back that they don't use."""
     if f.__code__.co_flags & 0x20:  # a generator function
 
         @wraps(f)
         def scan(batches: Iterator) -> Iterator:
-            try:
-                yield from f(batches)
-            finally:
-                _trim(now=True)
+            _start()
+            yield from f(batches)
 
         return scan
 
@@ -46,17 +59,15 @@ def lean(f: Callable) -> Callable:
 
         @wraps(f)
         def both(key, left, right):
-            out = f(key, left, right)
-            _trim()
-            return out
+            _start()
+            return f(key, left, right)
 
         return both
 
     @wraps(f)
     def group(rows):
-        out = f(rows)
-        _trim()
-        return out
+        _start()
+        return f(rows)
 
     return group
 
@@ -70,6 +81,11 @@ def pieces_of(df: DataFrame) -> int:
     return max(parts(df.sparkSession), df.rdd.getNumPartitions())
 
 
+def few(df: DataFrame) -> DataFrame:
+    """df in fewer partitions, for tables that are small next to the rows they sum up."""
+    return df.coalesce(max(1, parts(df.sparkSession) // 16))
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column, nulls as empty texts; row i is bytes[offsets[i]:offsets[i + 1]]."""
     if isinstance(column, pa.ChunkedArray):

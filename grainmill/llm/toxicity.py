@@ -1,23 +1,26 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of the labelled rows that may be learnt from: at most TOXIC rows of label 1 and CLEAN rows
-of label 0, the first in the order of a hash of the text. Terms are words of letters in lower case and words' first four
-and five letters (marked `*`), so that endings don't hide a stem. The vocabulary is those terms, at most TERMS, that the
-toxic examples hold significantly more often than the clean ones, and of whose labelled rows half at least are toxic. Vectors have (1 + ln count) * idf, of length 1.
-
-A text's K nearest examples are found exactly: blocks of examples are visited in falling order of their upper bound, the
-sum of the query's weights times each term's largest weight in the block, until no block can beat the K-th similarity
-(equal ones go to the smaller place). Their labels vote with their similarities, against a doubt that votes the base
-rate. The share is calibrated by isotonic
-regression on the examples' own votes, each left out of its own, weighed up to the labelled rows. A text without any term
-of the vocabulary has no near example; it gets the rate of label 1 among such examples.
+of label 0, the first in the order of a hash of the text. Terms are all words of letters in lower case that any example
+holds. A term weighs (1 + ln count) times its inverse document frequency, and that frequency's weight is in proportion to
+how far it tells the two labels apart: the absolute difference of the term's log odds from those of the labels, with PRIOR
+rows at the labels' own rate added. No term is left out. Vectors have length 1.
+
+A text's K nearest examples are found exactly. The lists of rare terms give each example a part of its similarity; the
+long lists are bounded by their largest weight in each block of examples, and only blocks of which some example can still
+be among the K are read there (equal similarities go to the smaller place). Neighbours' labels vote with their
+similarities. The share is calibrated by isotonic regression on the examples' own votes, weighed up to the labelled rows.
+An example whose text is the text that is scored has no vote, in calibration as in scoring. A text without any term that
+an example holds has no neighbour; its share is the rate of label 1.
 
 Near copies of one label are one example, so that no group of copies makes its words a sign: texts whose runs of three
 words have the same SKETCH least hashes, and texts of which those hashes, walked in the order of the sample, put the
 Jaccard similarity to a text taken before at ALIKE or more. A sketch is the whole set where there are no more runs. Texts
-without words are alike only if they are equal. The walk goes on until the sample is full or all rows are seen. Null and empty texts have no terms. Without any label 1, or none at all, all texts score the smoothed rate of label 1.
-Rows that repeat a doc_id are scored each; labels of a repeated doc_id count once each. Texts are read whole. Only the
-text enters a score. Extra columns are kept, those of the operator's own names replaced.
+without words are alike only if they are equal. The walk goes on until the sample is full or all rows are seen.
+
+Null and empty texts have no terms. Without any label 1, or none at all, all texts score the rate of label 1. Rows that
+repeat a doc_id are scored each; a doc_id labelled both ways counts as 1. Empty tables give empty results. Texts are read
+whole. Only the text enters a score. Extra columns are kept, those of the operator's own names replaced.
 """
 
 from __future__ import annotations
@@ -29,121 +32,98 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import discard, few, lean, spread, trim, written
 
-#: The bounded sample of labelled rows, the vocabulary's size, and how many neighbours vote.
-TOXIC, CLEAN, TERMS, K = 2000, 4000, 2000, 15
-#: Examples in a block of the index; least number of toxic examples that hold a term; least z of its log odds.
-BLOCK, LEAST, Z = 64, 3, 2.6
+#: The bounded sample of labelled rows, and how many neighbours vote.
+TOXIC, CLEAN, K = 1500, 2500, 9
+#: Examples in a block of the index; the share of examples whose lists are long; rows at the labels' rate in a term's odds.
+BLOCK, LONG, PRIOR = 64, 0.1, 5.0
 WORDS = re.compile(r"[^\W\d_]+")
-STEMS = (4, 5)
 #: Least hashes kept of a text's runs of three words, and the likeness that makes a near copy.
 SKETCH, ALIKE = 64, 0.5
-#: Similarity of a neighbour without a label that votes the base rate, so that far neighbours alone decide little.
-DOUBT = 0.75
-
 
-def words(text: str | None) -> list[str]:
-    return WORDS.findall((text or "").lower())
 
-
-def terms(found: set[str]) -> set[str]:
-    return found.union(*({w[:n] + "*" for w in found if len(w) >= n} for n in STEMS))
+def counted(text: str | None) -> Counter:
+    return Counter(WORDS.findall((text or "").lower()))
 
 
 class Index:
-    """Examples' vectors by term, with each block's largest weight; searched exactly."""
-
-    def __init__(self, vectors: list[dict[int, float]]):
-        self.n = len(vectors)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, v in enumerate(vectors):
-            for t, w in v.items():
-                lists.setdefault(t, []).append((i, w))
-        self.postings = {}
-        for t, rows in lists.items():
-            ids, ws = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            blocks, first = np.unique(ids // BLOCK, return_index=True)
-            self.postings[t] = (ids, ws, blocks, np.append(first, len(ids)), np.maximum.reduceat(ws, first))
-
-    def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[int, float]]:
-        """The k examples of highest cosine above 0 but one, ties to the smaller place."""
-        bound = np.zeros(-(-self.n // BLOCK))
-        held = [(w, self.postings[t]) for t, w in sorted(query.items()) if t in self.postings]
-        for w, (_, _, blocks, _, most) in held:
-            bound[blocks] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-11 < -best[-1][0]:
-                break
-            if len(best) == k and bound[b] <= 1e-11 - best[-1][0] and b * BLOCK > best[-1][1]:
-                continue  # it can at most equal the last one, from a larger place
-            scores = np.zeros(BLOCK)
-            for w, (ids, ws, blocks, first, _) in held:
-                at = int(np.searchsorted(blocks, b))
-                if at < len(blocks) and blocks[at] == b:
-                    part = slice(first[at], first[at + 1])
-                    scores[ids[part] - b * BLOCK] += w * ws[part]
-            best = sorted(best + [(-round(float(s), 12), int(b) * BLOCK + i) for i, s in enumerate(scores) if s > 0 and int(b) * BLOCK + i != but])[:k]
-        return [(i, -s) for s, i in best]
+    """Postings of unit vectors by term, with the largest weight in each block; searched exactly."""
+
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int):
+        order = np.lexsort((example, term))
+        term, self.example, self.weight = term[order], example[order].astype(np.int32), weight[order].astype(np.float32)
+        self.n, self.blocks = examples, -(-examples // BLOCK)
+        block = self.example // BLOCK
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), (term[1:] != term[:-1]) | (block[1:] != block[:-1])]))
+        #: of each pair of a term and a block: where its postings begin, the block, and the largest weight
+        self.at = np.append(first, len(term)).astype(np.int32)
+        self.block = block[first].astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
+        self.pairs = np.searchsorted(term[first], np.arange(terms + 1)).astype(np.int32)
+        self.long = np.bincount(term, minlength=terms) > LONG * examples
+
+    def _sums(self, pairs: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of all examples, over the postings of those pairs."""
+        size = self.at[pairs + 1] - self.at[pairs]
+        place = spread(self.at[pairs], size)
+        return np.bincount(self.example[place], np.repeat(weights, size) * self.weight[place], minlength=self.n).astype(float)
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: list[int] = ()) -> list[tuple[int, float]]:
+        """The k examples of highest cosine above 0 but some, ties to the smaller place."""
+        count = self.pairs[terms + 1] - self.pairs[terms]
+        pairs, w = spread(self.pairs[terms], count), np.repeat(weights, count)
+        long = np.repeat(self.long[terms], count)
+        score = self._sums(pairs[~long], w[~long])
+        score[list(but)] = -np.inf
+        pairs, w = pairs[long], w[long]
+        bound = np.bincount(self.block[pairs], w * self.most[pairs], minlength=self.blocks)  # of what long lists can add
+        part = np.maximum.reduceat(score, np.arange(0, self.n, BLOCK))
+        kth = max(0.0, float(np.partition(score, self.n - k)[self.n - k])) if self.n > k else 0.0
+        able = (part + bound >= kth - 1e-6) & (part > -np.inf)
+        score += self._sums(pairs[able[self.block[pairs]]], w[able[self.block[pairs]]])
+        score = np.where(np.repeat(able, BLOCK)[: self.n], np.round(score, 9), -np.inf)
+        best = np.argpartition(-score, k)[:k] if self.n > k else np.arange(self.n)
+        if self.n > k:  # with all that equal the last one
+            best = np.flatnonzero(score >= score[best].min())
+        best = best[score[best] > 0]
+        return [(int(i), float(score[i])) for i in best[np.lexsort((best, -score[best]))][:k]]
 
 
 class Model:
-    """Vocabulary, index and calibration; its size is bounded by the sample's."""
-
-    def __init__(self, examples: list[tuple[int, int, dict[str, int]]], idf: dict[str, float], weights: tuple[float, float]):
-        self.place = {t: i for i, t in enumerate(sorted(idf))}
-        self.idf = [idf[t] for t in sorted(idf)]
-        self.stems = {t[:-1] for t in idf if t.endswith("*")}
-        self.whole = {t for t in idf if not t.endswith("*")}
-        held = [(d, label, v) for d, label, counts in examples if (v := self.vector(counts))]
-        self.ids, self.labels = [h[0] for h in held], [h[1] for h in held]
-        self.index = Index([h[2] for h in held])
-        # label 0 and 1 among the examples without terms, in labelled rows; one row of each is added
-        bare = [sum(weights[label] for _, label, counts in examples if label == y and not self.vector(counts)) for y in (0, 1)]
-        total = [max(1.0, sum(weights[label] for _, label, _ in examples if label == y)) for y in (0, 1)]
-        rate = self.rate = total[1] / sum(total) if examples else 0.0
-        self.none = min((bare[1] + rate) / (sum(bare) + 1), 0.69)
-        votes = sorted((self.share(self.index.nearest(v, K, but=i)), label) for i, (_, label, v) in enumerate(held))
-        self.knots = _isotonic([(s, label, weights[label]) for s, label in votes], rate)
-        self.seen: dict[tuple, tuple[float, list]] = {}
-
-    def vector(self, counts: dict[str, int]) -> dict[int, float]:
-        raw = {self.place[t]: (1 + math.log(c)) * self.idf[self.place[t]] for t, c in counts.items() if t in self.place}
-        norm = math.sqrt(sum(x * x for x in raw.values()))
-        return {t: x / norm for t, x in raw.items()}
+    """Terms, index and calibration; its size is bounded by the sample's texts."""
+
+    def __init__(self, doc_ids: list, labels: np.ndarray, hashes: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, names: list[str], rate: float):
+        self.ids, self.labels, self.rate = doc_ids, labels.astype(float), rate
+        self.place = {t: i for i, t in enumerate(names)}
+        self.equal: dict[int, list[int]] = {}
+        for i, h in enumerate(hashes.tolist()):
+            self.equal.setdefault(h, []).append(i)
+        n, n1 = len(labels), float(labels.sum())
+        share = min(max(n1 / max(1, n), 1e-9), 1 - 1e-9)
+        held, toxic = np.bincount(term, minlength=len(names)), np.bincount(term, labels[example], minlength=len(names))
+        odds = np.log((toxic + PRIOR * share) / (held - toxic + PRIOR * (1 - share)) * (1 - share) / share)
+        self.weights = np.log((1 + n) / np.minimum(held + 1, n + 0.5)) * np.maximum(np.abs(odds), 1e-6)
+        weight = (1 + np.log(count)) * self.weights[term]
+        norm = np.sqrt(np.bincount(example, weight * weight, minlength=n))
+        self.index = Index(example, term, weight / norm[example], n, len(names))
+        self.knots: tuple[list[float], list[float]] = ([0.0, 1.0], [0.0, 1.0])
+
+    def near(self, text: str | None, h: int) -> list[tuple[int, float]]:
+        found = counted(text)
+        places = [self.place.get(t, -1) for t in found]
+        terms, counts = np.array(places, np.int64), np.fromiter(found.values(), float, len(found))
+        terms, counts = terms[terms >= 0], counts[terms >= 0]
+        if not len(terms):
+            return []
+        w = (1 + np.log(counts)) * self.weights[terms]
+        return self.index.nearest(terms, w / np.sqrt(w @ w), K, self.equal.get(h, ()))
 
     def share(self, near: list[tuple[int, float]]) -> float:
-        return (sum(s for i, s in near if self.labels[i]) + DOUBT * self.rate) / (sum(s for _, s in near) + DOUBT)
-
-    def counts(self, text: str | None) -> dict[str, int]:
-        """Of the vocabulary's terms in the whole text."""
-        found = words(text)
-        once = set(found)
-        hits = {w for w in once if w in self.whole or w[:4] in self.stems or w[:5] in self.stems}
-        out: dict[str, int] = {}
-        for w in found if hits else ():
-            if w in hits:
-                for t in (w, *(w[:n] + "*" for n in STEMS if len(w) >= n)):
-                    if t in self.place:
-                        out[t] = out.get(t, 0) + 1
-        return out
-
-    def score(self, text: str | None) -> tuple[float, list[dict]]:
-        counts = self.counts(text)
-        if not counts or not self.ids:
-            return self.none, []
-        key = tuple(sorted(counts.items()))
-        if key not in self.seen:
-            if len(self.seen) >= 20_000:
-                self.seen.clear()
-            near = self.index.nearest(self.vector(counts), K)
-            evidence = [{"doc_id": self.ids[i], "similarity": s, "toxic": self.labels[i]} for i, s in near[:5]]
-            at, value = self.knots
-            self.seen[key] = (float(np.interp(self.share(near), at, value)) if near else self.none, evidence)
-        return self.seen[key]
+        return sum(s for i, s in near if self.labels[i]) / sum(s for _, s in near) if near else self.rate
 
 
 def _isotonic(votes: list[tuple[float, int, float]], rate: float) -> tuple[list[float], list[float]]:
@@ -186,74 +166,104 @@ def likeness(a: list[int], b: list[int]) -> float:
     return sum(x in both for x in union) / len(union)
 
 
-def sample(rows: DataFrame, most: int) -> list[tuple[int, int, int]]:
-    """doc_id, toxic, h of the first `most` rows in the order of h that are no near copies of ones before."""
+def sample(rows: DataFrame, most: dict[int, int], sketched) -> list[tuple[int, int, int]]:
+    """doc_id, toxic, h: of each label the first rows, `most` of it, in the order of h that are no near copies of ones
+    before. rows(doc_id, toxic, h); sketched gives the sketches of some of them. Only rows of a range of hashes, which are
+    even, reach the driver at a time: at most some 16 times the sample."""
     out: list[tuple[int, int, int]] = []
-    near: list[list[int]] = []
-    held: dict[int, list[int]] = {}
-    # hashes are even, so a range of them holds about `size` rows; only those reach the driver
-    n, size, low, end = max(1, rows.count()), most, -(1 << 63), 1 << 63
-    while len(out) < most and low < end:
-        high = min(end, low + (size << 64) // n + 1)
-        for r in sorted(rows.where(F.col("h").between(low, high - 1)).collect(), key=lambda r: r.h):
+    total = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    state = {y: {"size": 2 * most[y], "low": -(1 << 63), "taken": 0, "near": [], "held": {}} for y in total}
+    end = 1 << 63
+    while open_ := {y: s for y, s in state.items() if s["taken"] < most[y] and s["low"] < end}:
+        part = F.lit(False)
+        for y, s in open_.items():
+            s["high"] = min(end, s["low"] + (s["size"] << 64) // total[y] + 1)
+            part |= (F.col("toxic") == y) & F.col("h").between(s["low"], s["high"] - 1)
+        for r in sorted(sketched(rows.where(part)), key=lambda r: (r.h, r.doc_id)):
+            s = state[r.toxic]
+            near, held = s["near"], s["held"]
             shared = Counter(k for x in r.near for k in held.get(x, ()))
-            if len(out) < most and not any(m >= ALIKE * max(len(r.near), len(near[k])) and likeness(r.near, near[k]) >= ALIKE for k, m in shared.items()):
+            if s["taken"] < most[r.toxic] and not any(m >= ALIKE * max(len(r.near), len(near[k])) and likeness(r.near, near[k]) >= ALIKE for k, m in shared.items()):
                 for x in r.near:
-                    held.setdefault(x, []).append(len(out))
+                    held.setdefault(x, []).append(len(near))
                 out.append((r.doc_id, r.toxic, r.h))
                 near.append(r.near)
-        low, size = high, min(2 * size, 16 * most)
+                s["taken"] += 1
+        for y, s in open_.items():
+            s["low"], s["size"] = s["high"], min(2 * s["size"], 16 * most[y])
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    spark = docs.sparkSession
+    marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text").where(learnable(F.col("doc_id")))
     # hashes of each text meet the labels, not the texts
-    keyed = written(docs.where(learnable(F.col("doc_id"))).select("doc_id", F.xxhash64("text").alias("h"), sketch().alias("near")).join(marked, "doc_id").select("doc_id", "toxic", "h", "near"), "labelled")
+    keyed = written(rows.select("doc_id", "h").join(marked, "doc_id").select("doc_id", "toxic", "h"), "labelled")
     total = {r.toxic: r["count"] for r in keyed.groupBy("toxic").count().collect()}
-    several = keyed.groupBy("toxic", "near").agg(F.min(F.struct("h", "doc_id")).alias("x")).select("toxic", "near", "x.*")
-    several = written(several, "unlike")
-    picked = sample(several.where("toxic = 1"), TOXIC) + sample(several.where("toxic = 0"), CLEAN)
-    picked = F.broadcast(docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int, h long"))
-    found = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(picked, ["doc_id", "h"])
+    equal = written(keyed.groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id")), "unlike")
+
+    def texts(some: list[tuple]) -> DataFrame:
+        """at, toxic, h, text of a bounded number of rows, `at` their place among them: one scan."""
+        table = spark.createDataFrame([(i, *r) for i, r in enumerate(some)], "at long, doc_id long, toxic int, h long")
+        return rows.join(F.broadcast(table), ["doc_id", "h"]).dropDuplicates(["at"])
 
+    def sketched(some: DataFrame) -> Iterator:
+        return texts([(r.doc_id, r.toxic, r.h) for r in some.collect()]).select("doc_id", "toxic", "h", sketch().alias("near")).toLocalIterator()
+
+    picked = sample(equal, {1: TOXIC, 0: CLEAN}, sketched)
+    rate = total.get(1, 0) / max(1, sum(total.values()))
+    ids, marks, hashes = [d for d, _, _ in picked], np.array([y for _, y, _ in picked], float), np.array([h for *_, h in picked], np.int64)
+    found = written(few(texts(picked)), "examples")
+
+    @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out = [(i, t, c) for i, text in zip(batch["at"], batch.text) for t, c in counted(text).items()]
+            yield pd.DataFrame(out, columns=["at", "term", "n"])
+
+    terms = found.select("at", "text").mapInPandas(count, "at long, term string, n long").toArrow()
+    example = terms["at"].to_numpy()
+    coded = terms["term"].combine_chunks().dictionary_encode()
+    names = np.array(coded.dictionary.to_pylist(), object)
+    order = np.argsort(names, kind="stable") if len(names) else np.zeros(0, np.int64)
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    term = rank[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+    model = Model(ids, marks, hashes, example, term, terms["n"].to_numpy().astype(float), names[order].tolist(), rate)
+    del terms, example, coded, names, term, rank, order
+    if 0 < marks.sum() < len(marks):
+        weights = {y: total[y] / (marks == y).sum() for y in (0, 1)}
+        sent = spark.sparkContext.broadcast(model)
+        votes = _judged(found, sent).select("toxic", "__judged.share").collect()
+        sent.destroy()
+        model.knots = _isotonic(sorted((r.share, r.toxic, weights[r.toxic]) for r in votes), rate)
+    else:
+        model.knots = ([0.0], [rate])
+    discard(keyed, equal, found)
+    trim()
+    return model
+
+
+def _judged(docs: DataFrame, sent) -> DataFrame:
+    kind = pa.struct([("score", pa.float64()), ("share", pa.float64()), ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))])
+
+    @lean
+    def judge(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        model = sent.value
+        for texts, hashes in batches:
             out = []
-            for doc, toxic, text in zip(batch.doc_id, batch.toxic, batch.text):
-                c: dict[str, int] = {}
-                for w in words(text):
-                    for t in (w, *(w[:n] + "*" for n in STEMS if len(w) >= n)):
-                        c[t] = c.get(t, 0) + 1
-                out += [(doc, toxic, t, x) for t, x in c.items()] or [(doc, toxic, None, 0)]
-            yield pd.DataFrame(out, columns=["doc_id", "toxic", "term", "n"])
-
-    counted = written(found.select("doc_id", "toxic", "text").mapInPandas(count, "doc_id long, toxic int, term string, n long"), "example-terms")
-    n = {r.toxic: r.n for r in counted.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1:
-        return Model([(0, 0, {})] * min(1, n0), {}, (float(total.get(0, 0)), 1.0))
-    df = counted.where("term is not null").groupBy("term").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b")).where(F.col("a") >= LEAST)
-    a, b, c, d = (F.col("a") + 0.5), (F.col("b") + 0.5), F.lit(n1 + 0.5) - F.col("a"), F.lit(n0 + 0.5) - F.col("b")
-    z = F.log(a * d / (b * c)) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    odds = F.col("a") * total[1] / n1 >= F.col("b") * total.get(0, 0) / max(1, n0)  # toxic rows hold it more often, not only relatively
-    chosen = df.withColumn("z", z).where((F.col("z") >= Z) & odds).orderBy(F.desc("z"), "term").limit(TERMS)
-    idf = {r.term: math.log((1 + n0 + n1) / (1 + r.a + r.b)) + 1 for r in chosen.collect()}
-    kept = counted.where(F.col("term").isin(list(idf)) if idf else F.lit(False)).groupBy("doc_id", "toxic").agg(F.collect_list(F.struct("term", "n")).alias("c"))
-    held = {(r.doc_id, r.toxic): {x.term: x.n for x in r.c} for r in kept.collect()}
-    every = [(r.doc_id, r.toxic) for r in counted.select("doc_id", "toxic").distinct().collect()]
-    examples = sorted(((d, y, held.get((d, y), {})) for d, y in every), key=lambda e: (e[0], e[1]))
-    return Model(examples, idf, (total.get(0, 0) / max(1, n0), total.get(1, 0) / n1))
+            for text, h in zip(texts, hashes):
+                near = model.near(text.as_py(), h.as_py())
+                share = model.share(near)
+                out.append((float(np.interp(share, *model.knots)), share, [{"doc_id": model.ids[i], "similarity": s, "toxic": int(model.labels[i])} for i, s in near[:5]]))
+            yield pa.array([dict(zip(("score", "share", "evidence"), x)) for x in out], kind)
+
+    judge = F.arrow_udf(judge, "score double, share double, evidence array<struct<doc_id: long, similarity: double, toxic: int>>")
+    return docs.withColumn("__judged", judge("text", F.xxhash64("text")))
 
 
 def score(docs: DataFrame, model: Model, at: float = 0.7) -> DataFrame:
     """docs with score, predicted and evidence (at most five nearest examples: doc_id, similarity, label)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("score double, evidence array<struct<doc_id: long, similarity: double, toxic: int>>")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([sent.value.score(x) for x in texts], columns=["score", "evidence"])
-
-    got = docs.withColumn("__judged", judge("text"))
+    got = _judged(docs, docs.sparkSession.sparkContext.broadcast(model))
     return got.withColumns({"score": F.col("__judged.score"), "predicted": (F.col("__judged.score") >= at).cast("int"), "evidence": F.col("__judged.evidence")}).drop("__judged")
