@@ -26,7 +26,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import lean, small, written
+from .common import few, lean, small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: The power of the size that is a document's weight.
@@ -73,8 +73,8 @@ def copies(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3
     rows = sized.select("doc_id", "source", "size", unit.alias("u"), F.round(8 * F.log2(like)).cast("int").alias("step"), octave.alias("octave"), F.xxhash64("text").alias("h"))
     rows = written(rows, "mix-rows")
     # a row for each source, step and octave: a few hundred a source
-    sums = written(rows.groupBy("source", "step", "octave").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix-sums")
-    per = written(targets(sums.withColumnRenamed("words", "size"), weights, cap), "mix-sources")
+    sums = written(few(rows.groupBy("source", "step", "octave").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))), "mix-sums")
+    per = written(few(targets(sums.withColumnRenamed("words", "size"), weights, cap)), "mix-sources")
     named = lambda df: df.withColumnRenamed("source", "s")
     steps = sums.groupBy("source", "step").agg(F.sum("words").alias("words")).withColumn("w", F.pow(F.lit(2.0), F.col("step") / 8))
     steps = steps.join(named(per), steps.source.eqNullSafe(F.col("s"))).drop("s")
@@ -88,12 +88,12 @@ def copies(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), cap: float = 3
     wanted = F.when(F.col("source_size") == 0, 0.0).otherwise(F.least(F.lit(float(cap)), F.greatest(F.lit(0.0), F.coalesce(F.col("level") * F.col("w"), F.lit(float(cap))))))
     steps = steps.withColumn("wanted", wanted).withColumn("whole", F.floor(F.col("wanted") + 1e-9)).withColumn("p", F.greatest(F.lit(0.0), F.col("wanted") - F.col("whole")))
     steps = steps.withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.least("p", F.lit(1 - 1e-9))))
-    steps = written(steps.select("source", "step", "source_size", "target", "wanted", "whole", "p"), "mix-steps")
+    steps = written(few(steps).select("source", "step", "source_size", "target", "wanted", "whole", "p"), "mix-steps")
     # of an octave: the words wanted of the sample, and the documents that it is drawn from
     drawn = sums.join(named(steps).withColumnRenamed("step", "t"), sums.source.eqNullSafe(F.col("s")) & (F.col("step") == F.col("t"))).where("p > 0 and octave >= 0")
     octaves = drawn.groupBy("source", "octave").agg(F.sum(F.col("p") * F.col("words")).alias("owed"), F.sum("words").alias("all"), F.sum("n").alias("n"))
     top = F.pow(F.lit(2.0), F.max("octave").over(Window.partitionBy("source")) + 1)  # no carry is as large
-    octaves = written(octaves.select("source", "octave", "owed", (F.col("owed") / F.col("all")).alias("even"), F.greatest(F.lit(64), F.col("n") / BIN).cast("long").alias("bins"), top.alias("reach")), "mix-octaves")
+    octaves = written(few(octaves).select("source", "octave", "owed", (F.col("owed") / F.col("all")).alias("even"), F.greatest(F.lit(64), F.col("n") / BIN).cast("long").alias("bins"), top.alias("reach")), "mix-octaves")
     side = small(named(steps).withColumnRenamed("step", "t"), 200_000)
     rows = rows.join(side, rows.source.eqNullSafe(F.col("s")) & (F.col("step") == F.col("t"))).drop("s", "t")
     out = ["doc_id", "h", "source", "u", "size", "wanted", "source_size", "target", "whole"]

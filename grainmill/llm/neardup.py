@@ -166,20 +166,21 @@ _SALTS = 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, node, node2 (hashes of the set), regs."""
+    """doc_id, h (hash of the text), n, node, node2 (hashes of the set), regs."""
 
     @lean
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         for batch in batches:
-            body, offsets = utf8(batch.column(1))
+            body, offsets = utf8(batch.column(2))
             for i, j in slabs(offsets, SLAB):
                 h, at = shingler.hashes(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 n, sums = np.diff(at), [_named(h, at, salt) for salt in _SALTS]
                 regs = registers(h, at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), pa.array([r.tobytes() for r in regs], pa.binary())], ["doc_id", "n", "node", "node2", "regs"])
+                given = [batch.column(c).slice(i, j - i) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*given, pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]), pa.array([r.tobytes() for r in regs], pa.binary())], ["doc_id", "h", "n", "node", "node2", "regs"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, n long, node long, node2 long, regs binary")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(scan, "doc_id long, h long, n long, node long, node2 long, regs binary")
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
@@ -238,7 +239,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        after = written(small.where("a <> b").distinct(), "edges")
+        after = small.where("a <> b").distinct()
+        if before:  # a file for each million edges or so
+            after = after.coalesce(max(1, min(parts(edges.sparkSession), before[0] >> 20)))
+        after = written(after, "edges")
         discard(now)
         now = after
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -359,8 +363,9 @@ def _possible(asks, first, count, key, main, of, node, comp, n, regs, share: flo
     return q[good][order].tolist(), m[good][order].tolist()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; links are pairs with 100 * intersection >= percent * union."""
+def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, h (hash of the text), n_shingles, component_id and comp (a name of the component, null without words) of each
+    row; links are pairs with 100 * intersection >= percent * union."""
     share = percent / 100
     rows = written(sketches(docs, words), "sketches")
     full = rows.where("n > 0")
@@ -369,7 +374,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")).where("size > 1")
     members = written(bands.join(buckets, "key"), "members")
     pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    tested = written(_likely(pairs, classes, share), "pairs")
     # the full sets of those classes that share a bucket with another; text moves once, by doc_id
     wanted = members.select("node").distinct().join(classes.select("node", "rep"), "node").select("node", F.col("rep").alias("doc_id"))
     text = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
@@ -381,17 +385,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     sets = written(sets, "sets")
-    edges = written(_confirmed(tested, sets, percent), "links")
+    edges = written(_confirmed(_likely(pairs, classes, share), sets, percent), "links")
     comps = components(edges)
     more = written(_linked(members.where("size > 2"), comps, classes, sets, share, percent), "links")
     if not more.isEmpty():  # links of components, whose least nodes name them
         top = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
         lone = top.join(comps, top.comp == comps.node, "left_anti").select(F.col("comp").alias("node"), F.col("top").alias("comp"))
         comps = comps.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")).unionByName(lone)
-    discard(members, sets, tested, edges, more)  # the result needs the classes, the components and the rows' sketches
+    discard(members, sets, edges, more)  # the result needs the classes, the components and the rows' sketches
     named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    of = named.join(ids, "comp").select("node", "node2", "component_id")
+    of = named.join(ids, "comp").select("node", "node2", "component_id", "comp")
     joined = rows.join(of, ["node", "node2"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return joined.select("doc_id", "h", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "comp")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept."""
+    return classified(docs, words, percent).select("doc_id", "n_shingles", "component_id", F.col("component_id").eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """docs without near copies: of each component the row of least doc_id (none: last), then of least hash of the text. Rows
+    equal in doc_id and text are one. Rows without words stay."""
+    every = written(classified(docs, words, percent), "classified")
+    first = every.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("x"))
+    keep = first.select("x.doc_id", "x.h").unionByName(every.where("comp is null").select("doc_id", "h")).distinct().select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"))
+    mine = [F.col("doc_id").cast("long").eqNullSafe(F.col("__d")), F.xxhash64("text") == F.col("__h")]
+    kept = docs.join(keep, mine[0] & mine[1], "left_semi")
+    again = every.where("comp is not null").groupBy("doc_id", "h").count().where("count > 1").select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"))
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, mine[0] & mine[1], "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, mine[0] & mine[1], "left_anti").unionByName(once)
