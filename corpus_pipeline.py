@@ -1,4 +1,10 @@
-"""A training corpus from raw documents: five stages, each an operator over what its predecessor kept."""
+"""A training corpus from raw documents: five stages, each an operator over what its predecessor kept.
+
+Null and empty texts are documents: they have no toxic words and no copies, lose no passage, and are packed as an end id
+alone where the mix takes them. Very long texts are read whole. Rows that repeat a doc_id are rows of their own, decided
+each; of rows equal in doc_id and text the second stage keeps one. Ties go to the smaller doc_id, rows without one come
+last. An empty table gives an empty result. Extra columns play no part; all stages but the last return COLUMNS.
+"""
 
 from __future__ import annotations
 
@@ -18,9 +24,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the least doc_id."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(*COLUMNS)
+    """One row of each group stays, that of the least doc_id; rows without words all stay."""
+    return neardup.one_of_each(docs).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
         docs = common.written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            common.discard(before)
+        before = docs
+    return docs
