@@ -1,18 +1,20 @@
-"""Packing documents into sequences by swap-based local search over a best fit.
+"""Packing documents into sequences by swap-based local search.
 
 A document is its tokens and an end id; only documents longer than a sequence are cut, into pieces of the full length
 and a last piece. Full pieces are sequences of their own. All others are dealt by hash into even groups of about GROUP
-pieces, and each group is packed on its own: best fit in decreasing order, then a local search that takes the emptiest
-bin and moves its pieces into others, or exchanges one for one, two for one or one for two, whenever the other, fuller
-bin gets fuller still. Every step raises the sum of squared fills, so the search ends; bins that run empty go. It stops
-where the number of bins is the least that the group's length allows.
+pieces, and each group is packed on its own. The start is coarse: pieces in the order of a hash, a new bin whenever the
+last one is too full, some fifth of the bins too many. Then the local search takes the emptiest underfull bin and moves
+its pieces into others, or exchanges one for one or two for one, always the change that fills the other bin most. Every
+step raises the sum of squared fills, so the search ends; bins that run empty go. It stops where the number of bins is
+the least that the group's length allows, or where no change is left for any bin.
 
-Null and empty texts are the end id alone. Rows that repeat a document are packed each; an empty table gives an empty
+Null and empty texts are the end id alone. Pieces of equal length are alike to the search; the hash's order decides. Rows that repeat a document are packed each; an empty table gives an empty
 result. Texts are tokenized whole. Extra columns play no part and are not returned.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
 import zlib
@@ -24,13 +26,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import lean, written
 
 LENGTH, END = 4096, 1
 #: Pieces in a group: a group's packing wastes less than a bin, and one task holds a group.
 GROUP = 20_000
 #: Runs whose ids a worker keeps; beyond it, it starts anew and looks up the former ones before it works any out.
 KEPT = 300_000
+#: Marks that often end a run.
+MARKS = ".,;:!?"
 
 
 class WordIds(dict):
@@ -54,6 +58,7 @@ class WordIds(dict):
         model = json.load(open(path, encoding="utf-8"))["model"]
         added = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.added = sorted({x for t in added for x in (t, unicodedata.normalize("NFC", t).lower())})
+        self.quick = all(any(not c.isalpha() and c not in MARKS for c in t) for t in self.added)
         self.spaced = _any(t for t in added if regex.search(r"\s", t))
         shown = _byte_letters()
         raw = lambda token: b"".join(b"\xff" if x is None else bytes([shown[x]]) for x in _letters(token))
@@ -66,7 +71,7 @@ class WordIds(dict):
         self.ids = [b""] * (len(singles) + len(merges))
         for t in [*singles, *(t for t in made if t in vocab)]:
             self.ids[ranks[raw(t)]] = vocab[t].to_bytes(4, "little")
-        self.words = _Words(tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}), self.ids)
+        self.words = _Words(tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={}), ranks, self.ids)
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, run: str) -> bytes:
@@ -80,6 +85,12 @@ class WordIds(dict):
         return out
 
     def _ids(self, run: str) -> bytes:
+        if self.quick and run.isascii():  # letters, or letters and a mark: what the pattern would part
+            low = run.lower()
+            if low.isalpha():
+                return self.words[low]
+            if low[-1] in MARKS and low[:-1].isalpha():
+                return self.words[low[:-1]] + self.words[low[-1]]
         low = run.lower() if run.isascii() else unicodedata.normalize("NFC", run).lower()
         for token in self.added:
             if token in low or token in run:
@@ -102,9 +113,10 @@ class WordIds(dict):
 class _Words(dict):
     """A word of the vocabulary's alphabet -> its ids, by merges."""
 
-    def __init__(self, bpe, ids: list[bytes]):
+    def __init__(self, bpe, ranks: dict[bytes, int], ids: list[bytes]):
         super().__init__()
-        self.merged, self.ids = bpe._encode_single_piece, ids
+        # a release of the library without this call gets its merges from the ranks
+        self.merged, self.ids = getattr(bpe, "_encode_single_piece", None) or _merger(ranks), ids
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= KEPT:
@@ -113,6 +125,23 @@ class _Words(dict):
         return out
 
 
+def _merger(ranks: dict[bytes, int]):
+    """Byte-pair encoding of one word: the pair of least rank is merged until none is left."""
+
+    def merged(word: bytes) -> list[int]:
+        if word in ranks:
+            return [ranks[word]]
+        parts = [word[i : i + 1] for i in range(len(word))]
+        while len(parts) > 1:
+            rank, i = min((ranks.get(a + b, len(ranks) + len(word)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if parts[i] + parts[i + 1] not in ranks:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [ranks[p] for p in parts]
+
+    return merged
+
+
 def _any(tokens: Iterable[str]) -> regex.Pattern | None:
     """Finds any of the tokens, in any case and with any white space for theirs; None without tokens."""
     found = [r"\s+".join(regex.escape(x) for x in regex.split(r"\s+", unicodedata.normalize("NFC", t))) for t in tokens]
@@ -142,6 +171,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
     """doc_id, piece, start, length, ids_crc32 of every document's pieces."""
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last = WordIds(vocabulary or default_vocabulary()), np.uint32(end).tobytes()
         for batch in batches:
@@ -158,94 +188,142 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
-    """Bins of indexes; decreasing sizes, each into the fullest bin that it fits. Open rooms are bits of one number."""
-    rooms, open_, bins = [[] for _ in range(length + 1)], 0, []
-    for i in np.argsort(-sizes, kind="stable").tolist():
-        size = int(sizes[i])
-        fits = open_ >> size
-        if fits:
-            room = size + (fits & -fits).bit_length() - 1
-            b = rooms[room].pop()
-            if not rooms[room]:
-                open_ &= ~(1 << room)
-            bins[b].append(i)
-        else:
-            room, b = length, len(bins)
-            bins.append([i])
-        if room - size:
-            rooms[room - size].append(b)
-            open_ |= 1 << (room - size)
+def next_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
+    """Bins of indexes, in the order of the pieces: a new bin when the last one is too full. The search's coarse start."""
+    bins: list[list[int]] = []
+    room = -1
+    for i, size in enumerate(sizes.tolist()):
+        if size > room:
+            bins.append([])
+            room = length
+        bins[-1].append(i)
+        room -= size
     return bins
 
 
-def search(sizes: np.ndarray, bins: list[list[int]], length: int) -> list[list[int]]:
-    """Empty underfull bins, emptiest first, by moves and exchanges into fuller ones, until none helps."""
-    least = -(-int(sizes.sum()) // length)
-    size = sizes.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    alive = {b for b in range(len(bins)) if bins[b]}
-    stuck: set[int] = set()
-    while len(alive) > least:
-        source = min((b for b in alive if b not in stuck), key=lambda b: (fill[b], b), default=None)
-        if source is None:
-            break
-        while bins[source] and _step(size, bins, fill, alive, source, length):
-            pass
-        if bins[source]:
-            stuck.add(source)
-        else:
-            alive.discard(source)
-            stuck.clear()
-    return [bins[b] for b in sorted(alive)]
-
-
-def _step(size: list[int], bins: list[list[int]], fill: list[int], alive: set[int], source: int, length: int) -> bool:
-    """One improving change between `source` and a bin at least as full: the one that fills that bin most."""
-    best: tuple | None = None
-    mine = bins[source]
-    pairs = [(size[a] + size[b], (a, b)) for x, a in enumerate(mine) for b in mine[:x]][:500]
-    for b in alive:
-        room = length - fill[b]
-        if b == source or not room or fill[b] < fill[source]:
+class Bins:
+    """Underfull bins, indexed by their rooms and by what they would take in exchange for one of their pieces. Sets of
+    numbers are kept as bits of one number, so that the tightest place is found without a walk over the bins."""
+
+    def __init__(self, sizes: np.ndarray, bins: list[list[int]], length: int):
+        self.size, self.length, self.bins = sizes.tolist(), length, [list(b) for b in bins]
+        self.fill = [sum(self.size[i] for i in b) for b in self.bins]
+        self.steps = {"moves": 0, "one for one": 0, "two for one": 0}
+        self.rooms: dict[int, dict[int, None]] = {}
+        self.trades: dict[int, dict[tuple[int, int], None]] = {}
+        self.some_room = self.some_trade = 0
+        for b in range(len(self.bins)):
+            self._list(b)
+
+    def _entries(self, b: int) -> tuple[int, set[int]]:
+        return self.length - self.fill[b], {self.size[i] for i in self.bins[b]}
+
+    def _list(self, b: int) -> None:
+        room, held = self._entries(b)
+        if room and held:
+            self.rooms.setdefault(room, {})[b] = None
+            self.some_room |= 1 << room
+            for s in held:
+                self.trades.setdefault(room + s, {})[b, s] = None
+                self.some_trade |= 1 << (room + s)
+
+    def _unlist(self, b: int) -> None:
+        room, held = self._entries(b)
+        if room and held:
+            del self.rooms[room][b]
+            if not self.rooms[room]:
+                self.some_room &= ~(1 << room)
+            for s in held:
+                del self.trades[room + s][b, s]
+                if not self.trades[room + s]:
+                    self.some_trade &= ~(1 << (room + s))
+
+    def _move(self, size: int, most: int) -> tuple | None:
+        """(room left, bin, None): the tightest bin that takes the size, if less than `most` is left there."""
+        able = self.some_room >> size
+        left = (able & -able).bit_length() - 1
+        return (left, next(iter(self.rooms[size + left])), None) if able and left < most else None
+
+    def _trade(self, size: int, most: int) -> tuple | None:
+        """(room left, bin, size given back): as _move, against a smaller piece of the bin."""
+        able, left = self.some_trade >> size, 0
+        while able:
+            step = (able & -able).bit_length() - 1
+            left += step
+            if left >= most:
+                return None
+            for b, s in self.trades[size + left]:
+                if s < size:
+                    return left, b, s
+            able >>= step + 1
+            left += 1
+        return None
+
+    def _change(self, source: int) -> tuple | None:
+        """The move, one-for-one or two-for-one exchange that fills another bin most, and fuller than source is now, which
+        is when the sum of squared fills grows: (room left, bin, size given back), pieces given, kind."""
+        most, best = self.length - self.fill[source], None
+        ones = {self.size[i]: i for i in self.bins[source]}
+        for kind, find in (("moves", self._move), ("one for one", self._trade)):
+            for size, i in ones.items():
+                if most and (found := find(size, most)):
+                    best, most = (found, (i,), kind), found[0]
+        if best is None:
+            seen = set()
+            for x, i in enumerate(self.bins[source]):
+                for j in self.bins[source][:x]:
+                    size = self.size[i] + self.size[j]
+                    if size not in seen and most and (found := self._trade(size, most)):
+                        best, most = (found, (i, j), "two for one"), found[0]
+                    seen.add(size)
+        return best
+
+    def drain(self, source: int) -> bool:
+        """Take pieces out of a bin as long as a change helps; whether it ran empty."""
+        self._unlist(source)
+        while self.bins[source] and (change := self._change(source)):
+            (_, b, back), give, kind = change
+            self._unlist(b)
+            taken = [next(i for i in self.bins[b] if self.size[i] == back)] if back is not None else []
+            for of, to, pieces_ in ((source, b, give), (b, source, taken)):
+                for i in pieces_:
+                    self.bins[of].remove(i)
+                    self.bins[to].append(i)
+                    self.fill[of] -= self.size[i]
+                    self.fill[to] += self.size[i]
+            self._list(b)
+            self.steps[kind] += 1
+        self._list(source)
+        return not self.bins[source]
+
+
+def search(sizes: np.ndarray, bins: list[list[int]], length: int) -> Bins:
+    """Drain underfull bins, the emptiest first, until they are as few as their pieces allow or no change helps. Bins that
+    run empty stay as empty lists."""
+    held = Bins(sizes, bins, length)
+    alive, least = len(bins), -(-int(sizes.sum()) // length)
+    queue = [(held.fill[b], b) for b in range(len(bins))]
+    heapq.heapify(queue)
+    stuck, steps = [], -1
+    while alive > least:
+        if not queue:
+            if sum(held.steps.values()) == steps:
+                break  # no bin changed since all were tried
+            queue, stuck, steps = [(held.fill[b], b) for b in stuck], [], sum(held.steps.values())
+            heapq.heapify(queue)
+        fill, b = heapq.heappop(queue)
+        if not held.bins[b]:
             continue
-        theirs = bins[b]
-        for gain, give, take in _changes(size, mine, pairs, theirs, room):
-            key = (room - gain, -gain, b)
-            if best is None or key < best[0]:
-                best = (key, b, give, take)
-        if best is not None and best[0][0] == 0:
-            break
-    if best is None:
-        return False
-    _, b, give, take = best
-    for i in give:
-        mine.remove(i)
-        bins[b].append(i)
-    for i in take:
-        bins[b].remove(i)
-        mine.append(i)
-    change = sum(size[i] for i in give) - sum(size[i] for i in take)
-    fill[b] += change
-    fill[source] -= change
-    return True
-
-
-def _changes(size, mine, pairs, theirs, room) -> Iterator[tuple[int, tuple, tuple]]:
-    for a in mine:
-        if size[a] <= room:
-            yield size[a], (a,), ()
-        for b in theirs:
-            if 0 < size[a] - size[b] <= room:
-                yield size[a] - size[b], (a,), (b,)
-        for x, b in enumerate(theirs[:60]):
-            for c in theirs[:x]:
-                if 0 < (gain := size[a] - size[b] - size[c]) <= room:
-                    yield gain, (a,), (b, c)
-    for total, two in pairs:
-        for b in theirs:
-            if 0 < total - size[b] <= room:
-                yield total - size[b], two, (b,)
+        if fill != held.fill[b]:  # it took pieces meanwhile
+            heapq.heappush(queue, (held.fill[b], b))
+        elif held.drain(b):
+            alive -= 1
+            for x in stuck:
+                heapq.heappush(queue, (held.fill[x], x))
+            stuck = []
+        else:
+            stuck.append(b)
+    return held
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
@@ -254,11 +332,12 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, e
     some = cut.where(F.col("length") < length)
     groups = max(1, -(-some.count() // GROUP))
 
+    @lean
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], ignore_index=True)
+        pdf = pdf.sort_values(["ids_crc32", "doc_id", "piece"], ignore_index=True)  # as good as shuffled, and the same in reruns
         sizes = pdf["length"].to_numpy()
         sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        for k, held in enumerate(search(sizes, best_fit(sizes, length), length)):
+        for k, held in enumerate(b for b in search(sizes, next_fit(sizes, length), length).bins if b):
             sequence[held] = (int(pdf.grp.iloc[0]) << 32) + k
             offset[held] = np.cumsum(sizes[held]) - sizes[held]
         return pdf.drop(columns="grp").assign(sequence_id=sequence, offset=offset)
