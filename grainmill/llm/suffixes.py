@@ -8,7 +8,8 @@ documents, and strings are judged on the input. The work is dealt so that no glo
    blocks; each block asks, once for each anchor, whether another document has that gram, and learns which do.
 2. Of each shared anchor the block sends its slice, the bytes of all windows that own the anchor, to the task of that
    anchor. Slices that are equal within the block travel once, for the smallest doc_id; the others go at once.
-3. That task sorts the windows of its slices by the difference-cover algorithm: positions i % 3 != 0 are sorted by
+3. That task sorts the windows of its slices, but for slices none of whose windows' hashes stands twice, by the
+   difference-cover algorithm: positions i % 3 != 0 are sorted by
    triples, named, and sorted by recursion on the names until names cover `length` bytes; the remaining suffixes follow
    from their first byte and their neighbour's rank, and are merged in. Adjacent suffixes whose prefixes of `length`
    bytes agree are one string; all but those of its smallest doc_id are marked.
@@ -360,7 +361,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 of.append(np.full(facts[-1].shape[1], b))
         if facts:
             (key, doc, row, pos, count, h), body, of = np.hstack(facts), np.concatenate(texts), np.concatenate(of)
-            for b, marks in _marked(key, doc, row, pos, count, h, body, of, length):
+            for b, marks in _marked(key, doc, row, pos, count, h, body, of, length, Anchors(length, gram)):
                 for c, x in zip(out, (b, 3, _merged(marks).tobytes())):
                     out[c][0].append(x)
         return _row(out)
@@ -460,7 +461,7 @@ def _merged(marks: np.ndarray) -> np.ndarray:
     return np.stack([row[begin], a[begin], far[end] - rank[begin] * shift]).astype(np.int64)
 
 
-def _marked(key, doc, row, pos, count, h, body, of, length: int):
+def _marked(key, doc, row, pos, count, h, body, of, length: int, mine: Anchors):
     """Spans by block, of rows by their names, of those windows that a smaller doc_id also has."""
     size = count - 1 + length
     at = np.cumsum(size) - size
@@ -480,7 +481,7 @@ def _marked(key, doc, row, pos, count, h, body, of, length: int):
     several = np.repeat(np.maximum.reduceat(h[stay], runs) != np.minimum.reduceat(h[stay], runs), np.diff(np.append(runs, len(stay))))
     pick = stay[several]
     for part in _by_key(key[pick], size[pick]):
-        marks.append(_sorted_marks(pick[part], doc, row, pos, count, size, at, body, of, length))
+        marks.append(_sorted_marks(pick[part], doc, row, pos, count, size, at, body, of, length, mine))
     every = np.hstack(marks).astype(np.int64)
     for b in np.unique(every[0]):
         yield int(b), every[1:, every[0] == b]
@@ -499,14 +500,23 @@ def _by_key(keys: np.ndarray, sizes: np.ndarray, most: int = SLAB):
         i = j
 
 
-def _sorted_marks(pick, doc, row, pos, count, size, at, body, of, length: int) -> np.ndarray:
-    """(block, row, start, end) of the windows of these slices that a smaller doc_id has among them too."""
-    ends = np.cumsum(size[pick])
-    text = body[spread(at[pick], size[pick])]
-    n = count[pick]
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    starts = np.repeat(ends - size[pick], n) + inside
-    of_slice = np.repeat(pick, n)
+def _sorted_marks(pick, doc, row, pos, count, size, at, body, of, length: int, mine: Anchors) -> np.ndarray:
+    """(block, row, start, end) of the windows of these slices that a smaller doc_id has among them too. Windows whose hash is
+    alone have no equal; only slices with others are sorted."""
+    none = np.zeros((4, 0), np.int64)
+    for again in (False, True):
+        text = body[spread(at[pick], size[pick])]
+        n = count[pick]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        starts, of_slice = spread(np.cumsum(size[pick]) - size[pick], n), np.repeat(pick, n)
+        w = mine.windows(mine._sums(text), starts)
+        _, name, times = np.unique(w, return_inverse=True, return_counts=True)
+        shared = times[name.reshape(-1)] > 1
+        if not shared.any():
+            return none
+        if not again:
+            pick = pick[np.isin(pick, of_slice[shared])]
+    inside, starts, of_slice = inside[shared], starts[shared], of_slice[shared]
     rank, fresh = equal_windows(text, starts, length)
     run = np.flatnonzero(fresh)
     docs = doc[of_slice[rank]]
