@@ -22,7 +22,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.copies(docs.select("doc_id", "source", "text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,57 @@ SELECT u.page_id, u.host, u.path, best.rule, coalesce(best.verdict, 'allow') AS
 FROM u LEFT JOIN best USING (page_id, host, path)
 """
 
-ORACLE_SQL = {"op1_url_filter": _OP1_SQL}
+# Shingles are lists of words; equal sets are one node; components by the least doc_id that is reached.
+_OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END) AS s
+  FROM w),
+h AS (SELECT doc_id, md5(array_to_string(list_sort(s), chr(10))) AS class, s, len(s) AS n FROM s),
+c AS (SELECT class, min(doc_id) AS rep, any_value(s) AS s, any_value(n) AS n FROM h WHERE n > 0 GROUP BY class),
+e AS (SELECT rep, n, md5_number_lower(g) AS g FROM (SELECT rep, n, unnest(s) AS g FROM c)),
+b AS (
+  SELECT x.rep AS a, y.rep AS b FROM e x JOIN e y ON x.g = y.g AND x.rep < y.rep
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+l AS (SELECT a, b FROM b UNION ALL SELECT b, a FROM b),
+r(rep, root) AS (SELECT rep, rep FROM c UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.rep AND r.root < l.b),
+t AS (SELECT rep, min(root) AS root FROM r GROUP BY rep)
+SELECT h.doc_id, h.n AS n_shingles, coalesce(t.root, h.doc_id) AS component_id, coalesce(t.root, h.doc_id) = h.doc_id AS kept
+FROM h LEFT JOIN c ON c.class = h.class AND h.n > 0 LEFT JOIN t ON t.rep = c.rep
+"""
+
+# Bytes are pairs of hexadecimal digits; a window is a hundred of them.
+_OP4_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING count(*) > 1),
+m AS (SELECT w.doc_id, w.i FROM w JOIN f USING (s) WHERE w.doc_id > f.first),
+g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM m),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+k AS (SELECT d.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(z) + 1) AS x, sum(z - a) AS removed, count(*) AS spans FROM p JOIN d USING (doc_id) GROUP BY d.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(k.removed, 0)::BIGINT AS n_removed, coalesce(k.spans, 0) AS n_spans, sha256(unhex(coalesce(k.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+_OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+# Base 32 takes five bits at a time: eight letters for ten hexadecimal digits.
+_OP9_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, max(page_id) AS last FROM p GROUP BY h)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(p.h, (10 * (i // 8) + 1)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p JOIN f USING (h)
+"""
+
+ORACLE_SQL = {"op1_url_filter": _OP1_SQL, "op3_near_duplicates": _OP3_SQL, "op4_suffix_dedup": _OP4_SQL, "op6_exact_topk": _OP6_SQL, "op9_warc": _OP9_SQL}

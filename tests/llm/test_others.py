@@ -1,6 +1,8 @@
 import base64
+import gzip
 import hashlib
 import io
+import math
 import random
 import struct
 import zipfile
@@ -43,6 +45,13 @@ def test_url_filter(spark, most, monkeypatch):
     assert url_filter.judge(df.limit(0), URL_RULES).collect() == []
 
 
+def test_long_urls_and_no_rules(spark):
+    long = "http://a.example.com/en/" + "x/" * 200_000
+    df = spark.createDataFrame([(1, long), (1, long)], "page_id long, url string")
+    assert [(r.rule, r.verdict) for r in url_filter.judge(df, URL_RULES).collect()] == [("example.com/en/", "block")] * 2
+    assert [(r.rule, r.verdict) for r in url_filter.judge(df, []).collect()] == [(None, "allow")] * 2
+
+
 def test_url_rules_are_filed_by_their_rarest_token():
     rules = [url_filter.parse(x, "block") for x in ("ads.com/a/", "ads.com/b/", "x.com/a/", "/any")]
     filed = url_filter.index(rules)
@@ -80,21 +89,82 @@ def test_mixing_comes_near_its_targets(spark):
     assert copies.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def brute_mix(rows, weights, cap=3.0):
+    """rows: (doc_id, source, size, u, h) -> (wanted, copies) of each, one document after the other."""
+    from collections import defaultdict
+
+    by = defaultdict(list)
+    for r in rows:
+        by[r[1]].append(r)
+    order = sorted(by, key=lambda s: (s is None, (s or "").encode()))
+    total, sizes = sum(r[2] for r in rows), {s: sum(r[2] for r in by[s]) for s in by}
+    goal, open_, left = {}, {s: weights[k % len(weights)] for k, s in enumerate(order)}, float(total)
+    while open_:
+        level = left / sum(open_.values())
+        full = [s for s, w in open_.items() if level * w > cap * sizes[s]]
+        goal |= {s: cap * sizes[s] for s in full} or {s: level * w for s, w in open_.items()}
+        left -= sum(goal[s] for s in full)
+        open_ = {s: w for s, w in open_.items() if s not in goal}
+    out = {}
+    for s, own in by.items():
+        w = [2 ** (math.floor(8 * math.log2(max(r[2], 1) ** mixing.LEAN) + 0.5) / 8) for r in own]
+        lo, hi = 0.0, 1e9
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(min(cap, mid * x) * r[2] for x, r in zip(w, own)) < goal[s] else (lo, mid)
+        c = [min(cap, hi * x) if goal[s] < cap * sizes[s] - 1e-6 else cap for x in w] if sizes[s] else [0.0] * len(own)
+        whole = [math.floor(x + 1e-9) for x in c]
+        more, carry = [0] * len(own), 0.0
+        pool = [i for i, r in enumerate(own) if r[2] and c[i] - whole[i] > 1e-8]
+        for o in sorted({own[i][2].bit_length() for i in pool}, reverse=True):
+            mine = [i for i in pool if own[i][2].bit_length() == o]
+            p = {i: c[i] - whole[i] for i in mine}
+            owed, got = carry + sum(p[i] * own[i][2] for i in mine), 0
+            for i in sorted(mine, key=lambda i: (own[i][3] / (1 - own[i][3]) / (p[i] / (1 - p[i])), own[i][0])):
+                if 2 * (owed - got) <= own[i][2]:
+                    break
+                more[i], got = 1, got + own[i][2]
+            carry = owed - got
+        for i, r in enumerate(own):
+            out[r[0]] = (c[i], whole[i] + more[i])
+    return out
+
+
+def test_mixing_is_the_brute_force_one(spark):
+    r = random.Random(3)
+    rows = [(i, " ".join(["w"] * int(r.lognormvariate(3, 1.2))), "en", None if i % 11 == 0 else f"s{i % 5 if i % 2 else 0}", 0) for i in range(1500)]
+    for weights in ((5, 2, 1), (1, 30)):
+        out = mixing.copies(spark.createDataFrame(rows, cases.DOCS), weights).collect()
+        want = brute_mix([(x.doc_id, x.source, x["size"], x.u, x.h) for x in out], weights)
+        assert {x.doc_id: x.copies for x in out} == {k: v[1] for k, v in want.items()}
+        assert all(x.wanted == pytest.approx(want[x.doc_id][0], abs=1e-6) for x in out)
+        assert len({round(x.wanted, 6) for x in out}) > 20  # unequal probabilities
+
+
+def test_inclusion_is_as_likely_as_wanted(spark):
+    """Over many seeds, documents are taken as often as they are wanted, long ones and short ones."""
+    r = random.Random(4)
+    rows = [(i, " ".join(["w"] * (3 + i % 40)), "en", "ab"[i % 7 == 0], 0) for i in range(300)]
+    df = spark.createDataFrame(rows, cases.DOCS).cache()
+    wanted, taken = {}, {}
+    for seed in range(25):
+        for x in mixing.copies(df, (1, 2), seed=seed).collect():
+            key = (x.source, x["size"].bit_length())
+            wanted[key] = wanted.get(key, 0) + x.wanted
+            taken[key] = taken.get(key, 0) + x.copies
+    assert all(abs(taken[k] - wanted[k]) <= 0.06 * wanted[k] + 12 for k in wanted), (wanted, taken)
+
+
 def test_only_a_few_bins_are_read_row_by_row(spark, monkeypatch):
     made = {}
     monkeypatch.setattr(mixing, "written", lambda df, name, f=mixing.written: made.setdefault(name, f(df, name)))
-    monkeypatch.setattr(mixing, "TAIL", 10)
     one = [(i, f"w{i}", "en", "a", 0) for i in range(3000)]
-    for rows, most in ((one, 0), ([*one, (5000, "only", "en", "b", 0)], 60)):  # nothing owed; all but two words of 3000 owed
+    for rows, most in ((one, 0), ([*one, (5000, "only", "en", "b", 0)], 12)):  # nothing owed; all but two words of 3000 owed
         made.clear()
-        out = mixing.mix(spark.createDataFrame(rows, cases.DOCS), weights=(1, 5)).collect()
-        assert abs(sum(r.taken for r in out) - len(rows)) <= 3
-        read = made["mix-bins"].where("role = 'cut'").count()
-        assert read <= most
-        taken = [r.taken for r in out if r.source == "a"]
-        assert sum(taken) == (3000 if len(rows) == 3000 else 2998)
-        per_bin = 3000 / 1024
-        assert len(taken) - sum(taken) <= read * 10 * per_bin
+        out = mixing.copies(spark.createDataFrame(rows, cases.DOCS), weights=(1, 5)).collect()
+        assert sum(r.taken for r in out) == len(rows)
+        assert made["mix-bins"].where("role = 'cut'").count() <= most
+        assert sum(r.taken for r in out if r.source == "a") == (3000 if len(rows) == 3000 else 2998)
 
 
 def test_targets_are_levelled(spark):
@@ -168,17 +238,40 @@ def test_packing(spark, length):
 
 
 def test_search_empties_bins():
-    # best fit in decreasing order needs four bins here, three are enough
     sizes = np.array([6, 5, 5, 4, 3, 3, 2, 2])
-    bins = packing.search(sizes, [[0, 4], [1, 5], [2, 6], [3, 7]], 10)
-    assert len(bins) == 3 and sorted(i for b in bins for i in b) == list(range(8))
+    held = packing.search(sizes, [[0, 4], [1, 5], [2, 6], [3, 7]], 10)
+    left = [b for b in held.bins if b]
+    assert len(left) == 3 and sorted(i for b in left for i in b) == list(range(8))
     r = random.Random(2)
     for _ in range(50):
         sizes = np.array([r.randint(1, 40) for _ in range(60)])
-        start = packing.best_fit(sizes, 50)
-        out = packing.search(sizes, [list(b) for b in start], 50)
+        start = packing.next_fit(sizes, 50)
+        held = packing.search(sizes, start, 50)
+        out = [b for b in held.bins if b]
         assert len(out) <= len(start) and all(sizes[b].sum() <= 50 for b in out)
+        assert sum(sizes[b].sum() ** 2 for b in out) >= sum(sizes[b].sum() ** 2 for b in start)
         assert sorted(i for b in out for i in b) == list(range(60))
+    assert packing.search(np.zeros(0, np.int64), [], 50).bins == []
+
+
+def test_search_makes_every_kind_of_step():
+    moves = packing.search(np.array([3, 7, 6, 4]), [[0], [1], [2, 3]], 10)
+    assert [sorted(b) for b in moves.bins] == [[], [0, 1], [2, 3]] and moves.steps == {"moves": 1, "one for one": 0, "two for one": 0}
+    trade = packing.Bins(np.array([5, 7, 2]), [[0], [1, 2]], 12)
+    assert not trade.drain(0) and trade.steps["one for one"] == 1 and trade.fill == [2, 12]
+    two = packing.Bins(np.array([3, 4, 6, 3]), [[0, 1], [2, 3]], 10)
+    two.drain(0)
+    assert two.steps["two for one"] + two.steps["one for one"] >= 1 and max(two.fill) == 10
+
+
+def test_search_comes_near_the_least_number_of_bins():
+    r = random.Random(3)
+    sizes = np.array([min(4095, int(r.lognormvariate(6.6, 0.9)) + 1) for _ in range(5000)])
+    start = packing.next_fit(sizes, 4096)
+    held = packing.search(sizes, start, 4096)
+    least = -(-int(sizes.sum()) // 4096)
+    left = sum(1 for b in held.bins if b)
+    assert len(start) > 1.15 * least and left <= 1.003 * least + 1 and sum(held.steps.values()) > 500
 
 
 # ---- 6 exact top-k
@@ -191,8 +284,6 @@ def test_topk(spark):
     rows += [(900, None, "x"), (901, [1.0, None] + [0.0] * 10, "x"), (902, [float("nan")] * 12, "x"), (903, [float("inf")] * 12, "x"), (904, [], "x"), (905, [3e9] * 12, "x")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score string")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top(df, df.where("vec_id % 50 = 0")).collect())
-    import math
-
     q = {}
     for i, v, _ in rows:
         if v is not None and all(x is not None and math.isfinite(x) for x in v):
@@ -206,6 +297,36 @@ def test_topk(spark):
     assert len(topk.top(df.where("vec_id < 3"), df.where("vec_id = 0")).collect()) == 2
 
 
+def test_topk_answers_repeated_rows_each(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i % 60, rng.standard_normal(6).tolist()) for i in range(90)] + [(50, [0.0] * 6)] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    q = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    want = []
+    for i, v in q:
+        if i % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in q if j != i)[:5]
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    for block in (8192, 8):  # one tree, or many balls and trees
+        got = sorted(tuple(r) for r in topk.top(df, df.where("vec_id % 50 = 0"), block=block).collect())
+        assert got == sorted(want)
+
+
+def test_balls_and_bounds_save_distances(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 10, (40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(0, 0.1, 16)).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 50 = 0")
+    near = topk.found(df, asked, block=100).groupBy("q").agg(F.sum("computed").alias("c")).collect()
+    assert len(near) == 80 and sum(r.c for r in near) < 0.3 * 80 * 4000
+    v = np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top(df, asked, block=100).collect()}
+    for q in range(0, 4000, 50):
+        best = sorted((-int(v[q] @ v[j]), j) for j in range(4000) if j != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(j, -s) for s, j in best]
+
+
 def test_mtree_saves_distances():
     rng = np.random.default_rng(4)
     centres = rng.integers(-3000, 3000, (40, 16))
@@ -277,6 +398,36 @@ def test_sharding(spark):
     assert sharding.shard(cases.empty(spark)).collect() == []
 
 
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    r = random.Random(10)
+    rows = [(i, cases.prose(i, 40), "en", "a", 0) for i in range(900)]
+    even = sum(len(x[1]) + 16 for x in rows) * 1.25 / 10
+    group, n = "copy of copies " * 6, 0
+    while (n + 1) * (len(group) + 16) < 0.8 * even:
+        n += 1
+    rows += [(2000 + i, group, "en", "a", 0) for i in range(n)]
+    out = sharding.shard(spark.createDataFrame(rows, cases.DOCS).repartition(3), 10).collect()
+    assert len({x.shard for x in out if x.doc_id >= 2000}) == 1 and len(out) == len(rows)
+    texts = {x[0]: x[1] for x in rows}
+    where, sizes = {}, {}
+    for x in out:
+        assert (x["size"], x.text_crc32) == (len(texts[x.doc_id].encode()) + 16, zlib.crc32(texts[x.doc_id].encode()))
+        where.setdefault(texts[x.doc_id], set()).add(x.shard)
+        sizes[x.shard] = sizes.get(x.shard, 0) + x["size"]
+    assert all(len(w) == 1 for w in where.values()) and max(sizes.values()) < 1.06 * min(sizes.values())
+
+
+def test_rows_equal_in_all_are_parted(spark):
+    """One row a thousand times: more than a shard holds, and no key tells them apart."""
+    df = spark.createDataFrame([(1, "the same", "en", "a", 0)] * 1000 + [(None, None, None, None, None)] * 3, cases.DOCS)
+    out = sharding.shard(df, 4).collect()
+    slots = {}
+    for x in out:
+        slots.setdefault(x.shard, []).append(x.slot)
+    assert len(out) == 1003 and len(slots) == 4 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) < 1.2 * min(map(len, slots.values()))
+
+
 # ---- 9 WARC
 
 
@@ -328,6 +479,48 @@ def test_archives_of_other_writers():
         as_archive(b"nothing here")
 
 
+def test_members_and_indexes_are_located():
+    """Several archives, with an index of another layout for one, gzipped, and none for the other."""
+    first = [warc.record(i, f"http://x/{i}", b"one" * i, "response", None) for i in range(1, 40)]
+    second = [warc.record(i, f"http://y/{i}", b"two" * i, "response", None) for i in range(50, 60)]
+    lines, at = ["!meta a header line"], 0
+    for r in first:
+        lines.append(f'com,x)/ 20240101 {{"offset": "{at}", "length": "{len(r)}", "filename": "archive/a.warc.gz"}}')
+        at += len(r)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", '{"profile": "data-package"}')
+        z.writestr("archive/a.warc.gz", b"".join(first))
+        z.writestr("archive/b.warc.gz", b"".join(second))
+        z.writestr("indexes/index.cdx.gz", gzip.compress("\n".join(lines).encode()))
+    a = as_archive(out.getvalue())
+    assert {k: len(v) for k, v in a.indexed().items()} == {"archive/a.warc.gz": 39, "archive/b.warc.gz": 0}
+    assert list(a.records()) == first + second
+    assert [warc.facts(r)[0] for r in a.records()] == [*range(1, 40), *range(50, 60)]
+
+
+def brute_warc(rows, least=0):
+    last = {}
+    for i, _, html in rows:
+        body = (html or "").encode()
+        last[body] = max(last.get(body, (False, 0)), (i is not None, i or 0))
+    out = []
+    for i, _, html in rows:
+        body = (html or "").encode()
+        revisit = len(body) >= least and (i is not None, i or 0) != last[body]
+        out.append((i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if revisit else "response", last[body][1] if revisit else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("least", [0, 9, 10])
+def test_warc_is_the_brute_force_one(spark, least):
+    r = random.Random(9)
+    rows = [(i, f"http://x/{i}", r.choice([None, "", "same", "ünïcode " * 3, cases.prose(i % 9, 50), cases.prose(i, 30)])) for i in range(200)]
+    df = spark.createDataFrame([(*x, "extra") for x in rows], "page_id long, url string, html string, sha string")
+    got = [tuple(x) for x in warc.round_trip(spark, df, least=least).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
+    assert sorted(got, key=repr) == brute_warc(rows, least)
+
+
 def test_zip64_fields():
     """A directory whose offsets and sizes stand in ZIP64 fields, as in packages beyond 4 GB."""
     name, data = b"a", b"12345"
@@ -389,10 +582,11 @@ def test_only_near_copies_of_one_label_are_merged(spark):
 
 def test_the_sample_is_filled_past_near_copies(spark):
     base = [list(range(100 * i, 100 * i + 64)) for i in range(6)]
-    rows = [(k, 1, k, [*base[0][: 63 - k % 20], 10_000 + k]) for k in range(40)] + [(100 + i, 1, 100 + i, base[i]) for i in range(1, 6)]
-    df = spark.createDataFrame(rows, "doc_id long, toxic int, h long, near array<long>")
-    assert [x[0] for x in toxicity.sample(df, 4)] == [0, 101, 102, 103]
-    assert [x[0] for x in toxicity.sample(df, 100)] == [0, 101, 102, 103, 104, 105]
+    near = {k: [*base[0][: 63 - k % 20], 10_000 + k] for k in range(40)} | {100 + i: base[i] for i in range(1, 6)}
+    df = spark.createDataFrame([(k, 1, k) for k in near], "doc_id long, toxic int, h long")
+    sketched = lambda some: [r for r in some.join(spark.createDataFrame(list(near.items()), "doc_id long, near array<long>"), "doc_id").collect()]
+    assert [x[0] for x in toxicity.sample(df, {1: 4, 0: 4}, sketched)] == [0, 101, 102, 103]
+    assert [x[0] for x in toxicity.sample(df, {1: 100, 0: 100}, sketched)] == [0, 101, 102, 103, 104, 105]
 
 
 def test_toxicity_without_examples(spark):
@@ -403,17 +597,62 @@ def test_toxicity_without_examples(spark):
     assert toxicity.score(cases.empty(spark), toxicity.fit(cases.empty(spark), labels)).collect() == []
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("long", [0.0, 0.1, 1.0])
+def test_block_max_search_is_exact(long, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONG", long)
     r = random.Random(7)
     vectors = []
     for _ in range(700):
-        v = {r.randrange(40): r.random() for _ in range(r.randint(1, 6))}
+        v = {min(r.randrange(40), r.randrange(40)): r.random() for _ in range(r.randint(1, 6))}
         norm = sum(x * x for x in v.values()) ** 0.5
         vectors.append({k: x / norm for k, x in v.items()})
-    index = toxicity.Index(vectors)
-    for q in vectors[:80]:
-        scores = [(-round(sum(w * v.get(t, 0) for t, w in sorted(q.items())), 12), i) for i, v in enumerate(vectors)]
-        want = [(i, -s) for s, i in sorted(x for x in scores if x[0] < 0)[:15]]
-        got = index.nearest(q, 15)
-        assert [s for _, s in got] == pytest.approx([s for _, s in want])
-        assert [i for i, _ in got] == [i for i, _ in want]
+    example, term, weight = (np.array(x) for x in zip(*((i, t, w) for i, v in enumerate(vectors) for t, w in v.items())))
+    index = toxicity.Index(example, term, weight, 700, 40)
+    for n, q in enumerate(vectors[:80]):
+        but = [n] if n % 2 else []
+        scores = [(-round(sum(w * v.get(t, 0) for t, w in sorted(q.items())), 9), i) for i, v in enumerate(vectors) if i not in but]
+        want = sorted(x for x in scores if x[0] < 0)[:15]
+        got = index.nearest(np.array(list(q)), np.array(list(q.values())), 15, but)
+        assert [s for _, s in got] == pytest.approx([-s for s, _ in want])
+        assert [i for i, _ in got] == [i for _, i in want]
+
+
+def test_scores_are_those_of_brute_force(spark):
+    """Every term of every example, all examples, one by one."""
+    docs, labels = marked(spark)
+    model = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    n, n1 = len(model.ids), sum(model.labels)
+    share = n1 / n
+    bags = [toxicity.counted(texts[i]) for i in model.ids]
+    held = {t: [sum(t in b for b in bags), sum(t in b for b, y in zip(bags, model.labels) if y)] for t in {t for b in bags for t in b}}
+
+    def weight(t):
+        both, one = held[t]
+        odds = math.log((one + 5 * share) / (both - one + 5 * (1 - share)) * (1 - share) / share)
+        return math.log((1 + n) / min(both + 1, n + 0.5)) * max(abs(odds), 1e-6)
+
+    def vector(bag):
+        v = {t: (1 + math.log(c)) * weight(t) for t, c in bag.items() if t in held}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    vectors = [vector(b) for b in bags]
+    at, value = model.knots
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, text in texts.items():
+        v = vector(toxicity.counted(text))
+        near = sorted((-round(sum(x * w.get(t, 0) for t, x in v.items()), 9), k) for k, w in enumerate(vectors) if texts[model.ids[k]] != text)
+        near = [(k, -s) for s, k in near if s < 0][: toxicity.K]
+        votes = sum(s for k, s in near if model.labels[k]) / sum(s for _, s in near) if near else model.rate
+        assert got[i].score == pytest.approx(float(np.interp(votes, at, value)), abs=1e-6)
+        assert [e.doc_id for e in got[i].evidence] == [model.ids[k] for k, _ in near[:5]]
+
+
+def test_labelled_texts_do_not_vote_for_themselves(spark):
+    docs, labels = marked(spark)
+    rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert all(e.doc_id != r.doc_id for r in rows for e in r.evidence)
+    doubled = docs.union(docs)
+    again = toxicity.score(doubled, toxicity.fit(doubled, labels)).collect()
+    assert len(again) == 2 * len(rows)
