@@ -70,6 +70,12 @@ def assigned(registry: DataFrame, found: DataFrame) -> DataFrame:
     return registry.select("kind", "fingerprint", "num").unionByName(new)
 
 
+def record_id(*parts: Column) -> Column:
+    """A record's id from its content, in the form of a uuid: the same record has the same id in every run."""
+    h = F.md5(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("\x00")) for p in parts]))
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
 def formatted_id(prefix: str, number: Column) -> Column:
     return F.format_string(prefix + "-%04d", number)
 

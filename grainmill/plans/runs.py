@@ -153,3 +153,35 @@ def t29_word_diff(spark, sf_dir):
     d = table(spark, sf_dir, "benchmark").select("item_id", "text")
     after = F.lead("text", 1, "").over(Window.orderBy("item_id"))  # the benchmark is a short list
     return d.select("item_id", parse.word_diff(F.col("text"), after).alias("html"))
+
+
+@query("SELECT 'second' AS pass, count(*) FILTER (doc_id % 3 <> 0) AS appended, count(*) AS there FROM documents")
+def s03_append_and_mark(spark, sf_dir):
+    """A third of the rows first; the second pass appends only the others."""
+    path, marks = store.new_path(spark, "records"), store.new_path(spark, "marks")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    files.append_and_mark(d.where("doc_id % 3 = 0"), path, marks, "doc_id")
+    fresh = files.append_and_mark(d, path, marks, "doc_id")
+    there = files.load_jsonl(spark, path, "doc_id long, lang string").agg(F.count_distinct("doc_id").alias("there"))
+    return fresh.agg(F.count(F.lit(1)).alias("appended")).crossJoin(there).select(F.lit("second").alias("pass"), "appended", "there")  # one row each
+
+
+@query("WITH r AS (SELECT DISTINCT '2024-0' || (1 + user_id % 9) || '-01_00-00_run' AS run_id FROM events) SELECT max(run_id) AS run_id FROM r")
+def s15_newest_run(spark, sf_dir):
+    r = table(spark, sf_dir, "events").select(F.concat(F.lit("2024-0"), (1 + F.col("user_id") % 9).cast("string"), F.lit("-01_00-00_run")).alias("run_id")).distinct()
+    odd = spark.createDataFrame([("zz-not-a-run",)], "run_id string")
+    return files.newest(r.unionByName(odd))
+
+
+@query("WITH h AS (SELECT doc_id, md5(doc_id::VARCHAR || chr(31) || coalesce(lang, chr(0)) || chr(31) || coalesce(source, chr(0))) AS h FROM documents) SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS record_id FROM h")
+def i06_record_id(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", g.record_id(F.col("doc_id"), F.col("lang"), F.col("source")).alias("record_id"))
+
+
+@query("SELECT item_id, CASE WHEN item_id % 3 = 0 THEN item_id END AS a, item_id % 3 = 0 AS is_object FROM benchmark")
+def j02_objects_only(spark, sf_dir):
+    """A list, or no JSON at all, where an object was asked for counts as unreadable."""
+    i = F.col("item_id")
+    raw = F.when(i % 3 == 0, F.concat(F.lit('sure: {"a": '), i.cast("string"), F.lit("}"))).when(i % 3 == 1, F.concat(F.lit("["), i.cast("string"), F.lit("]"))).otherwise("none")
+    rows = table(spark, sf_dir, "benchmark").select("item_id", parse.json_object(raw).alias("j"))
+    return rows.select("item_id", F.get_json_object("j", "$.a").try_cast("long").alias("a"), F.col("j").isNotNull().alias("is_object"))

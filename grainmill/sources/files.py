@@ -26,6 +26,20 @@ def save_jsonl(rows: DataFrame, path: str, append: bool = False) -> None:
     rows.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def append_and_mark(rows: DataFrame, path: str, marks: str, key: str) -> DataFrame:
+    """Append those rows whose key isn't marked yet, and mark them once they are written; what is returned was appended. A run
+    that dies in between appends some rows again, but never marks one that isn't there: readers take the last row of a key."""
+    from .store import written
+
+    spark = rows.sparkSession
+    kind = f"{key} {rows.schema[key].dataType.simpleString()}"
+    done = load_jsonl(spark, marks, kind)
+    fresh = written(rows.join(done, key, "left_anti"), "fresh")
+    save_jsonl(fresh, path, append=True)
+    save_jsonl(fresh.select(key).distinct(), marks, append=True)
+    return fresh
+
+
 def sections(rows: DataFrame, text: str = "text", keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """keys, pos, title, body of each `## ` section; one without a line of body is dropped."""
     parts = F.split(F.concat(F.lit("\n"), F.col(text)), "\n## ")
