@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import words
-from ..sources.store import written
+from ..sources.store import discard, new_path, written
 from .lineage import placed
 
 DIM = 1 << 14
@@ -91,20 +91,27 @@ def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> Da
 def greedy(ids: DataFrame, links: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, kept_id, sim: for each dropped id the most similar earlier kept one (ties: the smaller); null if it is kept.
 
-    In order of the id, one is dropped if an earlier kept one is linked. Rounds settle all whose earlier neighbours are
-    settled: kept where none of those is kept, dropped where one is. A chain of k links takes k rounds at most."""
-    edge = written(links.select("i", "j", "sim"), "edges")
-    state = written(edge.select(F.col("i").alias("id")).union(edge.select("j")).distinct().join(edge.select(F.col("j").alias("id")).distinct().withColumn("has", F.lit(True)), "id", "left").select("id", F.when(F.col("has").isNull(), True).alias("kept")), "state")
+    In order of the id, one is dropped if an earlier kept one is linked. Each round keeps those without an earlier open
+    neighbour and drops their neighbours; only links between ids that are still open go on to the next round. A chain of k
+    links takes k / 2 rounds at most, of ever fewer links."""
+    edge = open_ = written(links.select("i", "j", "sim"), "edges")
+    path = new_path(edge.sparkSession, "kept")
     while True:
-        early = edge.join(state.select(F.col("id").alias("i"), F.col("kept").alias("early")), "i").groupBy("j").agg(F.max("early").alias("any_kept"), F.count_if(F.col("early").isNull()).alias("unknown"))
-        now = state.join(early, state.id == early.j, "left")
-        settled = F.coalesce("kept", F.when(F.col("any_kept"), False), F.when(F.col("unknown") == 0, True))
-        state = written(now.select("id", settled.alias("kept")), "state")
-        if state.where("kept is null").isEmpty():
+        first = open_.select(F.col("i").alias("id")).distinct().join(open_.select(F.col("j").alias("id")).distinct(), "id", "left_anti")
+        gone = open_.join(first.withColumnRenamed("id", "i"), "i", "left_semi").select(F.col("j").alias("id")).distinct()
+        settled = written(first.withColumn("kept", F.lit(True)).unionByName(gone.withColumn("kept", F.lit(False))), "settled")
+        done = settled.select("id")
+        rest = written(open_.join(done.withColumnRenamed("id", "i"), "i", "left_anti").join(done.withColumnRenamed("id", "j"), "j", "left_anti").select("i", "j", "sim"), "edges")
+        nodes = lambda e: e.select(F.col("i").alias("id")).union(e.select("j")).distinct()
+        free = nodes(open_).join(done, "id", "left_anti").join(nodes(rest), "id", "left_anti")  # all their neighbours are dropped
+        settled.where("kept").select("id").unionByName(free).write.mode("append").parquet(path)
+        discard(settled, *([open_] if open_ is not edge else []))
+        open_ = rest
+        if rest.isEmpty():
             break
-    kept = state.where("kept").select(F.col("id").alias("i"))
-    gone = state.where("not kept").select(F.col("id").alias("j"))
-    best = edge.join(kept, "i").join(gone, "j").groupBy("j").agg(F.max(F.struct("sim", (-F.col("i")).alias("m"))).alias("b"))
+    kept = edge.sparkSession.read.schema(f"id {edge.schema['i'].dataType.simpleString()}").parquet(path)
+    loose = edge.join(kept.withColumnRenamed("id", "j"), "j", "left_anti")
+    best = loose.join(kept.withColumnRenamed("id", "i"), "i", "left_semi").groupBy("j").agg(F.max(F.struct("sim", (-F.col("i")).alias("m"))).alias("b"))
     return ids.select(key).join(best, F.col(key) == F.col("j"), "left").select(key, (-F.col("b.m")).alias("kept_id"), F.col("b.sim").alias("sim"))
 
 
