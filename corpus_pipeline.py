@@ -8,6 +8,8 @@ last. An empty table gives an empty result. Extra columns play no part; all stag
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grainmill.llm import common, mixing, neardup, packing, suffixes, toxicity
@@ -17,17 +19,37 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_AT = 0.7
 
 
+#: Rows and bytes that go to a Python worker at once. One executor runs all stages, one after the other; what buffers they
+#: needed at most stays with it.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def _frugal(stage):
+    """The stage, with the session's batches bounded."""
+
+    @wraps(stage)
+    def run_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in BATCH.items():
+            spark.conf.set(name, value)
+        return stage(spark, docs, sf_dir)
+
+    return run_
+
+
+@_frugal
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are likely to be toxic go. The model is learnt from the labelled ones among docs."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, TOXIC_AT).where("predicted = 0").select(*COLUMNS)
 
 
+@_frugal
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays, that of the least doc_id; rows without words all stay."""
     return neardup.one_of_each(docs).select(*COLUMNS)
 
 
+@_frugal
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that an earlier document has go; bytes that no longer form a character go too."""
     found = suffixes.repeats(docs.withColumn("none", F.col("text").isNull()), carry=("lang", "source", "none"))
@@ -35,11 +57,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_frugal
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
     return mixing.mixed(docs).select(*COLUMNS)
 
 
+@_frugal
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequences."""
     return packing.pack(docs)
