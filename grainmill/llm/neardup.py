@@ -35,7 +35,7 @@ BANDS = REGISTERS // ROWS
 #: A pair is ruled out if the wanted similarity is less likely than the best one by this factor's logarithm.
 DOUBT = 12.5
 #: Bytes of registers and sets on each side of a block, and in a task.
-BLOCK, TASK = 4 << 20, 8 << 20
+BLOCK, TASK = 2 << 20, 4 << 20
 #: Pairs whose registers are compared at once.
 PAIRS = 60_000
 SLAB = 1 << 20

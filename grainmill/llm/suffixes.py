@@ -41,7 +41,7 @@ LENGTH, GRAM = 50, 20
 #: Bytes whose anchors are found, or whose windows are sorted, at once.
 SLAB = 1 << 19
 #: Text bytes in a block, and the number of blocks that makes an anchor a hot one.
-BLOCK_BYTES, HOT = 6 << 20, 500
+BLOCK_BYTES, HOT = 4 << 20, 750
 LAST = (1 << 63) - 1
 _BYTE = mix64((np.arange(256, dtype=np.uint64) + np.uint64(77)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
