@@ -32,7 +32,7 @@ LENGTH, END = 4096, 1
 #: Pieces in a group: a group's packing wastes less than a bin, and one task holds a group.
 GROUP = 20_000
 #: Runs whose ids a worker keeps; beyond it, it starts anew and looks up the former ones before it works any out.
-KEPT = 300_000
+KEPT = 200_000
 #: Marks that often end a run.
 MARKS = ".,;:!?"
 

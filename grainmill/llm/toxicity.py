@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import discard, few, lean, spread, trim, written
 
 #: The bounded sample of labelled rows, and how many neighbours vote.
-TOXIC, CLEAN, K = 1500, 2500, 9
+TOXIC, CLEAN, K = 1200, 1800, 9
 #: Examples in a block of the index; the share of examples whose lists are long; rows at the labels' rate in a term's odds.
 BLOCK, LONG, PRIOR = 64, 0.1, 5.0
 WORDS = re.compile(r"[^\W\d_]+")
