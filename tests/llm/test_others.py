@@ -196,6 +196,16 @@ def test_tokens_are_the_tokenizers():
         assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_merges_by_ranks_are_the_librarys(monkeypatch):
+    """A release of the library without the call that merges one word."""
+    import tiktoken
+
+    texts = [cases.prose(i, 40).title() for i in range(5)] + ["ünïcödé straße naïve", "a b c", "supercalifragilistic!"]
+    want = [packing.WordIds(packing.default_vocabulary()).of(t) for t in texts]
+    monkeypatch.delattr(tiktoken.Encoding, "_encode_single_piece")
+    assert [packing.WordIds(packing.default_vocabulary()).of(t) for t in texts] == want
+
+
 def test_added_tokens_are_found(tmp_path):
     from tokenizers import AddedToken, Tokenizer
 
