@@ -281,9 +281,14 @@ def n05_phrase_candidates(spark, sf_dir):
     return out.select("phrase", "n_words", "df", "of", "ref_df", "ref_of", F.round("z", 9).alias("z"))
 
 
-@query()
+@query(_CAND.replace("WITH p AS", "WITH RECURSIVE p AS", 1).rpartition(" SELECT phrase")[0] + """,
+k AS (SELECT phrase, n_words, a AS df, na AS "of", b AS ref_df, nb AS ref_of, z, row_number() OVER (ORDER BY round(z, 9) DESC, a DESC, phrase) AS place FROM z WHERE z >= 1),
+r(place, kept) AS (SELECT 0::BIGINT, []::VARCHAR[] UNION ALL SELECT k.place, CASE WHEN len(kept) < 25 AND len(list_filter(kept, lambda x: contains(x, k.phrase) OR contains(k.phrase, x))) = 0 THEN list_append(kept, k.phrase) ELSE kept END FROM r JOIN k ON k.place = r.place + 1),
+l AS (SELECT kept FROM r ORDER BY place DESC LIMIT 1)
+SELECT phrase, n_words, df, "of", ref_df, ref_of, round(z, 9) AS z FROM k WHERE list_contains((SELECT kept FROM l), phrase)""")
 def n05_phrase_shortlist(spark, sf_dir):
-    return a.without_nested(a.phrase_candidates(chat.responses(spark, sf_dir), "arm", "pipeline", "plain", ["of the"]))
+    out = a.without_nested(a.phrase_candidates(chat.responses(spark, sf_dir), "arm", "pipeline", "plain", ["of the"]))
+    return out.select("phrase", "n_words", "df", "of", "ref_df", "ref_of", F.round("z", 9).alias("z"))
 
 
 @query(f"""WITH p AS {chat.sql('assistant')}, q(phrase) AS (VALUES ('the '), ('er '), ('zzz')), h AS (SELECT phrase, arg_min(text, conv_id) AS text FROM p, q WHERE contains(text, phrase) GROUP BY phrase)

@@ -8,6 +8,7 @@ from ..functions import parse, text as t
 from ..operators import generation, stages
 from ..sources import files, store
 from ..streaming import keepfirst
+from .dedup import GREEDY
 from .registry import query, table
 from .text import STRIP
 
@@ -57,13 +58,13 @@ def s24_seed_import(spark, sf_dir):
     return files.seeds(rows)
 
 
-@query()
+@query("SELECT event_id, props AS value FROM events")
 def j01_extract_json(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("so: "), "props", F.lit(" and [1, {broken")).alias("raw"))
     return e.select("event_id", parse.extract_json("raw").alias("value"))
 
 
-@query()
+@query("SELECT event_id, CASE WHEN props IS NULL THEN 0 ELSE 2 END AS objects FROM events")
 def j03_salvage(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("["), "props", F.lit(', {"a": 1}, {"b": ')).alias("raw"))
     return e.select("event_id", F.size(parse.salvaged("raw")).alias("objects"))
@@ -113,7 +114,7 @@ def j09_score_parse(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", parse.scores(raw).alias("s")).select("doc_id", "s.alignment", "s.realism")
 
 
-@query()
+@query("WITH h AS (SELECT item_id, ('0x' || substr(md5(text), 1, 8))::BIGINT AS h FROM benchmark) SELECT item_id, 'answer ' || h AS parsed FROM h WHERE h % 7 <> 0")
 def l01_stage_with_stub(spark, sf_dir):
     """Prompts through the offline stub, three attempts at most; the answers that were accepted."""
     prompts = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("prompt"))
@@ -121,7 +122,7 @@ def l01_stage_with_stub(spark, sf_dir):
     return good.select("item_id", "parsed")
 
 
-@query()
+@query(GREEDY + " SELECT d.doc_id FROM documents d LEFT JOIN b ON b.j = d.doc_id WHERE b.kept_id IS NULL AND d.text IS NOT NULL")
 def d05_incremental_filter(spark, sf_dir):
     """The keep-first filter over a stream of files, one batch after the other."""
     path, out = store.new_path(spark, "stream"), store.new_path(spark, "kept")
