@@ -5,7 +5,7 @@ proportion to size gives quantile boundaries for many more ranges than shards; r
 subdivided by a denser sample of their own until they are small or hold a single record. Whole ranges then go to
 shards, the largest first, each to the emptiest; a record's slot counts from its range's first slot in its shard.
 Equal texts share a shard unless together they exceed an even one; then they are parted by doc_id, and rows equal in
-text and doc_id by a hash of their place in the input. Subdividing goes on until no range is overfull, or fails.
+text and doc_id by a hash of their place in the input. Each round cuts every overfull range, until none is left.
 
 Null texts have no bytes (size 16, crc32 0). Rows that repeat a doc_id are records of their own. Very long texts count by
 their size alone: a record is never cut, so a shard may exceed the others by one record. Ties of size go to the smaller
@@ -26,8 +26,6 @@ from .common import written
 OVERHEAD = 16
 #: Ranges per shard, sampled records per range; both bound what reaches the driver.
 RANGES, DRAWS = 32, 24
-#: A round without progress draws four times as densely; so many in a row, and the job fails.
-TRIES = 6
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -83,7 +81,7 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
     top = 2**63 - 1
     # a boundary in the middle of equal texts is moved to their end; only overfull ranges cut texts' groups by doc_id
     bounds = {(k, top) for k, _ in _quantiles(_sampled(keyed, shards * RANGES * DRAWS, total, seed), shards * RANGES)}
-    rounds = idle = 0
+    rounds = 0
     while True:
         dealt = _assign(keyed, sorted(bounds))
         sums = F.sum("size").alias("size"), F.max("size").alias("largest"), F.count(F.lit(1)).alias("n"), F.min("k").alias("first"), F.max("k").alias("last"), F.min("d").alias("low"), F.max("d").alias("high")
@@ -92,10 +90,8 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
         full = [r for r in held.values() if r.n > 1 and r["size"] > (alone if r.first == r.last else 2 * limit) and r["size"] > 1.5 * r.largest and (r.first, r.low) != (r.last, r.high)]
         if not full:
             break
-        if idle == TRIES:
-            raise RuntimeError(f"{len(full)} ranges stay overfull after {rounds} rounds; the largest holds {max(r['size'] for r in full)} bytes of {total}")
         rounds += 1
-        inside = _sampled(dealt.where(F.col("range").isin([r.range for r in full])), sum(-(-r["size"] // limit) for r in full) * DRAWS * 4**idle, sum(r["size"] for r in full), seed + rounds)
+        inside = _sampled(dealt.where(F.col("range").isin([r.range for r in full])), sum(-(-r["size"] // limit) for r in full) * DRAWS, sum(r["size"] for r in full), seed + rounds)
         before, edges = len(bounds), sorted(bounds)
         his, los = np.array([e[0] for e in edges], np.int64), np.array([e[1] for e in edges], np.int64)
         groups: dict[int, list] = {}
@@ -108,14 +104,16 @@ def shard(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
             mine = groups.get(r.range, [])
             cuts = _quantiles(mine, -(-r["size"] // limit))
             if r.first == r.last:
-                bounds |= set(cuts)
+                bounds |= (set(cuts) - bounds) or {(r.first, r.low)}  # without a cut in the sample, the first record goes alone
                 continue
-            bounds |= {(k, top) for k, _ in cuts if k < r.last}
+            fresh = {(k, top) for k, _ in cuts if k < r.last}
             many = [k for k, _, _ in mine]  # a text's group that overfills a range gets a range alone
             for k, c in zip(*np.unique(many, return_counts=True)) if many else ():
                 if c > len(many) / 2:
-                    bounds |= {(int(k), top), *([(int(k) - 1, top)] if k > -(2**63) else [])}
-        idle = 0 if len(bounds) > before else idle + 1
+                    fresh |= {(int(k), top), *([(int(k) - 1, top)] if k > -(2**63) else [])}
+            bounds |= (fresh - bounds) or {(r.first, top)}
+        if len(bounds) == before:  # can't be, as a range that can be parted gets a boundary inside
+            raise RuntimeError(f"{len(full)} ranges stay overfull after {rounds} rounds; the largest holds {max(r['size'] for r in full)} bytes of {total}")
     heap = [(0, s, 0) for s in range(shards)]
     placed = []
     for r in sorted(held.values(), key=lambda r: (-r["size"], r.range)):
