@@ -427,6 +427,18 @@ def test_groups_that_fit_a_shard_stay_whole(spark):
     assert all(len(w) == 1 for w in where.values()) and max(sizes.values()) < 1.06 * min(sizes.values())
 
 
+def test_two_large_records_are_parted(spark):
+    """Quantiles of a sample may all fall on the last record of a range."""
+    rows = [(i, "x" * (94_200 if i % 2 else 188_700) + str(i), "en", "a", 0) for i in range(120)]
+    out = sharding.shard(spark.createDataFrame(rows, cases.DOCS).repartition(3), 3).collect()
+    slots, sizes = {}, {}
+    for x in out:
+        slots.setdefault(x.shard, []).append(x.slot)
+        sizes[x.shard] = sizes.get(x.shard, 0) + x["size"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(out) == 120
+    assert max(sizes.values()) < 1.08 * min(sizes.values())
+
+
 def test_rows_equal_in_all_are_parted(spark):
     """One row a thousand times: more than a shard holds, and no key tells them apart."""
     df = spark.createDataFrame([(1, "the same", "en", "a", 0)] * 1000 + [(None, None, None, None, None)] * 3, cases.DOCS)
