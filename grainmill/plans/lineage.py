@@ -195,13 +195,13 @@ def a27_total_cost(spark, sf_dir):
     return g.total_cost(table(spark, sf_dir, "events").withColumnRenamed("value", "cost_usd"))
 
 
-_CALLS_SQL = "c AS (SELECT event_type AS stage, 'm' || (user_id % 3) AS model, value AS cost_usd, CASE WHEN user_id % 5 <> 0 THEN value END AS duration_s, 1 + event_id % 2 AS attempts, user_id, CASE WHEN event_type <> 'view' THEN 'u' || user_id || ',u' || (user_id + 1) END AS item_id FROM events)"
+_CALLS_SQL = "c AS (SELECT event_type AS stage, 'm' || (user_id % 3) AS model, value AS cost_usd, CASE WHEN user_id % 5 <> 0 THEN value / 7.0 END AS duration_s, 1 + event_id % 2 AS attempts, user_id, CASE WHEN event_type <> 'view' THEN 'u' || user_id || ',u' || (user_id + 1) END AS item_id FROM events)"
 
 
 def _calls(spark, sf_dir):
     u = F.col("user_id")
     name = lambda x: F.concat(F.lit("u"), x.cast("string"))
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), F.concat(F.lit("m"), (u % 3).cast("string")).alias("model"), F.col("value").alias("cost_usd"), F.when(u % 5 != 0, F.col("value")).alias("duration_s"), (1 + F.col("event_id") % 2).alias("attempts"), u, F.when(F.col("event_type") != "view", F.concat_ws(",", name(u), name(u + 1))).alias("item_id"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), F.concat(F.lit("m"), (u % 3).cast("string")).alias("model"), F.col("value").alias("cost_usd"), F.when(u % 5 != 0, F.col("value") / 7.0).alias("duration_s"), (1 + F.col("event_id") % 2).alias("attempts"), u, F.when(F.col("event_type") != "view", F.concat_ws(",", name(u), name(u + 1))).alias("item_id"))
 
 
 @query(f"WITH {_CALLS_SQL} SELECT user_id, count(*) AS calls, string_agg(DISTINCT model, ',' ORDER BY model) AS models, round(sum(cost_usd), 4) AS cost_usd, CASE WHEN bool_and(duration_s IS NOT NULL) THEN round(sum(duration_s), 1) END AS duration_s, sum(attempts - 1)::BIGINT AS retries FROM c GROUP BY 1")
