@@ -32,8 +32,8 @@ def s12_library(spark, sf_dir):
 
     folder = store.new_path(spark, "prompts")
     names = [r.n_name for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()]  # 25 rows
-    runs.write_text(spark, f"{folder}/{runs.LIBRARY_NAMES[2]}", json.dumps({"principles": [{"id": n, "claim": f'claim, "{k}"'} for k, n in enumerate(names)]}))
-    return runs.library(spark, folder).select("id", "claim", "pos")
+    runs.write_text(spark, f"{folder}/old_library.json", json.dumps({"principles": [{"id": n, "claim": f'claim, "{k}"'} for k, n in enumerate(names)]}))
+    return runs.library(spark, folder, older=["older.json", "old_library.json"]).select("id", "claim", "pos")
 
 
 @query("WITH a AS (SELECT user_id, [event_type, 'nothing', 'view'] AS ids FROM events WHERE event_id % 50 = 0) SELECT user_id, count(*) AS n, min(event_type) AS least FROM (SELECT user_id, unnest(ids) AS event_type FROM a) WHERE event_type IN ('click', 'view') GROUP BY 1")

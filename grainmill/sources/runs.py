@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import strip
 from .files import exists, load_jsonl, run_id
 
+# Names and markers that stored runs have.
 MANIFEST = "run_manifest.json"
-#: Names of a reasoning library, the current one first.
-LIBRARY_NAMES = ("reasoning_library.csv", "reasoning_library.json", "animal_ethics_reasoning_library.json", "animal_ethics_compendium.json")
-#: Markers of the two parts of a prompt template.
+LIBRARY_NAMES = ("reasoning_library.csv", "reasoning_library.json")
 SYSTEM_MARK, USER_MARK = "=== SYSTEM PROMPT ===", "=== USER PROMPT ==="
 
 
@@ -115,7 +114,7 @@ class Stages:
         return held[1]
 
 
-def corpus_input(spark: SparkSession, path: str, final: Sequence[str] = ("final/sdf_corpus.jsonl", "final/dad_corpus.jsonl")) -> tuple[str, str]:
+def corpus_input(spark: SparkSession, path: str, final: Sequence[str] = ("final/corpus.jsonl",)) -> tuple[str, str]:
     """(corpus file, folder for its reports): of a run, its final corpus and its audit folder; of a bare file, a folder beside it."""
     if path.endswith(".jsonl"):
         return path, f"{path.removesuffix('.jsonl')}_audit"
@@ -171,19 +170,20 @@ def joined_parts(*parts: Column) -> Column:
     return F.concat_ws("\n---\n\n", *parts)
 
 
-def library(spark: SparkSession, folder: str, schema: str = "id string, category string, claim string, reasoning string, trigger_condition string, transferable_move string") -> DataFrame:
-    """Entries in file order (pos): the current file, or the first of the older names; none, an error."""
-    for name in LIBRARY_NAMES:
+def library(spark: SparkSession, folder: str, older: Sequence[str] = (), schema: str = "id string, category string, claim string, reasoning string, trigger_condition string, transferable_move string") -> DataFrame:
+    """Entries in file order (pos): the current file, or the first of the older names that is there; none, an error."""
+    names = [*LIBRARY_NAMES, *older]
+    for name in names:
         path = f"{folder}/{name}"
         if exists(spark, path):
             if name.endswith(".csv"):
                 rows = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
                 return rows.withColumn("pos", F.monotonically_increasing_id())  # one file, one partition: its order
             tree = json.loads(read_text(spark, path))
-            names = [c.split()[0] for c in schema.split(", ")]
+            columns = [c.split()[0] for c in schema.split(", ")]
             entries = tree.get("entries") or tree.get("principles") or []
-            return spark.createDataFrame([(*(e.get(n) for n in names), i) for i, e in enumerate(entries)], f"{schema}, pos long")
-    raise FileNotFoundError(f"{folder} has none of {', '.join(LIBRARY_NAMES)}")
+            return spark.createDataFrame([(*(e.get(n) for n in columns), i) for i, e in enumerate(entries)], f"{schema}, pos long")
+    raise FileNotFoundError(f"{folder} has none of {', '.join(names)}")
 
 
 def chosen_entries(asked: DataFrame, entries: DataFrame, key: str) -> DataFrame:

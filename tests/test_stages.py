@@ -118,8 +118,8 @@ def test_reports_and_corpora_of_runs(spark):
     assert runs.read_report(spark, f"{root}/r/audit/report.json") == {"é": 1}
     with pytest.raises(FileNotFoundError):
         runs.corpus_input(spark, f"{root}/r")
-    files.save_jsonl(spark.range(2), f"{root}/r/final/dad_corpus.jsonl")
-    assert runs.corpus_input(spark, f"{root}/r") == (f"{root}/r/final/dad_corpus.jsonl", f"{root}/r/audit")
+    files.save_jsonl(spark.range(2), f"{root}/r/final/corpus.jsonl")
+    assert runs.corpus_input(spark, f"{root}/r") == (f"{root}/r/final/corpus.jsonl", f"{root}/r/audit")
     assert runs.corpus_input(spark, "x/corpus.jsonl") == ("x/corpus.jsonl", "x/corpus_audit")
 
 
