@@ -11,7 +11,8 @@ are ranked by their random odds u / (1 - u) over their inclusion odds p / (1 - p
 
 The size that is fixed is words. Each source's documents are parted by the octave of their size; of an octave the front is
 taken up to the words wanted there, the document at the cut if that comes nearer. What is then too few or too many words,
-half a document, is made up in the octave below, so at the end half of a shortest document is wrong.
+half a document, is made up in the octave below, so at the end half of a short document is wrong, if the lower octaves hold
+enough documents to make up for it.
 
 u is a hash of the seed, doc_id and text, so reruns agree, and ties of the ranks go by doc_id and text. Null and empty texts
 have size 0 and are only taken whole. Null sources form one source, the last. Repeated rows are documents of their own.
