@@ -35,12 +35,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, few, lean, spread, trim, written
+from .common import discard, few, lean, parts, spread, trim, written
 
 #: The bounded sample of labelled rows, and how many neighbours vote.
 TOXIC, CLEAN, K = 1200, 1800, 9
 #: Examples in a block of the index; the share of examples whose lists are long; rows at the labels' rate in a term's odds.
 BLOCK, LONG, PRIOR = 64, 0.1, 5.0
+#: Tasks whose results make up the examples' terms.
+RESULTS = 96
 WORDS = re.compile(r"[^\W\d_]+")
 #: Least hashes kept of a text's runs of three words, and the likeness that makes a near copy.
 SKETCH, ALIKE = 64, 0.5
@@ -222,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             out = [(i, t, c) for i, text in zip(batch["at"], batch.text) for t, c in counted(text).items()]
             yield pd.DataFrame(out, columns=["at", "term", "n"])
 
-    terms = found.select("at", "text").mapInPandas(count, "at long, term string, n long").toArrow()
+    # many small results: large ones would be fetched through buffers that the driver keeps
+    terms = found.select("at", "text").repartition(max(parts(spark), RESULTS)).mapInPandas(count, "at long, term string, n long").toArrow()
     example = terms["at"].to_numpy()
     coded = terms["term"].combine_chunks().dictionary_encode()
     names = np.array(coded.dictionary.to_pylist(), object)
