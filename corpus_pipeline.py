@@ -25,12 +25,13 @@ BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.exec
 
 
 def _frugal(stage):
-    """The stage, with the session's batches bounded."""
+    """The stage, with the session's batches bounded, and what earlier stages left in this process given back."""
 
     @wraps(stage)
     def run_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for name, value in BATCH.items():
             spark.conf.set(name, value)
+        common.trim()
         return stage(spark, docs, sf_dir)
 
     return run_
