@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, mixing, neardup, packing, sharding, suffixes, topk, toxicity, url_filter, warc
+from . import divergence, fingerprints, mixing, neardup, packing, repetitions, sharding, suffixes, tokenfiles, topk, toxicity, url_filter, warc
 
 URL_RULES = [
     url_filter.parse(text, verdict)
@@ -64,7 +64,39 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, at=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_near_duplicates, op4_suffix_dedup, op5_packing, op6_exact_topk, op7_fingerprints, op8_sharding, op9_warc, op10_toxicity)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def replanted(docs: DataFrame) -> DataFrame:
+    """doc_id, text: each tenth text by the hash of its doc_id repeats a stretch of its words to its end."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g, n = F.floor(h / 10), F.size("w")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    again = F.concat(F.slice("w", F.lit(1), a), F.transform(F.sequence(a, n - 1), lambda i: F.get("w", (a + (i - a) % p).cast("int"))))
+    odd = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"))
+    return odd.select("doc_id", F.when(F.size("w") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetitions.find(replanted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    rows = found.select("doc_id", "runs", "collapsed", best.alias("best"), lines.alias("lines"))
+    length, period = F.col("best.length"), -F.col("best.less")
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.before")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(F.lit(1000) * length / period).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_mixing, op3_near_duplicates, op4_suffix_dedup, op5_packing, op6_exact_topk, op7_fingerprints, op8_sharding, op9_warc, op10_toxicity, op11_source_divergence, op12_periodic_runs, op13_token_files)}
 
 _OP1_SQL = r"""
 WITH u AS (
@@ -134,4 +166,21 @@ SELECT page_id, n AS payload_bytes,
 FROM p JOIN f USING (h)
 """
 
-ORACLE_SQL = {"op1_url_filter": _OP1_SQL, "op3_near_duplicates": _OP3_SQL, "op4_suffix_dedup": _OP4_SQL, "op6_exact_topk": _OP6_SQL, "op9_warc": _OP9_SQL}
+# Every group against every kept term of its language.
+_OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+t AS (SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) AS total, (SELECT count(*) FROM k WHERE k.lang = g.lang) AS v FROM g),
+p AS (SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (t.total + 2 * t.v) AS p FROM t JOIN k USING (lang) LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM k),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM x)
+SELECT lang, source, part, item, value, rank FROM z WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE_SQL = {"op1_url_filter": _OP1_SQL, "op3_near_duplicates": _OP3_SQL, "op4_suffix_dedup": _OP4_SQL, "op6_exact_topk": _OP6_SQL, "op9_warc": _OP9_SQL, "op11_source_divergence": _OP11_SQL}
