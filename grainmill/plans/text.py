@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from ..functions import text as t
+from ..functions import text as t, tokens
 from .registry import query, table
 
 WS = r"[ \t\n\r\f\x0B]"
@@ -161,3 +161,13 @@ def t34_feedback_block(spark, sf_dir):
     reasons = F.filter(F.array(F.when(F.col("quality") == 0, "low quality"), F.when(F.col("toxic") == 1, "toxic")), lambda x: x.isNotNull())
     block = F.concat(F.lit("Fix these:\n"), F.array_join(F.transform("reasons", lambda x: F.concat(F.lit("- "), x)), "\n"))
     return table(spark, sf_dir, "labels").select("doc_id", reasons.alias("reasons")).select("doc_id", F.when(F.size("reasons") == 0, "").otherwise(block).alias("value"))
+
+
+@query()
+def t22_token_cap(spark, sf_dir):
+    """Every text cut to 512 tokens of a public vocabulary, with how many it has."""
+    import public_tokenizers
+
+    cut = tokens.capped("text", 512, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", cut.alias("c"))
+    return rows.select("doc_id", "c.n_tokens", "c.kept_tokens", F.length("c.text").cast("long").alias("kept_chars"), F.md5("c.text").alias("kept_md5"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import vectors as v
+from ..operators import spectrum, vectors as v
 from . import chat
+from ..sources.store import written
 from .registry import query, table
 from .text import COLLAPSE, STRIP
 
@@ -110,6 +111,27 @@ def v14_style_nearest(spark, sf_dir):
     return near.select("conv_id", F.round("nn", 9).alias("nn"))
 
 
+def _style(spark, sf_dir):
+    prompts = written(chat.prompts(spark, sf_dir), "prompts")
+    return written(v.style_vectors(prompts, "conv_id"), "style"), prompts.select("conv_id")
+
+
+@query(f"WITH {_STYLE}, x AS (SELECT sum(a.w * b.w) AS sim FROM v a JOIN v b ON a.gram = b.gram GROUP BY a.conv_id, b.conv_id) SELECT n, round((SELECT sum(w * w) FROM v) / n, 6) AS trace, round((SELECT sum(sim * sim) FROM x) / n / n, 9) AS squared FROM n")
+def v14_style_spectrum(spark, sf_dir):
+    """Sums of the eigenvalues of the style vectors' products and of their squares."""
+    return spectrum.spectrum(*_style(spark, sf_dir), "conv_id").select("n", F.round("trace", 6).alias("trace"), F.round("squared", 9).alias("squared"))
+
+
+@query()
+def v14_style_vendi(spark, sf_dir):
+    return spectrum.spectrum(*_style(spark, sf_dir), "conv_id").select("n", "vendi", "ratio", "complete")
+
+
+@query()
+def v14_style_plane(spark, sf_dir):
+    return spectrum.plane(*_style(spark, sf_dir), "conv_id")
+
+
 @query()
 def v15_request_batches(spark, sf_dir):
     return v.request_batches(table(spark, sf_dir, "documents"), "doc_id")
