@@ -20,6 +20,13 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CAPPED = "struct<text:string,n_tokens:long,kept_tokens:long>"
 
 
+def _whole(text: str, at: np.ndarray) -> list[int]:
+    """How many whole characters end up to each of these bytes."""
+    inside = np.append((np.frombuffer(text.encode("utf-8"), np.uint8) & 0xC0) == 0x80, False)  # bytes within a character
+    begun = np.append(0, np.cumsum(~inside[:-1]))
+    return (begun[at] - inside[at]).tolist()
+
+
 class Ranks:
     """A file of byte strings in base 64 with their ranks."""
 
@@ -33,10 +40,7 @@ class Ranks:
     def ends(self, text: str) -> list[int]:
         """Up to which character each token reaches whole ones."""
         sizes = [len(token) for token in self.encoding.decode_tokens_bytes(self.encoding.encode_ordinary(text))]
-        at = np.cumsum(sizes, dtype=np.int64)
-        inside = np.append((np.frombuffer(text.encode("utf-8"), np.uint8) & 0xC0) == 0x80, False)  # bytes within a character
-        begun = np.append(0, np.cumsum(~inside[:-1]))
-        return (begun[at] - inside[at]).tolist()
+        return _whole(text, np.cumsum(sizes, dtype=np.int64))
 
 
 class Json:
@@ -65,11 +69,8 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
 
     def ends(self, text: str) -> list[int]:
-        reach, out = 0, []
-        for piece in self.model.encode(text, out_type="immutable_proto").pieces:
-            reach = max(reach, piece.end)
-            out.append(reach)
-        return out
+        ends = [piece.end for piece in self.model.encode(text, return_type="proto").pieces]
+        return _whole(text, np.maximum.accumulate(np.array(ends, np.int64)))
 
 
 @lru_cache(maxsize=8)
