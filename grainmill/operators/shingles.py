@@ -1,16 +1,19 @@
-"""Hashed shingle vectors, near-duplicate edges and the greedy keep-first filter.
+"""Hashed shingle vectors, what is kept of links in order, and nearest neighbours.
 
-A text's vector counts its word shingles in DIM hashed buckets and has length 1; texts without words have none. Edges
-of cosine >= t come from products of blocks, greedy decisions from the edges alone.
+A text's vector counts its word shingles in DIM hashed buckets and has length 1; texts without words have none. A row's
+vector is made where the row is: nothing is shuffled. Keys are unique; a null text has no words. Extra columns play no part.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import words
 from ..sources.store import discard, new_path, written
@@ -32,23 +35,47 @@ def grams(tokens: Column, n: int) -> Column:
     return let(tokens, runs)
 
 
-def bucket_md5(g: Column) -> Column:
-    return F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long") % DIM
+def _md5(g: bytes) -> bytes:
+    return hashlib.md5(g).digest()[:4]
 
 
-def bucket_crc(g: Column) -> Column:
-    return F.crc32(F.encode(g, "UTF-8")) % DIM
+def _crc(g: bytes) -> bytes:
+    return zlib.crc32(g).to_bytes(4, "big")
+
+
+#: How a shingle's bucket is told: the first four bytes of a digest, or a checksum, modulo DIM.
+BUCKETS = {"md5": _md5, "crc32": _crc}
 
 
 def shingles(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     return docs.select(key, F.explode(grams(words(text), n)).alias("gram"))
 
 
-def vectors(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text", bucket: Callable[[Column], Column] = bucket_md5) -> DataFrame:
-    """key, bucket, w: rows of unit length. One shuffle by key, which the norm reuses."""
-    counted = shingles(docs, n, key, text).groupBy(key, bucket(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("c"))
-    norm = F.sqrt(F.sum(F.col("c") * F.col("c")).over(Window.partitionBy(key)))
-    return counted.select(key, "bucket", (F.col("c") / norm).alias("w"))
+def packed(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text", bucket: str = "md5") -> DataFrame:
+    """key, b (buckets in order), c (how many shingles fell in each), w (the same at unit length)."""
+    digest, kind = BUCKETS[bucket], docs.schema[key].dataType.simpleString()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = re.compile(r"[\w']+")  # letters and numbers of all scripts, as in WORD
+        for batch in batches:
+            keys, rows = [], []
+            for k, low in zip(batch[key], batch["low"]):
+                words = parts.findall(low)
+                if words:
+                    runs = map(" ".join, zip(*(words[i:] for i in range(n)))) if len(words) >= n else [" ".join(words)]
+                    at = np.frombuffer(b"".join([digest(g.encode()) for g in runs]), ">u4") % DIM
+                    b, c = np.unique(at.astype(np.int32), return_counts=True)
+                    keys.append(k)
+                    rows.append((b, c.astype(np.int64), c / np.sqrt(float(c @ c))))
+            yield pd.DataFrame({key: keys, "b": [r[0] for r in rows], "c": [r[1] for r in rows], "w": [r[2] for r in rows]})
+
+    rows = docs.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("low"))
+    return rows.mapInPandas(count, f"{key} {kind}, b array<int>, c array<long>, w array<double>")
+
+
+def vectors(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text", bucket: str = "md5") -> DataFrame:
+    """key, bucket, w: rows of unit length."""
+    return packed(docs, n, key, text, bucket).select(key, F.explode(F.arrays_zip("b", "w")).alias("x")).select(key, F.col("x.b").cast("long").alias("bucket"), F.col("x.w").alias("w"))
 
 
 def _products(vecs: DataFrame, key: str, rows: int, found: Callable, schema: str) -> DataFrame:
@@ -76,43 +103,27 @@ def _products(vecs: DataFrame, key: str, rows: int, found: Callable, schema: str
     return pairs.select("block", "other", "left", "right").mapInPandas(product, schema)
 
 
-def edges(vecs: DataFrame, t: float, key: str = "doc_id", rows: int = 256) -> DataFrame:
-    """i < j with sim >= t."""
-
-    def reach(ka: np.ndarray, kb: np.ndarray, s: np.ndarray, own: bool) -> pd.DataFrame:
-        i, j = np.nonzero(s >= t)
-        low, high = np.minimum(ka[i], kb[j]), np.maximum(ka[i], kb[j])
-        keep = (ka[i] < kb[j]) if own else (ka[i] != kb[j])
-        return pd.DataFrame({"i": low[keep], "j": high[keep], "sim": s[i, j][keep]})
-
-    return _products(vecs, key, rows, reach, "i long, j long, sim double")
-
-
-def greedy(ids: DataFrame, links: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, kept_id, sim: for each dropped id the most similar earlier kept one (ties: the smaller); null if it is kept.
-
-    In order of the id, one is dropped if an earlier kept one is linked. Each round keeps those without an earlier open
-    neighbour and drops their neighbours; only links between ids that are still open go on to the next round. A chain of k
-    links takes k / 2 rounds at most, of ever fewer links."""
-    edge = open_ = written(links.select("i", "j", "sim"), "edges")
-    path = new_path(edge.sparkSession, "kept")
+def kept_of(links: DataFrame) -> DataFrame:
+    """id: the kept ones of all that have a link (i, j). Each round keeps those without an earlier open neighbour and drops
+    their neighbours; only links between ids that are still open go on to the next round. A chain of k links takes k / 2
+    rounds at most, of ever fewer links."""
+    open_ = written(links.select("i", "j"), "edges")
+    path = new_path(open_.sparkSession, "kept")
     while True:
         first = open_.select(F.col("i").alias("id")).distinct().join(open_.select(F.col("j").alias("id")).distinct(), "id", "left_anti")
         gone = open_.join(first.withColumnRenamed("id", "i"), "i", "left_semi").select(F.col("j").alias("id")).distinct()
         settled = written(first.withColumn("kept", F.lit(True)).unionByName(gone.withColumn("kept", F.lit(False))), "settled")
         done = settled.select("id")
-        rest = written(open_.join(done.withColumnRenamed("id", "i"), "i", "left_anti").join(done.withColumnRenamed("id", "j"), "j", "left_anti").select("i", "j", "sim"), "edges")
+        rest = written(open_.join(done.withColumnRenamed("id", "i"), "i", "left_anti").join(done.withColumnRenamed("id", "j"), "j", "left_anti").select("i", "j"), "edges")
         nodes = lambda e: e.select(F.col("i").alias("id")).union(e.select("j")).distinct()
         free = nodes(open_).join(done, "id", "left_anti").join(nodes(rest), "id", "left_anti")  # all their neighbours are dropped
         settled.where("kept").select("id").unionByName(free).write.mode("append").parquet(path)
-        discard(settled, *([open_] if open_ is not edge else []))
+        discard(settled, open_)
         open_ = rest
         if rest.isEmpty():
             break
-    kept = edge.sparkSession.read.schema(f"id {edge.schema['i'].dataType.simpleString()}").parquet(path)
-    loose = edge.join(kept.withColumnRenamed("id", "j"), "j", "left_anti")
-    best = loose.join(kept.withColumnRenamed("id", "i"), "i", "left_semi").groupBy("j").agg(F.max(F.struct("sim", (-F.col("i")).alias("m"))).alias("b"))
-    return ids.select(key).join(best, F.col(key) == F.col("j"), "left").select(key, (-F.col("b.m")).alias("kept_id"), F.col("b.sim").alias("sim"))
+    discard(open_)
+    return links.sparkSession.read.schema(f"id {links.schema['i'].dataType.simpleString()}").parquet(path)
 
 
 def nearest(vecs: DataFrame, ids: DataFrame, key: str = "doc_id", rows: int = 256) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +56,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is written within sends so many rows to a Python worker at once: for rows that may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that written() made and that no plan needs any more."""
     for df in tables:

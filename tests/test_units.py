@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grainmill.functions import parse, text as t
-from grainmill.operators import audits as a, lineage as g, matrix as m, shingles as s, stages, vectors as v
+from grainmill.operators import audits as a, lineage as g, matrix as m, shingles as s, signatures, stages, vectors as v
 from grainmill.sources import files
 from grainmill.streaming.keepfirst import KeepFirst
 
@@ -42,7 +42,7 @@ TEXTS = ["the cat sat on the mat by the door of the old house", "the cat sat on
 
 def test_greedy_filter(spark):
     d = docs(spark, TEXTS)
-    got = {r.doc_id: r.kept_id for r in s.greedy(d, s.edges(s.vectors(d), 0.9)).collect()}
+    got = {r.doc_id: r.kept_id for r in signatures.keep_first(s.packed(d), d, 0.9).collect()}
     assert got == {0: None, 1: 0, 2: None, 3: None, 4: None}
 
 
@@ -58,7 +58,7 @@ def test_edges_and_greedy_against_brute_force(spark):
     for row in s.vectors(d).collect():
         w.setdefault(row.doc_id, {})[row.bucket] = row.w
     sim = {(i, j): sum(x * w[j].get(b, 0) for b, x in w[i].items()) for i in w for j in w if i < j}
-    got = {(e.i, e.j): e.sim for e in s.edges(s.vectors(d), 0.7).collect()}
+    got = {(e.i, e.j): e.sim for e in signatures.edges(s.packed(d), 0.7).collect()}
     assert got == pytest.approx({k: x for k, x in sim.items() if x >= 0.7})
     kept, want = [], {}
     for j in range(60):
@@ -66,7 +66,55 @@ def test_edges_and_greedy_against_brute_force(spark):
         want[j] = -best[1] if best[0] >= 0.7 else None
         if want[j] is None:
             kept.append(j)
-    assert {x.doc_id: x.kept_id for x in s.greedy(d, s.edges(s.vectors(d), 0.7)).collect()} == want
+    assert {x.doc_id: x.kept_id for x in signatures.keep_first(s.packed(d), d, 0.7).collect()} == want
+
+
+def test_large_buckets_and_copies_against_brute_force(spark, monkeypatch):
+    """Groups of near copies and of copies, with buckets of any size taken as large ones."""
+    monkeypatch.setattr(signatures, "FEW", 3)
+    r, texts = random.Random(7), []
+    for group in range(4):
+        base = [r.choice("abcdefghij") * r.randint(1, 4) for _ in range(40)]
+        for k in range(18):
+            words = list(base)
+            for _ in range(r.choice((0, 0, 1, 2, 4))):
+                words[r.randrange(40)] = f"z{r.randrange(3)}"
+            texts.append(" ".join(words))
+    r.shuffle(texts)
+    d = docs(spark, texts)
+    w = {row.doc_id: dict(zip(row.b, row.w)) for row in s.packed(d).collect()}
+    sim = {(i, j): sum(x * w[j].get(b, 0) for b, x in w[i].items()) for i in w for j in w if i < j}
+    kept, want = [], {}
+    for j in range(len(texts)):
+        best = max(((round(sim[i, j], 12), -i) for i in kept), default=(0, 0))
+        want[j] = -best[1] if best[0] >= 0.9 else None
+        if want[j] is None:
+            kept.append(j)
+    assert {x.doc_id: x.kept_id for x in signatures.keep_first(s.packed(d), d, 0.9).collect()} == want
+    got = {(e.i, e.j) for e in signatures.edges(s.packed(d), 0.9).collect()}
+    assert got == {p for p, x in sim.items() if x >= 0.9}
+
+
+@pytest.mark.parametrize("t", [0.7, 0.8, 0.9, 0.95])
+@pytest.mark.parametrize("n", [1, 1000, 10**6, 10**9])
+def test_bands_hardly_miss(n, t):
+    width, bands = signatures.plan(n, t)
+    assert width * bands <= s.DIM - signatures.SKETCH
+    assert (1 - signatures.agreement(t) ** width) ** bands < 1e-6
+
+
+def test_signs_agree_as_often_as_angles_say():
+    import numpy as np
+
+    r, dim = np.random.default_rng(3), s.DIM
+    for cos in (0.0, 0.5, 0.9, 0.98):
+        for size in (2, 50, 3000):
+            a, b = r.standard_normal((2, size))
+            b -= a * (a @ b) / (a @ a)
+            a, b = a / np.linalg.norm(a), b / np.linalg.norm(b)
+            at = r.choice(dim, size, replace=False)
+            up = signatures._projected([(at, a), (at, cos * a + math.sqrt(1 - cos * cos) * b)])
+            assert (up[0] == up[1]).mean() == pytest.approx(signatures.agreement(cos), abs=0.025)
 
 
 def test_incremental_filter_equals_the_whole(spark, tmp_path):
@@ -75,7 +123,8 @@ def test_incremental_filter_equals_the_whole(spark, tmp_path):
     for n, (lo, hi) in enumerate([(0, 2), (2, 5), (5, 9)]):
         for _ in range(2):  # a batch that runs twice changes nothing
             keep(d.where((F.col("doc_id") >= lo) & (F.col("doc_id") < hi)), n)
-    whole = {r.doc_id for r in s.greedy(d, s.edges(s.vectors(d), 0.9)).where("kept_id is null").collect()}
+    assert [(r["batch"], r["rows"]) for r in keep.report[::2]] == [(0, 2), (1, 3), (2, 2)]
+    whole = {r.doc_id for r in signatures.keep_first(s.packed(d), d, 0.9).where("kept_id is null").collect()}
     assert {r.doc_id for r in keep.kept().collect()} == whole == {0, 2, 3, 4}
 
 
