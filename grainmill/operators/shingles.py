@@ -1,4 +1,4 @@
-"""Hashed shingle vectors, what is kept of links in order, and nearest neighbours.
+"""Hashed shingle vectors, and what is kept of links in order.
 
 A text's vector counts its word shingles in DIM hashed buckets and has length 1; texts without words have none. A row's
 vector is made where the row is: nothing is shuffled. Keys are unique; a null text has no words. Extra columns play no part.
@@ -67,7 +67,8 @@ def packed(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text",
                     b, c = np.unique(at.astype(np.int32), return_counts=True)
                     keys.append(k)
                     rows.append((b, c.astype(np.int64), c / np.sqrt(float(c @ c))))
-            yield pd.DataFrame({key: keys, "b": [r[0] for r in rows], "c": [r[1] for r in rows], "w": [r[2] for r in rows]})
+            if rows:
+                yield pd.DataFrame({key: keys, "b": [r[0] for r in rows], "c": [r[1] for r in rows], "w": [r[2] for r in rows]})
 
     rows = docs.select(key, F.lower(F.coalesce(text, F.lit(""))).alias("low"))
     return rows.mapInPandas(count, f"{key} {kind}, b array<int>, c array<long>, w array<double>")
@@ -78,31 +79,6 @@ def vectors(docs: DataFrame, n: int = 3, key: str = "doc_id", text: str = "text"
     return packed(docs, n, key, text, bucket).select(key, F.explode(F.arrays_zip("b", "w")).alias("x")).select(key, F.col("x.b").cast("long").alias("bucket"), F.col("x.w").alias("w"))
 
 
-def _products(vecs: DataFrame, key: str, rows: int, found: Callable, schema: str) -> DataFrame:
-    """found(keys, keys, cosines, whether the block meets itself) of each pair of blocks of rows. With DIM buckets most
-    pairs share some, so blocks meet as dense products, and only what found returns leaves them."""
-    entry = F.array_sort(F.collect_list(F.struct("bucket", "w")))
-    one = written(vecs.groupBy(key).agg(entry.alias("v")).select(F.col(key).alias("k"), F.transform("v", lambda x: x["bucket"].cast("int")).alias("b"), F.transform("v", lambda x: x["w"]).alias("w")), "vectors")
-    blocks = max(1, -(-one.count() // rows))
-    packed = one.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int")).groupBy("block").agg(F.collect_list(F.struct("k", "b", "w")).alias("rows"))
-    left = packed.select("block", F.explode(F.sequence("block", F.lit(blocks - 1))).alias("other"), F.col("rows").alias("left"))
-    pairs = left.join(packed.select(F.col("block").alias("other"), F.col("rows").alias("right")), "other")
-
-    def dense(part) -> tuple[np.ndarray, np.ndarray]:
-        out = np.zeros((len(part), DIM))
-        for i, r in enumerate(part):
-            out[i, r["b"]] = r["w"]
-        return np.array([r["k"] for r in part]), out
-
-    def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for block, other, a, b in zip(batch.block, batch.other, batch.left, batch.right):
-                (ka, x), (kb, y) = dense(a), dense(b)
-                yield found(ka, kb, x @ y.T, block == other)
-
-    return pairs.select("block", "other", "left", "right").mapInPandas(product, schema)
-
-
 def kept_of(links: DataFrame) -> DataFrame:
     """id: the kept ones of all that have a link (i, j). Each round keeps those without an earlier open neighbour and drops
     their neighbours; only links between ids that are still open go on to the next round. A chain of k links takes k / 2
@@ -126,20 +102,6 @@ def kept_of(links: DataFrame) -> DataFrame:
     return links.sparkSession.read.schema(f"id {links.schema['i'].dataType.simpleString()}").parquet(path)
 
 
-def nearest(vecs: DataFrame, ids: DataFrame, key: str = "doc_id", rows: int = 256) -> DataFrame:
-    """key, nn: the highest cosine to another row; 0 where no bucket is shared. All pairs of blocks of rows are multiplied,
-    which is quadratic; a row for each row of a pair of blocks leaves it."""
-
-    def most(ka: np.ndarray, kb: np.ndarray, s: np.ndarray, own: bool) -> pd.DataFrame:
-        if own:
-            s[ka[:, None] == kb[None, :]] = 0.0
-            return pd.DataFrame({"k": ka, "nn": s.max(axis=1)})
-        return pd.DataFrame({"k": np.concatenate([ka, kb]), "nn": np.concatenate([s.max(axis=1), s.max(axis=0)])})
-
-    best = _products(vecs, key, rows, most, "k long, nn double").groupBy("k").agg(F.max("nn").alias("nn"))
-    return ids.select(key).join(best, F.col(key) == F.col("k"), "left").select(key, F.coalesce("nn", F.lit(0.0)).alias("nn"))
-
-
 def stride(rows: DataFrame, cap: int, key: str = "doc_id") -> DataFrame:
     """Rows int(i * n / cap) in the order of key; all if there are no more than cap. Only keys are numbered."""
     n = rows.count()

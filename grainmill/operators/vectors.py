@@ -158,14 +158,6 @@ def style_vectors(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return raw.select(key, "gram", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))).alias("w"))
 
 
-def style_nearest(vecs: DataFrame, key: str) -> DataFrame:
-    a, b = vecs.select(F.col(key).alias("i"), "gram", F.col("w").alias("x")), vecs.select(F.col(key).alias("j"), "gram", F.col("w").alias("y"))
-    sims = a.join(b, "gram").where("i < j").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("sim"))
-    both = sims.select(F.explode(F.array(F.struct(F.col("i").alias("k"), "sim"), F.struct(F.col("j").alias("k"), "sim"))).alias("e"))
-    best = both.groupBy("e.k").agg(F.max("e.sim").alias("nn"))
-    return vecs.select(key).distinct().join(best, F.col(key) == F.col("k"), "left").select(key, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("nn", F.lit(0.0)))).alias("nn"))
-
-
 def request_batches(rows: DataFrame, order: str, text: str = "text", items: int = 128, chars: int = 180_000) -> DataFrame:
     """rows with batch and place, numbered within each partition: a batch closes before it would exceed a bound; a text
     that exceeds it alone is a batch alone."""

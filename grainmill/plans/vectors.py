@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import spectrum, vectors as v
+from ..operators import neighbours, spectrum, vectors as v
 from . import chat
 from ..sources.store import written
 from .registry import query, table
@@ -99,6 +99,11 @@ c AS (SELECT conv_id, gram, count(*) AS c FROM g GROUP BY 1, 2), d AS (SELECT gr
 r AS (SELECT conv_id, gram, (1 + ln(c)) * ln((1.0 + n) / (1 + df)) + 1 AS w FROM c JOIN d USING (gram), n), v AS (SELECT conv_id, gram, w / sqrt(sum(w * w) OVER (PARTITION BY conv_id)) AS w FROM r)"""
 
 
+def _style(spark, sf_dir):
+    prompts = written(chat.prompts(spark, sf_dir), "prompts")
+    return written(v.style_vectors(prompts, "conv_id"), "style"), prompts.select("conv_id")
+
+
 @query(f"WITH {_STYLE} SELECT conv_id, count(*) AS grams, round(max(w), 9) AS heaviest, round(sum(w * w), 6) AS norm FROM v GROUP BY conv_id")
 def v13_style_vectors(spark, sf_dir):
     w = v.style_vectors(chat.prompts(spark, sf_dir), "conv_id")
@@ -107,15 +112,10 @@ def v13_style_vectors(spark, sf_dir):
 
 @query(f"WITH {_STYLE}, x AS (SELECT a.conv_id, sum(a.w * b.w) AS sim FROM v a JOIN v b ON a.gram = b.gram AND a.conv_id <> b.conv_id GROUP BY a.conv_id, b.conv_id) SELECT p.conv_id, round(greatest(0, least(1, coalesce(max(sim), 0))), 9) AS nn FROM p LEFT JOIN x USING (conv_id) GROUP BY p.conv_id")
 def v14_style_nearest(spark, sf_dir):
-    near = v.style_nearest(v.style_vectors(chat.prompts(spark, sf_dir), "conv_id"), "conv_id")
+    near = neighbours.of_features(*_style(spark, sf_dir), "conv_id")
     return near.select("conv_id", F.round("nn", 9).alias("nn"))
 
 
-def _style(spark, sf_dir):
-    prompts = written(chat.prompts(spark, sf_dir), "prompts")
-    return written(v.style_vectors(prompts, "conv_id"), "style"), prompts.select("conv_id")
-
-
 @query(f"WITH {_STYLE}, x AS (SELECT sum(a.w * b.w) AS sim FROM v a JOIN v b ON a.gram = b.gram GROUP BY a.conv_id, b.conv_id) SELECT n, round((SELECT sum(w * w) FROM v) / n, 6) AS trace, round((SELECT sum(sim * sim) FROM x) / n / n, 9) AS squared FROM n")
 def v14_style_spectrum(spark, sf_dir):
     """Sums of the eigenvalues of the style vectors' products and of their squares."""
