@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as t
+from . import phrases as many
 from .rules import verdict
 from .shingles import grams
 
@@ -91,12 +92,11 @@ def _holds(watched: str) -> Column:
     return F.exists("names", lambda n: F.contains(n, F.lit(watched)))
 
 
-def phrase_hits(rows: DataFrame, phrases: Sequence[str], column: str = "text") -> DataFrame:
-    """phrase, docs that hold it in lower case; one scan with a counter for each phrase."""
-    low = F.lower(F.coalesce(column, F.lit("")))
-    counted = rows.select(low.alias("low")).agg(*[F.count_if(F.contains("low", F.lit(p))).alias(f"p{i}") for i, p in enumerate(phrases)])
-    long = counted.select(F.explode(F.array(*[F.struct(F.lit(p).alias("phrase"), F.col(f"p{i}").alias("docs")) for i, p in enumerate(phrases)])).alias("x"))
-    return long.select("x.phrase", "x.docs")
+def phrase_hits(rows: DataFrame, phrases: DataFrame | Sequence[str], column: str = "text") -> DataFrame:
+    """phrase, docs: in how many rows each of any number of phrases stands in lower case; 0 for those that none holds."""
+    low = rows.select(F.lower(F.coalesce(column, F.lit(""))).alias("low"))
+    every = phrases.select("phrase").distinct() if isinstance(phrases, DataFrame) else rows.sparkSession.createDataFrame([(p,) for p in dict.fromkeys(phrases)], "phrase string")
+    return every.join(many.hits(low, phrases, "low").drop("times"), "phrase", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
 
 
 def gram_df(rows: DataFrame, sizes: Sequence[int], tokens: Column, column_name: str = "gram") -> DataFrame:
@@ -224,8 +224,8 @@ def phrase_candidates(rows: DataFrame, arm: str, target: str, reference: str, ex
     df = gram_df(sides[target], (2, 3, 4, 5), t.ascii_words(column), "phrase").where(F.col("df") >= max(3, round(least * n)))
     ref = gram_df(sides[reference], (2, 3, 4, 5), t.ascii_words(column), "phrase").select("phrase", F.col("df").alias("ref_df"))
     both = df.join(ref, "phrase", "left").withColumn("ref_df", F.coalesce("ref_df", F.lit(0)))
-    for e in excluded:
-        both = both.where(~(F.contains("phrase", F.lit(e)) | F.contains(F.lit(e), F.col("phrase"))))
+    if excluded:
+        both = many.uncovered(both, excluded)
     if zipf is not None:
         both = both.join(F.broadcast(zipf), "phrase", "left").where(F.coalesce("zipf", F.lit(0.0)) < ceiling).drop("zipf")
     out = both.withColumns({"of": F.lit(n).cast("long"), "ref_of": F.lit(m).cast("long")}).withColumn("z", log_odds(F.col("df"), F.col("of"), F.col("ref_df"), F.col("ref_of")))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .lineage import first_by
+from .phrases import uncovered
 
 #: Shares that a batch is checked against.
 DRIFT, HIDDEN, CROWDED = 0.15, 0.20, 0.12
@@ -68,12 +69,6 @@ def checklist(cards: DataFrame, dealt: DataFrame, thin: Sequence[str], categorie
 # ---- phrase lists
 
 
-def uncovered(rows: DataFrame, excluded: DataFrame, column: str = "phrase") -> DataFrame:
-    """Rows whose phrase neither holds nor lies in an excluded phrase; excluded(phrase) is a list that people keep."""
-    e = F.broadcast(excluded.select(F.col("phrase").alias("__e")))
-    return rows.join(e, F.contains(F.col(column), F.col("__e")) | F.contains(F.col("__e"), F.col(column)), "left_anti")
-
-
 def recurrence(candidates: DataFrame, excluded: DataFrame, arm: str | None = None, min_runs: int = 1) -> DataFrame:
     """place, phrase, arm, times_seen, max_z, max_prev, example over the candidates of all runs (run_id, pos, phrase, arm, df,
     of, z, example): most runs first, then the highest z, then the highest share of documents."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..operators import audits as a, rules
+from ..operators import audits as a, phrases, rules
 from . import chat
 from .registry import query, table
 from .text import CHAT_FIRST, CLEAN, FIRST, LAST, OPENERS, RSTRIP, SQL, STRIP, TRAIL, WS, _N
@@ -70,6 +70,17 @@ def a06_stock_phrases(spark, sf_dir):
     return a.phrase_hits(docs(spark, sf_dir), PHRASES)
 
 
+_FIRST_WORDS = "list_slice(regexp_extract_all(lower(text), '[a-z'']+'), 1, 2)"
+
+
+@query(f"WITH p AS (SELECT DISTINCT array_to_string({_FIRST_WORDS}, ' ') AS phrase FROM documents WHERE len({_FIRST_WORDS}) = 2) SELECT p.phrase, count(d.doc_id) AS docs FROM p LEFT JOIN documents d ON contains(lower(d.text), p.phrase) GROUP BY p.phrase")
+def a06_many_phrases(spark, sf_dir):
+    """The first two words of every document as phrases, counted in all documents in one pass."""
+    d = docs(spark, sf_dir)
+    first = F.slice(t.ascii_words("text"), 1, 2)
+    return a.phrase_hits(d, d.where(F.size(first) == 2).select(F.array_join(first, " ").alias("phrase")))
+
+
 _OPEN = "CASE " + " ".join(f"WHEN regexp_matches({STRIP('f')}, '{SQL(p)}') THEN '{n}'" for n, p in OPENERS) + " ELSE 'other' END"
 
 
@@ -170,10 +181,11 @@ _TERMS = ["the", "und", "ation"]
 @query(f"WITH p AS {chat.sql('assistant')} SELECT term, " + ", ".join(f"sum(CASE WHEN arm = '{x}' THEN len(regexp_extract_all(lower(text), term)) ELSE 0 END)::BIGINT AS {x}_hits, sum(CASE WHEN arm = '{x}' AND contains(lower(text), term) THEN 1 ELSE 0 END)::BIGINT AS {x}_cases" for x in ("pipeline", "plain")) + " FROM p, (VALUES " + ", ".join(f"('{x}')" for x in _TERMS) + ") v(term) GROUP BY term")
 def a16_jargon(spark, sf_dir):
     """A term's occurrences and cases in both arms."""
-    r = chat.responses(spark, sf_dir).withColumn("low", F.lower("text"))
-    long = r.select("arm", F.explode(F.array(*[F.struct(F.lit(x).alias("term"), F.regexp_count("low", F.lit(x)).cast("long").alias("hits")) for x in _TERMS])).alias("x")).select("arm", "x.*")
-    arm = lambda x, c: F.coalesce(F.sum(F.when(F.col("arm") == x, c)), F.lit(0)).cast("long")
-    return long.groupBy("term").agg(*[arm(x, c).alias(f"{x}_{n}") for x in ("pipeline", "plain") for n, c in (("hits", F.col("hits")), ("cases", (F.col("hits") > 0).cast("int")))])
+    r = chat.responses(spark, sf_dir).select("arm", F.lower("text").alias("low"))
+    found = phrases.hits(r, _TERMS, "low", ["arm"])
+    arm = lambda x, c: F.coalesce(F.sum(F.when(F.col("arm") == x, F.col(c))), F.lit(0)).cast("long")
+    every = spark.createDataFrame([(x,) for x in _TERMS], "phrase string").join(found, "phrase", "left")
+    return every.groupBy(F.col("phrase").alias("term")).agg(*[arm(x, c).alias(f"{x}_{n}") for x in ("pipeline", "plain") for n, c in (("hits", "times"), ("cases", "docs"))])
 
 
 @query(f"""WITH p AS {chat.sql('assistant')}, w AS (SELECT prompt_id, max(CASE WHEN arm = 'pipeline' THEN length(text) END) AS a, max(CASE WHEN arm = 'plain' THEN length(text) END) AS b FROM p GROUP BY prompt_id)
@@ -192,8 +204,7 @@ def a17_response_lengths(spark, sf_dir):
 def a18_tracked_tics(spark, sf_dir):
     """In how many responses of each arm a tracked phrase stands, after soft normalisation."""
     r = chat.responses(spark, sf_dir).withColumn("soft", t.soft("text"))
-    listed = F.filter(F.array(*[F.when(F.contains("soft", F.lit(p)), F.lit(p)) for p in PHRASES]), lambda x: x.isNotNull())
-    return r.select("arm", F.explode(listed).alias("phrase")).groupBy("arm", "phrase").agg(F.count(F.lit(1)).alias("docs"))
+    return phrases.hits(r, PHRASES, "soft", ["arm"]).select("arm", "phrase", "docs")
 
 
 _SHAPE = f"""concat_ws(' · ', CASE WHEN {_N} <= 2 THEN '1-2' WHEN {_N} <= 5 THEN '3-5' WHEN {_N} <= 9 THEN '6-9' ELSE '10+' END || ' paras',
