@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import text as t
 from . import phrases as many
 from .rules import verdict
-from .shingles import grams
+from ..sources.store import written
+from .lineage import placed
+from .shingles import grams, kept_of
 
 
 def share(condition: Column) -> Column:
@@ -227,26 +229,45 @@ def phrase_candidates(rows: DataFrame, arm: str, target: str, reference: str, ex
     if excluded:
         both = many.uncovered(both, excluded)
     if zipf is not None:
-        both = both.join(F.broadcast(zipf), "phrase", "left").where(F.coalesce("zipf", F.lit(0.0)) < ceiling).drop("zipf")
+        both = both.join(zipf.select("phrase", "zipf"), "phrase", "left").where(F.coalesce("zipf", F.lit(0.0)) < ceiling).drop("zipf")
     out = both.withColumns({"of": F.lit(n).cast("long"), "ref_of": F.lit(m).cast("long")}).withColumn("z", log_odds(F.col("df"), F.col("of"), F.col("ref_df"), F.col("ref_of")))
     return out.where(F.col("z") >= least_z)
 
 
-def without_nested(candidates: DataFrame, top: int = 25, page: int = 2000) -> DataFrame:
-    """The best candidates of which none is part of a better one. Acceptance is sequential: pages of the ranking are walked on
-    the driver, each without what is nested with those accepted before, until there are `top` or no more candidates."""
-    kept: list = []
-    while len(kept) < top:
-        rest = candidates
-        for k in kept:
-            rest = rest.where(~(F.contains("phrase", F.lit(k.phrase)) | F.contains(F.lit(k.phrase), F.col("phrase"))))
-        best = rest.orderBy(F.desc(F.round("z", 9)), F.desc("df"), "phrase").limit(page).collect()
-        for r in best:
-            if len(kept) < top and not any(r.phrase in k.phrase or k.phrase in r.phrase for k in kept):
-                kept.append(r)
-        if len(best) < page:
-            break
-    return candidates.sparkSession.createDataFrame(kept, candidates.schema)
+def background(rows: DataFrame, column: str = "text") -> DataFrame:
+    """word, share: of all words of a body of text."""
+    counted = rows.select(F.explode(t.ascii_words(column)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.sum("n").alias("total"))
+    return counted.crossJoin(F.broadcast(total)).select("word", (F.col("n") / F.col("total")).alias("share"))  # one row
+
+
+def zipf(phrases: DataFrame, words: DataFrame) -> DataFrame:
+    """phrase, zipf: the logarithm of how often a phrase stands in a billion words, as if its words met by chance one after the
+    other: the harmonic sum of their shares. 0 if a word is unknown, or rarer than one in a billion."""
+    each = phrases.select("phrase").distinct().select("phrase", F.explode(F.split("phrase", " ")).alias("word"))
+    per = each.join(words, "word", "left").groupBy("phrase").agg(F.count_if(F.col("share").isNull()).alias("unknown"), F.sum(1 / F.col("share")).alias("rarity"))
+    return per.select("phrase", F.when(F.col("unknown") > 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.log10(F.lit(1e9) / F.col("rarity")))).alias("zipf"))
+
+
+def nested(ranked: DataFrame) -> DataFrame:
+    """i < j: places of two phrases of ranked(place, phrase) of which one is part of the other. Words are parted by one blank
+    and a phrase has two or more, so a part holds a blank: each phrase names all its parts, and these meet phrases by equality."""
+    size = F.length("phrase")
+    parts = F.flatten(F.transform(F.sequence(F.lit(1), size), lambda i: F.transform(F.sequence(F.lit(1), size - i + 1), lambda n: F.substring(F.col("phrase"), i, n))))
+    whole = ranked.select(F.col("place").alias("a"), F.explode(F.array_distinct(F.filter(parts, lambda x: x.rlike("^[^ ].* .*[^ ]$|^[^ ] [^ ]$")))).alias("part"))
+    met = whole.join(ranked.select(F.col("place").alias("b"), F.col("phrase").alias("part")), "part").where("a <> b")
+    return met.select(F.least("a", "b").alias("i"), F.greatest("a", "b").alias("j")).distinct()
+
+
+def without_nested(candidates: DataFrame, top: int = 25) -> DataFrame:
+    """The best candidates of which none is part of a better one that is accepted, nor holds one. Candidates are worked out
+    once; acceptance goes by rank, in rounds over the pairs that are nested."""
+    once = written(candidates, "candidates")
+    ranked = written(placed(once.select("phrase", (-F.round("z", 9)).alias("a"), (-F.col("df")).alias("b")), ["a", "b", "phrase"]).select("phrase", "place"), "ranked")
+    links = written(nested(ranked), "nested")
+    dropped = links.select(F.col("i").alias("id")).union(links.select("j")).distinct().join(kept_of(links), "id", "left_anti")
+    best = ranked.join(dropped.withColumnRenamed("id", "place"), "place", "left_anti").orderBy("place").limit(top)
+    return once.join(best.select("phrase"), "phrase", "left_semi")
 
 
 def example(rows: DataFrame, phrases: DataFrame, key: str, column: str = "text", around: int = 30) -> DataFrame:

@@ -302,6 +302,21 @@ def n05_phrase_shortlist(spark, sf_dir):
     return out.select("phrase", "n_words", "df", "of", "ref_df", "ref_of", F.round("z", 9).alias("z"))
 
 
+_WORD_SHARE = "bw AS (SELECT word, count(*) / sum(count(*)) OVER () AS share FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS word FROM documents) GROUP BY word)"
+
+
+@query(_CAND.rpartition(" SELECT phrase")[0] + f""", {_WORD_SHARE},
+f AS (SELECT phrase, CASE WHEN bool_or(share IS NULL) THEN 0.0 ELSE greatest(0.0, log10(1e9 / sum(1 / share))) END AS zipf FROM (SELECT phrase, unnest(string_split(phrase, ' ')) AS word FROM z) LEFT JOIN bw USING (word) GROUP BY phrase)
+SELECT phrase, n_words, a AS df, b AS ref_df, round(z, 9) AS z FROM z JOIN f USING (phrase) WHERE z >= 1 AND zipf < 7""")
+def n05_rare_candidates(spark, sf_dir):
+    """Candidates that the words of all documents make no common ones."""
+    responses = chat.responses(spark, sf_dir)
+    every = a.phrase_candidates(responses, "arm", "pipeline", "plain", ["of the"])
+    known = a.zipf(every, a.background(docs(spark, sf_dir)))
+    out = a.phrase_candidates(responses, "arm", "pipeline", "plain", ["of the"], known, ceiling=7.0)
+    return out.select("phrase", "n_words", "df", "ref_df", F.round("z", 9).alias("z"))
+
+
 @query(f"""WITH p AS {chat.sql('assistant')}, q(phrase) AS (VALUES ('the '), ('er '), ('zzz')), h AS (SELECT phrase, arg_min(text, conv_id) AS text FROM p, q WHERE contains(text, phrase) GROUP BY phrase)
 SELECT phrase, '…' || {STRIP("substring(text, greatest(1, instr(text, phrase) - 30), length(phrase) + 30 + least(30, instr(text, phrase) - 1))")} || '…' AS example FROM h""")
 def n06_phrase_example(spark, sf_dir):
