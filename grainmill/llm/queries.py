@@ -60,7 +60,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    held_out = ~toxicity.learnable(F.col("doc_id"))
+    held_out = F.coalesce(~toxicity.learnable(F.col("doc_id")), F.lit(False))
     return toxicity.score(docs, model, at=0.7).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
 
 

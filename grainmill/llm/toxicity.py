@@ -2,15 +2,14 @@
 
 Examples are a bounded sample of the labelled rows that may be learnt from: at most TOXIC rows of label 1 and CLEAN rows
 of label 0, the first in the order of a hash of the text. Terms are all words of letters in lower case that any example
-holds. A term weighs (1 + ln count) times its inverse document frequency, and that frequency's weight is in proportion to
-how far it tells the two labels apart: the absolute difference of the term's log odds from those of the labels, with PRIOR
-rows at the labels' own rate added. No term is left out. Vectors have length 1.
+holds. A term weighs (1 + ln count) times its inverse document frequency among the examples: no label enters a weight or a
+similarity, and no term is left out. Vectors have length 1.
 
 A text's K nearest examples are found exactly. The lists of rare terms give each example a part of its similarity; the
 long lists are bounded by their largest weight in each block of examples, and only blocks of which some example can still
 be among the K are read there (equal similarities go to the smaller place). Neighbours' labels vote with their
 similarities. The share is calibrated by isotonic regression on the examples' own votes, weighed up to the labelled rows.
-An example whose text is the text that is scored has no vote, in calibration as in scoring. A text without any term that
+K was chosen by two-fold cross-validation inside the rows that may be learnt from. An example whose text is the text that is scored has no vote, in calibration as in scoring. A text without any term that
 an example holds has no neighbour; its share is the rate of label 1.
 
 Near copies of one label are one example, so that no group of copies makes its words a sign: texts whose runs of three
@@ -19,7 +18,8 @@ Jaccard similarity to a text taken before at ALIKE or more. A sketch is the whol
 without words are alike only if they are equal. The walk goes on until the sample is full or all rows are seen.
 
 Null and empty texts have no terms. Without any label 1, or none at all, all texts score the rate of label 1. Rows that
-repeat a doc_id are scored each; a doc_id labelled both ways counts as 1. Empty tables give empty results. Texts are read
+repeat a doc_id are scored each; a doc_id labelled both ways counts as 1; a row without a doc_id has no
+label, is scored, and isn't held out. Empty tables give empty results. Texts are read
 whole. Only the text enters a score. Extra columns are kept, those of the operator's own names replaced.
 """
 
@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame, functions as F
 from .common import discard, few, lean, parts, spread, trim, written
 
 #: The bounded sample of labelled rows, and how many neighbours vote.
-TOXIC, CLEAN, K = 1200, 1800, 9
-#: Examples in a block of the index; the share of examples whose lists are long; rows at the labels' rate in a term's odds.
-BLOCK, LONG, PRIOR = 64, 0.1, 5.0
+TOXIC, CLEAN, K = 1200, 1800, 50
+#: Examples in a block of the index; the share of examples whose lists are long.
+BLOCK, LONG = 64, 0.1
 #: Tasks whose results make up the examples' terms.
 RESULTS = 96
 WORDS = re.compile(r"[^\W\d_]+")
@@ -104,11 +104,9 @@ class Model:
         self.equal: dict[int, list[int]] = {}
         for i, h in enumerate(hashes.tolist()):
             self.equal.setdefault(h, []).append(i)
-        n, n1 = len(labels), float(labels.sum())
-        share = min(max(n1 / max(1, n), 1e-9), 1 - 1e-9)
-        held, toxic = np.bincount(term, minlength=len(names)), np.bincount(term, labels[example], minlength=len(names))
-        odds = np.log((toxic + PRIOR * share) / (held - toxic + PRIOR * (1 - share)) * (1 - share) / share)
-        self.weights = np.log((1 + n) / np.minimum(held + 1, n + 0.5)) * np.maximum(np.abs(odds), 1e-6)
+        n = len(labels)
+        held = np.bincount(term, minlength=len(names))
+        self.weights = np.log((1 + n) / np.minimum(held + 1, n + 0.5))
         weight = (1 + np.log(count)) * self.weights[term]
         norm = np.sqrt(np.bincount(example, weight * weight, minlength=n))
         self.index = Index(example, term, weight / norm[example], n, len(names))

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grainmill.llm import fingerprints, mixing, packing, sharding, topk, toxicity, url_filter, warc
-from grainmill.llm.queries import URL_RULES
+from grainmill.llm.queries import QUERIES, URL_RULES
 
 from . import cases
 
@@ -651,8 +651,7 @@ def test_scores_are_those_of_brute_force(spark):
 
     def weight(t):
         both, one = held[t]
-        odds = math.log((one + 5 * share) / (both - one + 5 * (1 - share)) * (1 - share) / share)
-        return math.log((1 + n) / min(both + 1, n + 0.5)) * max(abs(odds), 1e-6)
+        return math.log((1 + n) / min(both + 1, n + 0.5))
 
     def vector(bag):
         v = {t: (1 + math.log(c)) * weight(t) for t, c in bag.items() if t in held}
@@ -671,6 +670,21 @@ def test_scores_are_those_of_brute_force(spark):
         assert [e.doc_id for e in got[i].evidence] == [model.ids[k] for k, _ in near[:5]]
 
 
+def test_rows_without_an_id_and_clashing_columns(spark, tmp_path):
+    docs, labels = marked(spark)
+    none = spark.createDataFrame([(None, "vile nasty awful words", "en", "a", 0), (None, None, None, None, None)], cases.DOCS)
+    every = docs.unionByName(none).withColumn("evidence", F.lit("clash")).withColumn("predicted", F.lit("clash"))
+    every.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = QUERIES["op10_toxicity"](spark, str(tmp_path)).collect()
+    assert len(rows) == 405 and [r.held_out for r in rows if r.doc_id is None] == [False, False]
+    assert all(e.doc_id is not None for r in rows for e in r.evidence)
+    model = toxicity.fit(every, labels)
+    scored = toxicity.score(every, model)
+    assert sorted(scored.columns) == sorted([*cases.docs(spark).columns, "score", "predicted", "evidence"])
+    assert {r.predicted for r in scored.collect()} <= {0, 1}
+
+
 def test_labelled_texts_do_not_vote_for_themselves(spark):
     docs, labels = marked(spark)
     rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
