@@ -137,6 +137,34 @@ def repeated_stems(rows: DataFrame, column: str = "text", top: int = 5) -> DataF
     return per.orderBy(F.desc("n"), "stem").limit(top).where("n >= 2")
 
 
+def opening_families(rows: DataFrame, families: Sequence[tuple[str, str]], column: str = "text") -> DataFrame:
+    """family, n, share, and of all rows: top (the commonest family with a name, ties to the first), top_share, effective (number
+    of even families with the same entropy), verdict on the top share. Blank texts don't count."""
+    first = t.classify(F.lower(t.first_chat_sentence(column)), families)
+    per = written(rows.where(t.strip(column) != "").groupBy(first.alias("family")).agg(F.count(F.lit(1)).alias("n")), "families")
+    total = per.agg(F.sum("n").alias("total"), F.min_by(F.when(F.col("family") != "other", F.col("family")), F.when(F.col("family") != "other", F.struct((-F.col("n")).alias("m"), "family"))).alias("top"), F.max(F.when(F.col("family") != "other", F.col("n"))).alias("most"))
+    share = F.coalesce(F.col("most"), F.lit(0)) / F.col("total")
+    every = per.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(effective_number(per).select("effective")))  # single rows
+    return every.select("family", "n", (F.col("n") / F.col("total")).alias("share"), "top", share.alias("top_share"), "effective", verdict(share, 0.30, 0.50).alias("verdict"))
+
+
+def repeated_starts(rows: DataFrame, words: int = 3, column: str = "text", top: int = 5) -> DataFrame:
+    """start, n: of the commonest first words of first sentences, in lower case, those that stand twice or more."""
+    start = F.lower(F.array_join(F.slice(F.filter(F.split(t.first_chat_sentence(column), t.WS + "+"), lambda w: w != ""), 1, words), " "))
+    per = rows.where(t.strip(column) != "").groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    return per.orderBy(F.desc("n"), "start").limit(top).where("n > 1")
+
+
+def hint_echoes(rows: DataFrame, stop: Sequence[str], hints: str = "hints", column: str = "text") -> DataFrame:
+    """card, draws, echoes, and of all draws the echo_rate and its verdict: of rows with the cards (array) each drew, how many
+    first sentences share words with a card. Blank texts and blank cards don't count."""
+    drawn = rows.where(t.strip(column) != "").select(t.first_chat_sentence(column).alias("s"), F.explode(hints).alias("card")).where("card <> ''")
+    per = drawn.groupBy("card").agg(F.count(F.lit(1)).alias("draws"), F.count_if(t.echoes_card("s", "card", stop)).alias("echoes"))
+    w = Window.partitionBy(F.lit(1))  # a row for each card
+    rate = F.sum("echoes").over(w) / F.sum("draws").over(w)
+    return per.withColumn("echo_rate", rate).withColumn("verdict", verdict(F.col("echo_rate"), 0.0, 0.2))
+
+
 def register(rows: DataFrame, column: str = "text", lang: str = "lang") -> DataFrame:
     english = rows.where(F.lower(F.coalesce(F.col(lang), F.lit("English"))).isin("en", "english"))
     return english.agg(F.count(F.lit(1)).alias("n"), share(t.reads_personal(column)).alias("personal_share"))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .lineage import first_by
+from .judged import VERDICTS
 from .phrases import uncovered
 
 #: Shares that a batch is checked against.
@@ -145,3 +146,59 @@ def deltas(rows: DataFrame, key: str, name: str = "deltas") -> DataFrame:
     """The pipeline's value less the plain one's for each key that both arms have: rows(key, arm, value)."""
     both = rows.groupBy(key).pivot("arm", ["pipeline", "plain"]).agg(F.first("value")).where("pipeline is not null and plain is not null")
     return chart(both, name, F.lit("pipeline - plain"), F.col(key), F.col("pipeline") - F.col("plain"))
+
+
+# ---- charts of judged reasons and of a library: a label is a record, `detail` what stands behind a value
+
+
+def _detailed(rows: DataFrame, name: str, series: Column, label: Column, value: Column, detail: Column) -> DataFrame:
+    return rows.select(F.lit(name).alias("chart"), series.cast("string").alias("series"), label.cast("string").alias("label"), value.cast("double").alias("value"), detail.cast("string").alias("detail"))
+
+
+def survived(judged: DataFrame, point: str = "reason", name: str = "survival") -> DataFrame:
+    """By record, how many of the plain arm's points were kept, weakened and dropped, and how many were added, with the points:
+    judged(prompt_id, anchored array<struct<point, verdict>>, added). Empty buckets and records that weren't judged have no row."""
+    of = lambda v: F.struct(F.lit(v).alias("series"), F.transform(F.filter("anchored", lambda a: a["verdict"] == v), lambda a: a[point]).alias("points"))
+    buckets = F.array(*map(of, VERDICTS), F.struct(F.lit("added").alias("series"), F.coalesce("added", F.array().cast("array<string>")).alias("points")))
+    rows = judged.where("anchored is not null").select("prompt_id", F.explode(buckets).alias("b")).where(F.size("b.points") > 0)
+    return _detailed(rows, name, F.col("b.series"), F.col("prompt_id"), F.size("b.points"), F.array_join("b.points", " • ", "None"))
+
+
+def reason_counts(cases: DataFrame, name: str = "reasons") -> DataFrame:
+    """How many reasons each arm gives by record: cases(prompt_id, arm, reasons); unread ones have no row."""
+    return _detailed(cases.where("reasons is not null"), name, F.col("arm"), F.col("prompt_id"), F.size("reasons"), F.array_join("reasons", " • "))
+
+
+def offered(judged: DataFrame, name: str = "alternatives") -> DataFrame:
+    """What both arms offer by record: the plain one all that is anchored, the pipeline what it kept or weakened of that and added."""
+    rows = judged.where("anchored is not null")
+    kept = F.size(F.filter("anchored", lambda a: a["verdict"].isin("kept", "weakened"))) + F.size(F.coalesce("added", F.array().cast("array<string>")))
+    both = F.array(F.struct(F.lit("plain").alias("series"), F.size("anchored").alias("n")), F.struct(F.lit("pipeline").alias("series"), kept.alias("n")))
+    return _detailed(rows.select("prompt_id", F.explode(both).alias("x")), name, F.col("x.series"), F.col("prompt_id"), F.col("x.n"), F.lit(None))
+
+
+def pulls(pulled: DataFrame, name: str = "pulls") -> DataFrame:
+    """How many entries each record pulled, and which: pulled(prompt_id, ids)."""
+    return _detailed(pulled, name, F.lit("pulled"), F.col("prompt_id"), F.size("ids"), F.array_join("ids", ", "))
+
+
+def pull_scatter(pulled: DataFrame, judged: DataFrame, name: str = "scatter") -> DataFrame:
+    """Of records with both: how many reasons were added (the value) where so many entries were pulled (the series)."""
+    both = pulled.join(judged.where("anchored is not null").select("prompt_id", "added"), "prompt_id")
+    return _detailed(both, name, F.size("ids"), F.col("prompt_id"), F.size(F.coalesce("added", F.array().cast("array<string>"))), F.array_join("ids", ", "))
+
+
+def triggers(pulled: DataFrame, library: DataFrame, name: str = "triggers") -> DataFrame:
+    """In how many records each entry of library(entry, move) was pulled, those of none with 0."""
+    hits = pulled.select(F.explode(F.array_distinct("ids")).alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("n"))
+    return _detailed(library.join(hits, "entry", "left"), name, F.col("move"), F.col("entry"), F.coalesce("n", F.lit(0)), F.lit(None))
+
+
+def batch_totals(values: DataFrame) -> DataFrame:
+    """metric, plain, pipeline, difference, share (of plain; null where that is 0): sums of values(prompt_id, arm, metric, value)
+    over the records that both arms have."""
+    side = lambda arm: F.sum(F.when(F.col("arm") == arm, F.col("value")))
+    both = values.groupBy("metric", "prompt_id").agg(side("plain").alias("plain"), side("pipeline").alias("pipeline")).where("plain is not null and pipeline is not null")
+    rows = both.groupBy("metric").agg(F.sum("plain").alias("plain"), F.sum("pipeline").alias("pipeline"))
+    difference = F.col("pipeline") - F.col("plain")
+    return rows.select("metric", "plain", "pipeline", difference.alias("difference"), F.when(F.col("plain") != 0, F.round(difference / F.col("plain"), 6)).alias("share"))

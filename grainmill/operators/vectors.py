@@ -29,6 +29,18 @@ def mean_cosine(vecs: DataFrame, group: Sequence[str] = (), vector: str = "embed
     return out.select(*group, "n", F.when(F.col("n") > 1, (F.col("q") - F.col("n")) / (F.col("n") * (F.col("n") - 1))).alias("mean_cosine"))
 
 
+def group_breakdown(vecs: DataFrame, group: str, name: str, order: str, vector: str = "embedding") -> DataFrame:
+    """group, name (of its first row by `order`, else the group itself, 60 characters at most), n, mean_cosine of distinct pairs
+    (null below two rows); no rows if there are fewer than two groups. Rows without a group don't count; those without a
+    direction count in n alone."""
+    rows = vecs.where(F.col(group).isNotNull())
+    every = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min_by(F.coalesce(F.col(name).cast("string"), F.lit("")), order).alias("__name"))
+    shown = F.substring(F.when(F.col("__name") != "", F.col("__name")).otherwise(F.col(group).cast("string")), 1, 60)
+    two = every.limit(2).agg(F.count(F.lit(1)).alias("__groups"))
+    cos = mean_cosine(rows, [group], vector).select(group, "mean_cosine")
+    return every.crossJoin(F.broadcast(two)).where("__groups = 2").join(cos, group, "left").select(group, shown.alias("name"), "n", "mean_cosine")
+
+
 def centroid_cosine(vecs: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     c = long(unit(vecs, vector), [group], vector).groupBy(group, "dim").agg(F.avg("x").alias("x"))
     rows = c.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda p: p["x"]).alias(vector))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..operators import audits as a, phrases, rules
+from ..operators import audits as a, phrases, reports, rules
 from . import chat
 from .registry import query, table
-from .text import CHAT_FIRST, CLEAN, FIRST, LAST, OPENERS, RSTRIP, SQL, STRIP, TRAIL, WS, _N
+from .text import CHAT_FIRST, CLEAN, FIRST, LAST, OPENERS, RSTRIP, SQL, STOP_CARD, STRIP, TRAIL, WS, _N
 
 PHRASES = ["the the", "of the", "in order to", "und die", "rights reserved"]
 #: Own rules: structural families of prompts and of chat openings.
@@ -230,6 +230,40 @@ def a20_opening_spread(spark, sf_dir):
     return x.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("family").alias("families"), F.count_distinct("w").alias("openings")).where("n > 1")
 
 
+@query(f"WITH x AS {chat.sql('assistant')} SELECT 'shapes' AS chart, arm AS series, {_SHAPE} AS label, count(*)::DOUBLE AS value FROM x GROUP BY 2, 3")
+def a37_shape_marts(spark, sf_dir):
+    return reports.counted(chat.responses(spark, sf_dir).withColumn("shape", t.shape("text")), "shapes", "arm", "shape")
+
+
+@query(f"""WITH p AS (SELECT {CHAT_FIRST} AS f FROM conversations WHERE role = 'assistant' AND {STRIP('text')} <> ''), c AS (SELECT {_FAM.replace('text', 'lower(f)')} AS family, count(*) AS n FROM p GROUP BY 1),
+a AS (SELECT sum(n) AS total, coalesce(max(n) FILTER (family <> 'other'), 0) AS most, arg_min(family, (-n, family)) FILTER (family <> 'other') AS top FROM c), e AS (SELECT exp(-sum(n / total * ln(n / total))) AS effective FROM c, a)
+SELECT family, n, n / total AS share, top, most / total AS top_share, effective, CASE WHEN most / total <= 0.3 THEN 'GOOD' WHEN most / total <= 0.5 THEN 'OK' ELSE 'BAD' END AS verdict FROM c, a, e""")
+def a20_opening_families(spark, sf_dir):
+    return a.opening_families(table(spark, sf_dir, "conversations").where("role = 'assistant'"), FAMILIES)
+
+
+@query(f"""WITH p AS (SELECT {CHAT_FIRST} AS f FROM conversations WHERE role = 'assistant' AND {STRIP('text')} <> ''), w AS (SELECT lower(array_to_string(list_slice(list_filter(regexp_split_to_array(f, '{WS}+'), lambda x: x <> ''), 1, 3), ' ')) AS start FROM p),
+c AS (SELECT start, count(*) AS n FROM w GROUP BY 1 ORDER BY n DESC, start LIMIT 5) SELECT * FROM c WHERE n > 1""")
+def a20_repeated_starts(spark, sf_dir):
+    return a.repeated_starts(table(spark, sf_dir, "conversations").where("role = 'assistant'"))
+
+
+@query(f"""WITH p AS (SELECT arg_min(text, turn) AS card FROM conversations WHERE role = 'user' GROUP BY conv_id), k AS (SELECT DISTINCT card FROM p WHERE card <> '' ORDER BY card LIMIT 8),
+h AS (SELECT {CHAT_FIRST} AS f, conv_id, turn, card, row_number() OVER (PARTITION BY conv_id, turn ORDER BY md5(conv_id || ':' || turn || ':' || card)) AS place FROM conversations, k WHERE role = 'assistant' AND {STRIP('text')} <> ''),
+w AS (SELECT card, {CLEAN('f')} AS s, {CLEAN('card')} AS c FROM h WHERE place <= 3),
+g AS (SELECT card, list_filter(list_transform(range(1, len(c) - 1), lambda i: list_slice(c, i, i + 2)), lambda x: len(list_filter(x, lambda v: v NOT IN ('the', 'a', 'of', 'and', 'to', 'in', 'is'))) > 0) AS cg, list_transform(range(1, len(s) - 1), lambda i: list_slice(s, i, i + 2)) AS sg FROM w),
+d AS (SELECT card, count(*) AS draws, count(*) FILTER (list_has_any(cg, sg)) AS echoes FROM g GROUP BY 1), r AS (SELECT sum(echoes) / sum(draws) AS echo_rate FROM d)
+SELECT card, draws, echoes, echo_rate, CASE WHEN echo_rate <= 0 THEN 'GOOD' WHEN echo_rate <= 0.2 THEN 'OK' ELSE 'BAD' END AS verdict FROM d, r""")
+def a20_hint_echoes(spark, sf_dir):
+    """Three cards drawn for each response by a hash, of eight first prompts as cards, and how often its opening echoes them."""
+    turns = table(spark, sf_dir, "conversations")
+    cards = chat.prompts(spark, sf_dir).select(F.col("text").alias("card")).where("card <> ''").distinct().orderBy("card").limit(8)
+    pool = cards.agg(F.array_sort(F.collect_list("card")).alias("cards"))
+    drawn = F.transform(F.slice(F.array_sort(F.transform("cards", lambda c: F.struct(F.md5(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"), c)).alias("h"), c.alias("card")))), 1, 3), lambda x: x["card"])
+    rows = turns.where("role = 'assistant'").crossJoin(F.broadcast(pool)).withColumn("hints", drawn)  # one row of eight cards
+    return a.hint_echoes(rows, STOP_CARD)
+
+
 @query(f"""WITH p AS (SELECT lang AS class, length(text) AS len FROM documents), l AS (SELECT class, list(len ORDER BY len) AS l, sum((len > 1000)::INT)::BIGINT AS over_1000 FROM p GROUP BY class)
 SELECT class, len(l)::BIGINT AS n, l[1] AS least, l[len(l) // 2 + 1] AS median, l[len(l)] AS most, over_1000 FROM l""")
 def a21_length_by_class(spark, sf_dir):

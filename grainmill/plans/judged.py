@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import judged as j
+from ..operators import judged as j, reports as r
 from .registry import query, table
 
 _PATTERNS = [(0, "opens alike", True), (1, "lists three", False), (2, "ends with a question", True), (3, "never seen", True)]
@@ -63,10 +63,10 @@ def _anchored(spark, sf_dir, text: str):
     """A list of up to five anchored points with verdicts, and additions of which some are blank."""
     id_ = F.col("doc_id")
     point = lambda i: F.struct(F.concat(F.lit("p"), i.cast("string")).alias(text), F.element_at(F.array(*map(F.lit, ("kept", "weakened", "dropped", "unclear"))), ((id_ + i) % 4 + 1).cast("int")).alias("verdict"))
-    return table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select(F.col("doc_id").alias("prompt_id"), F.when(id_ % 13 != 0, F.transform(F.sequence(F.lit(0), (id_ % 5).cast("int")), point)).alias("anchored"), F.when(id_ % 3 == 0, F.array(F.lit("more"), F.lit(" "))).otherwise(F.array(F.lit("one"), F.lit("two"))).alias("added"))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("prompt_id"), F.when(id_ % 13 != 0, F.transform(F.sequence(F.lit(0), (id_ % 5).cast("int")), point)).alias("anchored"), F.when(id_ % 3 == 0, F.array(F.lit("more"), F.lit(" "))).otherwise(F.array(F.lit("one"), F.lit("two"))).alias("added"))
 
 
-_ANCHORED_SQL = "c AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS added FROM documents WHERE doc_id % 2 = 0 AND doc_id % 13 <> 0), a AS (SELECT doc_id, (doc_id + i) % 4 AS v FROM c, range(0, 5) t(i) WHERE i <= doc_id % 5)"
+_ANCHORED_SQL = "c AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS added FROM documents WHERE doc_id % 13 <> 0), a AS (SELECT doc_id, (doc_id + i) % 4 AS v FROM c, range(0, 5) t(i) WHERE i <= doc_id % 5)"
 
 
 @query(f"WITH {_ANCHORED_SQL}, s AS (SELECT (SELECT count(*) FROM c) AS judged, count(*) FILTER (v = 0) AS kept, count(*) FILTER (v = 1) AS weakened, count(*) FILTER (v = 2) AS dropped, (SELECT sum(added) FROM c) AS added FROM a), t AS (SELECT *, dropped / (kept + weakened + dropped) AS x FROM s) SELECT judged, kept, weakened, dropped, round(x, 3) AS dropped_share, CASE WHEN x <= 0.1 THEN 'GOOD' WHEN x <= 0.3 THEN 'OK' ELSE 'BAD' END AS verdict, added, round(added / judged, 1) AS added_per_response FROM t")
@@ -87,3 +87,44 @@ def a33_stance(spark, sf_dir):
     engagement = F.when(d % 5 == 0, "Over_Refusal ").when(d % 5 == 1, "appropriate_refusal").when(d % 5 == 2, "engages").when(d % 5 == 3, "dances")
     rows = table(spark, sf_dir, "documents").select(F.when(d % 2 == 0, "pipeline").otherwise("plain").alias("arm"), F.when(d % 6 < 5, d % 3 == 0).alias("defers"), (d % 4 == 1).alias("calibrated"), (d % 7 == 0).alias("moralizes"), engagement.alias("engagement"))
     return j.stance(rows)
+
+
+_MARTS_SQL = f"""{_ANCHORED_SQL}, cat(v, name, k) AS (VALUES (0, 'kept', 0), (1, 'weakened', 1), (2, 'dropped', 2)),
+p AS (SELECT doc_id, i, (doc_id + i) % 4 AS v FROM c, range(0, 5) t(i) WHERE i <= doc_id % 5),
+s AS (SELECT doc_id, name, count(*) AS n, string_agg('p' || i, ' • ' ORDER BY i) AS detail FROM p JOIN cat USING (v) GROUP BY 1, 2),
+r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'pipeline' ELSE 'plain' END AS arm, doc_id % 4 + 1 AS n, (SELECT string_agg('r' || ((doc_id + i * 7) % 50), ' • ' ORDER BY i) FROM range(0, 4) t(i) WHERE i <= doc_id % 4) AS detail FROM documents WHERE doc_id % 11 <> 0),
+u AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS ids FROM events WHERE event_type IS NOT NULL GROUP BY 1)"""
+
+
+@query(f"""WITH {_MARTS_SQL}
+SELECT 'survival' AS chart, name AS series, doc_id::VARCHAR AS label, n::DOUBLE AS value, detail FROM s
+UNION ALL SELECT 'survival', 'added', doc_id::VARCHAR, 2.0, CASE WHEN doc_id % 3 = 0 THEN 'more •  ' ELSE 'one • two' END FROM c
+UNION ALL SELECT 'reasons', arm, (doc_id // 2)::VARCHAR, n::DOUBLE, detail FROM r
+UNION ALL SELECT 'alternatives', 'plain', doc_id::VARCHAR, count(*)::DOUBLE, NULL FROM p GROUP BY doc_id
+UNION ALL SELECT 'alternatives', 'pipeline', doc_id::VARCHAR, (count(*) FILTER (v < 2) + 2)::DOUBLE, NULL FROM p GROUP BY doc_id""")
+def a37_reason_marts(spark, sf_dir):
+    """What became of each record's reasons, how many each arm gives, and what each offers beside."""
+    judged = _anchored(spark, sf_dir, "reason")
+    return r.survived(judged, "reason").unionByName(r.reason_counts(_cases(spark, sf_dir))).unionByName(r.offered(judged))
+
+
+@query(f"""WITH {_MARTS_SQL}, m AS (SELECT count(*) AS n, event_type FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY 2), lib(entry, move) AS (VALUES ('view', 'look'), ('purchase', 'buy'), ('never', 'none'))
+SELECT 'pulls' AS chart, 'pulled' AS series, user_id::VARCHAR AS label, len(ids)::DOUBLE AS value, array_to_string(ids, ', ') AS detail FROM u
+UNION ALL SELECT 'scatter', len(ids)::VARCHAR, user_id::VARCHAR, 2.0, array_to_string(ids, ', ') FROM u JOIN c ON c.doc_id = u.user_id
+UNION ALL SELECT 'triggers', move, entry, coalesce(n, 0)::DOUBLE, NULL FROM lib LEFT JOIN m ON m.event_type = entry""")
+def a37_library_marts(spark, sf_dir):
+    """What each record pulled from a library, against what was added to it, and how often each entry was pulled."""
+    pulled = table(spark, sf_dir, "events").where("event_type is not null").groupBy(F.col("user_id").alias("prompt_id")).agg(F.array_sort(F.collect_set("event_type")).alias("ids"))
+    library = spark.createDataFrame([("view", "look"), ("purchase", "buy"), ("never", "none")], "entry string, move string")
+    return r.pulls(pulled).unionByName(r.pull_scatter(pulled, _anchored(spark, sf_dir, "reason"))).unionByName(r.triggers(pulled, library))
+
+
+@query("""WITH c AS (SELECT doc_id // 2 AS p, sum(CASE WHEN doc_id % 2 = 0 THEN coalesce(length(text), 0) END) AS a, sum(CASE WHEN doc_id % 2 = 1 THEN coalesce(length(text), 0) END) AS b,
+  sum(CASE WHEN doc_id % 2 = 0 AND doc_id % 11 <> 0 THEN doc_id % 4 + 1 END) AS x, sum(CASE WHEN doc_id % 2 = 1 AND doc_id % 11 <> 0 THEN doc_id % 4 + 1 END) AS y FROM documents GROUP BY 1),
+t AS (SELECT 'characters' AS metric, sum(b)::BIGINT AS plain, sum(a)::BIGINT AS pipeline FROM c WHERE a IS NOT NULL AND b IS NOT NULL UNION ALL SELECT 'unique reasons', sum(y)::BIGINT, sum(x)::BIGINT FROM c WHERE x IS NOT NULL AND y IS NOT NULL)
+SELECT metric, plain, pipeline, pipeline - plain AS difference, CASE WHEN plain <> 0 THEN round((pipeline - plain) / plain, 6) END AS share FROM t WHERE plain IS NOT NULL""")
+def a37_batch_totals(spark, sf_dir):
+    """Characters and reasons of both arms over the records that both have."""
+    cases = _cases(spark, sf_dir)
+    sizes = cases.select("prompt_id", "arm", F.lit("characters").alias("metric"), F.col("chars").cast("long").alias("value"))
+    return r.batch_totals(sizes.unionByName(cases.where("reasons is not null").select("prompt_id", "arm", F.lit("unique reasons").alias("metric"), F.size("reasons").cast("long").alias("value"))))

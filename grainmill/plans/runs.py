@@ -36,10 +36,10 @@ def s12_library(spark, sf_dir):
     return runs.library(spark, folder, older=["older.json", "old_library.json"]).select("id", "claim", "pos")
 
 
-@query("WITH a AS (SELECT user_id, [event_type, 'nothing', 'view'] AS ids FROM events WHERE event_id % 50 = 0) SELECT user_id, count(*) AS n, min(event_type) AS least FROM (SELECT user_id, unnest(ids) AS event_type FROM a) WHERE event_type IN ('click', 'view') GROUP BY 1")
+@query("WITH a AS (SELECT user_id, [event_type, 'nothing', 'view'] AS ids FROM events) SELECT user_id, count(*) AS n, min(event_type) AS least FROM (SELECT user_id, unnest(ids) AS event_type FROM a) WHERE event_type IN ('click', 'view') GROUP BY 1")
 def k13_chosen_entries(spark, sf_dir):
     entries = spark.createDataFrame([("view", "v", 0), ("click", "c", 1)], "id string, claim string, pos long")
-    asked = table(spark, sf_dir, "events").where("event_id % 50 = 0").groupBy("user_id").agg(F.flatten(F.collect_list(F.array("event_type", F.lit("nothing"), F.lit("view")))).alias("ids"))
+    asked = table(spark, sf_dir, "events").groupBy("user_id").agg(F.flatten(F.collect_list(F.array("event_type", F.lit("nothing"), F.lit("view")))).alias("ids"))
     return runs.chosen_entries(asked, entries, "user_id").select("user_id", F.size("entries").cast("long").alias("n"), F.array_min(F.transform("entries", lambda e: e["id"])).alias("least"))
 
 
@@ -71,12 +71,12 @@ def s17_run_listing(spark, sf_dir):
     return listed.select("run_id", shown.alias("counts"), "pass_rate", "total_cost")
 
 
-@query("SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0")
+@query("SELECT doc_id, lang FROM documents")
 def s18_stage_read(spark, sf_dir):
     """The second read sees the file's new state."""
     held, path = runs.Stages(spark), store.new_path(spark, "stage")
     assert held.read(path, "doc_id long, lang string").isEmpty()
-    files.save_jsonl(table(spark, sf_dir, "documents").where("doc_id % 2 = 0").select("doc_id", "lang"), path)
+    files.save_jsonl(table(spark, sf_dir, "documents").select("doc_id", "lang"), path)
     return held.read(path, "doc_id long, lang string")
 
 

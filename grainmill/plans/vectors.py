@@ -67,6 +67,13 @@ def v09_centroid_cosine(spark, sf_dir):
     return v.centroid_cosine(_rows(spark, sf_dir), "label").select("groups", F.round("mean_cosine", 9).alias("mean_cosine"))
 
 
+@query(f"WITH {_U}, s AS (SELECT label, d, sum(x) AS s, count(*) AS n FROM (SELECT label, unnest(e) AS x, unnest(range(64)) AS d FROM u) GROUP BY 1, 2), t AS (SELECT label, sum(s * s) AS q, max(n) AS n FROM s GROUP BY label) SELECT label, coalesce(n_name, label::VARCHAR) AS name, n, round({_MEAN}, 4) AS mean_cosine FROM t LEFT JOIN nation ON n_nationkey = label WHERE (SELECT count(*) FROM t) >= 2")
+def a42_group_breakdown(spark, sf_dir):
+    names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("label"), "n_name")
+    rows = _rows(spark, sf_dir).join(names, "label", "left")
+    return v.group_breakdown(rows, "label", "n_name", "vec_id").select("label", "name", "n", F.round("mean_cosine", 4).alias("mean_cosine"))
+
+
 @query("WITH m AS (SELECT conv_id, list(text ORDER BY turn) AS t, list(role ORDER BY turn) AS r FROM conversations GROUP BY conv_id) SELECT conv_id, list_extract(list_filter(t, lambda x, i: r[i] = 'user'), 1) AS prompt, list_extract(list_filter(t, lambda x, i: r[i] = 'assistant'), 1) AS response, array_to_string(t, chr(10) || chr(10)) AS combined FROM m")
 def v10_scopes(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
