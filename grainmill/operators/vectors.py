@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import snippet
+from ..sources.store import discard, written
+from .lineage import placed
 
 
 def long(vecs: DataFrame, keys: Sequence[str], vector: str = "embedding") -> DataFrame:
@@ -170,24 +172,68 @@ def style_vectors(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return raw.select(key, "gram", (F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))).alias("w"))
 
 
+#: Rows whose batches one task tells.
+BLOCK = 1 << 14
+
+
+def _follow(length: np.ndarray, own: int, items: int, chars: int) -> np.ndarray:
+    """Where the next batch begins if one begins at each of the first `own` rows; `length` goes on by up to `items` rows."""
+    total = np.concatenate([[0], np.cumsum(length)])
+    start = np.arange(own)
+    fits = np.searchsorted(total, total[:own] + chars, side="right") - 1
+    return np.minimum(np.maximum(start + 1, np.minimum(start + items, fits)), len(length))
+
+
 def request_batches(rows: DataFrame, order: str, text: str = "text", items: int = 128, chars: int = 180_000) -> DataFrame:
-    """rows with batch and place, numbered within each partition: a batch closes before it would exceed a bound; a text
-    that exceeds it alone is a batch alone."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch, n, size = 0, 0, 0
-        for pdf in batches:
-            at, place = [], []
-            for length in pdf["__len"]:
-                if n and (n >= items or size + length > chars):
-                    batch, n, size = batch + 1, 0, 0
-                at.append(batch)
-                place.append(n)
-                n, size = n + 1, size + length
-            yield pdf.assign(batch=at, place=place)[[order, "part", "batch", "place"]]
-
-    keyed = rows.select(order, F.coalesce(F.length(text), F.lit(0)).alias("__len")).repartitionByRange(order).sortWithinPartitions(order).withColumn("part", F.spark_partition_id())
-    return keyed.mapInPandas(pack, f"{order} long, part int, batch long, place long")
+    """order, batch, place: rows in one order over all partitions. A batch closes before it would exceed a bound; a text that
+    exceeds it alone is a batch alone.
+
+    Where a batch that begins at a row ends is known from the next `items` rows. So a block of rows is a function: from the
+    place at which a batch is the first to begin in it to the place in the next block, and how many batches begin on the way.
+    Functions of neighbouring blocks are composed by doubling, in as many rounds as the logarithm of the number of blocks;
+    applied to the very first row they give each block the place and number of its first batch."""
+    size, kind = max(BLOCK, items), rows.schema[order].dataType.simpleString()
+    sized = rows.select(F.col(order).alias("key"), F.coalesce(F.length(text), F.lit(0)).cast("long").alias("len"))
+    at = placed(sized, ["key", "len"]).withColumns({"block": F.floor(F.col("place") / size), "own": F.lit(True)})
+    ahead = at.where((F.col("block") > 0) & (F.col("place") % size < items)).withColumns({"block": F.col("block") - 1, "own": F.lit(False)})
+    every = written(at.unionByName(ahead), "blocks")
+
+    def through(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place")
+        own = int(pdf.own.sum())
+        after, out, count = _follow(pdf.len.to_numpy(), own, items, chars), np.zeros(own, np.int64), np.ones(own, np.int64)
+        for i in range(own - 1, -1, -1):
+            if after[i] < own:
+                out[i], count[i] = out[after[i]], count[after[i]] + 1
+            else:
+                out[i] = after[i] - own
+        return pd.DataFrame({"block": pdf.block[:1].to_list(), "out": [out[:items]], "count": [count[:items]]})
+
+    scan = written(every.groupBy("block").applyInPandas(through, "block long, out array<long>, count array<long>"), "through")
+    n, step = scan.count(), 1
+    while step < n:  # each covers twice as many blocks that end with it
+        first = scan.select((F.col("block") + step).alias("block"), F.col("out").alias("o"), F.col("count").alias("c"))
+        then = lambda name: F.transform("o", lambda e: F.coalesce(F.get(name, e.cast("int")), F.lit(0)))
+        both = scan.join(first, "block", "left")
+        wider = both.select("block", F.when(F.col("o").isNull(), F.col("out")).otherwise(then("out")).alias("out"), F.when(F.col("o").isNull(), F.col("count")).otherwise(F.zip_with("c", then("count"), lambda x, y: x + y)).alias("count"))
+        next_ = written(wider, "through")
+        discard(scan)
+        scan, step = next_, 2 * step
+    begin = scan.select((F.col("block") + 1).alias("block"), F.get("out", F.lit(0)).alias("entry"), F.get("count", F.lit(0)).alias("batches"))
+    entered = every.join(begin, "block", "left").fillna(0, ["entry", "batches"])
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place").reset_index(drop=True)
+        own, i = int(pdf.own.sum()), int(pdf.entry.iloc[0])
+        after = _follow(pdf.len.to_numpy(), own, items, chars)
+        batch, k = int(pdf.batches.iloc[0]), len(pdf)
+        number, place = np.full(k, -1, np.int64), np.zeros(k, np.int64)
+        while i < own:
+            number[i : after[i]], place[i : after[i]] = batch, np.arange(after[i] - i)
+            i, batch = int(after[i]), batch + 1
+        return pd.DataFrame({order: pdf.key, "batch": number, "place": place})[number >= 0]
+
+    return entered.groupBy("block").applyInPandas(number, f"{order} {kind}, batch long, place long")
 
 
 def pair_snippets(pairs: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -139,6 +139,10 @@ def v14_style_plane(spark, sf_dir):
     return spectrum.plane(*_style(spark, sf_dir), "conv_id")
 
 
-@query()
+@query("""WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k, coalesce(length(text), 0) AS len FROM documents),
+r(k, batch, place, size) AS (SELECT k, 0::BIGINT, 0::BIGINT, len FROM d WHERE k = 1 UNION ALL
+  SELECT d.k, CASE WHEN r.place + 1 >= 128 OR r.size + d.len > 180000 THEN r.batch + 1 ELSE r.batch END, CASE WHEN r.place + 1 >= 128 OR r.size + d.len > 180000 THEN 0 ELSE r.place + 1 END, CASE WHEN r.place + 1 >= 128 OR r.size + d.len > 180000 THEN d.len ELSE r.size + d.len END
+  FROM r JOIN d ON d.k = r.k + 1)
+SELECT doc_id, batch, place FROM r JOIN d USING (k)""")
 def v15_request_batches(spark, sf_dir):
     return v.request_batches(table(spark, sf_dir, "documents"), "doc_id")
