@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse, text as t
 from ..operators import generation, stages
-from ..sources import files, store
+from ..sources import files, log, store
 from ..streaming import keepfirst
 from .dedup import GREEDY
 from .registry import query, table
@@ -140,7 +140,40 @@ def d05_incremental_filter(spark, sf_dir):
 @query("SELECT coalesce(event_type, 'untagged') AS stage, count(*) AS calls, round(sum(value), 6) AS cost FROM events GROUP BY 1", name="s22_cost_stream")
 def s22_cost_stream(spark, sf_dir):
     """The cost roll-up as a stream over the log, run to its end."""
-    log = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+    calls = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
     out = keepfirst.Snapshot(spark, store.new_path(spark, "costs"), "stage string, calls long, cost double")
-    keepfirst.cost_by_stage(log).writeStream.outputMode("complete").foreachBatch(out).option("checkpointLocation", store.new_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    keepfirst.cost_by_stage(calls).writeStream.outputMode("complete").foreachBatch(out).option("checkpointLocation", store.new_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
     return out.read().withColumn("cost", F.round("cost", 6))
+
+
+@query("SELECT count(*) FILTER (doc_id % 3 = 0) AS first, count(*) FILTER (doc_id % 3 <> 0) AS second, 0::BIGINT AS third, count(*) AS there FROM documents")
+def s03_committed_append(spark, sf_dir):
+    """A third of the rows, then all, then all again: each pass adds what isn't there yet, whole or not at all."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    held = log.Log(spark, store.new_path(spark, "log"), "doc_id long, lang string")
+    first, second, third = (held.append_once(x, "doc_id").agg(F.count(F.lit(1)).alias(n)) for x, n in ((d.where("doc_id % 3 = 0"), "first"), (d, "second"), (d, "third")))
+    there = held.read().agg(F.count_distinct("doc_id").alias("there"))
+    return first.crossJoin(second).crossJoin(third).crossJoin(there)  # one row each
+
+
+@query("WITH t AS (SELECT coalesce(text, '') AS text, max((doc_id % 3 = 0)::INT) AS late, max((doc_id % 2 = 0)::INT) AS early FROM documents GROUP BY 1) SELECT d.doc_id, CASE WHEN late = 1 THEN 2 WHEN early = 1 THEN 1 ELSE 0 END::BIGINT AS version FROM documents d JOIN t ON t.text = coalesce(d.text, '')")
+def s21_cache_upserts(spark, sf_dir):
+    """An embedding cache that is written twice and compacted: each text has the entry that came last, 0 where it has none."""
+    key = F.sha2(F.concat(F.lit("m\x00"), F.coalesce("text", F.lit(""))), 256).alias("key")
+    d = table(spark, sf_dir, "documents").select("doc_id", key)
+    cache = log.Log(spark, store.new_path(spark, "cache"), "key string, version long")
+    for _ in range(2):  # the second time nothing is added
+        cache.append(d.where("doc_id % 2 = 0").select("key", F.lit(1).alias("version")).distinct(), "first")
+        cache.append(d.where("doc_id % 3 = 0").select("key", F.lit(2).alias("version")).distinct(), "second")
+    cache.compact("key")
+    return d.join(cache.latest("key"), "key", "left").select("doc_id", F.coalesce("version", F.lit(0)).cast("long").alias("version"))
+
+
+@query("SELECT coalesce(event_type, 'untagged') AS stage, count(*) AS calls FROM events GROUP BY 1")
+def s22_cost_log_appends(spark, sf_dir):
+    """Calls streamed into the cost log; a stream that begins again from its first batch adds nothing."""
+    held = log.Log(spark, store.new_path(spark, "log"), "event_id long, event_type string, value double")
+    for _ in range(2):
+        events = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+        events.writeStream.foreachBatch(held.sink).option("checkpointLocation", store.new_path(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return held.read().groupBy(F.coalesce("event_type", F.lit("untagged")).alias("stage")).agg(F.count(F.lit(1)).alias("calls"))
