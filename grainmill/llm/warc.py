@@ -9,8 +9,10 @@ counts only through the row that names it, so lost or repeated tasks leave no tr
 Reading: the end record, the ZIP64 locator and record where they are, and the central directory are parsed from ranges
 of bytes; the stored members' places follow. Any member named *.warc.gz or *.warc is an archive, any named *.cdxj, *.cdx,
 *.jsonl or *.json (or those with .gz) an index, of lines that end in a JSON object with offset, length and, if there are
-several archives, filename. Indexed records are read by range, neighbours together; an archive that no index lists is read
-through, record after record.
+several archives, filename. Indexed records are read by range, neighbours together; an archive that no index lists, or that
+the package deflates, is read through, gzip member after member or, unpacked, by the lengths that records state. Deflated
+indexes are inflated. Members of those names that hold no index count as none, and records that are neither response nor
+revisit are passed over.
 
 Null payloads are empty ones. Very long payloads are records like others; one record at a time is in memory. Of equal ids
 among equal payloads, ties, one row is the response and the others refer to the same id. Null ids are kept as null and count as smaller than any other. Rows that repeat an id and
@@ -24,6 +26,7 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -41,6 +44,7 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVES, INDEXES = (".warc.gz", ".warc"), (".cdxj", ".cdx", ".jsonl", ".json")
 #: An archive is closed when it holds so many bytes; a range of neighbouring records that is read at once.
 ARCHIVE_BYTES, READ_BYTES = 64 << 20, 2 << 20
+LENGTH, PAGE = re.compile(rb"(?im)^content-length:[ \t]*(\d+)"), re.compile(r"<urn:page:(-?\d+)>")
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -67,8 +71,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, kind: str, refe
 
 
 def parsed(member: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
-    """WARC headers and HTTP headers (names in lower case), and the payload."""
-    raw = zlib.decompress(member, wbits=31)
+    """WARC headers and HTTP headers (names in lower case), and the payload, of a gzip member or a bare record."""
+    raw = zlib.decompress(member, wbits=31) if member[:2] == b"\x1f\x8b" else member
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = lambda lines: {k.strip().lower(): v.strip() for k, _, v in (x.decode("utf-8", "replace").partition(":") for x in lines)}
     warc = fields(head.split(b"\r\n")[1:])
@@ -207,16 +211,41 @@ class Archive:
         n, m = struct.unpack_from("<HH", head, 26)
         return at + 30 + n + m, size
 
+    def chunks(self, name: str) -> Iterator[bytes]:
+        """A member's content, piece by piece; a deflated one is inflated."""
+        method, size, at = self.members[name]
+        if method not in (0, 8):
+            raise ValueError(f"{name} is packed by method {method}")
+        self.members[name] = 0, size, at
+        try:
+            place, _ = self.stored(name)
+        finally:
+            self.members[name] = method, size, at
+        inflate = zlib.decompressobj(-15) if method else None
+        for k in range(0, size, READ_BYTES):
+            part = self.read(place + k, min(READ_BYTES, size - k))
+            while inflate and part:
+                yield inflate.decompress(part, READ_BYTES)
+                part = inflate.unconsumed_tail
+            if not inflate:
+                yield part
+        if inflate:
+            yield inflate.flush()
+
     def indexed(self) -> dict[str, list[tuple[int, int]]]:
-        """Of each archive member, the places (offset, length) that the package's indexes list, in order."""
+        """Of each archive member, the places (offset, length) that the package's indexes list, in order. Members that are named
+        like an index and hold none count as none."""
         archives = [m for m in self.members if m.endswith(ARCHIVES)]
         named = {m.rpartition("/")[2]: m for m in archives}
         found: dict[str, set[tuple[int, int]]] = {m: set() for m in archives}
         for name in self.members:
-            if name.removesuffix(".gz").endswith(INDEXES):
-                at, size = self.stored(name)
-                body = self.read(at, size)
-                for line in (gzip.decompress(body) if name.endswith(".gz") else body).splitlines():
+            if name.removesuffix(".gz").endswith(INDEXES) and name not in found:
+                body = b"".join(self.chunks(name))
+                try:
+                    lines = (gzip.decompress(body) if name.endswith(".gz") else body).splitlines()
+                except (OSError, EOFError, zlib.error):
+                    continue
+                for line in lines:
                     try:
                         entry = json.loads(line[line.index(b"{") :])
                         place = int(entry["offset"]), int(entry["length"])
@@ -228,11 +257,13 @@ class Archive:
         return {m: sorted(places) for m, places in found.items()}
 
     def records(self) -> Iterator[bytes]:
-        """The gzip members of all archives: by their index, neighbours read together, or else one after the other."""
+        """The records of all archives: by their index, neighbours read together, or else one after the other. A member that
+        the package deflates has no ranges, so it is read through."""
         for name, places in self.indexed().items():
+            if not places or self.members[name][0]:
+                yield from (_members if name.endswith(".gz") else _plain)(self.chunks(name))
+                continue
             start, total = self.stored(name)
-            if not places:
-                yield from self._through(start, total)
             i = 0
             while i < len(places):
                 j, first = i, places[i][0]
@@ -244,14 +275,12 @@ class Archive:
                 yield from (body[a - first : a - first + n] for a, n in places[i:j])
                 i = j
 
-    def _through(self, start: int, total: int) -> Iterator[bytes]:
-        """Gzip members without an index: where one ends, the next begins."""
-        at, held = start, b""
-        unzip, member = zlib.decompressobj(wbits=31), []
-        while at < start + total or held:
-            if not held:
-                held = self.read(at, min(READ_BYTES, start + total - at))
-                at += len(held)
+
+def _members(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Gzip members without an index: where one ends, the next begins."""
+    unzip, member = zlib.decompressobj(wbits=31), []
+    for held in chunks:
+        while held:
             unzip.decompress(held)
             used = len(held) - len(unzip.unused_data)
             member.append(held[:used])
@@ -259,17 +288,39 @@ class Archive:
             if unzip.eof:
                 yield b"".join(member)
                 unzip, member = zlib.decompressobj(wbits=31), []
-        if member:
-            raise ValueError("the last record is cut off")
-
-
-def facts(member: bytes) -> tuple[int | None, int, str, str, int | None]:
+    if member:
+        raise ValueError("the last record is cut off")
+
+
+def _plain(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Records that aren't packed: a head states how long its block is."""
+    held = bytearray()
+    for chunk in chunks:
+        held += chunk
+        while (end := held.find(b"\r\n\r\n", len(held) - len(held.lstrip(b"\r\n")))) >= 0:
+            size = LENGTH.search(held, 0, end)
+            if not size:
+                raise ValueError("a record without a length")
+            total = end + 4 + int(size[1])
+            if len(held) < total:
+                break
+            yield bytes(held[:total]).lstrip(b"\r\n")
+            del held[:total]
+    if held.strip(b"\r\n"):
+        raise ValueError("the last record is cut off")
+
+
+def facts(member: bytes) -> tuple[int | None, int, str, str, int | None] | None:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to; none of a record that is neither response nor revisit."""
     warc, http, payload = parsed(member)
-    number = lambda x: None if x is None or x.endswith(":none>") else int(x.rpartition(":")[2].rstrip(">"))
-    digest, kind = warc["warc-payload-digest"].removeprefix("sha1:"), warc["warc-type"]
+    kind = warc.get("warc-type", "")
+    if kind not in ("response", "revisit"):
+        return None
+    number = lambda x: int(m[1]) if (m := PAGE.fullmatch(x or "")) else None
+    digest = warc.get("warc-payload-digest", f"sha1:{digest_of(payload)}").removeprefix("sha1:")
     if kind == "response" and digest_of(payload) != digest:
         raise ValueError(f"{warc['warc-record-id']}: the payload doesn't have its digest")
-    return number(warc["warc-record-id"]), int(http["content-length"]), digest, kind, number(warc.get("warc-refers-to"))
+    return number(warc.get("warc-record-id")), int(http.get("content-length", len(payload))), digest, kind, number(warc.get("warc-refers-to"))
 
 
 def read(archives: DataFrame, folder: str, payload: bool = False) -> DataFrame:
@@ -285,7 +336,9 @@ def read(archives: DataFrame, folder: str, payload: bool = False) -> DataFrame:
                 with files.open_input_file(f"{path}/{name}") as f:
                     rows: list = []
                     for member in Archive(f).records():
-                        rows.append(facts(member) + ((parsed(member)[2],) if payload else ()))
+                        if (known := facts(member)) is None:
+                            continue
+                        rows.append(known + ((parsed(member)[2],) if payload else ()))
                         if len(rows) >= (500 if payload else 20_000):
                             yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
                             rows = []

@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import math
 import random
 import struct
@@ -543,6 +544,41 @@ def test_warc_is_the_brute_force_one(spark, least):
     assert sorted(got, key=repr) == brute_warc(rows, least)
 
 
+@pytest.mark.parametrize("packed", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+@pytest.mark.parametrize("read_bytes", [50, 2 << 20])
+def test_packages_of_ordinary_tools(spark, tmp_path, monkeypatch, packed, read_bytes):
+    """Deflated side members and archives, JSON that is no index, a bare archive with records of other kinds."""
+    monkeypatch.setattr(warc, "READ_BYTES", read_bytes)
+    gz = [warc.record(i, f"http://x/{i}", b"one" * i, "response", None) for i in range(1, 20)]
+    bare = [gzip.decompress(warc.record(i, f"http://y/{i}", b"two\r\n\r\n" * i, "response", None)) for i in range(30, 40)]
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1-2>\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
+    other = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:3-4>\r\nContent-Length: 26\r\n\r\nHTTP/1.1 200 OK\r\n\r\npayload\r\n\r\n"
+    at, lines = 0, []
+    for r in gz:
+        lines.append(json.dumps({"offset": at, "length": len(r), "filename": "x.warc.gz"}))
+        at += len(r)
+    with zipfile.ZipFile(tmp_path / "p.zip", "w", packed) as z:
+        z.writestr("datapackage.json", json.dumps({"profile": "data-package", "resources": [{"offset": "none"}] * 50}, indent=1))
+        z.writestr("pages/pages.jsonl", "\n".join(['{"format": "json-pages-1.0"}', '{"url": "http://x/1"}'] * 40))
+        z.writestr("indexes/broken.cdxj.gz", b"no gzip")
+        z.writestr("indexes/index.cdxj", "\n".join(lines))
+        z.writestr("archive/x.warc.gz", b"".join(gz))
+        z.writestr("archive/y.warc", info + b"".join(bare) + other)
+    with pa.OSFile(str(tmp_path / "p.zip")) as f:
+        found = [x for x in map(warc.facts, warc.Archive(f).records()) if x]
+    assert [x[0] for x in found] == [*range(1, 20), *range(30, 40), None]
+    assert [x[1] for x in found] == [3 * i for i in range(1, 20)] + [7 * i for i in range(30, 40)] + [7]
+    table = spark.createDataFrame([("p.zip",)], "archive string")
+    assert warc.read(table, f"file://{tmp_path}").count() == 30
+
+
+def test_a_bare_archive_that_is_cut_off():
+    whole = gzip.decompress(warc.record(1, "http://x/", b"payload", "response", None))
+    assert list(warc._plain(iter([whole[:9], whole[9:]]))) == [whole.rstrip(b"\r\n")]
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc._plain(iter([whole[:-12]])))
+
+
 def test_zip64_fields():
     """A directory whose offsets and sizes stand in ZIP64 fields, as in packages beyond 4 GB."""
     name, data = b"a", b"12345"
