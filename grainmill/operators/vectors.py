@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import snippet
-from ..sources.store import discard, written
+from ..sources.store import discard, rows_at_once, written
 from .lineage import placed
 
 
@@ -49,28 +49,102 @@ def centroid_cosine(vecs: DataFrame, group: str, vector: str = "embedding") -> D
     return mean_cosine(rows, (), vector).select(F.col("n").alias("groups"), "mean_cosine")
 
 
-def neighbours(vecs: DataFrame, key: str, vector: str = "embedding", rows: int = 2048) -> DataFrame:
-    """key, nn, sim: the most similar other row, ties to the smaller key. Blocks of rows meet blocks; each pair of
-    blocks is one product of matrices, and only the best of each row leaves it."""
-    u = unit(vecs.select(key, vector), vector)
-    blocks = max(1, -(-u.count() // rows))
-    packed = u.withColumn("b", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).groupBy("b").agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(vector).alias("v"))).alias("rows"))
-    left = packed.select("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("c"), F.col("rows").alias("left"))
-    pairs = left.join(packed.select(F.col("b").alias("c"), F.col("rows").alias("right")), "c")
+#: Sums of products that are equal but for rounding.
+ALIKE = 1e-12
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _axes(vecs: DataFrame, vector: str) -> np.ndarray:
+    """Principal axes of unit rows, the widest first: d x d numbers, whatever the rows."""
+    g, _, n = gram(vecs, vector)
+    return np.linalg.eigh(g)[1][:, ::-1] if n else np.zeros((0, 0))
+
+
+def _meet(a: dict, b: dict, head: int, own: bool) -> tuple[np.ndarray, int, int]:
+    """(cosines, -2 where neither row can gain, components read, pairs) of the rows of two blocks.
+
+    The head's products are taken of all pairs. What the rest can add is no more than the product of the rests' lengths, so
+    only pairs that could reach a threshold read it."""
+    s = a["x"][:, :head] @ b["x"][:, :head].T
+    able = s + np.outer(a["rest"], b["rest"]) + 1e-9
+    need = (able >= a["t"][:, None]) | (able >= b["t"][None, :])
+    if own:
+        np.fill_diagonal(need, False)
+    d, wanted = a["x"].shape[1], int(need.sum())
+    if 4 * wanted > need.size:
+        s += a["x"][:, head:] @ b["x"][:, head:].T
+        wanted = need.size
+    else:
+        for k in range(0, wanted, 1 << 18):
+            i, j = (z[k : k + (1 << 18)] for z in np.nonzero(need))
+            s[i, j] += np.einsum("ij,ij->i", a["x"][i, head:], b["x"][j, head:])
+    s[~need] = -2.0
+    return s, need.size * head + wanted * (d - head), need.size
+
+
+def neighbours(vecs: DataFrame, key: str, vector: str = "embedding", rows: int = 2048, work: bool = False) -> DataFrame:
+    """key, nn, sim: the most similar other row, ties to the smaller key; with `work` also read and pairs, which add up over all
+    rows to the components read and the pairs met.
+
+    Rows are turned to their principal axes, so that most of a cosine is in few components, and dealt into blocks along the
+    first axis. Blocks meet themselves first, which gives each row a threshold, then each other."""
+    kind = vecs.schema[key].dataType.simpleString()
+    axes = _axes(vecs.select(vector), vector)
+    d = len(axes)
+    head = max(1, d // 4)
+    u = unit(vecs.select(F.col(key).alias("k"), F.col(vector).alias("v")), "v")
+
+    def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = np.array(batch.v.tolist()) @ axes
+                yield pd.DataFrame({"k": batch.k, "first": x[:, 0], "x": list(x)})
+
+    turned = written(u.mapInPandas(turn, f"k {kind}, first double, x array<double>"), "turned")
+    blocks = max(1, -(-turned.count() // rows))
+    dealt = written(turned.repartitionByRange(blocks, "first", "k").withColumn("b", F.spark_partition_id()), "dealt")
+    found = f"k {kind}, nn {kind}, sim double, read long, pairs long"
+
+    def block(row) -> dict:
+        out = {"k": np.array([r["k"] for r in row]), "x": np.array([r["x"] for r in row]), "t": np.array([r["t"] for r in row])}
+        order = np.argsort(out["k"], kind="stable")
+        out = {c: v[order] for c, v in out.items()}
+        return out | {"rest": np.linalg.norm(out["x"][:, head:], axis=1)}
+
+    def best(mine: np.ndarray, other: np.ndarray, s: np.ndarray) -> pd.DataFrame:
+        top = s.max(axis=1)
+        at = (s >= top[:, None] - ALIKE).argmax(axis=1)  # keys are in order
+        return pd.DataFrame({"k": mine, "nn": other[at], "sim": top, "read": 0, "pairs": 0})[top > -2]
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, b in zip(batch.left, batch.right):
-                ka, kb = (np.array([r["k"] for r in x]) for x in (a, b))
-                order = np.argsort(kb, kind="stable")
-                kb, x = kb[order], np.array([r["v"] for r in b])[order]
-                s = np.array([r["v"] for r in a]) @ x.T
-                s[ka[:, None] == kb[None, :]] = -2.0
-                at = s.argmax(axis=1)
-                yield pd.DataFrame({"key": ka, "nn": kb[at], "sim": s[np.arange(len(ka)), at]})
-
-    found = pairs.select("left", "right").mapInPandas(best, "key long, nn long, sim double").where("sim > -2")
-    return found.groupBy("key").agg(F.max(F.struct("sim", (-F.col("nn")).alias("m"))).alias("x")).select(F.col("key").alias(key), (-F.col("x.m")).alias("nn"), F.col("x.sim").alias("sim"))
+            for left, right in zip(batch.left, batch.right):
+                a = block(left)
+                b = a if right is None else block(right)
+                s, read, pairs = _meet(a, b, head, right is None)
+                out = best(a["k"], b["k"], s)
+                if right is not None:
+                    out = pd.concat([out, best(b["k"], a["k"], s.T)])
+                if not len(out):
+                    out = pd.DataFrame({"k": a["k"][:1], "nn": a["k"][:1], "sim": [-2.0], "read": 0, "pairs": 0})
+                out.iloc[0, 3:5] = read, pairs
+                yield out
+
+    def packed(t: DataFrame) -> DataFrame:
+        return t.groupBy("b").agg(F.collect_list(F.struct("k", "x", "t")).alias("rows"))
+
+    with rows_at_once(vecs.sparkSession, 1):
+        alone = packed(dealt.withColumn("t", F.lit(-1.0)))
+        none = F.lit(None).cast(alone.schema["rows"].dataType)
+        first = written(alone.select(F.col("rows").alias("left"), none.alias("right")).mapInPandas(meet, found), "nearest")
+        low = dealt.join(first.groupBy("k").agg(F.max("sim").alias("t")), "k", "left").withColumn("t", F.greatest(F.lit(-1.0), F.coalesce("t", F.lit(-1.0))))
+        again = written(packed(low), "dealt")
+        left = again.where(F.col("b") < blocks - 1).select("b", F.explode(F.sequence(F.col("b") + 1, F.greatest(F.col("b") + 1, F.lit(blocks - 1)))).alias("c"), F.col("rows").alias("left"))
+        rest = written(left.join(again.select(F.col("b").alias("c"), F.col("rows").alias("right")), "c").select("left", "right").mapInPandas(meet, found), "nearest")
+    every = first.union(rest)
+    near = every.groupBy("k").agg(F.max(F.when(F.col("sim") > -2, F.struct(F.round("sim", 11).alias("s"), (-F.col("nn")).alias("m"), "sim"))).alias("x"), F.sum("read").alias("read"), F.sum("pairs").alias("pairs"))
+    out = near.select(F.col("k").alias(key), (-F.col("x.m")).alias("nn"), F.col("x.sim").alias("sim"), *(["read", "pairs"] if work else []))
+    discard(turned)
+    return out if work else out.where("nn is not null")
 
 
 def top_pairs(near: DataFrame, key: str, limit: int = 10, floor: float = 0.80) -> DataFrame:
