@@ -5,11 +5,14 @@ Order where chance is wanted comes from md5 of the seed and the key, so any engi
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import warnings
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..sources.store import written
+
 AXES = "axis string, axis_pos int, pos int, value string, weight double"
 
 
@@ -89,6 +92,43 @@ def product(vocabulary: DataFrame, names: Sequence[str]) -> DataFrame:
     return out.select(F.format_string("matrix_%06d", number.cast("long")).alias("prompt_id"), *names)
 
 
+def people(given: DataFrame, family: DataFrame, n: int, seed: int, locales: Sequence[str], family_first: Mapping[str, str] | None = None, banned: Sequence[str] = (), most: int = 40, fallback: Sequence[str] = ()) -> DataFrame:
+    """locale, place, name, is_fallback: n names at most for each locale, composed of given(locale, name) and family(locale, name).
+
+    Twice as many are drawn by hashes of the seed, so they are the same whenever asked. A locale of family_first puts the family's
+    name first, with its own joiner. Names of `most` characters or more and names with a banned word go. A locale without
+    any gets the fallback's names, with a warning, lest a few names stand for all unseen."""
+    spark = given.sparkSession
+    first = F.create_map(*[F.lit(x) for kv in (family_first or {"": ""}).items() for x in kv])
+    wanted = spark.createDataFrame([(x,) for x in dict.fromkeys(locales)], "locale string")
+
+    def drawn(names: DataFrame, kind: str) -> DataFrame:
+        known = names.select("locale", "name").where("locale is not null and name <> ''").distinct().join(wanted, "locale", "left_semi")
+        numbered = known.withColumns({"at": F.row_number().over(Window.partitionBy("locale").orderBy("name")) - 1, "of": F.count(F.lit(1)).over(Window.partitionBy("locale"))})
+        draws = numbered.groupBy("locale").agg(F.max("of").alias("of")).select("locale", "of", F.explode(F.sequence(F.lit(1), F.lit(2 * n))).alias("k"))
+        at = F.conv(F.substring(order_key(seed, F.col("locale"), F.lit(kind), F.col("k")), 1, 8), 16, 10).cast("long") % F.col("of")
+        return draws.select("locale", "k", at.cast("int").alias("at")).join(numbered.drop("of"), ["locale", "at"]).select("locale", "k", F.col("name").alias(kind))
+
+    both = drawn(given, "given").join(drawn(family, "family"), ["locale", "k"])
+    name = F.when(first[F.col("locale")].isNotNull(), F.concat("family", first[F.col("locale")], "given")).otherwise(F.concat_ws(" ", "given", "family"))
+    words = F.transform(F.split(name, " "), lambda w: F.lower(F.btrim(w, F.lit(".,"))))
+    clean = both.where((F.length(name) < most) & ~F.arrays_overlap(words, F.array(*map(F.lit, banned)).cast("array<string>"))).select("locale", name.alias("name")).distinct()
+    place = F.row_number().over(Window.partitionBy("locale").orderBy(order_key(seed, F.col("locale"), F.col("name")), "name"))
+    found = written(clean.withColumn("place", place).where(F.col("place") <= n).select("locale", "place", "name", F.lit(False).alias("is_fallback")), "people")
+    bare = sorted(r.locale for r in wanted.join(found, "locale", "left_anti").collect())  # a short list of locales
+    if bare:
+        warnings.warn(f"no names for {', '.join(bare)}: built-in ones stand in", stacklevel=2)
+    rest = spark.createDataFrame([(x, i, f, True) for x in bare for i, f in enumerate(fallback, 1) if i <= n], found.schema)
+    return found.unionByName(rest)
+
+
+def blended(pool: DataFrame, n: int, seed: int) -> DataFrame:
+    """place, name: n names of all locales together, each once."""
+    once = pool.groupBy("name").agg(F.min("locale").alias("locale")).withColumn("h", order_key(seed, F.lit("blend"), F.col("name")))
+    top = once.orderBy("h", "name").limit(n)
+    return top.select(F.row_number().over(Window.orderBy("h", "name")).alias("place"), "name")  # n rows
+
+
 def keyed_sample(keys: DataFrame, key: str, pool: DataFrame, item: str, k: int, seed: int, salt: str = "") -> DataFrame:
     """key, item, place: k items of the pool for each key, without repeats, the same whenever asked. Pools are short."""
     both = keys.select(key).distinct().crossJoin(F.broadcast(pool.select(item)))

@@ -184,11 +184,32 @@ def _pool(spark):
     return spark.createDataFrame([(x,) for x in _POOL], "item string")
 
 
-@query()
+_FIRST, _BANNED = {"de": "", "fr": " "}, ("der", "en")
+_NAMES_SQL = r"""WITH v AS (SELECT lang AS locale, 'given' AS kind, regexp_extract(text, '^([A-Z][a-z]+)', 1) AS name FROM documents UNION ALL SELECT lang, 'family', regexp_extract(text, ' ([A-Z][a-z]+)', 1) FROM documents),
+w AS (SELECT DISTINCT * FROM v WHERE locale IN ('en', 'de', 'fr') AND name <> ''), u AS (SELECT *, row_number() OVER (PARTITION BY locale, kind ORDER BY name) - 1 AS at, count(*) OVER (PARTITION BY locale, kind) AS n FROM w),
+d AS (SELECT DISTINCT locale, kind, k, ('0x' || substr(md5('7:' || locale || ':' || kind || ':' || k), 1, 8))::BIGINT % n AS at FROM u, range(1, 41) t(k)),
+x AS (SELECT d.locale, d.k, max(CASE WHEN d.kind = 'given' THEN u.name END) AS g, max(CASE WHEN d.kind = 'family' THEN u.name END) AS f FROM d JOIN u ON u.locale = d.locale AND u.kind = d.kind AND u.at = d.at GROUP BY 1, 2),
+c AS (SELECT DISTINCT locale, CASE locale WHEN 'de' THEN f || g WHEN 'fr' THEN f || ' ' || g ELSE g || ' ' || f END AS name FROM x WHERE g IS NOT NULL AND f IS NOT NULL),
+k AS (SELECT locale, name FROM c WHERE length(name) < 16 AND NOT list_has_any(list_transform(string_split(name, ' '), lambda w: lower(trim(w, '.,'))), ['der', 'en'])),
+p AS (SELECT locale, row_number() OVER (PARTITION BY locale ORDER BY md5('7:' || locale || ':' || name), name)::INT AS place, name, false AS is_fallback FROM k QUALIFY place <= 20)"""
+
+
+def _people(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    given, family = (d.select(F.col("lang").alias("locale"), F.regexp_extract("text", e, 1).alias("name")) for e in ("^([A-Z][a-z]+)", " ([A-Z][a-z]+)"))
+    return m.people(given, family, 20, 7, ["en", "de", "fr", "xx"], _FIRST, _BANNED, 16, ["Ada One", "Ben Two"])
+
+
+@query(_NAMES_SQL + " SELECT * FROM p UNION ALL SELECT * FROM (VALUES ('xx', 1, 'Ada One', true), ('xx', 2, 'Ben Two', true))")
 def m15_entity_pools(spark, sf_dir):
-    """Names from two pools, family first where the culture wants it; no network and no name library is needed."""
-    names = m.keyed_sample(table(spark, sf_dir, "nation"), "n_nationkey", _pool(spark), "item", 2, 3)
-    return names.groupBy("n_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: F.initcap(x["item"])), " ").alias("name"))
+    """Names by locale from the words that open documents and sentences; family first in two locales, built-in ones for a locale
+    that has none."""
+    return _people(spark, sf_dir)
+
+
+@query(_NAMES_SQL + ", b AS (SELECT name FROM p UNION SELECT unnest(['Ada One', 'Ben Two'])) SELECT row_number() OVER (ORDER BY md5('3:blend:' || name), name)::INT AS place, name FROM b QUALIFY place <= 30")
+def m15_blended_pool(spark, sf_dir):
+    return m.blended(_people(spark, sf_dir), 30, 3)
 
 
 @query("SELECT n_name AS nation, CASE WHEN contains(lower(n_name), 'an') THEN 'first' WHEN contains(lower(n_name), 'a') THEN 'second' END AS locale FROM nation")

@@ -219,6 +219,23 @@ def arms(config: Mapping | None, files: Mapping[str, str] | None = None) -> dict
     return out
 
 
+ARMS = "inputs/arm_prompts.yaml"
+
+
+def frozen_arms(spark: SparkSession, run: str, config: Mapping | None, files: Mapping[str, str] | None = None) -> dict[str, dict]:
+    """The arms of a run. Resolved once and written into the run, so that a resumed run plays the same ones whatever became of
+    its settings and files since. JSON is YAML; a file that people wrote as YAML is read too."""
+    held = read_text(spark, f"{run}/{ARMS}")
+    if held is None:
+        out = arms(config, files)
+        write_text(spark, f"{run}/{ARMS}", json.dumps(out, indent=2, ensure_ascii=False))
+        return out
+    try:
+        return json.loads(held)
+    except ValueError:
+        return settings(spark, f"{run}/{ARMS}")
+
+
 CHOICES = ("left", "right", "tie", "both_bad")
 
 

@@ -91,6 +91,15 @@ def test_arms_are_resolved():
         runs.arms({"arms": {"a": {}}})
 
 
+def test_arms_are_frozen_in_a_run(spark):
+    run = store.new_path(spark, "run")
+    config = {"arms": {"a": {"system_prompt_file": "x.txt"}, "b": {"name": "bare"}}}
+    first = runs.frozen_arms(spark, run, config, {"x.txt": "be kind: “é”\nalways"})
+    assert first == runs.arms(config, {"x.txt": "be kind: “é”\nalways"})
+    assert runs.frozen_arms(spark, run, {"arms": {}}, {"x.txt": "changed"}) == first
+    assert runs.frozen_arms(spark, store.new_path(spark, "run"), None)["b"]["name"] == "plain"
+
+
 def test_settings_and_phrase_lists(spark):
     pytest.importorskip("yaml")
     path = store.new_path(spark, "tics.yaml")
