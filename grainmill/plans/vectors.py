@@ -8,7 +8,6 @@ from ..operators import neighbours, spectrum, vectors as v
 from . import chat
 from ..sources.store import written
 from .registry import query, table
-from .text import COLLAPSE, STRIP
 
 _U = "u AS (SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)"
 _MEAN = "CASE WHEN n > 1 THEN (q - n) / (n * (n - 1)) END"
