@@ -25,7 +25,6 @@ whole. Only the text enters a score. Extra columns are kept, those of the operat
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
