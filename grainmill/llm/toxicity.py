@@ -2,7 +2,7 @@
 
 Examples are a bounded sample of the labelled rows that may be learnt from: at most TOXIC rows of label 1 and CLEAN rows
 of label 0, the first in the order of a hash of the text. Terms are all words of letters in lower case that any example
-holds. A term weighs (1 + ln count) times its inverse document frequency among the examples: no label enters a weight or a
+holds. A term weighs (1 + ln count) times its inverse document frequency among all documents: no label enters a weight or a
 similarity, and no term is left out. Vectors have length 1.
 
 A text's K nearest examples are found exactly. The lists of rare terms give each example a part of its similarity; the
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import discard, few, lean, parts, spread, trim, written
 
 #: The bounded sample of labelled rows, and how many neighbours vote.
-TOXIC, CLEAN, K = 1200, 1800, 50
+TOXIC, CLEAN, K = 1200, 1800, 100
 #: Examples in a block of the index; the share of examples whose lists are long.
 BLOCK, LONG = 64, 0.1
 #: Tasks whose results make up the examples' terms.
@@ -97,15 +97,14 @@ class Index:
 class Model:
     """Terms, index and calibration; its size is bounded by the sample's texts."""
 
-    def __init__(self, doc_ids: list, labels: np.ndarray, hashes: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, names: list[str], rate: float):
+    def __init__(self, doc_ids: list, labels: np.ndarray, hashes: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, names: list[str], rate: float, held: np.ndarray, docs: int):
         self.ids, self.labels, self.rate = doc_ids, labels.astype(float), rate
         self.place = {t: i for i, t in enumerate(names)}
         self.equal: dict[int, list[int]] = {}
         for i, h in enumerate(hashes.tolist()):
             self.equal.setdefault(h, []).append(i)
         n = len(labels)
-        held = np.bincount(term, minlength=len(names))
-        self.weights = np.log((1 + n) / np.minimum(held + 1, n + 0.5))
+        self.weights = np.log((1 + docs) / np.minimum(held + 1, docs + 0.5))
         weight = (1 + np.log(count)) * self.weights[term]
         norm = np.sqrt(np.bincount(example, weight * weight, minlength=n))
         self.index = Index(example, term, weight / norm[example], n, len(names))
@@ -193,6 +192,29 @@ def sample(rows: DataFrame, most: dict[int, int], sketched) -> list[tuple[int, i
     return out
 
 
+def frequencies(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
+    """(in how many documents each of these terms stands, how many documents there are)."""
+    sent = docs.sparkSession.sparkContext.broadcast(names)
+
+    @lean
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows = {t: i for i, t in enumerate(sent.value)}, 0
+        total = np.zeros(len(place), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch.column(0):
+                found = map(place.get, set(WORDS.findall((text.as_py() or "").lower())))
+                total[[i for i in found if i is not None]] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], rows))], ["i", "n"])
+
+    sums = docs.select("text").mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    out, i, n = np.zeros(len(names), np.int64), sums["i"].to_numpy(), sums["n"].to_numpy()
+    out[i[i >= 0]] = n[i >= 0]
+    sent.destroy()
+    return out, int(n[i < 0].sum())
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     spark = docs.sparkSession
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -230,8 +252,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rank = np.empty(len(names), np.int64)
     rank[order] = np.arange(len(names))
     term = rank[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-    model = Model(ids, marks, hashes, example, term, terms["n"].to_numpy().astype(float), names[order].tolist(), rate)
-    del terms, example, coded, names, term, rank, order
+    named = names[order].tolist()
+    model = Model(ids, marks, hashes, example, term, terms["n"].to_numpy().astype(float), named, rate, *frequencies(docs, named))
+    del terms, example, coded, names, named, term, rank, order
     if 0 < marks.sum() < len(marks):
         weights = {y: total[y] / (marks == y).sum() for y in (0, 1)}
         sent = spark.sparkContext.broadcast(model)

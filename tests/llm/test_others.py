@@ -680,14 +680,12 @@ def test_scores_are_those_of_brute_force(spark):
     docs, labels = marked(spark)
     model = toxicity.fit(docs, labels)
     texts = {r.doc_id: r.text for r in docs.collect()}
-    n, n1 = len(model.ids), sum(model.labels)
-    share = n1 / n
+    n, every = len(texts), [toxicity.counted(t) for t in texts.values()]
     bags = [toxicity.counted(texts[i]) for i in model.ids]
-    held = {t: [sum(t in b for b in bags), sum(t in b for b, y in zip(bags, model.labels) if y)] for t in {t for b in bags for t in b}}
+    held = {t: sum(t in b for b in every) for t in {t for b in bags for t in b}}
 
     def weight(t):
-        both, one = held[t]
-        return math.log((1 + n) / min(both + 1, n + 0.5))
+        return math.log((1 + n) / min(held[t] + 1, n + 0.5))
 
     def vector(bag):
         v = {t: (1 + math.log(c)) * weight(t) for t, c in bag.items() if t in held}
