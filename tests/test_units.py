@@ -228,3 +228,15 @@ def test_formatted_ids_are_those_of_the_sql_from_ten_thousand_on(spark, monkeypa
     got = {r.fingerprint: r.gid for r in lineage.i03_formatted_id(spark, "").collect()}
     assert got == {f"f{n}": duckdb.sql(f"SELECT 'P-' || lpad({n}::VARCHAR, 4, '0')").fetchall()[0][0] for n in nums}
     assert spark.createDataFrame([(10000,)], "n long").select(g.formatted_id("P", F.col("n"))).first()[0] == "P-10000"  # the operator cuts none
+
+
+def test_unlinked_members_of_large_buckets_take_few_rounds(spark, monkeypatch):
+    """Texts that are alike but not linked: rounds grow with the logarithm of a bucket's size."""
+    monkeypatch.setattr(signatures, "FEW", 3)
+    rounds, confirmed = [], signatures.Classes.confirmed
+    monkeypatch.setattr(signatures.Classes, "confirmed", lambda *a: (rounds.append(1), confirmed(*a))[1])
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join([*base, *[f"c{k}x{i}" for i in range(12)]]) for k in range(48)]
+    d = docs(spark, texts)
+    assert signatures.keep_first(s.packed(d), d, 0.9).where("kept_id is null").count() == 48
+    assert len(rounds) <= 5
