@@ -240,3 +240,10 @@ def test_unlinked_members_of_large_buckets_take_few_rounds(spark, monkeypatch):
     d = docs(spark, texts)
     assert signatures.keep_first(s.packed(d), d, 0.9).where("kept_id is null").count() == 48
     assert len(rounds) <= 5
+
+
+def test_shingles_are_counted_without_a_shuffle(spark):
+    d = docs(spark, ["a b c d", "a a a a a", "one", "", None, "x y x y x y x"])
+    out = s.counted(d)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: (r.n, r.n_distinct) for r in out.collect()} == {0: (2, 2), 1: (3, 1), 2: (1, 1), 5: (5, 2)}
