@@ -196,10 +196,21 @@ def trigrams(x: Column | str) -> Column:
 
 
 def echoes_card(sentence: Column | str, card: Column | str, stop: Sequence[str]) -> Column:
-    """Whether both share a run of three words that aren't all stop words."""
-    runs = lambda w: F.filter(F.transform(w, lambda _, i: F.slice(w, i + 1, 3)), lambda g: F.size(g) == 3)
-    some = F.filter(runs(clean_words(card)), lambda g: ~F.forall(g, lambda v: v.isin(list(stop))))
-    return F.arrays_overlap(some, runs(clean_words(sentence)))
+    """Whether both share a run of three words that aren't all stop words. Words are split once and runs are strings, which
+    are met by hash."""
+
+    def runs(words: Column, less: Sequence[str] = ()) -> Column:
+        def of(w: Column) -> Column:
+            three = lambda i: [F.get(w, i + k) for k in range(3)]
+            every = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", *three(i)))
+            if less:
+                dull = lambda i: three(i)[0].isin(list(less)) & three(i)[1].isin(list(less)) & three(i)[2].isin(list(less))
+                every = F.transform(F.filter(F.sequence(F.lit(0), F.size(w) - 3), lambda i: ~dull(i)), lambda i: F.concat_ws(" ", *three(i)))
+            return F.when(F.size(w) >= 3, every).otherwise(F.array().cast("array<string>"))
+
+        return F.element_at(F.transform(F.array(words), of), 1)
+
+    return F.arrays_overlap(runs(clean_words(card), stop), runs(clean_words(sentence)))
 
 
 def realised(text: Column | str, keywords: Column) -> Column:
