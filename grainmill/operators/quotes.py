@@ -18,13 +18,15 @@ def containment(docs: DataFrame, quotes: DataFrame, n: int = 5) -> DataFrame:
     those pairs are compared, where the document's body already is. Quotes without an inner word, of one or two words, are
     looked for in every document; they go along as a list."""
     q = quotes.select("item_id", normalize("text").alias("quote"), words("text").alias("w")).where("quote <> ''")
-    q = q.withColumn("k", F.least(F.lit(n), F.size("w") - 2)).select("item_id", "quote", "k", F.xxhash64(F.array_join(F.slice("w", 2, F.greatest(F.col("k"), F.lit(1))), " ")).alias("run"))
+    q = q.withColumn("k", F.least(F.lit(n), F.size("w") - 2))
+    run = F.coalesce(*[F.when(F.col("k") == k, F.xxhash64(*[F.get("w", F.lit(1 + j)) for j in range(k)])) for k in range(1, n + 1)])
+    q = q.select("item_id", "quote", "k", run.alias("run"))
     sizes = [r.k for r in q.select("k").distinct().collect()]  # n numbers at most, and those below 1
-    some = docs.select("doc_id", normalize("text").alias("body"), words("text").alias("w"))
+    some, body = docs.select("doc_id", "text", words("text").alias("w")), normalize("text")
 
     def runs(k: int):
         """Hashes of all runs of k words, none if there are fewer."""
-        one = F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - (k - 1), F.lit(0))), lambda x, i: F.xxhash64(F.concat_ws(" ", x, *[F.get("w", i + j) for j in range(1, k)])))
+        one = F.transform(F.slice("w", F.lit(1), F.greatest(F.size("w") - (k - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get("w", i + j) for j in range(1, k)]))
         return F.transform(F.array_distinct(one), lambda h: F.struct(F.lit(k).alias("k"), h.alias("run")))
 
     out = None
@@ -33,13 +35,13 @@ def containment(docs: DataFrame, quotes: DataFrame, n: int = 5) -> DataFrame:
         long = q.where("k >= 1")
         hashed = F.explode(F.concat(*map(runs, inner))).alias("x")
         if long.limit(MOST + 1).count() <= MOST:  # the list goes to the documents, which are compared where they are
-            each = some.select("doc_id", "body", hashed).select("doc_id", "body", "x.k", "x.run")
-            met = each.join(F.broadcast(long), ["k", "run"]).where(F.contains("body", F.col("quote")))
+            each = some.select("doc_id", "text", hashed).select("doc_id", "text", "x.k", "x.run")
+            met = each.join(F.broadcast(long), ["k", "run"]).where(F.contains(body, F.col("quote")))  # only candidates are normalised
         else:
             found = some.select("doc_id", hashed).select("doc_id", "x.k", "x.run").join(long.select("item_id", "k", "run"), ["k", "run"]).select("doc_id", "item_id").distinct()
-            met = found.join(some.select("doc_id", "body"), "doc_id").join(long.select("item_id", "quote"), "item_id").where(F.contains("body", F.col("quote")))
+            met = found.join(docs.select("doc_id", body.alias("body")), "doc_id").join(long.select("item_id", "quote"), "item_id").where(F.contains("body", F.col("quote")))
         out = met.select("doc_id", "item_id").distinct()
     if any(k < 1 for k in sizes):
-        few = some.select("doc_id", "body").join(F.broadcast(q.where("k < 1").select("item_id", "quote")), F.contains("body", F.col("quote"))).select("doc_id", "item_id")
+        few = docs.select("doc_id", body.alias("body")).join(F.broadcast(q.where("k < 1").select("item_id", "quote")), F.contains("body", F.col("quote"))).select("doc_id", "item_id")
         out = few if out is None else out.unionByName(few)
-    return out if out is not None else some.select("doc_id").limit(0).withColumn("item_id", F.lit(None).cast(quotes.schema["item_id"].dataType))
+    return out if out is not None else docs.select("doc_id").limit(0).withColumn("item_id", F.lit(None).cast(quotes.schema["item_id"].dataType))
