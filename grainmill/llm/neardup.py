@@ -11,7 +11,7 @@ are confirmed on the full sets.
 Buckets are never expanded into rows of pairs. First each bucket's members meet its smallest member. Then, in buckets that
 still hold several components, those outside the largest one meet the other members: full sets travel to blocks of bounded
 bytes, pairs are decided there, and a block returns a forest of links. So one bucket may hold any share of the rows.
-Components are found by alternating large and small stars. What is left to chance: a pair at the very threshold meets in no band with odds of 5e-8, and is wrongly ruled out
+Components are found by contracting the edges of each task, and by alternating large and small stars between tasks. What is left to chance: a pair at the very threshold meets in no band with odds of 5e-8, and is wrongly ruled out
 by its likelihood with odds below 1e-6.
 
 Null, empty and blank texts have no elements, link with nothing and are kept. Rows that repeat a doc_id are rows of
@@ -39,6 +39,8 @@ BLOCK, TASK = 2 << 20, 4 << 20
 #: Pairs whose registers are compared at once.
 PAIRS = 60_000
 SLAB = 1 << 20
+#: Edges that a task contracts at once.
+EDGES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(9, 14)]] = True
@@ -229,27 +231,67 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, comp for every node of edges (a, b), by alternating large and small stars; comp is the least node."""
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    before = None
+def _least(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of the same components: each node that isn't the least of its own, and the least one."""
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, up = at[: len(a)], at[len(a) :], np.arange(len(node))
+    while len(open_ := np.flatnonzero(up[x] != up[y])):
+        x, y = x[open_], y[open_]
+        np.minimum.at(up, np.maximum(up[x], up[y]), np.minimum(up[x], up[y]))  # roots alone, as paths are short
+        while (up != up[up]).any():
+            up = up[up]
+    low = np.flatnonzero(up != np.arange(len(node)))
+    return node[low], node[up[low]]
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b), b < a, of the same components: of each EDGES rows a forest of stars, so fewer than they have nodes."""
+
+    @lean
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, EDGES):
+                held.append(batch.slice(at, EDGES))
+                size += held[-1].num_rows
+                if size >= EDGES:
+                    yield forest(held)
+                    held, size = [], 0
+        if size:
+            yield forest(held)
+
+    def forest(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = _least(*(np.concatenate([x.column(k).to_numpy() for x in held]) for k in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["a", "b"])
+
+    return edges.select("a", "b").mapInArrow(scan, "a long, b long")
+
+
+def stars(edges: DataFrame) -> DataFrame:
+    """(a, b), written: each node of edges (a, b) that isn't the least of its component, and the least one. Edges that meet
+    in a task are contracted there; while some are left to join, large and small stars alternate, and are contracted again."""
+    files = lambda rows, each: max(1, min(parts(edges.sparkSession), -(-rows // each)))
+    rows = edges.count()
+    now = written(_contracted(edges.coalesce(files(rows, EDGES))), "edges")
     while True:
+        ends = now.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("x"))
+        # no node has two edges upwards, or one up and one down
+        if ends.groupBy("x.node").agg(F.sum("x.up").alias("up"), F.min("x.up").alias("least")).where("up > 1 or up > least").isEmpty():
+            return now
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        after = small.where("a <> b").distinct()
-        if before:  # a file for each million edges or so
-            after = after.coalesce(max(1, min(parts(edges.sparkSession), before[0] >> 20)))
-        after = written(after, "edges")
+        after = written(_contracted(small.where("a <> b").distinct().coalesce(files(rows, 1 << 20))), "edges")
         discard(now)
         now = after
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, comp for every node of edges (a, b); comp is the least node of its component."""
+    found = stars(edges)
+    return found.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(found.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
@@ -265,12 +307,17 @@ def _likely(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(scan, "a long, b long")
 
 
-def _linked(members: DataFrame, comps: DataFrame, classes: DataFrame, sets: DataFrame, share: float, percent: int) -> DataFrame:
-    """(a, b): links between components within the buckets. In a bucket that holds several components, each class outside
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with comp, the component of their node by the stars found; of a node that has none, the node."""
+    return rows.join(found.select(F.col("a").alias("node"), F.col("b").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def _linked(members: DataFrame, found: DataFrame, classes: DataFrame, sets: DataFrame, share: float, percent: int) -> DataFrame:
+    """(a, b): links between components, the stars found so far, within the buckets. In a bucket that holds several components, each class outside
     the largest one meets all others. Classes travel with their full sets to blocks of about BLOCK bytes; there, pairs whose
     likelihood allows the share are compared on their sets, the likeliest first, unless links found before join them already.
     A block returns a forest: fewer links than it has members, however many pairs there are."""
-    placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(classes.select("node", "n"), "node").withColumn("bytes", F.lit(2 * REGISTERS + 64) + 8 * F.col("n"))
+    placed = _placed(members.join(classes.select("node", "n"), "node"), found).withColumn("bytes", F.lit(2 * REGISTERS + 64) + 8 * F.col("n"))
     per = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("bytes").alias("bytes"))
     state = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.sum("bytes").alias("total"), F.max_by(F.struct("comp", "bytes"), F.struct("c", "comp")).alias("main")).where("comps > 1")
     blocks = lambda x: F.greatest(F.lit(1), F.ceil(x / F.lit(BLOCK))).cast("int")
@@ -280,10 +327,12 @@ def _linked(members: DataFrame, comps: DataFrame, classes: DataFrame, sets: Data
     tasks = max(2 * parts(members.sparkSession), -(-int(sums) // TASK))
     own = lambda c, salt: F.pmod(F.xxhash64("node", F.lit(salt)), c).cast("int")
     rows = placed.join(state.drop("total"), "key")
-    held = rows.withColumns({"probe": F.lit(False), "j": own(F.col("cm"), 1)}).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cv") - 1)))
-    probes = rows.where("comp <> main").withColumns({"probe": F.lit(True), "i": own(F.col("cv"), 2)}).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("cm") - 1)))
-    cols = ["key", "i", "j", "probe", "node", "comp", "main"]
-    both = held.select(*cols).unionByName(probes.select(*cols))
+    # a row's places: a member in each block of its bucket's column, and where it asks, in each of its row
+    place = lambda probe, i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(probe).alias("probe"))
+    held = F.transform(F.sequence(F.lit(0), F.col("cv") - 1), lambda i: place(False, i, own(F.col("cm"), 1)))
+    asks = F.transform(F.sequence(F.lit(0), F.col("cm") - 1), lambda j: place(True, own(F.col("cv"), 2), j))
+    every = F.when(F.col("comp") == F.col("main"), held).otherwise(F.concat(held, asks))
+    both = rows.select("key", F.explode(every).alias("x"), "node", "comp", "main").select("key", "x.i", "x.j", "x.probe", "node", "comp", "main")
     # one row for each class and task, with its places there: the set travels once to a task
     dealt = both.withColumn("task", F.pmod(F.xxhash64("key", "i", "j"), F.lit(tasks)))
     dealt = dealt.groupBy("task", "node").agg(F.first("comp").alias("comp"), F.collect_list(F.struct("key", "i", "j", "probe", "main")).alias("places"))
@@ -386,14 +435,13 @@ def classified(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         sets = sets.dropDuplicates(["node"])
     sets = written(sets, "sets")
     edges = written(_confirmed(_likely(pairs, classes, share), sets, percent), "links")
-    comps = components(edges)
-    more = written(_linked(members.where("size > 2"), comps, classes, sets, share, percent), "links")
-    if not more.isEmpty():  # links of components, whose least nodes name them
-        top = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("top"))
-        lone = top.join(comps, top.comp == comps.node, "left_anti").select(F.col("comp").alias("node"), F.col("top").alias("comp"))
-        comps = comps.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")).unionByName(lone)
+    found = stars(edges)
+    more = written(_linked(members.where("size > 2"), found, classes, sets, share, percent), "links")
+    if not more.isEmpty():
+        before, found = found, stars(found.unionByName(more))
+        discard(before)
     discard(members, sets, edges, more)  # the result needs the classes, the components and the rows' sketches
-    named = classes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = _placed(classes.select("node", "node2", "rep"), found)
     ids = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     of = named.join(ids, "comp").select("node", "node2", "component_id", "comp")
     joined = rows.join(of, ["node", "node2"], "left")

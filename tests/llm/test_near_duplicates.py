@@ -90,6 +90,29 @@ def test_components(spark, n):
     assert got == dict(want)
 
 
+def test_edges_of_a_task_are_contracted_at_once(spark, monkeypatch):
+    """A chain in one task takes one table; dealt in small parts over tasks it takes rounds, with the same result."""
+    made = []
+    monkeypatch.setattr(neardup, "written", lambda df, name, f=neardup.written: made.append(name) or f(df, name))
+    test_components(spark, 300)
+    assert made == ["edges"]
+    monkeypatch.setattr(neardup, "EDGES", 16)
+    test_components(spark, 300)
+    assert len(made) > 2
+
+
+@pytest.mark.parametrize("nodes", [40, 400, 4000])
+def test_least_of_random_edges(nodes):
+    r = np.random.default_rng(nodes)
+    a, b = r.integers(-nodes, nodes, (2, nodes))
+    label = {int(x): int(x) for x in np.concatenate([a, b])}
+    while any(label[x] != label[y] for x, y in zip(a.tolist(), b.tolist())):
+        for x, y in zip(a.tolist(), b.tolist()):
+            label[x] = label[y] = min(label[x], label[y])
+    up, least = neardup._least(a, b)
+    assert dict(zip(up.tolist(), least.tolist())) == {x: y for x, y in label.items() if x != y}
+
+
 def test_near_copies_without_an_id_are_linked(spark):
     base = cases.prose(1, 120).split()
     near = [" ".join([*base[:k], "changed", *base[k + 1 :]]) for k in (30, 60, 90)]
