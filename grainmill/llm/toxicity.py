@@ -28,10 +28,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import discard, few, lean, parts, spread, trim, written
@@ -97,9 +99,8 @@ class Index:
 class Model:
     """Terms, index and calibration; its size is bounded by the sample's texts."""
 
-    def __init__(self, doc_ids: list, labels: np.ndarray, hashes: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, names: list[str], rate: float, held: np.ndarray, docs: int):
-        self.ids, self.labels, self.rate = doc_ids, labels.astype(float), rate
-        self.place = {t: i for i, t in enumerate(names)}
+    def __init__(self, doc_ids: list, labels: np.ndarray, hashes: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, names: pa.Array, rate: float, held: np.ndarray, docs: int):
+        self.ids, self.labels, self.rate, self.names = doc_ids, labels.astype(float), rate, names
         self.equal: dict[int, list[int]] = {}
         for i, h in enumerate(hashes.tolist()):
             self.equal.setdefault(h, []).append(i)
@@ -110,6 +111,11 @@ class Model:
         self.index = Index(example, term, weight / norm[example], n, len(names))
         self.knots: tuple[list[float], list[float]] = ([0.0, 1.0], [0.0, 1.0])
 
+    @cached_property
+    def place(self) -> dict[str, int]:
+        """Terms by name, made where texts are scored: the driver has no use for it."""
+        return {t: i for i, t in enumerate(self.names.to_pylist())}
+
     def near(self, text: str | None, h: int) -> list[tuple[int, float]]:
         found = counted(text)
         places = [self.place.get(t, -1) for t in found]
@@ -192,13 +198,13 @@ def sample(rows: DataFrame, most: dict[int, int], sketched) -> list[tuple[int, i
     return out
 
 
-def frequencies(docs: DataFrame, names: list[str]) -> tuple[np.ndarray, int]:
+def frequencies(docs: DataFrame, names: pa.Array) -> tuple[np.ndarray, int]:
     """(in how many documents each of these terms stands, how many documents there are)."""
     sent = docs.sparkSession.sparkContext.broadcast(names)
 
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, rows = {t: i for i, t in enumerate(sent.value)}, 0
+        place, rows = {t: i for i, t in enumerate(sent.value.to_pylist())}, 0
         total = np.zeros(len(place), np.int64)
         for batch in batches:
             rows += batch.num_rows
@@ -244,17 +250,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pd.DataFrame(out, columns=["at", "term", "n"])
 
     # many small results: large ones would be fetched through buffers that the driver keeps
-    terms = found.select("at", "text").repartition(max(parts(spark), RESULTS)).mapInPandas(count, "at long, term string, n long").toArrow()
-    example = terms["at"].to_numpy()
+    trim()  # what the sample took
+    terms = found.select("at", "text").repartition(max(parts(spark), RESULTS)).mapInPandas(count, "at long, term string, n int").toArrow()
+    example, held = terms["at"].to_numpy().astype(np.int32), terms["n"].to_numpy().copy()
     coded = terms["term"].combine_chunks().dictionary_encode()
-    names = np.array(coded.dictionary.to_pylist(), object)
-    order = np.argsort(names, kind="stable") if len(names) else np.zeros(0, np.int64)
-    rank = np.empty(len(names), np.int64)
-    rank[order] = np.arange(len(names))
-    term = rank[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-    named = names[order].tolist()
-    model = Model(ids, marks, hashes, example, term, terms["n"].to_numpy().astype(float), named, rate, *frequencies(docs, named))
-    del terms, example, coded, names, named, term, rank, order
+    del terms
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    term, names = rank[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
+    del coded, rank, order
+    trim()  # the examples' words, one by one
+    model = Model(ids, marks, hashes, example, term, held, names, rate, *frequencies(docs, names))
+    del example, held, term, names
+    trim()
     if 0 < marks.sum() < len(marks):
         weights = {y: total[y] / (marks == y).sum() for y in (0, 1)}
         sent = spark.sparkContext.broadcast(model)
