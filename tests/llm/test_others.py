@@ -726,3 +726,11 @@ def test_labelled_texts_do_not_vote_for_themselves(spark):
     doubled = docs.union(docs)
     again = toxicity.score(doubled, toxicity.fit(doubled, labels)).collect()
     assert len(again) == 2 * len(rows)
+
+
+def test_the_fit_leaves_no_dictionary_of_terms_in_the_driver(spark):
+    docs, labels = marked(spark)
+    model = toxicity.fit(docs, labels)
+    assert "place" not in vars(model)
+    names = model.names.to_pylist()
+    assert names == sorted(set(names)) and model.place == {t: i for i, t in enumerate(names)}
